@@ -1,4 +1,5 @@
-from hazeline.functions.coordinates import coordinate_text, round_coordinate
+from hazeline.functions.coordinates import coordinate_text, is_coordinate, round_coordinate
+from hazeline.functions.entries import parse_json
 from hazeline.functions.text import decode_line, split_fields
 
-__all__ = ["coordinate_text", "decode_line", "round_coordinate", "split_fields"]
+__all__ = ["coordinate_text", "decode_line", "is_coordinate", "parse_json", "round_coordinate", "split_fields"]

@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+MAGNITUDE = 1e14
+
+
 def round_coordinate(coordinate: Column) -> Column:
     """Round a 32-bit coordinate to four decimals, exact ties to the even digit.
 
@@ -22,5 +25,11 @@ def coordinate_text(coordinate: Column) -> Column:
     infinities and magnitudes no coordinate can have give null.
     """
     padded = round_coordinate(coordinate).try_cast("decimal(18,4)").cast("string")
-    text = F.rtrim(padded, F.lit("0"))
-    return F.when(text.endswith("."), F.concat(text, F.lit("0"))).otherwise(text)
+    split = F.length(padded) - 3
+    first_decimal, others = F.left(padded, split), F.right(padded, F.lit(3))
+    return F.concat(first_decimal, F.rtrim(others, F.lit("0")))
+
+
+def is_coordinate(value: Column) -> Column:
+    """Whether ``coordinate_text`` has a text for the value; null for null."""
+    return F.abs(value) < MAGNITUDE

@@ -6,7 +6,7 @@ from hazeline.operators.entries import (
     split_rejects,
 )
 from hazeline.operators.ranking import filter_parameter, rank_by_aqi, top_aqi
-from hazeline.operators.requests import build_requests, split_requests
+from hazeline.operators.requests import build_requests, split_locations
 from hazeline.operators.stations import filter_states, project_locations, table_shape
 
 __all__ = [
@@ -20,7 +20,7 @@ __all__ = [
     "repeat_entries",
     "response_rejects",
     "split_rejects",
-    "split_requests",
+    "split_locations",
     "table_shape",
     "top_aqi",
 ]

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazeline.schemas import CORRUPT, with_corrupt
+from hazeline.functions import parse_json
+from hazeline.schemas import CORRUPT
 from hazeline.sources.web import OK
 
 COPIES_PER_ROW = 100_000
@@ -25,10 +26,9 @@ def explode_responses(responses: DataFrame) -> DataFrame:
     Returns ``url, n_requests, entry``. An empty array gives no row; failed calls and bodies
     that are no array give none either and are listed by ``response_rejects``.
     """
-    return (
-        responses.filter(_succeeded())
-        .select("url", "n_requests", F.from_json("body", "array<string>").alias("texts"))
-        .select("url", "n_requests", F.explode("texts").alias("entry"))
+    texts = F.from_json("body", "array<string>")
+    return responses.filter(_succeeded()).select(
+        "url", "n_requests", F.explode(texts).alias("entry")
     )
 
 
@@ -70,8 +70,7 @@ def repeat_entries(entries: DataFrame, copies_per_row: int = COPIES_PER_ROW) ->
 
 def parse_entries(entries: DataFrame, schema: StructType) -> DataFrame:
     """Typed columns of each ``entry``, plus ``_corrupt_record`` for those that do not fit."""
-    parsed = F.from_json("entry", with_corrupt(schema))
-    return entries.select(parsed.alias("parsed")).select("parsed.*")
+    return entries.select(parse_json(F.col("entry"), schema))
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

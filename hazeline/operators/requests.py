@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions import coordinate_text
+from hazeline.functions import coordinate_text, is_coordinate
 
 # Service paths.
 ENDPOINTS = {
@@ -21,7 +21,7 @@ def build_requests(
 ) -> DataFrame:
     """Add the relative ``url`` of each location, without host and API key.
 
-    The URL is null where a coordinate is missing or no number.
+    The URL is null where a coordinate is missing or no number; see ``split_locations``.
     """
     day = datetime.date.fromisoformat(str(date)).isoformat()
     url = F.concat(
@@ -34,7 +34,7 @@ def build_requests(
     return locations.withColumn("url", url)
 
 
-def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Requests that can be sent, and those without usable coordinates."""
-    usable = F.col("url").isNotNull()
-    return requests.filter(usable), requests.filter(~usable).drop("url")
+def split_locations(locations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Locations a request can be built for, and those without usable coordinates."""
+    usable = is_coordinate(F.col("Latitude")) & is_coordinate(F.col("Longitude"))
+    return locations.filter(usable), locations.filter(~F.coalesce(usable, F.lit(False)))

@@ -15,8 +15,8 @@ from hazeline.operators import (
     project_locations,
     repeat_entries,
     response_rejects,
+    split_locations,
     split_rejects,
-    split_requests,
 )
 from hazeline.schemas import CORRUPT
 from hazeline.sinks import write_entries, write_table
@@ -41,8 +41,8 @@ def fetch(
     calls the API again. Stations without usable coordinates go to ``rejects/coordinates``,
     failed or malformed replies to ``rejects/responses``.
     """
-    locations = project_locations(scan_table(spark, stations))
-    requests, unusable = split_requests(build_requests(locations, endpoint, date, distance))
+    locations, unusable = split_locations(project_locations(scan_table(spark, stations)))
+    requests = build_requests(locations, endpoint, date, distance)
     write_table(fetch_responses(requests, transport, parallelism), responses)
     write_table(unusable, f"{rejects}/coordinates")
     replies = scan_table(spark, responses)

@@ -34,12 +34,16 @@ def top_table(
 
 
 def rank_sql(spark: SparkSession, view: str, parameter: str = "PM2.5") -> DataFrame:
-    """The ranking as SQL over a registered view; the order of ties is left open."""
+    """The same ranking as SQL over a registered view; ties as in ``rank_by_aqi``."""
     return spark.sql(
         """
-        SELECT * FROM IDENTIFIER(:view)
-        WHERE ParameterName = :parameter
-        ORDER BY AQI DESC NULLS LAST
+        SELECT * EXCEPT (_tie)
+        FROM (
+            SELECT *, xxhash64(*) AS _tie
+            FROM IDENTIFIER(:view)
+            WHERE ParameterName = :parameter
+        )
+        ORDER BY AQI DESC NULLS LAST, _tie
         """,
         args={"view": view, "parameter": parameter},
     )

@@ -20,8 +20,8 @@ from hazeline.operators import (
     rank_by_aqi,
     repeat_entries,
     response_rejects,
+    split_locations,
     split_rejects,
-    split_requests,
     table_shape,
     top_aqi,
 )
@@ -159,7 +159,7 @@ def request_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = project_locations(
         adapters.stations(spark, sf_dir).withColumn("Latitude", latitude.cast("float"))
     )
-    return split_requests(build_requests(located, "observation", DATE))[1].select("TWC code")
+    return split_locations(located)[1].select("TWC code")
 
 
 def rounded_values(spark: SparkSession, sf_dir: str) -> DataFrame:

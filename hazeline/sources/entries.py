@@ -9,10 +9,13 @@ Both scans add ``_corrupt_record``, the text of entries that did not fit the sch
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hazeline.functions import parse_json
 from hazeline.schemas import CORRUPT, with_corrupt
 
 LAYOUTS = ("entries", "document")
@@ -23,7 +26,7 @@ def scan_json_lines(
 ) -> DataFrame:
     """Scan JSON Lines. Without a schema, one distributed pass infers it first."""
     schema = schema or infer_entry_schema(spark, path)
-    return spark.read.schema(with_corrupt(schema)).json(path)
+    return parse_lines(spark.read.text(path), schema)
 
 
 def scan_json_array(
@@ -55,14 +58,16 @@ def scan_json_array(
             return rows
         return rows.dropna(how="all", subset=schema.names + [CORRUPT])
 
-    line = F.trim("value")
-    frame_lines = ["", "[", "]"] if keep_terminator else ["", "[", "]", "{}"]
-    return (
-        spark.read.text(path)
-        .filter(~line.isin(frame_lines))
-        .select(F.from_json("value", with_corrupt(schema)).alias("entry"))
-        .select("entry.*")
-    )
+    frame = ["[", "]"] if keep_terminator else ["[", "]", "{}"]
+    return parse_lines(spark.read.text(path), schema, frame)
+
+
+def parse_lines(
+    lines: DataFrame, schema: StructType, skip: Sequence[str] = ()
+) -> DataFrame:
+    """Parse a frame of text lines, passing over blank lines and those in ``skip``."""
+    content = ~F.trim("value").isin(["", *skip])
+    return lines.filter(content).select(parse_json(F.col("value"), schema))
 
 
 def infer_entry_schema(

@@ -23,10 +23,12 @@ def scan_stations(
     """
     schema = with_corrupt(STATION) if malformed else STATION
     reader = spark.read.schema(schema).option("sep", "|").option("encoding", encoding)
+    rows = reader.csv(path)
     if malformed:
-        # Surplus fields only show when the reader parses the columns a query leaves out, too.
-        reader = reader.option("columnPruning", False)
-    return reader.csv(path)
+        # The reader checks only the columns it has to produce. Packing the row makes that all
+        # of them, so that a later selection does not change which lines count as malformed.
+        rows = rows.select(F.inline(F.array(F.struct("*"))))
+    return rows
 
 
 def scan_stations_raw(

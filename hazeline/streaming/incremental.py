@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from hazeline.schemas import with_corrupt
+from hazeline.sources.entries import parse_lines
 
 
 def load_increment(
@@ -22,11 +22,11 @@ def load_increment(
     checkpoint and the table's log make each file count exactly once, also after a failure.
     The table keeps ``_corrupt_record``, so no entry is lost; ``split_rejects`` separates them.
     """
-    reader = spark.readStream.schema(with_corrupt(schema))
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
-        reader.json(landing)
+        parse_lines(reader.text(landing), schema)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
