@@ -1,8 +1,12 @@
-"""Typed columns from JSON text."""
+"""Typed rows from text, and which of them hold anything."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,3 +21,17 @@ def parse_json(text: Column, schema: StructType) -> Column:
     that field alone, which can change what counts as corrupt.
     """
     return F.inline(F.array(F.from_json(text, with_corrupt(schema))))
+
+
+def whole_rows(rows: DataFrame) -> DataFrame:
+    """The same rows, with every column read whatever a query goes on to select.
+
+    Spark's file readers check only the columns they have to produce. Packing the row makes
+    that all of them, so that a selection does not change which records count as corrupt.
+    """
+    return rows.select(F.inline(F.array(F.struct("*"))))
+
+
+def any_value(names: Sequence[str]) -> Column:
+    """Whether at least one of the named columns is not null."""
+    return reduce(or_, [F.col(f"`{name}`").isNotNull() for name in names])

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazeline.functions import parse_json
+from hazeline.functions import any_value, parse_json
 from hazeline.schemas import CORRUPT
 from hazeline.sources.web import OK
 
@@ -80,6 +77,5 @@ def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     a reject only.
     """
     declared = [name for name in rows.columns if name != CORRUPT]
-    readable = reduce(or_, [F.col(f"`{name}`").isNotNull() for name in declared])
     damaged = F.col(CORRUPT).isNotNull()
-    return rows.filter(~damaged | readable).drop(CORRUPT), rows.filter(damaged)
+    return rows.filter(~damaged | any_value(declared)).drop(CORRUPT), rows.filter(damaged)

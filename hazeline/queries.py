@@ -43,6 +43,7 @@ from hazeline.streaming import load_increment
 from hazeline.workspace import fresh_path
 
 DATE = "2024-01-01"
+ENTRIES_PER_DOCUMENT = 10_000
 READING = (
     StructType()
     .add("event_id", "long")
@@ -217,9 +218,9 @@ def response_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return response_rejects(scan_table(spark, path)).select("url", "status", "reason")
 
 
-def _array_file(spark: SparkSession, entries: DataFrame) -> str:
+def _array_file(spark: SparkSession, entries: DataFrame, files: int | None = None) -> str:
     path = fresh_path(spark, "array-file")
-    write_json_array(entries, path)
+    write_json_array(entries, path, files)
     return path
 
 
@@ -229,7 +230,9 @@ def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
+    entries = adapters.observation_entries(spark, sf_dir)
+    # One task reads one document whole, so each holds a bounded number of entries.
+    path = _array_file(spark, entries, files=entries.count() // ENTRIES_PER_DOCUMENT + 1)
     return split_rejects(scan_json_array(spark, path, OBSERVATION, layout="document"))[0]
 
 

@@ -30,11 +30,12 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_json_array(entries: DataFrame, path: str) -> None:
+def write_json_array(entries: DataFrame, path: str, files: int | None = None) -> None:
     """Write the ``entry`` texts as array files, one complete array per partition.
 
     Meant for consumers that expect this layout; ``write_entries`` is the better choice
-    otherwise.
+    otherwise. Consumers that read an array as one document hold all of it in memory: give
+    them enough ``files``.
     """
 
     def frame(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,4 +48,6 @@ def write_json_array(entries: DataFrame, path: str) -> None:
         yield lines(["{}", "]"])
 
     values = entries.select(F.coalesce("entry", F.lit("null")).alias("value"))
+    if files is not None:
+        values = values.repartition(files)
     values.mapInArrow(frame, "value string").write.mode("overwrite").text(path)

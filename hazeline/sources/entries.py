@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hazeline.functions import parse_json
-from hazeline.schemas import CORRUPT, with_corrupt
+from hazeline.schemas import CORRUPT
 
 LAYOUTS = ("entries", "document")
 
@@ -43,8 +43,8 @@ def scan_json_array(
     entry that happens to be empty is kept; a file cut off in the middle still yields its
     complete entries. A line of any other form ends up in ``_corrupt_record``.
 
-    ``layout="document"`` reads arrays formatted in any way, one task per file. There the
-    closing object is told apart only by having no declared value.
+    ``layout="document"`` reads arrays formatted in any way. Each file is parsed whole by one
+    task, which needs memory for it; there, the closing object is an empty one in last place.
 
     ``keep_terminator=True`` returns the closing object as an all-null row.
     """
@@ -52,11 +52,7 @@ def scan_json_array(
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     schema = schema or infer_entry_schema(spark, path, layout)
     if layout == "document":
-        reader = spark.read.schema(with_corrupt(schema)).option("multiLine", True)
-        rows = reader.json(path)
-        if keep_terminator:
-            return rows
-        return rows.dropna(how="all", subset=schema.names + [CORRUPT])
+        return _parse_documents(spark, path, schema, keep_terminator)
 
     frame = ["[", "]"] if keep_terminator else ["[", "]", "{}"]
     return parse_lines(spark.read.text(path), schema, frame)
@@ -70,6 +66,28 @@ def parse_lines(
     return lines.filter(content).select(parse_json(F.col("value"), schema))
 
 
+def _parse_documents(
+    spark: SparkSession, path: str, schema: StructType, keep_terminator: bool
+) -> DataFrame:
+    """Parse whole files, entry by entry.
+
+    Spark's multi-line reader would copy the text of the entire file to each of its rows as
+    soon as one value in it does not fit the schema.
+    """
+    texts, last = F.col("texts"), F.size("texts") - 1
+    entries = F.coalesce(texts, F.array("value"))
+    if not keep_terminator:
+        closed = F.get(texts, last) == "{}"
+        entries = F.when(closed, F.slice(texts, 1, last)).otherwise(entries)
+    return (
+        spark.read.text(path, wholetext=True)
+        .filter(F.trim("value") != "")
+        .select("value", F.from_json("value", "array<string>").alias("texts"))
+        .select(F.explode(entries).alias("entry"))
+        .select(parse_json(F.coalesce("entry", F.lit("null")), schema))
+    )
+
+
 def infer_entry_schema(
     spark: SparkSession, path: str, layout: str = "entries"
 ) -> StructType:

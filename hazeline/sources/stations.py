@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from hazeline.functions import decode_line, split_fields
+from hazeline.functions import decode_line, split_fields, whole_rows
 from hazeline.schemas import STATION, with_corrupt
 
 
@@ -25,9 +25,7 @@ def scan_stations(
     reader = spark.read.schema(schema).option("sep", "|").option("encoding", encoding)
     rows = reader.csv(path)
     if malformed:
-        # The reader checks only the columns it has to produce. Packing the row makes that all
-        # of them, so that a later selection does not change which lines count as malformed.
-        rows = rows.select(F.inline(F.array(F.struct("*"))))
+        rows = whole_rows(rows)
     return rows
 
 

@@ -52,6 +52,15 @@ def test_declared_scan_drops_undeclared_fields_and_the_terminator(spark, file, l
     assert first["AQI"] == 42.0 and dict(rows.dtypes)["AQI"] == "float"
 
 
+@pytest.mark.parametrize("layout", ["entries", "document"])
+@pytest.mark.parametrize("keep", [False, True])
+def test_selecting_only_rejected_text(spark, file, layout, keep):
+    path = file(array_text(ENTRY, {**ENTRY, "AQI": "high"}))
+    rows = scan_json_array(spark, path, OBSERVATION, layout, keep_terminator=keep)
+    assert rows.filter(f"{CORRUPT} is not null").count() == 1
+    assert rows.select(CORRUPT).filter(f"{CORRUPT} is not null").count() == 1
+
+
 @pytest.mark.parametrize("layout", ["entries", "document"])
 def test_terminator_can_be_kept(spark, file, layout):
     path = file(array_text(ENTRY))
@@ -60,9 +69,29 @@ def test_terminator_can_be_kept(spark, file, layout):
     assert sum(all(v is None for v in row) for row in rows) == 1
 
 
-def test_only_the_terminator_is_dropped(spark, file):
-    path = file(array_text({}, {"Category": {"Number": 2}}, ENTRY))
-    assert scan_json_array(spark, path, OBSERVATION).count() == 3
+@pytest.mark.parametrize("layout", ["entries", "document"])
+def test_only_the_terminator_is_dropped(spark, file, layout):
+    path = file(array_text({}, {"Category": {"Number": 2}}, ENTRY, {}))
+    assert scan_json_array(spark, path, OBSERVATION, layout).count() == 4
+
+
+def test_documents(spark, tmp_path):
+    texts = {
+        "object": json.dumps(ENTRY, indent=1),
+        "blank": " ",
+        "spaced": json.dumps([ENTRY, {}]).replace("{}", "{ }"),
+        "null": f"[null, {json.dumps(ENTRY)}]",
+        "bad": json.dumps([ENTRY, {**ENTRY, "AQI": "high"}, ENTRY], indent=2),
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    rows, rejects = split_rejects(
+        scan_json_array(spark, str(tmp_path), OBSERVATION, layout="document")
+    )
+    assert rows.count() == 6
+    bad, null = sorted((r[CORRUPT] for r in rejects.collect()), key=len, reverse=True)
+    assert json.loads(bad) == {**ENTRY, "AQI": "high"}  # not the whole file
+    assert null == "null"
 
 
 def test_inferred_scan(spark, file):

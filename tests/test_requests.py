@@ -1,0 +1,100 @@
+"""Coordinates and request URLs."""
+
+import datetime
+import random
+import struct
+
+import pytest
+from pyspark.sql import functions as F
+
+from hazeline.functions import coordinate_text, round_coordinate
+from hazeline.operators import build_requests, split_locations
+
+LOCATION = "`TWC code` string, Latitude float, Longitude float"
+
+
+def as_float32(value):
+    return struct.unpack("f", struct.pack("f", value))[0]
+
+
+def float32_samples():
+    rng = random.Random(7)
+    values = [rng.uniform(-180, 180) for _ in range(6000)]
+    values += [rng.uniform(-0.01, 0.01) for _ in range(2000)]
+    values += [rng.randrange(-5760, 5760) / 32 for _ in range(4000)]  # exact ties among them
+    values += [rng.uniform(-1e6, 1e6) for _ in range(1000)]
+    values += [33.0, 0.0001, 0.03125, 138.78125, -117.69, 0.0, 1e7, 99999.9999]
+    return [as_float32(v) for v in values]
+
+
+@pytest.fixture(scope="module")
+def rounded(spark):
+    df = spark.createDataFrame([(v,) for v in float32_samples()], "v float")
+    column = F.col("v")
+    return df.select(
+        "v", round_coordinate(column).alias("r"), coordinate_text(column).alias("t")
+    ).collect()
+
+
+def test_rounding_equals_pythons(rounded):
+    assert [r.r for r in rounded] == [round(r.v, 4) for r in rounded]
+
+
+def test_text_equals_pythons(rounded):
+    for row in rounded:
+        expected = str(round(row.v, 4))
+        if "e" in expected:
+            expected = format(round(row.v, 4), "f").rstrip("0")
+        if expected == "-0.0":
+            expected = "0.0"  # the same place
+        assert row.t == expected
+
+
+def test_small_values_are_not_in_scientific_notation(rounded):
+    texts = {row.v: row.t for row in rounded}
+    assert texts[as_float32(0.0001)] == "0.0001"
+    assert texts[0.03125] == "0.0312"
+    assert texts[138.78125] == "138.7812"
+    assert texts[33.0] == "33.0"
+
+
+def test_url(spark):
+    df = spark.createDataFrame([("A", 33.64, -117.69)], LOCATION)
+    for date in ("2023-03-21", datetime.date(2023, 3, 21)):
+        urls = [build_requests(df, e, date).first().url for e in ("observation", "forecast")]
+        tail = "?format=application/json&latitude=33.64&longitude=-117.69&date=2023-03-21&distance=1"
+        assert urls == [f"aq/observation/latLong/current/{tail}", f"aq/forecast/latLong/{tail}"]
+    assert build_requests(df, "forecast", "2023-03-21", 25).first().url.endswith("&distance=25")
+
+
+def test_url_parameters_are_checked(spark):
+    df = spark.createDataFrame([("A", 33.64, -117.69)], LOCATION)
+    with pytest.raises(ValueError):
+        build_requests(df, "forecast", "2023-03-21&distance=500")
+    with pytest.raises(KeyError):
+        build_requests(df, "history", "2023-03-21")
+
+
+def test_locations_without_coordinates(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        ("ok", 1.0, 2.0),
+        ("no latitude", None, 2.0),
+        ("no longitude", 1.0, None),
+        ("nan", nan, 2.0),
+        ("infinite", 1.0, -inf),
+        ("huge", 1e20, 2.0),
+    ]
+    usable, unusable = split_locations(spark.createDataFrame(rows, LOCATION))
+    assert [r[0] for r in usable.collect()] == ["ok"]
+    assert unusable.count() == 5
+    assert build_requests(unusable, "forecast", "2024-01-01").filter("url is not null").count() == 0
+
+
+def test_coordinate_filter_reaches_the_scan(spark, tmp_path, plan):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("A", 1.0, 2.0, "x")], LOCATION + ", other string").write.parquet(path)
+    locations = spark.read.parquet(path).select("TWC code", "Latitude", "Longitude")
+    text = plan(build_requests(split_locations(locations)[0], "forecast", "2024-01-01"))
+    assert "PushedFilters: [IsNotNull(Latitude), IsNotNull(Longitude)]" in text
+    assert "other" not in text.split("ReadSchema")[1].split("\n")[0]
