@@ -123,6 +123,19 @@ def forecast_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_json(entry).alias("entry"))
 
 
+def damaged_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per event: an entry, one cut off, or one with text for a number."""
+    index = (
+        F.when(F.col("event_type") == "error", "")
+        .when(F.col("event_type") == "signup", '"high"}')
+        .otherwise(F.concat(F.get_json_object("props", "$.k"), F.lit("}")))
+    )
+    area = F.col("event_id").cast("string")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.concat(F.lit('{"ReportingArea":"Area '), area, F.lit('","AQI":'), index).alias("value")
+    )
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored reply per event, with two entries or none; some failed."""
     reading = F.struct(

@@ -91,6 +91,9 @@ ORACLE: dict[str, str] = {
     "station_scan": _ALL_STATIONS,
     "station_scan_latin1": _ALL_STATIONS,
     "landed_stations": _ALL_STATIONS,
+    "station_scan_undecoded": f"""{_STATION_CTE}
+        SELECT * REPLACE (replace("Forecast Source", 'ñ', chr(65533)) AS "Forecast Source")
+        FROM stations""",
     "station_malformed": """
         SELECT c_name AS "Reporting area",
                CASE WHEN state IN ('CA','OR','WA','CO') AND c_acctbal >= 0 THEN 'C|A' ELSE state END
@@ -164,6 +167,9 @@ ORACLE: dict[str, str] = {
                    AS reason
         FROM events WHERE event_type IN ('error', 'purchase')""",
     "observations_declared": _DECLARED_OBSERVATIONS,
+    "observations_with_terminator": f"""{_DECLARED_OBSERVATIONS}
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM range(4)""",
     "observations_document": _DECLARED_OBSERVATIONS,
     "observations_table": _DECLARED_OBSERVATIONS,
     "observations_inferred": f"""
@@ -175,12 +181,24 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "forecast_entries": _DECLARED_FORECASTS,
     "forecasts_table": _DECLARED_FORECASTS,
+    "entry_rows": f"""
+        SELECT 'Area ' || event_id AS "ReportingArea",
+               CAST(CASE WHEN event_type <> 'signup' THEN {_K} END AS FLOAT) AS "AQI"
+        FROM events WHERE event_type <> 'error'""",
+    "entry_rejects": """
+        SELECT CASE WHEN event_type = 'signup' THEN 'Area ' || event_id END AS "ReportingArea",
+               CAST(NULL AS FLOAT) AS "AQI",
+               '{"ReportingArea":"Area ' || event_id || '","AQI":'
+                   || CASE WHEN event_type = 'signup' THEN '"high"}' ELSE '' END AS line
+        FROM events WHERE event_type IN ('error', 'signup')""",
     "json_lines_roundtrip": _OBSERVATIONS,
     "pm25_ranked": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_ranked_table": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_ranked_sql": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_top20": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST, event_id LIMIT 20",
     "repartitioned_write": _OBSERVATIONS,
+    "repartitioned_files": """
+        SELECT CAST(4 AS BIGINT) AS files, count(*) AS readings FROM events""",
     "gz_lines": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
     "incremental_load": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL

@@ -74,6 +74,11 @@ def station_scan_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_stations(spark, path, encoding="ISO-8859-1")
 
 
+def station_scan_undecoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO-8859-1 text scanned with the default encoding."""
+    return scan_stations(spark, _station_file(spark, sf_dir, "ISO-8859-1"))
+
+
 def station_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that are short, too long or hold an unparsable number, next to good ones."""
     path = fresh_path(spark, "station-lines")
@@ -229,6 +234,12 @@ def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
 
 
+def observations_with_terminator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four array files, with the all-null row of each one's closing object."""
+    path = _array_file(spark, adapters.observation_entries(spark, sf_dir), files=4)
+    return scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
+
+
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = adapters.observation_entries(spark, sf_dir)
     # One task reads one document whole, so each holds a bounded number of entries.
@@ -263,6 +274,22 @@ def forecasts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, target)
 
 
+def _damaged_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "damaged")
+    adapters.damaged_entries(spark, sf_dir).write.text(path)
+    return scan_json_lines(spark, path, OBSERVATION).select("ReportingArea", "AQI", CORRUPT)
+
+
+def entry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of which at least some fields can be read."""
+    return split_rejects(_damaged_entries(spark, sf_dir))[0]
+
+
+def entry_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that are cut off or hold a value of the wrong type."""
+    return split_rejects(_damaged_entries(spark, sf_dir))[1].withColumnRenamed(CORRUPT, "line")
+
+
 def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "json-lines")
     readings = adapters.observations(spark, sf_dir)
@@ -295,6 +322,14 @@ def repartitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, path)
 
 
+def repartitioned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "four-files")
+    write_table(adapters.observations(spark, sf_dir), path, files=4)
+    return scan_table(spark, path).agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("readings")
+    )
+
+
 def gz_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "gz")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -350,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         station_scan,
         station_scan_latin1,
+        station_scan_undecoded,
         station_malformed,
         station_raw_lines,
         station_filter,
@@ -368,17 +404,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         response_entries,
         response_failures,
         observations_declared,
+        observations_with_terminator,
         observations_document,
         observations_inferred,
         observations_table,
         forecast_entries,
         forecasts_table,
+        entry_rows,
+        entry_rejects,
         json_lines_roundtrip,
         pm25_ranked,
         pm25_ranked_table,
         pm25_ranked_sql,
         pm25_top20,
         repartitioned_write,
+        repartitioned_files,
         gz_lines,
         fused_forecasts,
         whole_run,

@@ -107,7 +107,8 @@ def fetch_responses(requests: DataFrame, transport: Transport, parallelism: int)
     by a large part of all requests costs no more than any other.
 
     Write the result to a table before using it: evaluating the frame again repeats the
-    calls. A lost task repeats its own share only.
+    calls. A lost task repeats its own share only; more tasks than cores make that share
+    smaller.
     """
     if parallelism < 1:
         raise ValueError("parallelism must be at least 1")

@@ -2,6 +2,7 @@
 
 import io
 import json
+import os
 import sys
 import uuid
 from pathlib import Path
@@ -223,6 +224,32 @@ def test_no_usable_station(spark, tmp_path, canned, stations):
     assert scan_table(spark, f"{path['rejects']}/coordinates").count() == 2
 
 
+class KillsItsWorker:
+    """Ends the Python process in the middle of the first task that gets to a certain call."""
+
+    def __init__(self, marker):
+        self.marker = str(marker)
+
+    def __call__(self, url):
+        if url.endswith("=17") and not Path(self.marker).exists():
+            Path(self.marker).touch()
+            os._exit(1)
+        return two(url)
+
+
+def test_a_lost_worker_loses_no_reply(spark, tmp_path):
+    requests = spark.range(300).select(
+        F.concat(F.lit("i="), (F.col("id") % 100).cast("string")).alias("url")
+    )
+    transport = KillsItsWorker(tmp_path / "killed")
+    path = str(tmp_path / "responses")
+    write_table(fetch_responses(requests, transport, 8), path)
+    assert (tmp_path / "killed").exists()
+    replies = scan_table(spark, path)
+    assert replies.count() == replies.select("url").distinct().count() == 100
+    assert replies.filter("status = 200 and n_requests = 3").count() == 100
+
+
 def test_calls_are_spread_over_tasks(spark, canned):
     requests = spark.range(40).select(
         F.concat(F.lit("latitude=2.0&i="), F.col("id").cast("string")).alias("url")
