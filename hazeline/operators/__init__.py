@@ -1,4 +1,5 @@
 from hazeline.operators.entries import (
+    drop_terminator,
     explode_responses,
     parse_entries,
     repeat_entries,
@@ -11,6 +12,7 @@ from hazeline.operators.stations import filter_states, project_locations, table_
 
 __all__ = [
     "build_requests",
+    "drop_terminator",
     "explode_responses",
     "filter_parameter",
     "filter_states",

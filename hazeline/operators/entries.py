@@ -70,6 +70,15 @@ def parse_entries(entries: DataFrame, schema: StructType) -> DataFrame:
     return entries.select(parse_json(F.col("entry"), schema))
 
 
+def drop_terminator(rows: DataFrame) -> DataFrame:
+    """Drop rows without any value, such as those a stored closing object left in a table.
+
+    The scans tell the closing object from other empty entries; once it is a row, it looks
+    like them.
+    """
+    return rows.filter(any_value(rows.columns))
+
+
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable rows, without ``_corrupt_record``, and the rows that have one.
 

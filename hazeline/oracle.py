@@ -170,6 +170,7 @@ ORACLE: dict[str, str] = {
     "observations_with_terminator": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL
         SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM range(4)""",
+    "terminator_dropped": _DECLARED_OBSERVATIONS,
     "observations_document": _DECLARED_OBSERVATIONS,
     "observations_table": _DECLARED_OBSERVATIONS,
     "observations_inferred": f"""

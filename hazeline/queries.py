@@ -12,6 +12,7 @@ from hazeline import adapters, plans
 from hazeline.functions import coordinate_text
 from hazeline.operators import (
     build_requests,
+    drop_terminator,
     explode_responses,
     filter_parameter,
     filter_states,
@@ -240,6 +241,10 @@ def observations_with_terminator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
 
 
+def terminator_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_terminator(observations_with_terminator(spark, sf_dir))
+
+
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = adapters.observation_entries(spark, sf_dir)
     # One task reads one document whole, so each holds a bounded number of entries.
@@ -405,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         response_failures,
         observations_declared,
         observations_with_terminator,
+        terminator_dropped,
         observations_document,
         observations_inferred,
         observations_table,
