@@ -39,15 +39,16 @@ def write_json_array(entries: DataFrame, path: str, files: int | None = None) ->
     """
 
     def frame(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lines(texts: list[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"value": pa.array(texts, pa.string())})
+        def lines(values: list[str] | pa.Array) -> pa.RecordBatch:
+            return pa.record_batch({"value": values})
 
         yield lines(["["])
         for batch in batches:
-            yield lines([f"{text}," for text in batch.column("value").to_pylist()])
+            yield lines(batch.column("value"))
         yield lines(["{}", "]"])
 
-    values = entries.select(F.coalesce("entry", F.lit("null")).alias("value"))
+    text = F.coalesce("entry", F.lit("null"))
+    values = entries.select(F.concat(text, F.lit(",")).alias("value"))
     if files is not None:
         values = values.repartition(files)
     values.mapInArrow(frame, "value string").write.mode("overwrite").text(path)

@@ -9,16 +9,16 @@ Both scans add ``_corrupt_record``, the text of entries that did not fit the sch
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazeline.functions import parse_json
-from hazeline.schemas import CORRUPT
+from hazeline.functions import whole_rows
+from hazeline.schemas import CORRUPT, with_corrupt
 
 LAYOUTS = ("entries", "document")
+# A closing brace with something behind it that cannot belong to the same entry.
+AFTER_AN_ENTRY = r'\}(?!\s*(,\s*"[^"\\]*"\s*:|[}\]]|,?\s*$))'
 
 
 def scan_json_lines(
@@ -26,7 +26,7 @@ def scan_json_lines(
 ) -> DataFrame:
     """Scan JSON Lines. Without a schema, one distributed pass infers it first."""
     schema = schema or infer_entry_schema(spark, path)
-    return parse_lines(spark.read.text(path), schema)
+    return whole_rows(spark.read.schema(with_corrupt(schema)).json(path))
 
 
 def scan_json_array(
@@ -38,13 +38,14 @@ def scan_json_array(
 ) -> DataFrame:
     """Scan array files.
 
-    ``layout="entries"`` relies on the one-entry-per-line form and therefore splits large
-    files over many tasks. It recognises the closing empty object by its missing comma, so an
-    entry that happens to be empty is kept; a file cut off in the middle still yields its
-    complete entries. A line of any other form ends up in ``_corrupt_record``.
+    ``layout="entries"`` relies on entries not being broken over lines and therefore splits
+    large files over many tasks. It recognises the closing empty object by its missing comma,
+    so an entry that happens to be empty is kept; a file cut off in the middle still yields
+    its complete entries. A line of any other form ends up in ``_corrupt_record``.
 
     ``layout="document"`` reads arrays formatted in any way. Each file is parsed whole by one
     task, which needs memory for it; there, the closing object is an empty one in last place.
+    A file that is no array ends up in ``_corrupt_record``.
 
     ``keep_terminator=True`` returns the closing object as an all-null row.
     """
@@ -52,39 +53,41 @@ def scan_json_array(
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     schema = schema or infer_entry_schema(spark, path, layout)
     if layout == "document":
-        return _parse_documents(spark, path, schema, keep_terminator)
-
-    frame = ["[", "]"] if keep_terminator else ["[", "]", "{}"]
-    return parse_lines(spark.read.text(path), schema, frame)
-
-
-def parse_lines(
-    lines: DataFrame, schema: StructType, skip: Sequence[str] = ()
-) -> DataFrame:
-    """Parse a frame of text lines, passing over blank lines and those in ``skip``."""
-    content = ~F.trim("value").isin(["", *skip])
-    return lines.filter(content).select(parse_json(F.col("value"), schema))
-
-
-def _parse_documents(
-    spark: SparkSession, path: str, schema: StructType, keep_terminator: bool
-) -> DataFrame:
-    """Parse whole files, entry by entry.
-
-    Spark's multi-line reader would copy the text of the entire file to each of its rows as
-    soon as one value in it does not fit the schema.
+        files = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
+        arrays = files.select("value", F.from_json("value", "array<string>").alias("texts"))
+        if not keep_terminator:
+            before_last = F.size("texts") - 1
+            closed = F.get("texts", before_last) == "{}"
+            shortened = F.slice("texts", F.lit(1), before_last)
+            arrays = arrays.withColumn("texts", F.when(closed, shortened).otherwise(F.col("texts")))
+    else:
+        frame = ["", "[", "]"] if keep_terminator else ["", "[", "]", "{}"]
+        lines = spark.read.text(path).filter(~F.trim("value").isin(frame))
+        arrays = lines.select("value", _entries_of_line(F.col("value")).alias("texts"))
+    return _parse_arrays(arrays, schema)
+
+
+def _entries_of_line(line: Column) -> Column:
+    """The entries a line holds: nearly always one, which then needs no parsing to be found."""
+    array = F.concat(F.lit("["), F.rtrim(line, F.lit(", ")), F.lit("]"))
+    one = F.ltrim(line).startswith("{") & ~line.rlike(AFTER_AN_ENTRY)
+    return F.when(one, F.array(line)).otherwise(F.from_json(array, "array<string>"))
+
+
+def _parse_arrays(arrays: DataFrame, schema: StructType) -> DataFrame:
+    """Rows from ``texts``, the entries of each array; a ``value`` without them is corrupt.
+
+    Taking the array apart first keeps what follows a broken or badly typed entry. Spark's
+    multi-line reader would also copy the text of the whole file to each row of such a file.
     """
-    texts, last = F.col("texts"), F.size("texts") - 1
-    entries = F.coalesce(texts, F.array("value"))
-    if not keep_terminator:
-        closed = F.get(texts, last) == "{}"
-        entries = F.when(closed, F.slice(texts, 1, last)).otherwise(entries)
-    return (
-        spark.read.text(path, wholetext=True)
-        .filter(F.trim("value") != "")
-        .select("value", F.from_json("value", "array<string>").alias("texts"))
-        .select(F.explode(entries).alias("entry"))
-        .select(parse_json(F.coalesce("entry", F.lit("null")), schema))
+    broken = F.col("texts").isNull()
+    entries = F.coalesce("texts", F.array("value"))
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    text = F.coalesce("entry", F.lit("null"))
+    parsed = F.from_json(text, with_corrupt(schema))
+    row = F.when(F.col("broken"), F.struct(*nothing, text.alias(CORRUPT))).otherwise(parsed)
+    return arrays.select(F.explode(entries).alias("entry"), broken.alias("broken")).select(
+        F.inline(F.array(row))
     )
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 # Send these helpers along with each task, so executors need no installed copy of them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Fixed value: the URL parameter that carries the API key.
+KEY_PARAMETER = "API_KEY"
 OK = 200
 # A task hands on its replies in small groups: bodies may be large, URLs are not.
 REPLIES_PER_BATCH = 64
@@ -77,7 +79,7 @@ class HttpTransport:
         """One call, and whether its outcome would stay the same on another one."""
         target = self.base_url + url
         if self._api_key:
-            target += f"&API_KEY={quote(self._api_key, safe='')}"
+            target += f"&{KEY_PARAMETER}={quote(self._api_key, safe='')}"
         try:
             with self.opener(target, timeout=self.timeout) as response:
                 body = response.read().decode("utf-8")

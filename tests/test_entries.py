@@ -78,6 +78,7 @@ def test_only_the_terminator_is_dropped(spark, file, layout):
 def test_documents(spark, tmp_path):
     texts = {
         "object": json.dumps(ENTRY, indent=1),
+        "several": "\n".join([json.dumps(ENTRY)] * 2),
         "blank": " ",
         "spaced": json.dumps([ENTRY, {}]).replace("{}", "{ }"),
         "null": f"[null, {json.dumps(ENTRY)}]",
@@ -88,10 +89,23 @@ def test_documents(spark, tmp_path):
     rows, rejects = split_rejects(
         scan_json_array(spark, str(tmp_path), OBSERVATION, layout="document")
     )
-    assert rows.count() == 6
-    bad, null = sorted((r[CORRUPT] for r in rejects.collect()), key=len, reverse=True)
+    assert rows.count() == 5
+    found = {r[CORRUPT] for r in rejects.collect()}
+    assert texts["object"] in found and texts["several"] in found and "null" in found
+    (bad,) = found - {texts["object"], texts["several"], "null"}
     assert json.loads(bad) == {**ENTRY, "AQI": "high"}  # not the whole file
-    assert null == "null"
+
+
+def test_lines_that_hold_more_than_an_entry(spark, file):
+    one = json.dumps({"AQI": 1})
+    nested = json.dumps({"a": {"b": [{}, {"c": "} , {"}]}, "AQI": 1, "Category": {}})
+    path = file(
+        f"[\n{one}, {one},\n{one}{one},\n{one} tail,\n[{one}],\n{one} , \n{nested},\n"
+        f'{one}, "x", {nested},\n{{}}\n]'
+    )
+    rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION))
+    assert [r.AQI for r in rows.collect()] == [1.0] * 6
+    assert len(rejects.collect()) == 4
 
 
 def test_inferred_scan(spark, file):
@@ -154,7 +168,8 @@ def test_partly_readable_entry_is_row_and_reject(spark, file):
 
 def test_entries_are_parsed_once(spark, file, plan):
     rows = split_rejects(scan_json_array(spark, file(array_text(ENTRY)), OBSERVATION))[0]
-    assert plan(rows.filter("ParameterName = 'PM2.5'").select("AQI")).count("from_json") == 1
+    text = plan(rows.filter("ParameterName = 'PM2.5'").select("AQI"))
+    assert text.count("from_json(StructField") == text.count("from_json(ArrayType") == 1
 
 
 def test_array_file_splits(spark, file):
