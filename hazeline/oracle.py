@@ -169,7 +169,8 @@ ORACLE: dict[str, str] = {
     "observations_declared": _DECLARED_OBSERVATIONS,
     "observations_with_terminator": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM range(4)""",
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM (SELECT unnest(range(count(*) // 100000 + 1)) FROM events)""",
     "terminator_dropped": _DECLARED_OBSERVATIONS,
     "observations_document": _DECLARED_OBSERVATIONS,
     "observations_table": _DECLARED_OBSERVATIONS,
@@ -199,7 +200,7 @@ ORACLE: dict[str, str] = {
     "pm25_top20": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST, event_id LIMIT 20",
     "repartitioned_write": _OBSERVATIONS,
     "repartitioned_files": """
-        SELECT CAST(4 AS BIGINT) AS files, count(*) AS readings FROM events""",
+        SELECT greatest(4, count(*) // 1000000) AS files, count(*) AS readings FROM events""",
     "gz_lines": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
     "incremental_load": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL

@@ -44,7 +44,8 @@ from hazeline.streaming import load_increment
 from hazeline.workspace import fresh_path
 
 DATE = "2024-01-01"
-ENTRIES_PER_DOCUMENT = 10_000
+ENTRIES_PER_DOCUMENT = 100_000
+READINGS_PER_FILE = 1_000_000
 READING = (
     StructType()
     .add("event_id", "long")
@@ -230,14 +231,19 @@ def _array_file(spark: SparkSession, entries: DataFrame, files: int | None = Non
     return path
 
 
+def _document_files(spark: SparkSession, entries: DataFrame) -> str:
+    """Array files of bounded size, as one task reads one document whole."""
+    return _array_file(spark, entries, files=entries.count() // ENTRIES_PER_DOCUMENT + 1)
+
+
 def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
     return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
 
 
 def observations_with_terminator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four array files, with the all-null row of each one's closing object."""
-    path = _array_file(spark, adapters.observation_entries(spark, sf_dir), files=4)
+    """Array files, with the all-null row of each one's closing object."""
+    path = _document_files(spark, adapters.observation_entries(spark, sf_dir))
     return scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
 
 
@@ -246,9 +252,7 @@ def terminator_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = adapters.observation_entries(spark, sf_dir)
-    # One task reads one document whole, so each holds a bounded number of entries.
-    path = _array_file(spark, entries, files=entries.count() // ENTRIES_PER_DOCUMENT + 1)
+    path = _document_files(spark, adapters.observation_entries(spark, sf_dir))
     return split_rejects(scan_json_array(spark, path, OBSERVATION, layout="document"))[0]
 
 
@@ -322,15 +326,15 @@ def pm25_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repartitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "four-files")
-    write_table(adapters.observations(spark, sf_dir), path, files=4)
+    """Four files, or more where these would become too large."""
+    path = fresh_path(spark, "spread")
+    readings = adapters.observations(spark, sf_dir)
+    write_table(readings, path, files=max(4, readings.count() // READINGS_PER_FILE))
     return scan_table(spark, path)
 
 
 def repartitioned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "four-files")
-    write_table(adapters.observations(spark, sf_dir), path, files=4)
-    return scan_table(spark, path).agg(
+    return repartitioned_write(spark, sf_dir).agg(
         F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("readings")
     )
 

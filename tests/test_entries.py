@@ -1,6 +1,7 @@
 """JSON array files, JSON Lines and rejects."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,6 +167,39 @@ def test_partly_readable_entry_is_row_and_reject(spark, file):
     assert rejects.select(CORRUPT).count() == 1
 
 
+PIECES = ["}", "{", ",", '"', "\\", "]", "[", ":", " ", "\n", "é", "a", '"x":', "},{", '}, "k": 1']
+
+
+def random_value(rng, depth=0):
+    kind = rng.randrange(4 if depth < 3 else 2)
+    if kind == 0:
+        return "".join(rng.choice(PIECES) for _ in range(rng.randrange(6)))
+    if kind == 1:
+        return rng.choice([1, -2.5, True, None])
+    if kind == 2:
+        return [random_value(rng, depth + 1) for _ in range(rng.randrange(3))]
+    return {f"k{i}": random_value(rng, depth + 1) for i in range(rng.randrange(3))}
+
+
+@pytest.mark.parametrize("layout", ["entries", "document"])
+def test_any_entries_are_read_as_json_reads_them(spark, file, layout):
+    rng = random.Random(11)
+    lines, expected = [], []
+    for number in range(3000):
+        entry = {"Before": random_value(rng), "AQI": number, "Discussion": random_value(rng)}
+        entry["ReportingArea"] = "".join(rng.choice(PIECES) for _ in range(5))
+        if rng.random() < 0.5:
+            entry["After"] = random_value(rng)
+        expected.append((float(number), entry["ReportingArea"]))
+        text = json.dumps(entry, ensure_ascii=rng.random() < 0.5)
+        joined = lines and rng.random() < 0.1
+        lines[-1:] = [lines[-1] + rng.choice([",", " , "]) + text] if joined else lines[-1:] + [text]
+    path = file("[\n" + "".join(f"{line},\n" for line in lines) + "{}\n]")
+    rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION, layout))
+    assert sorted((r.AQI, r.ReportingArea) for r in rows.collect()) == expected
+    assert rejects.count() == 0
+
+
 def test_entries_are_parsed_once(spark, file, plan):
     rows = split_rejects(scan_json_array(spark, file(array_text(ENTRY)), OBSERVATION))[0]
     text = plan(rows.filter("ParameterName = 'PM2.5'").select("AQI"))
