@@ -70,6 +70,7 @@ def run(
 ) -> None:
     """Run the chosen job; responses and rejects go next to its output."""
     source, target = options.source, getattr(options, "target", "").rstrip("/")
+    rejects = f"{target}_rejects"
     verb, _, rest = options.job.partition("-")
     kind = rest.removesuffix("s")
     if options.job == "stations":
@@ -83,16 +84,16 @@ def run(
     elif options.job == "transform-observations":
         schema = None if options.infer else OBSERVATION
         plans.transform_observations(
-            spark, source, target, f"{target}_rejects", schema, options.form, options.keep_terminator
+            spark, source, target, rejects, schema, options.form, options.keep_terminator
         )
     elif options.job == "transform-forecasts":
         plans.transform_forecasts(
-            spark, source, target, f"{target}_rejects", options.form, options.keep_terminator
+            spark, source, target, rejects, options.form, options.keep_terminator
         )
     else:
         transport = transport or _transport(options)
         pace = {"distance": options.distance, "parallelism": options.parallelism}
-        calls = (f"{target}_responses", target, f"{target}_rejects", transport, kind, options.date)
+        calls = (f"{target}_responses", target, rejects, transport, kind, options.date)
         if verb == "run":
             paths = Paths(target)
             plans.run_all(

@@ -32,8 +32,9 @@ def explode_responses(responses: DataFrame) -> DataFrame:
 def response_rejects(responses: DataFrame) -> DataFrame:
     """Responses without usable entries, each with a ``reason``."""
     malformed = F.from_json("body", "array<string>").isNull()
+    failure = F.coalesce("error", F.concat(F.lit("HTTP "), "status"), F.lit("no reply"))
     reason = (
-        F.when(~_succeeded(), F.coalesce("error", F.concat(F.lit("HTTP "), "status"), F.lit("no reply")))
+        F.when(~_succeeded(), failure)
         .when(F.col("body").isNull(), "no body")
         .when(malformed, "body is not a JSON array")
     )

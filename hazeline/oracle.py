@@ -23,7 +23,10 @@ stations AS (
 )"""
 _LATITUDE = "32.5::DOUBLE + (({key} * 7919) % 170000) / 10000.0::DOUBLE"
 _LONGITUDE = "-124.5::DOUBLE + (({key} * 104729) % 100000) / 10000.0::DOUBLE"
-_AT = {"latitude": _LATITUDE.format(key="c_custkey"), "longitude": _LONGITUDE.format(key="c_custkey")}
+_AT = {
+    "latitude": _LATITUDE.format(key="c_custkey"),
+    "longitude": _LONGITUDE.format(key="c_custkey"),
+}
 _STATION_CTE = "WITH" + _STATIONS.format(**_AT)
 _SHARED_CTE = "WITH" + _STATIONS.format(
     latitude=f"CASE WHEN c_custkey % 3 = 0 THEN 34.05::DOUBLE ELSE {_AT['latitude']} END",
@@ -69,7 +72,8 @@ _REQUESTS = f""", requests AS (
 _READINGS = """, answered AS (
     SELECT * FROM requests WHERE right(lat, 1) NOT IN ('7', '8', '9')
 ), readings AS (
-    SELECT lat, lon, 'O3' AS parameter, CAST(floor(CAST(lat AS DOUBLE)) AS FLOAT) AS aqi FROM answered
+    SELECT lat, lon, 'O3' AS parameter, CAST(floor(CAST(lat AS DOUBLE)) AS FLOAT) AS aqi
+    FROM answered
     UNION ALL
     SELECT lat, lon, 'PM2.5', CAST(abs(CAST(lon AS DOUBLE)) AS FLOAT) FROM answered
 )"""

@@ -192,8 +192,10 @@ def test_any_entries_are_read_as_json_reads_them(spark, file, layout):
             entry["After"] = random_value(rng)
         expected.append((float(number), entry["ReportingArea"]))
         text = json.dumps(entry, ensure_ascii=rng.random() < 0.5)
-        joined = lines and rng.random() < 0.1
-        lines[-1:] = [lines[-1] + rng.choice([",", " , "]) + text] if joined else lines[-1:] + [text]
+        if lines and rng.random() < 0.1:
+            lines[-1] += rng.choice([",", " , "]) + text
+        else:
+            lines.append(text)
     path = file("[\n" + "".join(f"{line},\n" for line in lines) + "{}\n]")
     rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION, layout))
     assert sorted((r.AQI, r.ReportingArea) for r in rows.collect()) == expected

@@ -116,8 +116,9 @@ def test_command_line_jobs(spark, station_file, tmp_path, capsys):
         go(f"load-{kind}", stations, fused, *api)
         assert scan_table(spark, str(typed)).columns == schema.names
         assert scan_table(spark, str(typed)).count() == scan_table(spark, str(fused)).count() == 4
-    go("transform-observations", tmp_path / "observations-entries", tmp_path / "inferred", "--infer")
-    assert "Category" in scan_table(spark, str(tmp_path / "inferred")).columns
+    inferred = tmp_path / "inferred"
+    go("transform-observations", tmp_path / "observations-entries", inferred, "--infer")
+    assert "Category" in scan_table(spark, str(inferred)).columns
     capsys.readouterr()
     go("top", tmp_path / "observations-typed", "--parameter", "O3", "-k", "1")
     assert "33.0" in capsys.readouterr().out

@@ -88,7 +88,8 @@ def test_locations_without_coordinates(spark):
     usable, unusable = split_locations(spark.createDataFrame(rows, LOCATION))
     assert [r[0] for r in usable.collect()] == ["ok"]
     assert unusable.count() == 5
-    assert build_requests(unusable, "forecast", "2024-01-01").filter("url is not null").count() == 0
+    requests = build_requests(unusable, "forecast", "2024-01-01")
+    assert requests.filter("url is not null").count() == 0
 
 
 def test_coordinate_filter_reaches_the_scan(spark, tmp_path, plan):
