@@ -14,6 +14,7 @@ from hazeline.plans import Paths
 from hazeline.schemas import FORECAST, OBSERVATION
 from hazeline.sources import HttpTransport
 from hazeline.sources.web import Transport
+from hazeline.streaming import load_increment
 
 SCHEMAS = {"observation": OBSERVATION, "forecast": FORECAST}
 
@@ -49,6 +50,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         transform = job(f"transform-{kind}s", "ENTRIES", "TABLE", f"type {kind} entries")
         transform.add_argument("--form", choices=("lines", "array"), default="lines")
         transform.add_argument("--keep-terminator", action="store_true")
+        increment = job(f"append-{kind}s", "LANDING", "TABLE", f"append newly landed {kind}s")
+        increment.add_argument("--checkpoint", required=True, metavar="FOLDER")
+        increment.add_argument("--max-files", type=int, help="files per batch")
         if kind == "observation":
             transform.add_argument("--infer", action="store_true", help="infer all fields")
     top = job("top", "TABLE", None, "show the readings with the highest index")
@@ -90,6 +94,10 @@ def run(
         plans.transform_forecasts(
             spark, source, target, rejects, options.form, options.keep_terminator
         )
+    elif verb == "append":
+        load_increment(
+            spark, source, target, options.checkpoint, SCHEMAS[kind], options.max_files
+        )
     else:
         transport = transport or _transport(options)
         pace = {"distance": options.distance, "parallelism": options.parallelism}

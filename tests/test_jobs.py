@@ -114,6 +114,10 @@ def test_command_line_jobs(spark, station_file, tmp_path, capsys):
         go(f"extract-{kind}", stations, entries, *api)
         go(f"transform-{kind}", entries, typed)
         go(f"load-{kind}", stations, fused, *api)
+        appended = tmp_path / f"{kind}-appended"
+        for _ in range(2):
+            go(f"append-{kind}", entries, appended, "--checkpoint", tmp_path / f"{kind}-stream")
+        assert scan_table(spark, str(appended)).count() == 4
         assert scan_table(spark, str(typed)).columns == schema.names
         assert scan_table(spark, str(typed)).count() == scan_table(spark, str(fused)).count() == 4
     inferred = tmp_path / "inferred"
