@@ -187,6 +187,12 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "forecast_entries": _DECLARED_FORECASTS,
     "forecasts_table": _DECLARED_FORECASTS,
+    "forecasts_ranked_sql": f"""
+        SELECT * FROM ({_DECLARED_FORECASTS}) WHERE "ParameterName" = 'PM2.5'
+        ORDER BY "AQI" DESC NULLS LAST""",
+    "forecasts_top20": f"""
+        SELECT * FROM ({_DECLARED_FORECASTS}) WHERE "ParameterName" = 'PM2.5'
+        ORDER BY "AQI" DESC NULLS LAST, "ReportingArea" LIMIT 20""",
     "entry_rows": f"""
         SELECT 'Area ' || event_id AS "ReportingArea",
                CAST(CASE WHEN event_type <> 'signup' THEN {_K} END AS FLOAT) AS "AQI"

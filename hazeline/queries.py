@@ -283,6 +283,15 @@ def forecasts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, target)
 
 
+def forecasts_ranked_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forecasts_table(spark, sf_dir).createOrReplaceTempView("forecasts")
+    return plans.rank_sql(spark, "forecasts")
+
+
+def forecasts_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_aqi(forecasts_table(spark, sf_dir), tie_break=("ReportingArea",))
+
+
 def _damaged_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "damaged")
     adapters.damaged_entries(spark, sf_dir).write.text(path)
@@ -420,6 +429,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         observations_table,
         forecast_entries,
         forecasts_table,
+        forecasts_ranked_sql,
+        forecasts_top20,
         entry_rows,
         entry_rejects,
         json_lines_roundtrip,

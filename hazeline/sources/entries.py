@@ -97,7 +97,9 @@ def infer_entry_schema(
     """Infer the fields of all entries, in alphabetical order.
 
     This reads the whole input. Keep the result and pass it to later scans, both to save that
-    pass and because the inferred types may differ from one run to the next.
+    pass and because the inferred types may differ from one run to the next. Where a line
+    holds several entries, the ``entries`` layout sees the first one's fields only; infer from
+    such files as ``document``.
     """
     reader = spark.read.option("multiLine", layout == "document")
     schema = reader.json(path).schema

@@ -85,6 +85,7 @@ class HttpTransport:
                 body = response.read().decode("utf-8")
                 return Reply(response.status, body, None), True
         except HTTPError as error:
+            error.close()
             retry = error.code == 429 or error.code >= 500
             return Reply(error.code, None, f"HTTP {error.code}"), not retry
         except UnicodeDecodeError:
