@@ -78,7 +78,7 @@ def run(
     verb, _, rest = options.job.partition("-")
     kind = rest.removesuffix("s")
     if options.job == "stations":
-        plans.load_stations(spark, source, target, encoding=options.encoding)
+        plans.load_stations(spark, source, target, encoding=options.encoding, rejects=rejects)
     elif options.job == "stations-two-step":
         plans.load_stations_two_step(
             spark, source, options.all_stations, target, encoding=options.encoding

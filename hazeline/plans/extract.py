@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hazeline.operators import (
@@ -16,9 +15,8 @@ from hazeline.operators import (
     repeat_entries,
     response_rejects,
     split_locations,
-    split_rejects,
 )
-from hazeline.schemas import CORRUPT
+from hazeline.plans.rejects import write_with_rejects
 from hazeline.sinks import write_entries, write_table
 from hazeline.sources import fetch_responses, scan_table
 from hazeline.sources.web import Transport
@@ -88,18 +86,3 @@ def fetch_and_transform(
     )
     rows = parse_entries(repeat_entries(explode_responses(replies)), schema)
     write_with_rejects(rows, target, f"{rejects}/entries")
-
-
-def write_with_rejects(rows: DataFrame, target: str, rejects: str) -> int:
-    """Store usable rows and rejects; returns the number of rejects.
-
-    The rejects are counted while the usable rows are written. The input is read a second time
-    only if there are any; otherwise an empty table replaces earlier rejects.
-    """
-    seen = Observation()
-    counted = rows.observe(seen, F.count(F.col(CORRUPT)).alias("rejects"))
-    write_table(split_rejects(counted)[0], target)
-    found = seen.get["rejects"]
-    damaged = split_rejects(rows)[1]
-    write_table(damaged if found else damaged.limit(0), rejects)
-    return found

@@ -63,7 +63,14 @@ def run_all(
     be repeated. An exception in any step ends the run.
     """
     land_raw(spark, source, paths.raw_stations)
-    load_stations(spark, paths.raw_stations, paths.stations, states, encoding)
+    load_stations(
+        spark,
+        paths.raw_stations,
+        paths.stations,
+        states,
+        encoding,
+        rejects=f"{paths.rejects('stations')}/lines",
+    )
     transforms = {"observation": transform_observations, "forecast": transform_forecasts}
     for kind, transform in transforms.items():
         extract(

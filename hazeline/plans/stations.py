@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from hazeline.operators import filter_states
 from hazeline.operators.stations import WEST_COAST
+from hazeline.plans.rejects import write_with_rejects
 from hazeline.sinks import write_table
 from hazeline.sources import scan_stations, scan_table
 
@@ -18,9 +19,18 @@ def load_stations(
     target: str,
     states: Sequence[str] = WEST_COAST,
     encoding: str = "UTF-8",
+    rejects: str | None = None,
 ) -> None:
-    """Scan the station file and store the stations of the given states."""
-    write_table(filter_states(scan_stations(spark, source, encoding), states), target)
+    """Scan the station file and store the stations of the given states.
+
+    Malformed lines of any state are stored as far as they can be read, like others; with
+    ``rejects`` they are also listed there with their text.
+    """
+    if rejects is None:
+        write_table(filter_states(scan_stations(spark, source, encoding), states), target)
+        return
+    rows = scan_stations(spark, source, encoding, malformed=True)
+    write_with_rejects(rows, target, rejects, lambda usable: filter_states(usable, states))
 
 
 def load_stations_two_step(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from hazeline.plans.extract import write_with_rejects
+from hazeline.plans.rejects import write_with_rejects
 from hazeline.schemas import FORECAST, OBSERVATION
 from hazeline.sources import scan_json_array, scan_json_lines
 

@@ -52,6 +52,7 @@ def test_whole_run_can_be_repeated(spark, station_file, tmp_path):
     assert scan_table(spark, paths.table("forecast")).columns == FORECAST.names
     ranked = plans.rank_table(spark, paths.table("observation")).collect()
     assert [round(r.AQI, 2) for r in ranked] == [117.69, 117.69]
+    assert scan_table(spark, f"{paths.rejects('stations')}/lines").count() == 0
     rejects = paths.rejects("observation")
     assert scan_table(spark, f"{rejects}/responses").first().reason == "body is not a JSON array"
     assert scan_table(spark, f"{rejects}/coordinates").first()["TWC code"] == "DDD"

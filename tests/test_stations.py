@@ -132,6 +132,21 @@ def test_station_jobs(spark, station_file, tmp_path):
     assert scan_table(spark, everything).count() == 10
 
 
+def test_station_job_lists_malformed_lines(spark, station_file, tmp_path):
+    plain, table, rejects = (str(tmp_path / n) for n in ("plain", "table", "rejects"))
+    plans.load_stations(spark, station_file(), plain)
+    other_state = "Short|NV|US"
+    lines = station_file(lines=LINES + [other_state])
+    plans.load_stations(spark, lines, table, rejects=rejects)
+    assert scan_table(spark, table).schema == scan_table(spark, plain).schema
+    assert sorted(scan_table(spark, table).collect()) == sorted(scan_table(spark, plain).collect())
+    listed = {r[CORRUPT] for r in scan_table(spark, rejects).collect()}
+    assert listed == {LINES[2], LINES[3], LINES[4], other_state}
+    plans.load_stations(spark, station_file(lines=LINES[:2]), table, rejects=rejects)
+    assert scan_table(spark, table).count() == 2
+    assert scan_table(spark, rejects).count() == 0
+
+
 def test_landing_keeps_every_byte(spark, tmp_path):
     content = "Señor|OR\r\n\n||x\rtail".encode("ISO-8859-1") + b"\n"
     source = tmp_path / "in.dat"
