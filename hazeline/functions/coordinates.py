@@ -12,10 +12,10 @@ MAGNITUDE = 1e14
 def round_coordinate(coordinate: Column) -> Column:
     """Round a 32-bit coordinate to four decimals, exact ties to the even digit.
 
-    The float is widened first: rounding the float itself would return a float again, and
-    half-up rounding turns 0.03125 into 0.0313 instead of 0.0312.
+    The product of a 32-bit float and 10,000 is exact in a double, so ``rint`` sees the exact
+    value: 0.03125 becomes 0.0312. ``bround`` gives the same at a multiple of the cost.
     """
-    return F.bround(coordinate.cast("double"), 4)
+    return F.rint(coordinate.cast("double") * 10000) / 10000
 
 
 def coordinate_text(coordinate: Column) -> Column:
