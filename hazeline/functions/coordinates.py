@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
+# Below this, the text has at most 18 digits, as a compact decimal holds.
 MAGNITUDE = 1e14
 
 

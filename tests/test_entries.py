@@ -202,8 +202,10 @@ def test_any_entries_are_read_as_json_reads_them(spark, file, layout):
     assert rejects.count() == 0
 
 
-def test_entries_are_parsed_once(spark, file, plan):
-    rows = split_rejects(scan_json_array(spark, file(array_text(ENTRY)), OBSERVATION))[0]
+@pytest.mark.parametrize("layout", ["entries", "document"])
+def test_entries_are_parsed_once(spark, file, plan, layout):
+    path = file(array_text(ENTRY))
+    rows = split_rejects(scan_json_array(spark, path, OBSERVATION, layout))[0]
     text = plan(rows.filter("ParameterName = 'PM2.5'").select("AQI"))
     assert text.count("from_json(StructField") == text.count("from_json(ArrayType") == 1
 
