@@ -10,7 +10,8 @@ from hazeline.functions import any_value, parse_json
 from hazeline.schemas import CORRUPT
 from hazeline.sources.web import OK
 
-COPIES_PER_ROW = 100_000
+COPIES_IN_PLACE = 100
+COPIES_PER_SHARE = 10_000
 
 
 def _succeeded() -> Column:
@@ -41,22 +42,26 @@ def response_rejects(responses: DataFrame) -> DataFrame:
     return responses.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
-def repeat_entries(entries: DataFrame, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
+def repeat_entries(
+    entries: DataFrame, in_place: int = COPIES_IN_PLACE, per_share: int = COPIES_PER_SHARE
+) -> DataFrame:
     """Repeat each entry ``n_requests`` times and return ``url, entry``.
 
-    This gives the rows that one call per request would have given. Where very many requests
-    share a URL, its entries are first cut into shares of at most ``copies_per_row`` copies and
-    these spread over the cluster, so that no single task writes all of them.
+    This gives the rows that one call per request would have given. Entries with up to
+    ``in_place`` copies are repeated where they are read, which bounds how much larger the
+    output of a task gets than its input. The others are first cut into shares of at most
+    ``per_share`` copies and these spread over the cluster, so that no task writes all copies
+    of one entry, nor those of many such entries that happen to lie together.
     """
-    n, limit = F.col("n_requests"), F.lit(copies_per_row).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    common = entries.filter(n <= limit)
-    shares = entries.filter(n > limit).withColumn(
-        "first", F.explode(F.sequence(one, n, limit))
+    n, one = F.col("n_requests"), F.lit(1).cast("bigint")
+    share = F.lit(per_share).cast("bigint")
+    common = entries.filter(n <= in_place)
+    shares = entries.filter(n > in_place).withColumn(
+        "first", F.explode(F.sequence(one, n, share))
     )
     spread = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequent = shares.withColumn(
-        "n_requests", F.least(limit, n - F.col("first") + one)
+        "n_requests", F.least(share, n - F.col("first") + one)
     ).repartition(spread)
 
     def copies(rows: DataFrame) -> DataFrame:

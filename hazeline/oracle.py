@@ -174,7 +174,7 @@ ORACLE: dict[str, str] = {
     "observations_with_terminator": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL
         SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-        FROM (SELECT unnest(range(count(*) // 100000 + 1)) FROM events)""",
+        FROM (SELECT unnest(range(count(*) // 1000000 + 1)) FROM events)""",
     "terminator_dropped": _DECLARED_OBSERVATIONS,
     "observations_document": _DECLARED_OBSERVATIONS,
     "observations_table": _DECLARED_OBSERVATIONS,

@@ -44,7 +44,7 @@ from hazeline.streaming import load_increment
 from hazeline.workspace import fresh_path
 
 DATE = "2024-01-01"
-ENTRIES_PER_DOCUMENT = 100_000
+ENTRIES_PER_DOCUMENT = 20_000
 READINGS_PER_FILE = 1_000_000
 READING = (
     StructType()
@@ -207,8 +207,10 @@ def fetch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "responses")
     write_table(adapters.responses(spark, sf_dir), path)
-    # A low limit, so that both ways of repeating an entry are taken.
-    entries = repeat_entries(explode_responses(scan_table(spark, path)), copies_per_row=2)
+    # Low limits, so that both ways of repeating an entry are taken.
+    entries = repeat_entries(
+        explode_responses(scan_table(spark, path)), in_place=1, per_share=2
+    )
     rows = parse_entries(entries, READING)
     return rows.select(
         "event_id",
@@ -225,17 +227,17 @@ def response_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return response_rejects(scan_table(spark, path)).select("url", "status", "reason")
 
 
-def _array_file(spark: SparkSession, entries: DataFrame, files: int | None = None) -> str:
+def _array_file(
+    spark: SparkSession,
+    entries: DataFrame,
+    files: int | None = None,
+    entries_per_file: int | None = None,
+) -> str:
     path = fresh_path(spark, "array-file")
-    write_json_array(entries, path, files)
+    write_json_array(entries, path, files, entries_per_file)
     return path
 
 
-def _document_files(spark: SparkSession, entries: DataFrame) -> str:
-    """Array files of bounded size, as one task reads one document whole."""
-    return _array_file(spark, entries, files=entries.count() // ENTRIES_PER_DOCUMENT + 1)
-
-
 def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
     return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
@@ -243,7 +245,8 @@ def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations_with_terminator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array files, with the all-null row of each one's closing object."""
-    path = _document_files(spark, adapters.observation_entries(spark, sf_dir))
+    entries = adapters.observation_entries(spark, sf_dir)
+    path = _array_file(spark, entries, files=entries.count() // READINGS_PER_FILE + 1)
     return scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
 
 
@@ -252,7 +255,9 @@ def terminator_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _document_files(spark, adapters.observation_entries(spark, sf_dir))
+    entries = adapters.observation_entries(spark, sf_dir)
+    # One task reads one document whole, so each holds a bounded number of entries.
+    path = _array_file(spark, entries, entries_per_file=ENTRIES_PER_DOCUMENT)
     return split_rejects(scan_json_array(spark, path, OBSERVATION, layout="document"))[0]
 
 

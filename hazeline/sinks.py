@@ -30,25 +30,43 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_json_array(entries: DataFrame, path: str, files: int | None = None) -> None:
-    """Write the ``entry`` texts as array files, one complete array per partition.
+def write_json_array(
+    entries: DataFrame, path: str, files: int | None = None, entries_per_file: int | None = None
+) -> None:
+    """Write the ``entry`` texts as array files, one or more complete arrays per partition.
 
     Meant for consumers that expect this layout; ``write_entries`` is the better choice
-    otherwise. Consumers that read an array as one document hold all of it in memory: give
-    them enough ``files``.
+    otherwise. ``files`` spreads the entries over that many partitions first. Consumers that
+    read an array as one document hold all of it in memory: ``entries_per_file`` limits its
+    size without moving any entry.
     """
+    if entries_per_file is not None and entries_per_file < 1:
+        raise ValueError("entries_per_file must be at least 1")
 
     def frame(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lines(values: list[str] | pa.Array) -> pa.RecordBatch:
             return pa.record_batch({"value": values})
 
+        written = 0
         yield lines(["["])
         for batch in batches:
-            yield lines(batch.column("value"))
+            rest = batch.column("value")
+            while len(rest):
+                if written == entries_per_file:
+                    yield lines(["{}", "]", "["])
+                    written = 0
+                room = len(rest) if entries_per_file is None else entries_per_file - written
+                part, rest = rest.slice(0, room), rest.slice(room)
+                yield lines(part)
+                written += len(part)
         yield lines(["{}", "]"])
 
     text = F.coalesce("entry", F.lit("null"))
     values = entries.select(F.concat(text, F.lit(",")).alias("value"))
     if files is not None:
         values = values.repartition(files)
-    values.mapInArrow(frame, "value string").write.mode("overwrite").text(path)
+    writer = values.mapInArrow(frame, "value string").write.mode("overwrite")
+    if entries_per_file is not None:
+        # Spark starts the next file after this many lines: a full array with its three others.
+        writer = writer.option("maxRecordsPerFile", entries_per_file + 3)
+    writer.text(path)

@@ -247,6 +247,28 @@ def test_written_array_files(spark, tmp_path):
         assert sorted(got) == list(range(50))
 
 
+@pytest.mark.parametrize("limit", [1, 7, 50, 99, 100, 101])
+def test_limited_array_files_are_complete_arrays(spark, tmp_path, limit):
+    texts = [json.dumps({**ENTRY, "AQI": i}) for i in range(100)]
+    entries = spark.createDataFrame([(t,) for t in texts], "entry string").coalesce(1)
+    path = tmp_path / "array"
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, "13")
+    try:
+        write_json_array(entries, str(path), entries_per_file=limit)
+    finally:
+        spark.conf.unset(batch)
+    sizes = []
+    for part in path.glob("part-*"):
+        document = json.loads(part.read_text())
+        assert document[-1] == {} and all(document[:-1])
+        sizes.append(len(document) - 1)
+    assert sum(sizes) == 100 and max(sizes) <= limit and len(sizes) == -(-100 // limit)
+    for layout in ("entries", "document"):
+        got = [r.AQI for r in scan_json_array(spark, str(path), OBSERVATION, layout).collect()]
+        assert sorted(got) == list(range(100))
+
+
 def test_written_entries_keep_all_fields(spark, tmp_path):
     text = json.dumps({**ENTRY, "Extra": "x"})
     entries = spark.createDataFrame([(text,), (None,)], "entry string")

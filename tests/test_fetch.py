@@ -268,26 +268,27 @@ def test_requests_are_counted_before_the_shuffle(spark, canned, plan):
     assert "partial_count(1)" in text
 
 
-@pytest.mark.parametrize("limit", [1, 2, 3, 7, 100])
-def test_repeated_entries_are_complete_at_any_limit(spark, limit):
+@pytest.mark.parametrize("in_place", [0, 1, 3, 14, 100])
+@pytest.mark.parametrize("per_share", [1, 2, 7, 15, 100])
+def test_repeated_entries_are_complete_at_any_limit(spark, in_place, per_share):
     counts = {"a": 1, "b": 2, "c": 3, "d": 14, "e": 15, "f": 16}
     entries = spark.createDataFrame(
         [(f"u{t}", n, t) for t, n in counts.items()], "url string, n_requests bigint, entry string"
     )
-    repeated = repeat_entries(entries, copies_per_row=limit)
+    repeated = repeat_entries(entries, in_place, per_share)
     assert repeated.columns == ["url", "entry"]
     assert {r.entry: r["count"] for r in repeated.groupBy("entry").count().collect()} == counts
 
 
-def test_a_place_many_stations_share_is_spread(spark):
-    entries = spark.createDataFrame(
-        [("hot", 1_000_000, "x"), ("cold", 1, "y")], "url string, n_requests bigint, entry string"
-    )
-    sizes = (
-        repeat_entries(entries, copies_per_row=1000)
-        .groupBy(F.spark_partition_id().alias("p")).count().collect()
+@pytest.mark.parametrize("places, stations", [(1, 1_000_000), (1_000, 1_000)])
+def test_shared_places_that_lie_together_are_spread(spark, places, stations):
+    entries = spark.range(0, places + 100, 1, 1).select(
+        F.col("id").cast("string").alias("url"),
+        F.when(F.col("id") < places, stations).otherwise(1).cast("bigint").alias("n_requests"),
+        F.lit("x").alias("entry"),
     )
-    assert sum(s["count"] for s in sizes) == 1_000_001
+    sizes = repeat_entries(entries).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(s["count"] for s in sizes) == 1_000_100
     assert max(s["count"] for s in sizes) < 200_000
 
 
