@@ -51,7 +51,10 @@ def scan_json_array(
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    schema = schema or infer_entry_schema(spark, path, layout)
+    if schema is None:
+        if layout == "entries":
+            _check_single_entries(spark, path)
+        schema = infer_entry_schema(spark, path, layout)
     if layout == "document":
         files = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
         arrays = files.select("value", F.from_json("value", "array<string>").alias("texts"))
@@ -67,6 +70,14 @@ def scan_json_array(
     return _parse_arrays(arrays, schema)
 
 
+def _check_single_entries(spark: SparkSession, path: str) -> None:
+    """Inference sees the first entry of a line only, so the others' fields would be missing."""
+    found = F.max(F.size(_entries_of_line(F.col("value"))))
+    most = spark.read.text(path).agg(found.alias("entries")).first()["entries"]
+    if most is not None and most > 1:
+        raise ValueError(f"lines with several entries in {path}; declare a schema for them")
+
+
 def _entries_of_line(line: Column) -> Column:
     """The entries a line holds: nearly always one, which then needs no parsing to be found."""
     array = F.concat(F.lit("["), F.rtrim(line, F.lit(", ")), F.lit("]"))
@@ -97,9 +108,9 @@ def infer_entry_schema(
     """Infer the fields of all entries, in alphabetical order.
 
     This reads the whole input. Keep the result and pass it to later scans, both to save that
-    pass and because the inferred types may differ from one run to the next. Where a line
-    holds several entries, the ``entries`` layout sees the first one's fields only; infer from
-    such files as ``document``.
+    pass and because the inferred types may differ from one run to the next. Of a line with
+    several entries the ``entries`` layout sees the first only; ``scan_json_array`` checks for
+    such lines before it infers.
     """
     reader = spark.read.option("multiLine", layout == "document")
     schema = reader.json(path).schema

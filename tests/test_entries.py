@@ -109,6 +109,15 @@ def test_lines_that_hold_more_than_an_entry(spark, file):
     assert len(rejects.collect()) == 4
 
 
+def test_inference_wants_one_entry_per_line(spark, file):
+    path = file('[\n{"a": 1}, {"b": 2},\n{}\n]')
+    with pytest.raises(ValueError, match="several entries"):
+        scan_json_array(spark, path)
+    assert scan_json_array(spark, path, layout="document").columns == ["a", "b", CORRUPT]
+    strings = file('[\n{"a": "}, {"},\n{}\n]')
+    assert scan_json_array(spark, strings).first()["a"] == "}, {"
+
+
 def test_inferred_scan(spark, file):
     rows, rejects = split_rejects(scan_json_array(spark, file(array_text(ENTRY))))
     assert rows.columns == sorted(ENTRY)
