@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from hazeline.oracle import ORACLE
+from hazeline.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "customer events".split()
@@ -34,10 +36,10 @@ DUCK_TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    frame = entry_point.queries()[name](spark, SF_DIR)
-    result = duck.sql(entry_point.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    result = duck.sql(ORACLE[name])
     columns = sorted(frame.columns)
     assert columns == sorted(result.columns)
     ordered = frame.select(*[f"`{c}`" for c in columns])
@@ -48,7 +50,12 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert entry_point.queries().keys() == entry_point.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+
+
+def test_entry_point_has_them_all():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry_ranks_twenty_readings(spark):
