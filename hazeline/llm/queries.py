@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, mixing
+from hazeline.llm import bpe, mixing, quality
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +25,19 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    # The texts go no further than the scoring task: its result has ids and scores only.
+    scored = quality.score(docs, machine, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        quality.in_fold(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,5 +45,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op8_quality": op8_quality,
     "op10_mix_sources": op10_mix_sources,
 }
