@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, mixing, quality
+from hazeline.llm import bpe, mixing, quality, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +25,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon, keep=["doc_id"]).select(
+        "doc_id",
+        quality.in_fold(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -45,6 +56,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_toxicity": op4_toxicity,
     "op8_quality": op8_quality,
     "op10_mix_sources": op10_mix_sources,
 }
