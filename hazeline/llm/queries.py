@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, mixing, quality, toxicity
+from hazeline.llm import bpe, html_extract, mixing, quality, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -36,6 +36,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, keep=["page_id", "url"])
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,6 +62,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_html_text": op5_html_text,
     "op8_quality": op8_quality,
     "op10_mix_sources": op10_mix_sources,
 }
