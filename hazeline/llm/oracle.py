@@ -37,4 +37,17 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE: dict[str, str] = {"op10_mix_sources": MIX}
+NEAREST = """
+WITH codes AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE embedding IS NOT NULL
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS id,
+         list_sum(list_transform(range(1, len(q.code) + 1), lambda i: (q.code[i] <> c.code[i])::INT))::INT AS distance
+  FROM codes q JOIN codes c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)::INT AS rank FROM pairs
+)
+SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op10_mix_sources": MIX, "op6_nearest_codes": NEAREST}
