@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, hamming, html_extract, mixing, quality, toxicity
+from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, quality, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -47,6 +47,10 @@ def op6_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.search(codes, codes.filter("id % 50 = 0"), k=10)
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_html_text": op5_html_text,
     "op6_nearest_codes": op6_nearest_codes,
+    "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
     "op10_mix_sources": op10_mix_sources,
 }
