@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, quality, toxicity
+from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, quality, suffix_dedup, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +25,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(
+        table(spark, sf_dir, "documents"), columns=("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -71,6 +77,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_repeated_passages": op2_repeated_passages,
     "op4_toxicity": op4_toxicity,
     "op5_html_text": op5_html_text,
     "op6_nearest_codes": op6_nearest_codes,
