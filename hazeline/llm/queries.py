@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, quality, suffix_dedup, toxicity
+from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,10 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -78,6 +82,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_repeated_passages": op2_repeated_passages,
+    "op3_similar_documents": op3_similar_documents,
     "op4_toxicity": op4_toxicity,
     "op5_html_text": op5_html_text,
     "op6_nearest_codes": op6_nearest_codes,
