@@ -47,10 +47,11 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
             texts_of.append(of[: n - words + 1][whole])
         counts = np.bincount(of, minlength=len(own) - 1)
         for text in np.flatnonzero((counts > 0) & (counts < words)):
-            value = U(int(counts[text]))
-            for number in np.flatnonzero(of == text) if len(own) < 64 else _of(of, text):
-                value = value * U(0x100000001B3) + word[number]
-            found.append(arrays.mixed(np.array([value])))
+            first = int(np.searchsorted(of, text))
+            total = np.full(1, counts[text], U)
+            for number in range(first, first + int(counts[text])):
+                total = total * U(0x100000001B3) + word[number]
+            found.append(arrays.mixed(total))
             texts_of.append(np.array([text]))
         if found:
             keys, owners = np.concatenate(found), np.concatenate(texts_of)
@@ -67,11 +68,6 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
     return np.concatenate(hashes), np.append(np.concatenate(starts), begins).astype(np.int64)
 
 
-def _of(of: np.ndarray, text: int) -> range:
-    """Where the words of a text are; ``of`` is sorted."""
-    return range(int(np.searchsorted(of, text)), int(np.searchsorted(of, text, "right")))
-
-
 def needed(one: int, other: int, percent: int) -> int:
     """Common shingles that make sets of these sizes alike."""
     return -(-percent * (one + other) // (100 + percent))

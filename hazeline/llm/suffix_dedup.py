@@ -74,7 +74,7 @@ def parse(texts: list[bytes], length: int, trigger: int) -> Parse:
             lasts = np.append(firsts[1:], len(place)) - 1
             found.append(
                 (
-                    hashes[place[firsts]],
+                    arrays.mixed(hashes[place[firsts]]),  # least hashes are no even spread
                     hasher(firsts, lasts + length),
                     np.full(len(firsts), number),
                     firsts + start,
