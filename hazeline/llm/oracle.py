@@ -50,4 +50,52 @@ WITH codes AS (
 SELECT query_id, rank, id, distance FROM ranked WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op10_mix_sources": MIX, "op6_nearest_codes": NEAREST}
+BACKOFF = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS c, generate_subscripts(ws, 1) AS i FROM texts
+), grams AS (
+  SELECT doc_id, i, c, lag(c) OVER w AS b, lag(c, 2) OVER w AS a FROM words
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), one AS (
+  SELECT doc_id, c, count(*) AS own, sum(count(*)) OVER (PARTITION BY c) AS total FROM grams GROUP BY doc_id, c
+), two AS (
+  SELECT doc_id, b, c, count(*) AS own, sum(count(*)) OVER (PARTITION BY b, c) AS total
+  FROM grams WHERE i > 1 GROUP BY doc_id, b, c
+), three AS (
+  SELECT doc_id, a, b, c, count(*) AS own, sum(count(*)) OVER (PARTITION BY a, b, c) AS total
+  FROM grams WHERE i > 2 GROUP BY doc_id, a, b, c
+), counts AS (
+  SELECT g.doc_id, g.i,
+         three.total - three.own AS n3, before3.total - before3.own AS d3,
+         two.total - two.own AS n2, before2.total - before2.own AS d2,
+         one.total - one.own AS n1, (SELECT count(*) FROM words) - len(t.ws) AS d1
+  FROM grams g JOIN texts t ON t.doc_id = g.doc_id
+  JOIN one ON one.doc_id = g.doc_id AND one.c = g.c
+  LEFT JOIN one before2 ON before2.doc_id = g.doc_id AND before2.c = g.b
+  LEFT JOIN two ON two.doc_id = g.doc_id AND two.b = g.b AND two.c = g.c
+  LEFT JOIN two before3 ON before3.doc_id = g.doc_id AND before3.b = g.a AND before3.c = g.b
+  LEFT JOIN three ON three.doc_id = g.doc_id AND three.a = g.a AND three.b = g.b AND three.c = g.c
+), said AS (
+  SELECT doc_id,
+         CASE WHEN i > 2 AND n3 > 0 THEN n3::DOUBLE / greatest(d3, 1)::DOUBLE
+              WHEN i > 1 AND n2 > 0 THEN n2::DOUBLE / greatest(d2, 1)::DOUBLE * pow(0.4::DOUBLE, (i > 2)::INT)
+              ELSE greatest(n1, 1)::DOUBLE / greatest(d1, 1)::DOUBLE * pow(0.4::DOUBLE, least(i - 1, 2))
+         END AS score
+  FROM counts
+), summed AS (
+  SELECT doc_id, sum(round_even(ln(score) * 1000000, 0)::BIGINT)::BIGINT AS micro_nats FROM said GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(s.micro_nats, 0)::BIGINT AS micro_nats
+FROM texts t LEFT JOIN summed s ON s.doc_id = t.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_nearest_codes": NEAREST,
+    "op9_backoff_scores": BACKOFF,
+    "op10_mix_sources": MIX,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, fingerprints, hamming, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity
+from hazeline.llm import backoff, bpe, fingerprints, hamming, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -74,6 +74,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -88,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_nearest_codes": op6_nearest_codes,
     "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
+    "op9_backoff_scores": op9_backoff_scores,
     "op10_mix_sources": op10_mix_sources,
 }
