@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +48,10 @@ def layout(docs: DataFrame, text_col: str) -> Layout:
     )
 
 
-def blocked(docs: DataFrame, plan: Layout, id_col: str, text_col: str) -> DataFrame:
-    """``block, id, text``, dealt by block.
+def blocked(
+    docs: DataFrame, plan: Layout, id_col: str, text_col: str, carry: Sequence[str] | None = None
+) -> DataFrame:
+    """``block, id, text``, dealt by block, and in ``row`` the columns to ``carry`` along.
 
     Null ids become ``NO_ID`` and are dealt by their text, null texts empty ones. The rows are
     dealt before anything else happens, so that all passes over them share one shuffle.
@@ -56,7 +59,18 @@ def blocked(docs: DataFrame, plan: Layout, id_col: str, text_col: str) -> DataFr
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     block = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))), F.lit(plan.blocks))
-    return docs.select(block.cast("int").alias("block"), number.alias("id"), text.alias("text"))
+    row = [] if carry is None else [F.struct(F.lit(True).alias("_"), *[F.col(c) for c in carry]).alias("row")]
+    return docs.select(block.cast("int").alias("block"), number.alias("id"), text.alias("text"), *row)
+
+
+def ordered(table: pa.Table) -> tuple[list[int], list[tuple[int, str]]]:
+    """The rows of a block by id and text, and where in the table each is.
+
+    Rows arrive in any order; every pass sees them in this one.
+    """
+    ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
+    order = sorted(range(len(ids)), key=lambda at: (ids[at], texts[at]))
+    return order, [(ids[at], texts[at]) for at in order]
 
 
 def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:

@@ -9,10 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hazeline.llm import arrays
 from hazeline.llm.components import components
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, pack, unpack
+from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
 from hazeline.llm.tables import stored
 
 #: Words of a shingle, and the share of the union, in hundredths, that makes two documents alike.
@@ -84,7 +85,7 @@ class Block:
     """The sets of a block's documents, in a fixed order."""
 
     def __init__(self, table: pa.Table, words: int):
-        rows = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True))
+        self.order, rows = ordered(table)
         self.ids = [number for number, _ in rows]
         self.keys, self.begins = shingles([text.encode() for _, text in rows], words)
 
@@ -324,16 +325,8 @@ def _cells(percent: int):
     return run
 
 
-def similar(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """``id, n_shingles, component_id`` of each row of ``docs``.
-
-    Rows are linked if the common shingles of their sets are at least ``percent`` hundredths of
-    all; ``component_id`` is the smallest id that links reach. Equal sets are one class and
-    compared once. Null and empty texts, and those without words, have no shingles and no links.
-    A row without an id takes part; its id and, if all it reaches have none, its component are
-    null. Rows with equal ids are compared as others are.
+def _grouped(docs: DataFrame, rows: DataFrame, plan: Layout, words: int, percent: int) -> DataFrame:
+    """``block, at, id, n, component`` of each row: its place, shingles and group, null without any.
 
     Steps: blocks count in how many classes each shingle is; classes whose rarest shingles are
     shared become candidates; candidates that share one of these come together, each in one
@@ -341,29 +334,28 @@ def similar(
     cell finds links, as many as connect what is alike. Sets and shingles are known by 64-bit
     hashes, which are taken for them.
     """
-    plan: Layout = layout(docs, text_col)
-    rows, bits = blocked(docs, plan, id_col, text_col), plan.bits
+    bits = plan.bits
 
     def measured(key: tuple, table: pa.Table) -> pa.Table:
         found = [(number, len(keys), set_hash(keys) if len(keys) else None) for number, keys in Block(table, words).sets()]
         return pa.table(
             {
                 "block": pa.array([key[0].as_py()] * len(found), pa.int32()),
+                "at": pa.array(range(len(found)), pa.int32()),
                 "id": pa.array([row[0] for row in found], pa.int64()),
                 "n": pa.array([row[1] for row in found], pa.int64()),
                 "node": pa.array([row[2] for row in found], pa.int64()),
             }
         )
 
-    sized = stored(rows.groupBy("block").applyInArrow(measured, "block int, id long, n long, node long"), "sizes")
-    classes = sized.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("block").alias("block"), F.min("id").alias("first")
-    )
+    schema = "block int, at int, id long, n long, node long"
+    sized = stored(rows.groupBy("block").applyInArrow(measured, schema), "sizes")
+    classes = sized.filter("node IS NOT NULL").groupBy("node").agg(F.min("block").alias("block"))
     own = classes.select("block", "node")
 
     def keys(key: tuple, table: pa.Table, mine: pa.Table) -> pa.Table:
         sets = Block(table, words).chosen(mine) if table.num_rows and mine.num_rows else []
-        return _packed(key[0].as_py() if sets else 0, sets, bits)
+        return _packed(key[0].as_py(), sets, bits)
 
     def chosen(key: tuple, table: pa.Table, mine: pa.Table) -> pa.Table:
         sets = Block(table, words).chosen(mine) if table.num_rows and mine.num_rows else []
@@ -384,25 +376,62 @@ def similar(
         "candidates",
     )
     links = stored(_linked(candidates, percent), "links")
-    merged = components(links)
-    named = classes.join(merged, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component"), "first"
+    return sized.join(components(links), "node", "left").select(
+        "block", "at", "id", "n", F.coalesce("component", "node").alias("component")
     )
-    labels = named.groupBy("component").agg(F.min("first").alias("label"))
-    named = named.join(labels, "component").select("node", "label")
-    no_id = F.lit(NO_ID)
-    return (
-        sized.join(named, "node", "left")
-        .select(
-            F.when(F.col("id") != no_id, F.col("id")).alias(id_col),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("label", "id").alias("label"),
-        )
-        .withColumn("component_id", F.when(F.col("label") != no_id, F.col("label")))
-        .drop("label")
+
+
+def similar(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """``id, n_shingles, component_id`` of each row of ``docs``.
+
+    Rows are linked if the common shingles of their sets are at least ``percent`` hundredths of
+    all; ``component_id`` is the smallest id that links reach. Equal sets are one class and
+    compared once. Null and empty texts, and those without words, have no shingles and no links.
+    A row without an id takes part; its id and, if all it reaches have none, its component are
+    null. Rows with equal ids are compared as others are.
+    """
+    plan: Layout = layout(docs, text_col)
+    grouped = _grouped(docs, blocked(docs, plan, id_col, text_col), plan, words, percent)
+    labels = (
+        grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label"))
+    )
+    label = F.coalesce("label", "id")
+    return grouped.join(labels, "component", "left").select(
+        F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(label != NO_ID, label).alias("component_id"),
     )
 
 
+def representatives(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row of ``docs`` per group of ``similar``, with the smallest id, as it was.
+
+    Rows without shingles are alike to none and all stay. Of equal rows one stays.
+    """
+    plan: Layout = layout(docs, text_col)
+    others = [c for c in docs.columns if c != text_col]
+    marked = docs.withColumn("_none", F.col(text_col).isNull())
+    rows = blocked(marked, plan, id_col, text_col, [*others, "_none"])
+    grouped = stored(_grouped(docs, rows, plan, words, percent), "groups")
+    place = F.struct("id", "block", "at")
+    best = grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("best"))
+    stay = best.select("best.block", "best.at").unionByName(grouped.filter("component IS NULL").select("block", "at"))
+
+    def kept(key: tuple, table: pa.Table, mine: pa.Table) -> pa.Table:
+        order, _ = ordered(table)
+        at = pa.array(sorted(order[number] for number in mine.column("at").to_pylist()), pa.int64())
+        return table.select(["text", "row"]).take(at)
+
+    schema = StructType([StructField("text", StringType()), rows.schema["row"]])
+    found = rows.groupBy("block").cogroup(stay.groupBy("block")).applyInArrow(kept, schema)
+    text = F.when(~F.col("row")["_none"], F.col("text"))
+    return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def _linked(candidates: DataFrame, percent: int) -> DataFrame:
     """Links between candidates that share a shingle among their rarest."""
     tokens = candidates.select("node", "n", F.explode("prefix").alias("token"))

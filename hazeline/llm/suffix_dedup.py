@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, pack, unpack
+from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, ordered, pack, unpack
 
 #: Bytes of a match.
 LENGTH = 50
@@ -121,7 +122,7 @@ class Block:
     """The documents of a block, in a fixed order, with their phrases."""
 
     def __init__(self, table: pa.Table, length: int, trigger: int, bits: int):
-        rows = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True))
+        self.order, rows = ordered(table)
         self.texts = [text.encode() for _, text in rows]
         self.ids = np.array([number for number, _ in rows], np.int64)
         self.parse = parse(self.texts, length, trigger)
@@ -292,21 +293,26 @@ def _merge_suffixes(key: tuple, table: pa.Table) -> pa.Table:
     return _answers(key[0].as_py(), blocks, begins, earliest < least, earliest)
 
 
-RESULT = (
-    "id long, text binary, starts array<long>, ends array<long>, kept binary, "
-    "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-)
+COLUMNS = {
+    "starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64()), "kept": pa.binary(), "kept_text": pa.string(),
+    "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(),
+}
+SQL_TYPES = {
+    pa.list_(pa.int64()): ArrayType(LongType()), pa.binary(): BinaryType(),
+    pa.int64(): LongType(), pa.string(): StringType(),
+}
 
 
 def repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-    trigger: int = TRIGGER, columns: tuple[str, ...] = ("starts", "ends", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"),
+    trigger: int = TRIGGER, columns: tuple[str, ...] = tuple(COLUMNS), carry: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """What each document repeats of documents with smaller ids, as ``id`` and ``columns``.
 
     Texts are UTF-8 bytes. A byte goes if a string of ``length`` bytes over it also starts in a
     document with a smaller id; matches lie within documents and are judged on the texts as they
-    are. ``starts`` and ``ends`` are the maximal runs that go, ``kept`` the other bytes joined.
+    are. ``starts`` and ``ends`` are the maximal runs that go, ``kept`` the other bytes joined, and
+    ``kept_text`` these as text, without what is left of a character cut apart. With ``carry``, ``row`` has these columns of ``docs``.
 
     Null texts are empty. Null ids come after all others and stand for one document, as do rows
     with equal ids: these don't remove each other's text. There is one row per row of ``docs``.
@@ -316,42 +322,37 @@ def repeats(
     text.
     """
     plan: Layout = layout(docs, text_col)
-    rows = blocked(docs, plan, id_col, text_col)
+    rows = blocked(docs, plan, id_col, text_col, carry)
     bits = plan.bits
 
-    def number(key: tuple) -> int:
-        return key[0].as_py()
-
     def phrases(key: tuple, table: pa.Table) -> pa.Table:
-        return Block(table, length, trigger, bits).packed_phrases(number(key))
+        return Block(table, length, trigger, bits).packed_phrases(key[0].as_py())
 
     def suffixes(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _rows(0, [])
-        return Block(table, length, trigger, bits).packed_suffixes(number(key), replies)
+        return Block(table, length, trigger, bits).packed_suffixes(key[0].as_py(), replies)
 
     def result(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"id": [], **{name: [] for name in columns}}
-        if table.num_rows:
-            for own, text, starts, ends in Block(table, length, trigger, bits).removed(replies):
-                kept = _kept(text, starts, ends)
-                values = {
-                    "starts": starts, "ends": ends, "kept": kept, "n_bytes": len(text),
-                    "n_removed": int((ends - starts).sum()), "n_spans": len(starts),
-                    "kept_sha256": hashlib.sha256(kept).hexdigest(), "text": text,
-                }
-                out["id"].append(None if own == NO_ID else own)
-                for name in columns:
-                    out[name].append(values[name])
-        return pa.table({name: pa.array(values, kinds[name]) for name, values in out.items()})
-
-    kinds = {
-        "id": pa.int64(), "text": pa.binary(), "kept": pa.binary(), "kept_sha256": pa.string(),
-        "starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64()),
-        **{name: pa.int64() for name in ("n_bytes", "n_removed", "n_spans")},
-    }
-    schema = ", ".join(part for part in RESULT.split(", ") if part.split()[0] in ("id", *columns))
-    by_name = [part.split()[0] for part in schema.split(", ")]
+        block = Block(table, length, trigger, bits)
+        out: dict[str, list] = {name: [] for name in ("id", *columns)}
+        for own, text, starts, ends in block.removed(replies):
+            kept = _kept(text, starts, ends)
+            values = {
+                "id": None if own == NO_ID else own,
+                "starts": starts, "ends": ends, "kept": kept, "n_bytes": len(text),
+                "kept_text": kept.decode("utf-8", "ignore") if "kept_text" in columns else None,
+                "n_removed": int((ends - starts).sum()), "n_spans": len(starts),
+                "kept_sha256": hashlib.sha256(kept).hexdigest() if "kept_sha256" in columns else None,
+            }
+            for name in out:
+                out[name].append(values[name])
+        found = {name: pa.array(values, COLUMNS.get(name, pa.int64())) for name, values in out.items()}
+        if carry is not None:
+            found["row"] = table.column("row").take(pa.array(block.order, pa.int64()))
+        return pa.table(found)
+
+    schema = StructType([StructField("id", LongType()), *(StructField(c, SQL_TYPES[COLUMNS[c]]) for c in columns)])
+    if carry is not None:
+        schema = schema.add(rows.schema["row"])
     first = (
         rows.groupBy("block").applyInArrow(phrases, PACKED)
         .groupBy("bucket").applyInArrow(_merge_phrases, PACKED)
@@ -361,12 +362,20 @@ def repeats(
         .groupBy("bucket").applyInArrow(_merge_suffixes, PACKED)
     )
     replies = first.withColumn("suffixes", F.lit(False)).unionByName(second.withColumn("suffixes", F.lit(True)))
-    found = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        lambda key, table, own: result(key, table, own).select(by_name), schema
-    )
+    found = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(result, schema)
     return found.withColumnRenamed("id", id_col)
 
 
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with the bytes that ``repeats`` keeps as texts, all other columns as they were.
+
+    What is left of a character cut apart is dropped from the text. Texts are never null.
+    """
+    others = tuple(c for c in docs.columns if c != text_col)
+    found = repeats(docs, id_col=id_col, text_col=text_col, columns=("kept_text",), carry=others, **options)
+    return found.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def _kept(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
     if not len(starts):
         return text
