@@ -80,6 +80,8 @@ def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def cuts(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """Bucket, start and end of each run of sorted keys that share a bucket."""
+    if not len(keys):
+        return []
     buckets = bucket_of(keys, bits)
     starts = np.flatnonzero(np.diff(buckets, prepend=-1))
     ends = np.append(starts[1:], len(keys))
