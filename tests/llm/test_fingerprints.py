@@ -1,0 +1,76 @@
+import hashlib
+
+import pytest
+
+from hazeline.llm import fingerprints
+
+
+def edited(rows):
+    """By place: edited texts, in descending order of id; only for rows whose ids differ."""
+    ordered = sorted(rows, key=lambda row: -row[0])
+    out = {}
+    for at, (number, text) in enumerate(ordered):
+        following = ordered[(at + 1) % len(ordered)][1]
+        third = len(text) // 3
+        out[number] = text[: len(text) - third] + following[:third]
+    return out
+
+
+def test_odd_documents(spark, odd_rows):
+    rows = [(at * 3 % 101, row[1]) for at, row in enumerate(odd_rows)]
+    assert len({number for number, _ in rows}) == len(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = edited([(number, text or "") for number, text in rows])
+    found = fingerprints.edits(df).collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    prints = {}
+    for row in found:
+        text = texts[row.doc_id] or ""
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(expected[row.doc_id].encode()).hexdigest()
+        assert prints.setdefault(text, row.fingerprint) == row.fingerprint
+        assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
+        if expected[row.doc_id] == text:
+            assert row.near_edited == 1 and row.fingerprint == row.edited_fingerprint
+    long = [row for row in found if row.n_chars > 300]
+    assert sum(row.near_edited for row in long) > 3 * sum(row.near_next for row in long)
+
+
+def test_ties_nulls_and_clashing_names(odd, odd_rows):
+    rows = fingerprints.edits(odd).collect()
+    assert len(rows) == len(odd_rows)
+    marked = fingerprints.fingerprint(odd)
+    assert sorted(marked.columns) == sorted([*odd.columns, "fingerprint"])
+    prints = {}
+    for row in marked.collect():
+        assert prints.setdefault(row.text or "", row.fingerprint) == row.fingerprint
+
+
+def test_one_row_and_no_rows(spark, no_docs):
+    one = spark.createDataFrame([(5, "alpha beta gamma")], "doc_id long, text string")
+    row = fingerprints.edits(one).first()
+    assert row.edited_sha256 == hashlib.sha256(b"alpha beta alpha").hexdigest()
+    assert row.near_next == 1
+    assert fingerprints.edits(no_docs).count() == 0
+    assert fingerprints.fingerprint(no_docs).count() == 0
+
+
+def test_band(spark):
+    """A term of all documents is not in the lexicon, nor is one of too few."""
+    rows = [(n, f"common term{n % 10} rare{n}") for n in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {row.doc_id: row.fingerprint for row in fingerprints.fingerprint(df, rarest=0.05, commonest=0.5).collect()}
+    by_term = {}
+    for number, own in prints.items():
+        by_term.setdefault(number % 10, set()).add(own)
+    # But for a rare term that shares its bit with one of the lexicon, only the band's term tells.
+    assert all(len(own) <= 2 for own in by_term.values())
+    assert len(set(prints.values())) >= 10
+
+
+@pytest.mark.parametrize("cuts", [[], [5], [1, 4, 4, 9], list(range(0, 40, 2))])
+def test_binary_search(spark, cuts):
+    values = spark.range(-3, 45)
+    rows = values.select("id", fingerprints._below(cuts, values.id).alias("n")).collect()
+    assert all(row.n == sum(cut < row.id for cut in cuts) for row in rows)

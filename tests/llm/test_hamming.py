@@ -1,0 +1,58 @@
+import random
+
+import numpy as np
+import pytest
+
+from hazeline.llm import hamming
+
+
+def brute(codes, queries, k):
+    out = []
+    rows = sorted({(number, code) for number, code in codes if number is not None})
+    for number, code in sorted({(n, c) for n, c in queries if n is not None}):
+        near = sorted(
+            (sum(bin(a ^ b).count("1") for a, b in zip(code, other, strict=True)), i) for i, other in rows if i != number
+        )
+        out += [(number, rank, i, d) for rank, (d, i) in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [2, 6, 8])
+@pytest.mark.parametrize("block", [50_000, 20])
+def test_against_brute_force(spark, monkeypatch, size, block):
+    monkeypatch.setattr(hamming, "INDEX_BLOCK", block)
+    monkeypatch.setattr(hamming, "QUERY_BLOCK", block // 2)
+    rng = random.Random(size)
+    common = rng.randbytes(size)
+    rows = [(number, rng.randbytes(size)) for number in range(150)] + [(number, common) for number in range(150, 220)]
+    for number in range(220, 260):
+        near = bytearray(common)
+        near[rng.randrange(size)] ^= 1 << rng.randrange(8)
+        rows.append((number, bytes(near)))
+    rows += [(None, common), (5, rows[5][1])]
+    df = spark.createDataFrame(rows, "id long, code binary")
+    queries = df.filter("id % 10 = 0 OR id IS NULL")
+    found = sorted(map(tuple, hamming.search(df, queries, 7).collect()))
+    assert found == brute(rows, [row for row in rows if row[0] is None or row[0] % 10 == 0], 7)
+
+
+def test_search_ends_before_it_has_seen_all():
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 256, (5000, 8), np.uint8)
+    query = codes[17].copy()
+    near = np.repeat(query[None], 12, axis=0)
+    near[np.arange(12), np.arange(12) % 8] ^= 1
+    index = hamming.Index(np.concatenate([codes, near]))
+    numbers, distances = index.nearest(query, 10)
+    assert sorted(distances)[:3] == [0, 1, 1] and 17 in numbers and len(numbers) < 20
+
+
+def test_signs_and_odd_rows(spark):
+    rows = [(1, [0.5, -1.0, 0.0, 2.0] * 4, "x"), (2, None, "x"), (3, [float("nan"), None], "x"), (4, [], "x"), (None, [1.0], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code string")
+    codes = {row.id: bytes(row.code) for row in hamming.signs(df, "embedding", "vec_id").collect()}
+    assert codes == {1: b"\x99\x99", 3: b"\x80\x00", 4: b"\x00\x00", None: b"\x80\x00"}
+    all_codes = hamming.signs(df, "embedding", "vec_id")
+    assert hamming.search(all_codes, all_codes, 9).count() == 6
+    assert hamming.search(all_codes.limit(0), all_codes.limit(0), 3).count() == 0
+    assert hamming.signs(df.limit(0), "embedding", "vec_id").count() == 0

@@ -1,0 +1,72 @@
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from hazeline.llm import mixing
+from hazeline.llm.oracle import MIX
+
+
+def expected(rows):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    return duck.sql(MIX).fetchall()
+
+
+def key(row):
+    return tuple((value is None, value) for value in row)
+
+
+def test_odd_documents(odd, odd_rows):
+    found = mixing.mix_documents(odd).select("doc_id", "size", "source_size", "target", "taken")
+    rows = [(row[0], row[1], row[3]) for row in odd_rows]
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(expected(rows), key=key)
+
+
+def test_targets_and_caps(spark):
+    rows = [(n, "w " * (n % 40 + 1), "big" if n % 3 else f"s{n % 9}") for n in range(6000)]
+    found = mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, targets, sizes = defaultdict(int), {}, {}
+    for row in found:
+        assert 0 <= row.taken <= 2 * row.size
+        taken[row.source] += row.taken
+        targets[row.source], sizes[row.source] = row.target, row.source_size
+    assert sum(targets.values()) == pytest.approx(1.5 * sum(sizes.values()))
+    for source, target in targets.items():
+        assert target <= 2 * sizes[source] + 1e-6
+        assert taken[source] == pytest.approx(target, rel=0.01)
+
+
+def test_the_mix_has_each_row_as_often_as_taken(odd):
+    copies = defaultdict(int)
+    for row in mixing.mix_documents(odd).collect():
+        copies[row.doc_id, row.source, row["size"]] += row.copies
+    mix = mixing.take(odd)
+    assert mix.columns == odd.columns
+    found = defaultdict(int)
+    sizes = odd.select("*", mixing.word_count(odd.text).alias("_n")).select("doc_id", "source", "text", "_n").collect()
+    size = {(row.doc_id, row.source, row.text): row._n for row in sizes}
+    for row in mix.collect():
+        found[row.doc_id, row.source, size[row.doc_id, row.source, row.text]] += 1
+    assert dict(found) == {k: n for k, n in copies.items() if n}
+
+
+def test_a_hot_source_is_spread(spark):
+    rows = [(n, "word " * 10, "hot") for n in range(20_000)]
+    sizes = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_documents(sizes)
+    assert mixed.filter("taken <> 20 AND taken <> 10").count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_partition = mixing.mix_documents(sizes).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(row["count"] for row in per_partition) < 10_000
+
+
+def test_no_rows_and_no_words(spark, no_docs):
+    assert mixing.mix_documents(no_docs).count() == 0 == mixing.take(no_docs).count()
+    blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
+    assert [row.taken for row in mixing.mix_documents(blank).collect()] == [0, 0]

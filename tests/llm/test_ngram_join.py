@@ -1,0 +1,133 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import words
+from hazeline.llm import ngram_join
+from hazeline.llm.components import components
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+LAST = 1 << 63
+
+
+def shingle_set(text, n=5):
+    own = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(own) < n:
+        return frozenset([tuple(own)] if own else [])
+    return frozenset(tuple(own[at : at + n]) for at in range(len(own) - n + 1))
+
+
+def brute(rows, percent=80):
+    ids = [LAST if number is None else number for number, _ in rows]
+    sets = [shingle_set(text) for _, text in rows]
+    group = list(range(len(rows)))
+
+    def root(at):
+        while group[at] != at:
+            at = group[at]
+        return at
+
+    for one in range(len(rows)):
+        for other in range(one):
+            if sets[one] and sets[other]:
+                common = len(sets[one] & sets[other])
+                if 100 * common >= percent * (len(sets[one]) + len(sets[other]) - common):
+                    group[root(one)] = root(other)
+    least = defaultdict(lambda: LAST)
+    for at, number in enumerate(ids):
+        least[root(at)] = min(least[root(at)], number)
+    return [
+        tuple(None if value == LAST else value for value in (ids[at], len(sets[at]), least[root(at)]))
+        for at in range(len(rows))
+    ]
+
+
+def order(row):
+    return tuple((value is None, value) for value in row)
+
+
+def families(seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(25):
+        base = words(rng, rng.randint(3, 90))
+        for _ in range(rng.randint(1, 8)):
+            near = list(base)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(near))
+                near[at : at + rng.randint(0, 2)] = words(rng, rng.randint(0, 2))
+            rows.append((len(rows) * 7 % 1000, " ".join(near)))
+    return rows
+
+
+def found(df, **options):
+    return sorted((tuple(row) for row in ngram_join.similar(df, **options).collect()), key=order)
+
+
+def test_odd_documents(odd, odd_rows):
+    assert found(odd) == sorted(brute([row[:2] for row in odd_rows]), key=order)
+
+
+@pytest.mark.parametrize("cell", [1 << 20, 150])
+def test_families_whole_and_cut_into_cells(spark, monkeypatch, cell):
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rows = families()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(brute(rows), key=order)
+    assert found(df) == expected
+    assert len({row[2] for row in expected}) < len(rows) - 20
+
+
+def test_exactly_at_the_threshold(spark):
+    """Nine of eleven shingles are too few at 82 hundredths, enough at 81."""
+    rows = [(1, "a b c d e f g h i j k l m n"), (2, "b c d e f g h i j k l m n o")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [row[2] for row in found(df, percent=81)] == [1, 1]
+    assert [row[2] for row in found(df, percent=82)] == [1, 2]
+
+
+def test_tree_finds_all_links_of_a_chain():
+    sets = [np.arange(at, at + 20, dtype=np.uint64) for at in range(0, 40, 2)]
+    links = ngram_join.forest(list(range(20)), sets, 80)
+    assert len(links) == 19
+    assert ngram_join.forest(list(range(20)), sets, 95) == []
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Links found are fewer than members, not as many as pairs."""
+    rng = random.Random(2)
+    base = words(rng, 100)
+    rows = []
+    for number in range(600):
+        near = list(base)
+        near[rng.randrange(100)] = f"x{number}"
+        rows.append((number, " ".join(near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {row[2] for row in found(df)} == {0}
+
+
+def test_representatives(odd, odd_rows):
+    left = ngram_join.representatives(odd)
+    assert left.columns == odd.columns
+    rows = left.collect()
+    expected = brute([row[:2] for row in odd_rows])
+    groups = {row[2] for row in expected if row[1]}
+    with_words = [row for row in rows if shingle_set(row.text)]
+    assert sorted(map(str, (row.doc_id for row in with_words))) == sorted(map(str, groups))
+    assert len(rows) - len(with_words) == sum(1 for row in expected if not row[1])
+    assert sum(row.text is None for row in rows) == sum(row[1] is None for row in odd_rows)
+
+
+def test_no_rows(no_docs):
+    assert ngram_join.similar(no_docs).count() == 0 == ngram_join.representatives(no_docs).count()
+
+
+def test_components(spark):
+    links = [(a, a + 1) for a in range(0, 40)] + [(100, 90), (90, 95), (7, 7), (200, 201)]
+    df = spark.createDataFrame(links, "a long, b long")
+    rows = {row.node: row.component for row in components(df).collect()}
+    assert rows == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90, 200: 200, 201: 200}
+    assert components(df.filter("a < 0")).count() == 0

@@ -1,0 +1,37 @@
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+from hazeline.llm.oracle import ORACLE
+from hazeline.llm.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
+    frame = QUERIES[name](spark, SF_DIR)
+    result = duck.sql(ORACLE[name])
+    assert {n: TYPES[t] for n, t in frame.dtypes} == dict(zip(result.columns, map(str, result.types), strict=True))
+    rows = frame.select(*result.columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(result.fetchall())
+
+
+def test_registered():
+    numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
+    assert sorted(numbers) == list(range(1, 11))
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert "pipeline" in entry_point.queries()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", ["op7_fingerprints", "op10_mix_sources"])
+def test_native_plans(spark, plan, name):
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "Python" not in text and "Arrow" not in text

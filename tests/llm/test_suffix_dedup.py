@@ -1,0 +1,96 @@
+import hashlib
+import random
+
+import pytest
+
+from hazeline.llm import suffix_dedup
+
+LAST = 1 << 63
+
+
+def brute(rows, length=50):
+    """By id: the strings of smaller ids decide; equal ids don't see each other."""
+    out, seen = [], {}
+    texts = [(LAST if number is None else number, (text or "").encode()) for number, text in rows]
+    for number, data in texts:
+        for at in range(len(data) - length + 1):
+            part = data[at : at + length]
+            seen[part] = min(number, seen.get(part, LAST))
+    for number, data in texts:
+        gone = bytearray(len(data))
+        for at in range(len(data) - length + 1):
+            if seen[data[at : at + length]] < number:
+                gone[at : at + length] = b"\1" * length
+        runs = sum(1 for at, g in enumerate(gone) if g and (at == 0 or not gone[at - 1]))
+        kept = bytes(byte for byte, g in zip(data, gone, strict=True) if not g)
+        out.append((None if number == LAST else number, len(data), sum(gone), runs, kept))
+    return out
+
+
+def order(row):
+    return (row[0] is None, row[0], *row[1:])
+
+
+def run(df, **options):
+    columns = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "starts", "ends")
+    out = []
+    for row in suffix_dedup.repeats(df, columns=columns, **options).collect():
+        kept = bytes(row.kept)
+        assert hashlib.sha256(kept).hexdigest() == row.kept_sha256
+        assert sum(row.ends) - sum(row.starts) == row.n_removed and len(row.starts) == row.n_spans
+        out.append((row.doc_id, row.n_bytes, row.n_removed, row.n_spans, kept))
+    return out
+
+
+def test_odd_documents(odd, odd_rows):
+    expected = brute([row[:2] for row in odd_rows])
+    assert sorted(run(odd), key=order) == sorted(expected, key=order)
+    assert sum(row[2] for row in expected) > 10_000
+
+
+@pytest.mark.parametrize("length,trigger", [(50, 24), (12, 5), (8, 8)])
+def test_random_texts_of_few_letters(spark, length, trigger):
+    rng = random.Random(length)
+    rows = [(n, "".join(rng.choices("ab", [3, 1], k=rng.randint(0, 60)))) for n in range(200)]
+    for _ in range(30):
+        a, b = rng.choice(rows)[1], rng.choice(rows)[1]
+        rows.append((rng.randint(0, 400), a[rng.randint(0, 9) :] + b * rng.randint(0, 2)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = run(df, length=length, trigger=trigger)
+    assert sorted(found, key=order) == sorted(brute(rows, length), key=order)
+
+
+def test_texts_longer_than_a_piece(monkeypatch):
+    """Phrases end where a piece does; matches across that border are found all the same."""
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefgh ", k=3000)).encode()
+    whole = suffix_dedup.parse([text], 50, 24)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BITS", 9)
+    cut = suffix_dedup.parse([text], 50, 24)
+    for found in (whole, cut):
+        suffixes = sorted(at for a, b in zip(found.firsts, found.lasts, strict=True) for at in range(a, b + 1))
+        assert suffixes == list(range(len(text) - 49))
+
+
+def test_equal_text_makes_equal_phrases():
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh ", k=400)).encode()
+    texts = ["".join(rng.choices("ijk ", k=200)).encode() + passage for _ in range(2)]
+    found = suffix_dedup.parse(texts, 50, 24)
+    inside = [set(found.phrases[(found.texts == n) & (found.firsts > 260)]) for n in (0, 1)]
+    assert len(inside[0]) > 5 and inside[0] == inside[1]
+
+
+def test_documents_without_repeats(odd, odd_rows):
+    left = suffix_dedup.without_repeats(odd)
+    assert left.columns == odd.columns
+    rows = left.collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.source, r.n_chars, r.copies) for r in rows if r.source) == sorted(
+        (row[0] is None, row[0], row[3], row[4], 5) for row in odd_rows if row[3]
+    )
+    expected = sorted(kept.decode("utf-8", "ignore") for *_, kept in brute([row[:2] for row in odd_rows]))
+    assert sorted(row.text for row in rows) == expected
+
+
+def test_no_rows(no_docs):
+    assert suffix_dedup.repeats(no_docs).count() == 0 == suffix_dedup.without_repeats(no_docs).count()
