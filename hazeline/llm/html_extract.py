@@ -158,6 +158,9 @@ class Lines(HTMLParser):
 
 def lines_of(html: str) -> list[Line]:
     """The blocks of text of a page that may be content, in order; broken markup is no error."""
+    last = html.rfind("<")
+    if last >= 0 and ">" not in html[last:] and re.match(r"<[a-zA-Z/!?]", html[last:]):
+        html = html[:last]  # a page cut off within a tag
     parser = Lines()
     parser.feed(html)
     parser.close()
@@ -191,15 +194,17 @@ def main_text(html: str) -> str:
     Each block's characters outside of links, per tag, are smoothed over the neighbouring blocks
     and divided in two clusters, on a logarithmic scale. Content are the articles of the blocks
     in the upper cluster, where the page marks articles, or else the containers of those blocks:
-    with all their blocks, so that a short paragraph stays with its article. If no article has a
-    block in the upper cluster, all have the content.
+    with all their blocks, so that a short paragraph stays with its article. A block that is
+    mostly links speaks for none. If no article has a block in the upper cluster, all have the
+    content.
     """
     lines = lines_of(html)
     if not lines:
         return ""
     ratios = np.array([max(0, len(line.text) - line.linked) / max(1, line.tags) for line in lines])
     heights = np.log1p(smoothed(ratios))
-    upper = heights > threshold(heights)
+    own_words = np.array([2 * line.linked < len(line.text) for line in lines])
+    upper = (heights > threshold(heights)) & own_words
     if any(line.root for line in lines):
         content = {line.root for line, high in zip(lines, upper, strict=True) if high and line.root}
         return "\n".join(line.text for line in lines if line.root and (not content or line.root in content))

@@ -28,6 +28,8 @@ STEMS = range(3, 15)
 WINDOW = 6
 #: Most that one match can say, as a logarithm of odds.
 STRONGEST = 6.0
+#: Least that a term must say over all its words in the sample.
+LEAST_SAID = 15.0
 
 # Characters often written for letters, quotation marks, verbs and nouns of reporting.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -275,7 +277,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", fitted: int
     bad = [set(row.words) for row in lists]
     if not bad:
         return Lexicon([])
-    least = max(5, len(bad) // 100)
+    least = max(6, len(bad) // 100)
     support: Counter[str] = Counter()
     for own in bad:
         support.update({stem for word in own for stem in _beginnings(word)})
@@ -308,7 +310,8 @@ def _chosen(bad: list[set[str]], harmless: Counter, candidates: frozenset, least
     documents from those of others, then the best for the words left, and so on.
 
     A beginning tells the number of words with it times the logarithm of how much more frequent
-    it is than elsewhere; of beginnings that tell the same, the longest is the term.
+    it is than elsewhere; of beginnings that tell the same, the longest is the term. What tells
+    less than ``LEAST_SAID`` may be chance, as so many beginnings are tried.
     """
     more = max(1, harmless[""]) / max(1, sum(map(len, bad)))
     with_stem: dict[str, set[tuple[int, str]]] = defaultdict(set)
@@ -321,7 +324,8 @@ def _chosen(bad: list[set[str]], harmless: Counter, candidates: frozenset, least
     def tells(stem: str) -> float:
         n = len(with_stem[stem])
         ratio = n * more / (harmless[stem] + 3)
-        return n * np.log(ratio) if ratio >= 6 and n >= least else 0.0
+        said = n * np.log(ratio) if ratio >= 6 and n >= least else 0.0
+        return said if said >= LEAST_SAID else 0.0
 
     value = {stem: tells(stem) for stem in with_stem}
     chosen = []
