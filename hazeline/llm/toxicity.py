@@ -394,16 +394,31 @@ def _weigh(lexicon: Lexicon, sample: DataFrame) -> None:
 
     rows = sample.select("y", "_id", "text").mapInArrow(summed, "y int, id string, said double, words long").toArrow().sort_by("id")
     y, said, count = (rows.column(c).to_numpy().astype(float) for c in ("y", "said", "words"))
-    # Logistic regression by Newton's method, held to the usual weights where the sample decides nothing.
     x = np.column_stack([np.ones(len(y)), np.minimum(said, 5 * STRONGEST), np.log1p(count)])
-    prior, width = np.array(Lexicon([]).weights), np.array([1.0, 4.0, 4.0])
+    lexicon.weights = tuple(map(float, _regressed(x, y, np.array(Lexicon([]).weights), np.array([1.0, 4.0, 4.0]))))
+
+
+def _regressed(x: np.ndarray, y: np.ndarray, prior: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton's method, each step halved until it helps.
+
+    ``held`` says how firmly weights are held to the usual ones, where the sample decides nothing.
+    """
+
+    def loss(weights: np.ndarray) -> float:
+        z = x @ weights
+        return float(np.logaddexp(0, z).sum() - (y * z).sum() + (held * (weights - prior) ** 2).sum() / 2)
+
     weights = prior.copy()
-    for _ in range(12):
+    for _ in range(30):
         p = sigmoid(x @ weights)
-        slope = x.T @ (p - y) + width * (weights - prior)
-        weights -= np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(width), slope)
-    if np.isfinite(weights).all() and weights[1] > 0:
-        lexicon.weights = tuple(map(float, weights))
+        slope = x.T @ (p - y) + held * (weights - prior)
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(held), slope)
+        while loss(weights - step) > loss(weights) and np.abs(step).max() > 1e-9:
+            step /= 2
+        weights = weights - step
+        if np.abs(step).max() < 1e-7:
+            break
+    return weights
 
 
 def score(
