@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, ordered, pack, unpack
+from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
 
 #: Bytes of a match.
 LENGTH = 50
@@ -151,46 +151,45 @@ class Block:
         return least, open_
 
     def suffixes(self, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the first bytes of all suffixes of open phrases, in order, and for each the
-        smallest id in this block."""
-        hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        """The open phrases, and where the suffixes of each start among those of all."""
         chosen = np.flatnonzero(open_)
-        places = self.words.where[chosen]
-        order = np.argsort(places)
-        for number, some in _by_text(self.parse.texts[places[order]]):
-            mine = order[some]
-            firsts, lasts = self.parse.firsts[places[mine]], self.parse.lasts[places[mine]]
-            at = arrays.ranges(firsts, lasts - firsts + 1)
-            hashes.append(self._hashes(number, at))
-            owners.append(np.repeat(self.words.least[chosen[mine]], lasts - firsts + 1))
-        h, own = np.concatenate(hashes), np.concatenate(owners)
-        order = np.lexsort((own, h))
-        h, own = h[order], own[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        return h[new], own[new]
-
-    def _hashes(self, number: int, at: np.ndarray) -> np.ndarray:
-        return arrays.Hasher(np.frombuffer(self.texts[number], np.uint8))(at, at + self.length)
+        where = self.words.where[chosen]
+        return chosen, np.cumsum(np.append(0, self.parse.lasts[where] - self.parse.firsts[where] + 1))
 
     def packed_suffixes(self, block: int, replies: pa.Table) -> pa.Table:
-        hashes, owners = self.suffixes(self.answered(replies)[1])
-        return _rows(
-            block, [(bucket, pack(delta(hashes[a:b]), owners[a:b])) for bucket, a, b in cuts(hashes, self.bits)]
-        )
+        """The text of open phrases, with the smallest id and the number of suffixes of each."""
+        chosen, begins = self.suffixes(self.answered(replies)[1])
+        counts, where = np.diff(begins), self.words.where[chosen]
+        texts = [
+            self.texts[text][first : first + count + self.length - 1]
+            for text, first, count in zip(
+                self.parse.texts[where].tolist(), self.parse.firsts[where].tolist(), counts.tolist(), strict=True
+            )
+        ]
+        rows = [
+            (bucket, pack(self.words.least[chosen[a:b]], counts[a:b].astype(np.uint32)) + b"".join(texts[a:b]))
+            for bucket, a, b in self._cut(chosen)
+        ]
+        return _rows(block, rows)
+
+    def _cut(self, chosen: np.ndarray) -> list[tuple[int, int, int]]:
+        """Bucket, start and end of the runs of chosen phrases, which are in order of trigger."""
+        return cuts(self.words.triggers[chosen] << U(32 - self.bits), self.bits)
 
     def removed(self, replies: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
         """Id, bytes, and starts and ends of what goes, for each document."""
         second = np.array(replies.column("suffixes").to_pylist(), bool)
         least, open_ = self.answered(replies.filter(pa.array(~second)))
-        hashes, owners = self.suffixes(open_)
-        starts = {bucket: start for bucket, start, _ in cuts(hashes, self.bits)}
+        chosen, firsts = self.suffixes(open_)
+        owners = np.repeat(least[chosen], np.diff(firsts))
+        starts = {bucket: firsts[start] for bucket, start, _ in self._cut(chosen)}
         late = replies.filter(pa.array(second))
-        owners = owners.copy()
         for bucket, packed in zip(late.column("bucket").to_pylist(), late.column("packed").to_pylist(), strict=True):
             at, other = unpack(packed, ("u4", "i8"))
             at = at.astype(np.int64) + starts[bucket]
             owners[at] = np.minimum(owners[at], other)
+        own_first = np.zeros(len(open_), np.int64)
+        own_first[chosen] = firsts[:-1]
         found = self.parse
         begins = np.searchsorted(found.texts, np.arange(len(self.texts) + 1))
         for number, text in enumerate(self.texts):
@@ -203,8 +202,9 @@ class Block:
             np.add.at(edge, found.lasts[places[gone]] + self.length, -1)
             some = places[~gone & open_[entry]]
             if len(some):
-                at = arrays.ranges(found.firsts[some], found.lasts[some] - found.firsts[some] + 1)
-                at = at[owners[np.searchsorted(hashes, self._hashes(number, at))] < own]
+                counts = found.lasts[some] - found.firsts[some] + 1
+                at = arrays.ranges(found.firsts[some], counts)
+                at = at[owners[arrays.ranges(own_first[entry[~gone & open_[entry]]], counts)] < own]
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + self.length, -1)
             covered = np.zeros(len(text) + 2, np.int8)
@@ -213,12 +213,6 @@ class Block:
             yield int(own), text, np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
 
 
-def _by_text(numbers: np.ndarray) -> Iterator[tuple[int, slice]]:
-    starts = np.flatnonzero(np.diff(numbers, prepend=-1))
-    for start, end in zip(starts, np.append(starts[1:], len(numbers)), strict=True):
-        yield int(numbers[start]), slice(int(start), int(end))
-
-
 def _rows(block: int, rows: list[tuple[int, bytes]]) -> pa.Table:
     return pa.table(
         {
@@ -281,16 +275,35 @@ def _merge_phrases(key: tuple, table: pa.Table) -> pa.Table:
     return _answers(key[0].as_py(), blocks, begins, worth, earliest, open_.astype(np.uint8))
 
 
-def _merge_suffixes(key: tuple, table: pa.Table) -> pa.Table:
-    """Order the suffixes of all blocks by their first bytes; a block learns of earlier documents."""
-    blocks, begins, (hashes, least) = _gathered(table, ("u8", "i8"))
-    order = np.argsort(hashes, kind="stable")
-    h, own = hashes[order], least[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    earliest = np.empty(len(h), np.int64)
-    earliest[order] = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
-    return _answers(key[0].as_py(), blocks, begins, earliest < least, earliest)
+def _merge_suffixes(length: int):
+    """Order the suffixes of all blocks' open phrases by their first bytes.
+
+    Phrases that share these share their trigger, so they are in one bucket. A block learns, by
+    number of the suffix, of earlier documents with it.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        least, counts, texts, begins = [], [], [], [0]
+        for packed in table.column("packed").to_pylist():
+            own, n = unpack(packed, ("i8", "u4"))
+            n = n.astype(np.int64)
+            texts.append(packed[4 + 12 * len(n) :])
+            least.append(np.repeat(own, n))
+            counts.append(n)
+            begins.append(begins[-1] + int(n.sum()))
+        count, own = np.concatenate(counts), np.concatenate(least)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        at = arrays.ranges(np.cumsum(count + length - 1) - (count + length - 1), count)
+        hashes = arrays.Hasher(data)(at, at + length)
+        order = np.argsort(hashes, kind="stable")
+        h = hashes[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        earliest = np.empty(len(h), np.int64)
+        earliest[order] = np.minimum.reduceat(own[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        return _answers(key[0].as_py(), table.column("block").to_pylist(), np.array(begins), earliest < own, earliest)
+
+    return run
 
 
 COLUMNS = {
@@ -359,7 +372,7 @@ def repeats(
     )
     second = (
         rows.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(suffixes, PACKED)
-        .groupBy("bucket").applyInArrow(_merge_suffixes, PACKED)
+        .groupBy("bucket").applyInArrow(_merge_suffixes(length), PACKED)
     )
     replies = first.withColumn("suffixes", F.lit(False)).unionByName(second.withColumn("suffixes", F.lit(True)))
     found = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(result, schema)
