@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -19,6 +21,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
 def main() -> None:
+    shared = tempfile.mkdtemp(prefix="hazeline-bench-")
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("hazeline-bench")
@@ -26,6 +29,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -54,6 +58,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 if __name__ == "__main__":

@@ -13,6 +13,7 @@ from hazeline.operators.requests import ENDPOINTS
 from hazeline.plans import Paths
 from hazeline.schemas import FORECAST, OBSERVATION
 from hazeline.sources import HttpTransport
+from hazeline.sources.entries import LAYOUTS
 from hazeline.sources.web import Transport
 from hazeline.streaming import load_increment
 
@@ -34,7 +35,11 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--base-url", required=True)
         sub.add_argument("--date", required=True)
         sub.add_argument("--distance", type=int, default=1)
-        sub.add_argument("--parallelism", type=int, default=8, help="number of concurrent calls")
+        sub.add_argument("--parallelism", type=int, required=True, help="number of calling tasks")
+        sub.add_argument("--concurrency", type=int, default=1, help="calls under way per task")
+        sub.add_argument(
+            "--most-failed", type=float, default=1.0, help="share of failed calls that is no error"
+        )
         sub.add_argument("--api-key-variable", help="environment variable that holds the API key")
 
     def has_encoding(sub: argparse.ArgumentParser) -> None:
@@ -49,6 +54,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         calls_api(job(f"load-{kind}s", "STATIONS", "TABLE", f"fetch {kind}s straight into a table"))
         transform = job(f"transform-{kind}s", "ENTRIES", "TABLE", f"type {kind} entries")
         transform.add_argument("--form", choices=("lines", "array"), default="lines")
+        transform.add_argument("--layout", choices=LAYOUTS, default="entries", help="of arrays")
         transform.add_argument("--keep-terminator", action="store_true")
         increment = job(f"append-{kind}s", "LANDING", "TABLE", f"append newly landed {kind}s")
         increment.add_argument("--checkpoint", required=True, metavar="FOLDER")
@@ -78,21 +84,24 @@ def run(
     verb, _, rest = options.job.partition("-")
     kind = rest.removesuffix("s")
     if options.job == "stations":
-        plans.load_stations(spark, source, target, encoding=options.encoding, rejects=rejects)
+        plans.load_stations(spark, source, target, rejects, encoding=options.encoding)
     elif options.job == "stations-two-step":
         plans.load_stations_two_step(
-            spark, source, options.all_stations, target, encoding=options.encoding
+            spark, source, options.all_stations, target, rejects, encoding=options.encoding
         )
     elif options.job == "top":
-        plans.top_table(spark, source, options.parameter, options.k).show(options.k)
+        plans.top_table(spark, source, options.parameter, options.k).show(
+            options.k, truncate=False
+        )
     elif options.job == "transform-observations":
         schema = None if options.infer else OBSERVATION
         plans.transform_observations(
-            spark, source, target, rejects, schema, options.form, options.keep_terminator
+            spark, source, target, rejects, schema, options.form, options.keep_terminator,
+            options.layout,
         )
     elif options.job == "transform-forecasts":
         plans.transform_forecasts(
-            spark, source, target, rejects, options.form, options.keep_terminator
+            spark, source, target, rejects, options.form, options.keep_terminator, options.layout
         )
     elif verb == "append":
         load_increment(
@@ -100,17 +109,25 @@ def run(
         )
     else:
         transport = transport or _transport(options)
-        pace = {"distance": options.distance, "parallelism": options.parallelism}
+        pace = {
+            name: getattr(options, name)
+            for name in ("distance", "parallelism", "concurrency", "most_failed")
+        }
         calls = (f"{target}_responses", target, rejects, transport, kind, options.date)
         if verb == "run":
             paths = Paths(target)
-            plans.run_all(
+            outcome = plans.run_all(
                 spark, source, paths, transport, options.date, encoding=options.encoding, **pace
             )
         elif verb == "extract":
-            plans.extract(spark, source, *calls, **pace)
+            outcome = {kind: plans.extract(spark, source, *calls, **pace)}
         else:
-            plans.fetch_and_transform(spark, source, *calls, SCHEMAS[kind], **pace)
+            outcome = {kind: plans.fetch_and_transform(spark, source, *calls, SCHEMAS[kind], **pace)}
+        for name, found in outcome.items():
+            print(
+                f"{name}: {found.made} calls, {found.failed} failed, "
+                f"{found.entries_rejected} entries rejected"
+            )
 
 
 def main() -> None:

@@ -100,7 +100,25 @@ def _place() -> list[Column]:
     ]
 
 
-def observation_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _entries(
+    spark: SparkSession, sf_dir: str, entry: Column, pretty: bool, numbered: bool
+) -> DataFrame:
+    """The entry of each event as JSON text, on request spread over lines or with its number."""
+    text = F.to_json(entry, {"pretty": "true"} if pretty else {}).alias("entry")
+    number = ["event_id"] if numbered else []
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(*number, text)
+
+
+def arrays(entries: DataFrame, size: int, separator: str) -> DataFrame:
+    """Arrays of up to ``size`` numbered entries each, as text without a closing object."""
+    group = F.floor(F.col("event_id") / size).alias("group")
+    joined = F.concat(F.lit("["), F.concat_ws(separator, F.collect_list("entry")), F.lit("]"))
+    return entries.groupBy(group).agg(joined.alias("value")).select("value")
+
+
+def observation_entries(
+    spark: SparkSession, sf_dir: str, pretty: bool = False, numbered: bool = False
+) -> DataFrame:
     """One observation entry per event, as JSON text."""
     entry = F.struct(
         F.date_format("ts", "yyyy-MM-dd").alias("DateObserved"),
@@ -108,10 +126,12 @@ def observation_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("PST").alias("LocalTimeZone"),
         *_place(),
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_json(entry).alias("entry"))
+    return _entries(spark, sf_dir, entry, pretty, numbered)
 
 
-def forecast_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forecast_entries(
+    spark: SparkSession, sf_dir: str, pretty: bool = False, numbered: bool = False
+) -> DataFrame:
     """One forecast entry per event, as JSON text, with fields no table declares."""
     entry = F.struct(
         F.date_format("ts", "yyyy-MM-dd").alias("DateIssue"),
@@ -120,7 +140,7 @@ def forecast_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("ActionDay"),
         F.lit("Smoke, \"haze\"\nand wind").alias("Discussion"),
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_json(entry).alias("entry"))
+    return _entries(spark, sf_dir, entry, pretty, numbered)
 
 
 def damaged_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +180,28 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class CannedBytes:
+    """An opener whose replies follow from the number in the URL; every third is no UTF-8."""
+
+    status = 200
+
+    def __init__(self, body: bytes = b"") -> None:
+        self.body = body
+
+    def __call__(self, url: str, timeout: float) -> CannedBytes:
+        number = int(url.rpartition("/")[2])
+        return CannedBytes(b"[\xff]" if number % 3 == 0 else f"[\"é {number}\"]".encode())
+
+    def read(self) -> bytes:
+        return self.body
+
+    def __enter__(self) -> CannedBytes:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        pass
+
+
 class CannedApi:
     """A transport whose replies follow from the coordinates in the URL.
 

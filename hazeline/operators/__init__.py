@@ -1,6 +1,8 @@
 from hazeline.operators.entries import (
     drop_terminator,
+    entries_or_reasons,
     explode_responses,
+    open_responses,
     parse_entries,
     repeat_entries,
     response_rejects,
@@ -13,9 +15,11 @@ from hazeline.operators.stations import filter_states, project_locations, table_
 __all__ = [
     "build_requests",
     "drop_terminator",
+    "entries_or_reasons",
     "explode_responses",
     "filter_parameter",
     "filter_states",
+    "open_responses",
     "parse_entries",
     "project_locations",
     "rank_by_aqi",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,62 +20,88 @@ def _succeeded() -> Column:
     return F.col("error").isNull() & F.col("status").eqNullSafe(OK)
 
 
+def open_responses(responses: DataFrame) -> DataFrame:
+    """The entries of each response as ``texts``, or the ``reason`` why there are none.
+
+    Keeps ``url, n_requests, status``. Each body is parsed once, whatever is selected from the
+    result: ``texts`` comes out of a generator, which nothing is pushed through.
+    """
+    texts = F.from_json("body", "array<string>").alias("texts")
+    failure = F.coalesce("error", F.concat(F.lit("HTTP "), "status"), F.lit("no reply"))
+    reason = (
+        F.when(~_succeeded(), failure)
+        .when(F.col("body").isNull(), "no body")
+        .when(F.col("texts").isNull(), "body is not a JSON array")
+    )
+    opened = responses.select("*", F.inline(F.array(F.struct(texts))))
+    return opened.select("url", "n_requests", "status", "texts", reason.alias("reason"))
+
+
 def explode_responses(responses: DataFrame) -> DataFrame:
     """One row per entry of each response array, as JSON text with all its fields.
 
     Returns ``url, n_requests, entry``. An empty array gives no row; failed calls and bodies
     that are no array give none either and are listed by ``response_rejects``.
     """
-    texts = F.from_json("body", "array<string>")
-    return responses.filter(_succeeded()).select(
-        "url", "n_requests", F.explode(texts).alias("entry")
-    )
+    opened = open_responses(responses.filter(_succeeded())).filter("reason IS NULL")
+    return opened.select("url", "n_requests", F.explode("texts").alias("entry"))
 
 
 def response_rejects(responses: DataFrame) -> DataFrame:
     """Responses without usable entries, each with a ``reason``."""
-    malformed = F.from_json("body", "array<string>").isNull()
-    failure = F.coalesce("error", F.concat(F.lit("HTTP "), "status"), F.lit("no reply"))
-    reason = (
-        F.when(~_succeeded(), failure)
-        .when(F.col("body").isNull(), "no body")
-        .when(malformed, "body is not a JSON array")
-    )
-    return responses.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return open_responses(responses).filter("reason IS NOT NULL").drop("texts")
+
+
+def entries_or_reasons(responses: DataFrame) -> DataFrame:
+    """``url, n_requests, status, reason, entry``: a row per entry, or one with a reason.
+
+    Both halves of the responses in one pass; an empty array gives neither.
+    """
+    opened = open_responses(responses)
+    rows = opened.select("url", "n_requests", "status", "reason", F.posexplode_outer("texts").alias("at", "entry"))
+    return rows.filter("reason IS NOT NULL OR at IS NOT NULL").drop("at")
 
 
 def repeat_entries(
     entries: DataFrame, in_place: int = COPIES_IN_PLACE, per_share: int = COPIES_PER_SHARE
 ) -> DataFrame:
-    """Repeat each entry ``n_requests`` times and return ``url, entry``.
-
-    This gives the rows that one call per request would have given. Entries with up to
-    ``in_place`` copies are repeated where they are read, which bounds how much larger the
-    output of a task gets than its input. The others are first cut into shares of at most
-    ``per_share`` copies and these spread over the cluster, so that no task writes all copies
-    of one entry, nor those of many such entries that happen to lie together.
+    """Repeat each row ``n_requests`` times, and return its other columns.
+
+    This gives the rows that one call per request would have given. Parse entries first: then
+    a place that very many stations share has its entry parsed once. Rows with up to ``in_place``
+    copies are repeated where they are read, which bounds how much larger the output of a task
+    gets than its input. The others are first cut into shares of at most ``per_share`` copies and
+    these spread over the cluster, so that no task writes all copies of one row, nor those of
+    many such rows that happen to lie together.
     """
     n, one = F.col("n_requests"), F.lit(1).cast("bigint")
     share = F.lit(per_share).cast("bigint")
     common = entries.filter(n <= in_place)
     shares = entries.filter(n > in_place).withColumn(
-        "first", F.explode(F.sequence(one, n, share))
+        "_first", F.explode(F.sequence(one, n, share))
     )
     spread = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequent = shares.withColumn(
-        "n_requests", F.least(share, n - F.col("first") + one)
-    ).repartition(spread)
+    frequent = (
+        shares.withColumn("n_requests", F.least(share, n - F.col("_first") + one))
+        .drop("_first")
+        .repartition(spread)
+    )
 
     def copies(rows: DataFrame) -> DataFrame:
         repeated = F.explode(F.sequence(one, F.col("n_requests")))
-        return rows.select("url", "entry", repeated.alias("copy")).select("url", "entry")
+        return rows.select("*", repeated.alias("_copy")).drop("n_requests", "_copy")
 
     return copies(common).unionByName(copies(frequent))
 
 
-def parse_entries(entries: DataFrame, schema: StructType) -> DataFrame:
-    """Typed columns of each ``entry``, plus ``_corrupt_record`` for those that do not fit."""
-    return entries.select(parse_json(F.col("entry"), schema))
+def parse_entries(
+    entries: DataFrame, schema: StructType, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed columns of each ``entry``, plus ``_corrupt_record`` for those that do not fit.
+
+    ``keep`` names columns to keep in front of them.
+    """
+    return entries.select(*keep, parse_json(F.col("entry"), schema))
 
 
 def drop_terminator(rows: DataFrame) -> DataFrame:
@@ -85,12 +113,14 @@ def drop_terminator(rows: DataFrame) -> DataFrame:
     return rows.filter(any_value(rows.columns))
 
 
-def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rejects(
+    rows: DataFrame, declared: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Usable rows, without ``_corrupt_record``, and the rows that have one.
 
-    A row of which some fields could be read is in both; a row of which none could be read is
-    a reject only.
+    A row of which some of the ``declared`` columns (all by default) could be read is in both; a
+    row of which none could be read is a reject only.
     """
-    declared = [name for name in rows.columns if name != CORRUPT]
+    names = [name for name in declared or rows.columns if name != CORRUPT]
     damaged = F.col(CORRUPT).isNotNull()
-    return rows.filter(~damaged | any_value(declared)).drop(CORRUPT), rows.filter(damaged)
+    return rows.filter(~damaged | any_value(names)).drop(CORRUPT), rows.filter(damaged)

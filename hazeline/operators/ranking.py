@@ -12,16 +12,20 @@ def filter_parameter(readings: DataFrame, parameter: str = "PM2.5") -> DataFrame
     return readings.filter(F.col("ParameterName") == parameter)
 
 
+def _order(readings: DataFrame, tie_break: Sequence[Column | str]) -> list[Column | str]:
+    ties = list(tie_break) or [F.xxhash64(*[F.col(f"`{name}`") for name in readings.columns])]
+    return [F.col("AQI").desc_nulls_last(), *ties]
+
+
 def rank_by_aqi(readings: DataFrame, tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """All readings, highest index first, nulls last.
 
-    Equal index values are ordered by ``tie_break``, or else by a hash of the row. That makes
-    the order repeatable and lets the range-partitioned sort divide a value shared by a large
-    part of the rows between tasks; ``rank_table`` in ``hazeline.plans`` also divides
-    identical rows.
+    Equal index values are ordered by ``tie_break``, or else by a hash of the row. Rows that are
+    alike in that, too, are told apart by their place, so that the range-partitioned sort divides
+    any number of equal or identical rows between tasks.
     """
-    ties = list(tie_break) or [F.xxhash64(*[F.col(f"`{name}`") for name in readings.columns])]
-    return readings.orderBy(F.col("AQI").desc_nulls_last(), *ties)
+    placed = readings.withColumn("_place", F.monotonically_increasing_id())
+    return placed.orderBy(*_order(readings, tie_break), "_place").drop("_place")
 
 
 def top_aqi(
@@ -31,4 +35,5 @@ def top_aqi(
     tie_break: Sequence[Column | str] = (),
 ) -> DataFrame:
     """The ``k`` readings of one parameter with the highest index; needs no full sort."""
-    return rank_by_aqi(filter_parameter(readings, parameter), tie_break).limit(k)
+    chosen = filter_parameter(readings, parameter)
+    return chosen.orderBy(*_order(chosen, tie_break)).limit(k)

@@ -91,14 +91,7 @@ FROM readings"""
 _ALL_STATIONS = f"{_STATION_CTE} SELECT * FROM stations"
 _WEST_STATIONS = _ALL_STATIONS + _WEST
 
-ORACLE: dict[str, str] = {
-    "station_scan": _ALL_STATIONS,
-    "station_scan_latin1": _ALL_STATIONS,
-    "landed_stations": _ALL_STATIONS,
-    "station_scan_undecoded": f"""{_STATION_CTE}
-        SELECT * REPLACE (replace("Forecast Source", 'ñ', chr(65533)) AS "Forecast Source")
-        FROM stations""",
-    "station_malformed": """
+_MALFORMED = """
         SELECT c_name AS "Reporting area",
                CASE WHEN state IN ('CA','OR','WA','CO') AND c_acctbal >= 0 THEN 'C|A' ELSE state END
                    AS "State code",
@@ -114,7 +107,28 @@ ORACLE: dict[str, str] = {
                         THEN c_name || '|AZ|US|Yes||1.5|2.5|-8.0|Yes|PST|PDT|T|No|S|more'
                END AS line
         FROM (SELECT *, ['CA','OR','WA','NV','AZ','CO'][c_nationkey % 6 + 1] AS state
-              FROM customer)""",
+              FROM customer)"""
+_INFERRED = f"""
+        SELECT value AS "AQI", {_K} AS "CategoryNumber", 'level ' || {_K} AS "CategoryName",
+               strftime(ts, '%Y-%m-%d') AS "DateObserved", hour(ts) AS "HourObserved",
+               {_EVENT_LATITUDE} AS "Latitude", 'PST' AS "LocalTimeZone",
+               {_EVENT_LONGITUDE} AS "Longitude", {_PARAMETER} AS "ParameterName",
+               'Area ' || event_id AS "ReportingArea", 'CA' AS "StateCode"
+        FROM events"""
+
+ORACLE: dict[str, str] = {
+    "station_scan": _ALL_STATIONS,
+    "station_scan_latin1": _ALL_STATIONS,
+    "landed_stations": _ALL_STATIONS,
+    "station_scan_undecoded": f"""{_STATION_CTE}
+        SELECT * REPLACE (replace("Forecast Source", 'ñ', chr(65533)) AS "Forecast Source")
+        FROM stations""",
+    "station_malformed": _MALFORMED,
+    "station_two_step_rejects": f"SELECT * FROM ({_MALFORMED}) WHERE line IS NOT NULL",
+    "station_two_step_damaged": f"""SELECT * EXCLUDE (line) FROM ({_MALFORMED})
+        WHERE "State code" IN ('C|A', 'AZ')""",
+    "stations_listed": f"""{_STATION_CTE} SELECT "TWC code", "Reporting area", "State code"
+        FROM stations WHERE "TWC code" IN ('TWC1', 'TWC7', 'TWC42', 'TWC1000000000')""",
     "station_raw_lines": f"""{_STATION_CTE}
         SELECT CAST(14 AS INTEGER) AS n_fields,
                * REPLACE ('' AS "Action Day name", '' AS "USA Today",
@@ -147,6 +161,13 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "observation_fetch": _FETCHED_OBSERVATIONS,
     "forecast_fetch": _FETCHED_FORECASTS,
+    "observation_fetch_ranked": f"""SELECT * FROM ({_FETCHED_OBSERVATIONS})
+        WHERE "ParameterName" = 'PM2.5' ORDER BY "AQI" DESC NULLS LAST""",
+    "decoded_bodies": """
+        SELECT DISTINCT 'event/' || event_id AS url, CAST(200 AS INTEGER) AS status,
+               CASE WHEN event_id % 3 <> 0 THEN '["é ' || event_id || '"]' END AS body,
+               CASE WHEN event_id % 3 = 0 THEN 'body is not UTF-8' END AS error
+        FROM events""",
     "fused_forecasts": _FETCHED_FORECASTS,
     "whole_run": f"SELECT * FROM ({_FETCHED_OBSERVATIONS}) WHERE \"ParameterName\" = 'PM2.5'",
     "fetch_counts": f"""{_SHARED_CTE}{_REQUESTS}
@@ -171,20 +192,17 @@ ORACLE: dict[str, str] = {
                    AS reason
         FROM events WHERE event_type IN ('error', 'purchase')""",
     "observations_declared": _DECLARED_OBSERVATIONS,
-    "observations_with_terminator": f"""{_DECLARED_OBSERVATIONS}
-        UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-        FROM (SELECT unnest(range(count(*) // 1000000 + 1)) FROM events)""",
+    "observations_with_terminator": f"SELECT *, TRUE AS one_per_file FROM ({_DECLARED_OBSERVATIONS})",
     "terminator_dropped": _DECLARED_OBSERVATIONS,
     "observations_document": _DECLARED_OBSERVATIONS,
     "observations_table": _DECLARED_OBSERVATIONS,
-    "observations_inferred": f"""
-        SELECT value AS "AQI", {_K} AS "CategoryNumber", 'level ' || {_K} AS "CategoryName",
-               strftime(ts, '%Y-%m-%d') AS "DateObserved", hour(ts) AS "HourObserved",
-               {_EVENT_LATITUDE} AS "Latitude", 'PST' AS "LocalTimeZone",
-               {_EVENT_LONGITUDE} AS "Longitude", {_PARAMETER} AS "ParameterName",
-               'Area ' || event_id AS "ReportingArea", 'CA' AS "StateCode"
-        FROM events""",
+    "observations_one_line_arrays": _DECLARED_OBSERVATIONS,
+    "observations_brackets_on_lines": _DECLARED_OBSERVATIONS,
+    "observations_inferred": _INFERRED,
+    "observations_inferred_one_line": _INFERRED,
+    "observations_inferred_brackets": _INFERRED,
+    "observations_pinned": _INFERRED,
+    "forecasts_pretty_table": _DECLARED_FORECASTS,
     "forecast_entries": _DECLARED_FORECASTS,
     "forecasts_table": _DECLARED_FORECASTS,
     "forecasts_ranked_sql": f"""
@@ -209,8 +227,7 @@ ORACLE: dict[str, str] = {
     "pm25_ranked_sql": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_top20": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST, event_id LIMIT 20",
     "repartitioned_write": _OBSERVATIONS,
-    "repartitioned_files": """
-        SELECT greatest(4, count(*) // 1000000) AS files, count(*) AS readings FROM events""",
+    "repartitioned_files": "SELECT count(*) AS readings, TRUE AS as_asked FROM events",
     "gz_lines": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
     "incremental_load": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL

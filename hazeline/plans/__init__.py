@@ -1,10 +1,14 @@
-from hazeline.plans.extract import extract, fetch_and_transform
+from hazeline.plans.extract import Calls, CallsFailed, extract, fetch_and_transform
 from hazeline.plans.ranking import rank_sql, rank_table, top_table
+from hazeline.plans.rejects import AllRejected
 from hazeline.plans.run import Paths, run_all
 from hazeline.plans.stations import load_stations, load_stations_two_step
 from hazeline.plans.transform import transform_forecasts, transform_observations
 
 __all__ = [
+    "AllRejected",
+    "Calls",
+    "CallsFailed",
     "Paths",
     "extract",
     "fetch_and_transform",

@@ -3,23 +3,39 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hazeline.operators import (
     build_requests,
-    explode_responses,
+    entries_or_reasons,
     parse_entries,
     project_locations,
     repeat_entries,
-    response_rejects,
     split_locations,
+    split_rejects,
 )
-from hazeline.plans.rejects import write_with_rejects
 from hazeline.sinks import write_entries, write_table
 from hazeline.sources import fetch_responses, scan_table
 from hazeline.sources.web import Transport
+from hazeline.workspace import fresh_path
+
+
+class CallsFailed(RuntimeError):
+    """Too many calls failed; entries and tables of earlier runs are untouched."""
+
+
+@dataclass(frozen=True)
+class Calls:
+    """How many distinct calls a job made, and how many gave no array of entries; rejected entries
+    count where a job types them."""
+
+    made: int
+    failed: int
+    entries_rejected: int = 0
 
 
 def fetch(
@@ -30,22 +46,43 @@ def fetch(
     transport: Transport,
     endpoint: str,
     date: str | datetime.date,
+    parallelism: int,
     distance: int = 1,
-    parallelism: int = 8,
+    concurrency: int = 1,
 ) -> DataFrame:
     """Call the API for every station and store the replies, then return them as a table.
 
     The replies are written before anything else uses them, so that no retry or second use
-    calls the API again. Stations without usable coordinates go to ``rejects/coordinates``,
-    failed or malformed replies to ``rejects/responses``.
+    calls the API again. Stations without usable coordinates go to ``rejects/coordinates``.
     """
     locations, unusable = split_locations(project_locations(scan_table(spark, stations)))
     requests = build_requests(locations, endpoint, date, distance)
-    write_table(fetch_responses(requests, transport, parallelism), responses)
+    write_table(fetch_responses(requests, transport, parallelism, concurrency), responses)
     write_table(unusable, f"{rejects}/coordinates")
-    replies = scan_table(spark, responses)
-    write_table(response_rejects(replies), f"{rejects}/responses")
-    return replies
+    return scan_table(spark, responses)
+
+
+def _opened(
+    replies: DataFrame, rejects: str, schema: StructType | None, most_failed: float
+) -> tuple[DataFrame, Calls]:
+    """Entries of the replies, read and parsed once into an intermediate table, and the counts.
+
+    Replies without entries go to ``rejects/responses``.
+    """
+    spark, seen = replies.sparkSession, Observation()
+    made = replies.count()
+    rows = entries_or_reasons(replies).observe(seen, F.count("reason").alias("failed"))
+    if schema is not None:
+        rows = parse_entries(rows, schema, ("url", "n_requests", "status", "reason"))
+    path = fresh_path(spark, "entries")
+    write_table(rows, path)
+    calls = Calls(made, seen.get["failed"])
+    opened = scan_table(spark, path)
+    failures = opened.filter("reason IS NOT NULL")
+    write_table(failures.select("url", "n_requests", "status", "reason"), f"{rejects}/responses")
+    if calls.made and (calls.failed == calls.made or calls.failed > most_failed * calls.made):
+        raise CallsFailed(f"{calls.failed} of {calls.made} calls failed; see {rejects}/responses")
+    return opened.filter("reason IS NULL").drop("reason", "status"), calls
 
 
 def extract(
@@ -57,14 +94,23 @@ def extract(
     transport: Transport,
     endpoint: str,
     date: str | datetime.date,
+    parallelism: int,
     distance: int = 1,
-    parallelism: int = 8,
-) -> None:
-    """Fetch, then store the entries of all replies as JSON Lines."""
+    concurrency: int = 1,
+    most_failed: float = 1.0,
+) -> Calls:
+    """Fetch, then store the entries of all replies as JSON Lines.
+
+    If calls were made and none of them, or fewer than ``most_failed`` allows as a share, gave an
+    array of entries, this raises ``CallsFailed`` and leaves earlier entries as they are. Without
+    any call the entries are empty.
+    """
     replies = fetch(
-        spark, stations, responses, rejects, transport, endpoint, date, distance, parallelism
+        spark, stations, responses, rejects, transport, endpoint, date, parallelism, distance, concurrency
     )
-    write_entries(repeat_entries(explode_responses(replies)), entries)
+    opened, calls = _opened(replies, rejects, None, most_failed)
+    write_entries(repeat_entries(opened), entries)
+    return calls
 
 
 def fetch_and_transform(
@@ -77,12 +123,21 @@ def fetch_and_transform(
     endpoint: str,
     date: str | datetime.date,
     schema: StructType,
+    parallelism: int,
     distance: int = 1,
-    parallelism: int = 8,
-) -> None:
-    """Fetch, then store typed rows directly, with no JSON file in between."""
+    concurrency: int = 1,
+    most_failed: float = 1.0,
+) -> Calls:
+    """Fetch, then store typed rows directly, with no JSON file in between.
+
+    Failed calls as in ``extract``. An entry is parsed once, however many stations share it, and
+    a rejected one is listed once, with the number of its requests.
+    """
     replies = fetch(
-        spark, stations, responses, rejects, transport, endpoint, date, distance, parallelism
+        spark, stations, responses, rejects, transport, endpoint, date, parallelism, distance, concurrency
     )
-    rows = parse_entries(repeat_entries(explode_responses(replies)), schema)
-    write_with_rejects(rows, target, f"{rejects}/entries")
+    opened, calls = _opened(replies, rejects, schema, most_failed)
+    rows, damaged = opened.drop("url"), split_rejects(opened, schema.names)[1]
+    write_table(repeat_entries(split_rejects(rows, schema.names)[0]), target)
+    write_table(damaged, f"{rejects}/entries")
+    return Calls(calls.made, calls.failed, scan_table(spark, f"{rejects}/entries").count())

@@ -37,13 +37,13 @@ def rank_sql(spark: SparkSession, view: str, parameter: str = "PM2.5") -> DataFr
     """The same ranking as SQL over a registered view; ties as in ``rank_by_aqi``."""
     return spark.sql(
         """
-        SELECT * EXCEPT (_tie)
+        SELECT * EXCEPT (_tie, _place)
         FROM (
-            SELECT *, xxhash64(*) AS _tie
+            SELECT *, xxhash64(*) AS _tie, monotonically_increasing_id() AS _place
             FROM IDENTIFIER(:view)
             WHERE ParameterName = :parameter
         )
-        ORDER BY AQI DESC NULLS LAST, _tie
+        ORDER BY AQI DESC NULLS LAST, _tie, _place
         """,
         args={"view": view, "parameter": parameter},
     )

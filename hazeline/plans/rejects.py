@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from hazeline.functions import any_value
 from hazeline.operators import split_rejects
 from hazeline.schemas import CORRUPT
 from hazeline.sinks import write_table
+from hazeline.sources import scan_table
+from hazeline.workspace import fresh_path
+
+
+class AllRejected(RuntimeError):
+    """There was input and none of it could be used; tables of earlier runs are untouched."""
 
 
 def write_with_rejects(
@@ -20,13 +27,24 @@ def write_with_rejects(
 ) -> int:
     """Store the usable rows that ``choose`` keeps, and all rejects; returns their number.
 
-    The rejects are counted while the usable rows are written. The input is read a second time
-    only if there are any; otherwise an empty table replaces earlier rejects.
+    The input is read and parsed once, into an intermediate table in the shared folder; rows and
+    rejects are both taken from that. If all of it was rejected, this raises ``AllRejected`` and
+    replaces nothing.
     """
+    declared = [name for name in rows.columns if name != CORRUPT]
+    damaged = F.col(CORRUPT).isNotNull()
     seen = Observation()
-    counted = rows.observe(seen, F.count(F.col(CORRUPT)).alias("rejects"))
-    write_table(choose(split_rejects(counted)[0]), target)
-    found = seen.get["rejects"]
-    damaged = split_rejects(rows)[1]
-    write_table(damaged if found else damaged.limit(0), rejects)
-    return found
+    counted = rows.observe(
+        seen,
+        F.count(CORRUPT).alias("rejects"),
+        F.count(F.when(~damaged | any_value(declared), 1)).alias("usable"),
+    )
+    parsed = fresh_path(rows.sparkSession, "parsed")
+    write_table(counted, parsed)
+    found = seen.get
+    if found["rejects"] and not found["usable"]:
+        raise AllRejected(f"all {found['rejects']} rows were rejected, so {target} stays as it is")
+    usable, damaged_rows = split_rejects(scan_table(rows.sparkSession, parsed))
+    write_table(choose(usable), target)
+    write_table(damaged_rows, rejects)
+    return found["rejects"]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 
 from hazeline.operators.stations import WEST_COAST
-from hazeline.plans.extract import extract
+from hazeline.plans.extract import Calls, extract
 from hazeline.plans.stations import load_stations
 from hazeline.plans.transform import transform_forecasts, transform_observations
 from hazeline.sources import land_raw
@@ -52,28 +52,33 @@ def run_all(
     paths: Paths,
     transport: Transport,
     date: str | datetime.date,
+    parallelism: int,
     distance: int = 1,
-    parallelism: int = 8,
+    concurrency: int = 1,
     states: Sequence[str] = WEST_COAST,
     encoding: str = "UTF-8",
-) -> None:
+    most_failed: float = 1.0,
+) -> dict[str, Calls]:
     """Land and filter the stations, then fetch and store observations, then forecasts.
 
     Every step reads what the step before it wrote, and replaces its own output, so a run may
-    be repeated. An exception in any step ends the run.
+    be repeated. An exception in any step ends the run; so does a kind of which all calls failed,
+    or more than the share ``most_failed``, before its entries and table are replaced. Returns the
+    calls and rejects of each kind.
     """
     land_raw(spark, source, paths.raw_stations)
     load_stations(
         spark,
         paths.raw_stations,
         paths.stations,
+        f"{paths.rejects('stations')}/lines",
         states,
         encoding,
-        rejects=f"{paths.rejects('stations')}/lines",
     )
     transforms = {"observation": transform_observations, "forecast": transform_forecasts}
+    outcome = {}
     for kind, transform in transforms.items():
-        extract(
+        calls = extract(
             spark,
             paths.stations,
             paths.responses(kind),
@@ -82,7 +87,13 @@ def run_all(
             transport,
             kind,
             date,
-            distance,
             parallelism,
+            distance,
+            concurrency,
+            most_failed,
+        )
+        rejected = transform(
+            spark, paths.entries(kind), paths.table(kind), f"{paths.rejects(kind)}/entries"
         )
-        transform(spark, paths.entries(kind), paths.table(kind), f"{paths.rejects(kind)}/entries")
+        outcome[kind] = replace(calls, entries_rejected=rejected)
+    return outcome

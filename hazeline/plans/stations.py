@@ -17,20 +17,17 @@ def load_stations(
     spark: SparkSession,
     source: str,
     target: str,
+    rejects: str,
     states: Sequence[str] = WEST_COAST,
     encoding: str = "UTF-8",
-    rejects: str | None = None,
-) -> None:
+) -> int:
     """Scan the station file and store the stations of the given states.
 
-    Malformed lines of any state are stored as far as they can be read, like others; with
-    ``rejects`` they are also listed there with their text.
+    Malformed lines of any state are stored as far as they can be read, like others, and listed
+    in ``rejects`` with their text; returns their number.
     """
-    if rejects is None:
-        write_table(filter_states(scan_stations(spark, source, encoding), states), target)
-        return
     rows = scan_stations(spark, source, encoding, malformed=True)
-    write_with_rejects(rows, target, rejects, lambda usable: filter_states(usable, states))
+    return write_with_rejects(rows, target, rejects, lambda usable: filter_states(usable, states))
 
 
 def load_stations_two_step(
@@ -38,9 +35,13 @@ def load_stations_two_step(
     source: str,
     all_target: str,
     target: str,
+    rejects: str,
     states: Sequence[str] = WEST_COAST,
     encoding: str = "UTF-8",
-) -> None:
-    """Store all stations first, then the selected ones from that table."""
-    write_table(scan_stations(spark, source, encoding), all_target)
+) -> int:
+    """Store all stations first, then the selected ones from that table; rejects as above."""
+    found = write_with_rejects(
+        scan_stations(spark, source, encoding, malformed=True), all_target, rejects
+    )
     write_table(filter_states(scan_table(spark, all_target), states), target)
+    return found

@@ -18,12 +18,13 @@ def _scan(
     schema: StructType | None,
     form: str,
     keep_terminator: bool,
+    layout: str,
 ) -> DataFrame:
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}, not {form!r}")
     if form == "lines":
         return scan_json_lines(spark, source, schema)
-    return scan_json_array(spark, source, schema, keep_terminator=keep_terminator)
+    return scan_json_array(spark, source, schema, layout, keep_terminator)
 
 
 def transform_observations(
@@ -34,13 +35,16 @@ def transform_observations(
     schema: StructType | None = OBSERVATION,
     form: str = "lines",
     keep_terminator: bool = False,
+    layout: str = "entries",
 ) -> int:
     """Store observation entries as a table; returns the number of rejects.
 
     ``schema=None`` keeps every field with its inferred type. ``form="array"`` reads array
-    files, and ``keep_terminator`` then keeps their closing object as an all-null row.
+    files in the given ``layout`` of ``scan_json_array``, and ``keep_terminator`` then keeps their
+    closing object as an all-null row. Input of which nothing can be used is an error and leaves
+    the table as it is.
     """
-    rows = _scan(spark, source, schema, form, keep_terminator)
+    rows = _scan(spark, source, schema, form, keep_terminator, layout)
     return write_with_rejects(rows, target, rejects)
 
 
@@ -51,7 +55,8 @@ def transform_forecasts(
     rejects: str,
     form: str = "lines",
     keep_terminator: bool = False,
+    layout: str = "entries",
 ) -> int:
     """Store forecast entries with their declared fields; returns the number of rejects."""
-    rows = _scan(spark, source, FORECAST, form, keep_terminator)
+    rows = _scan(spark, source, FORECAST, form, keep_terminator, layout)
     return write_with_rejects(rows, target, rejects)

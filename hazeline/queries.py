@@ -30,7 +30,9 @@ from hazeline.plans import Paths
 from hazeline.schemas import CORRUPT, FORECAST, OBSERVATION, STATION
 from hazeline.sinks import write_entries, write_json_array, write_json_lines, write_table
 from hazeline.sources import (
+    HttpTransport,
     fetch_responses,
+    infer_entry_schema,
     land_raw,
     list_source_files,
     scan_gz_text,
@@ -39,13 +41,14 @@ from hazeline.sources import (
     scan_stations,
     scan_stations_raw,
     scan_table,
+    stations_from_rows,
 )
 from hazeline.streaming import load_increment
 from hazeline.workspace import fresh_path
 
 DATE = "2024-01-01"
 ENTRIES_PER_DOCUMENT = 20_000
-READINGS_PER_FILE = 1_000_000
+ENTRIES_PER_LINE = 50
 READING = (
     StructType()
     .add("event_id", "long")
@@ -81,7 +84,7 @@ def station_scan_undecoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_stations(spark, _station_file(spark, sf_dir, "ISO-8859-1"))
 
 
-def station_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _damaged_station_file(spark: SparkSession, sf_dir: str) -> str:
     """Lines that are short, too long or hold an unparsable number, next to good ones."""
     path = fresh_path(spark, "station-lines")
     lines = adapters.stations(spark, sf_dir).select(
@@ -100,14 +103,15 @@ def station_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("value")
     )
     lines.write.text(path)
-    return scan_stations(spark, path, malformed=True).select(
-        "Reporting area",
-        "State code",
-        "Latitude",
-        "Longitude",
-        "TWC code",
-        F.col(CORRUPT).alias("line"),
-    )
+    return path
+
+
+FEW = ("Reporting area", "State code", "Latitude", "Longitude", "TWC code")
+
+
+def station_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _damaged_station_file(spark, sf_dir)
+    return scan_stations(spark, path, malformed=True).select(*FEW, F.col(CORRUPT).alias("line"))
 
 
 def station_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,14 +130,41 @@ def station_filter_one_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def station_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "stations")
-    plans.load_stations(spark, _station_file(spark, sf_dir), path)
+    plans.load_stations(spark, _station_file(spark, sf_dir), path, fresh_path(spark, "rejects"))
     return project_locations(scan_table(spark, path))
 
 
 def station_two_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everything, selected = fresh_path(spark, "all-stations"), fresh_path(spark, "stations")
-    plans.load_stations_two_step(spark, _station_file(spark, sf_dir), everything, selected)
-    return scan_table(spark, selected)
+    paths = [fresh_path(spark, name) for name in ("all-stations", "stations", "rejects")]
+    plans.load_stations_two_step(spark, _station_file(spark, sf_dir), *paths)
+    return scan_table(spark, paths[1])
+
+
+def _damaged_two_step(spark: SparkSession, sf_dir: str) -> list[str]:
+    paths = [fresh_path(spark, name) for name in ("all-stations", "stations", "rejects")]
+    source = _damaged_station_file(spark, sf_dir)
+    plans.load_stations_two_step(spark, source, *paths, states=("C|A", "AZ"))
+    return paths
+
+
+def station_two_step_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged lines of two states, as far as they can be read."""
+    return scan_table(spark, _damaged_two_step(spark, sf_dir)[1]).select(*FEW)
+
+
+def station_two_step_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = scan_table(spark, _damaged_two_step(spark, sf_dir)[2])
+    return rejects.select(*FEW, F.col(CORRUPT).alias("line"))
+
+
+def stations_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations that a short list in memory names."""
+    code = STATION.names.index("TWC code")
+    rows = [[""] * code + [f"TWC{number}", "", ""] for number in (1, 7, 42, 10**9)]
+    listed = stations_from_rows(spark, rows).select("TWC code")
+    return adapters.stations(spark, sf_dir).join(listed, "TWC code", "left_semi").select(
+        "TWC code", "Reporting area", "State code"
+    )
 
 
 def station_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,14 +220,34 @@ def _replies(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     return scan_table(spark, path)
 
 
+def _repeated(replies: DataFrame, schema: StructType) -> DataFrame:
+    rows = parse_entries(explode_responses(replies), schema, ("n_requests",))
+    return repeat_entries(rows.drop(CORRUPT))
+
+
 def observation_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = _replies(spark, sf_dir, "observation")
-    return parse_entries(repeat_entries(explode_responses(replies)), OBSERVATION).drop(CORRUPT)
+    return _repeated(replies, OBSERVATION)
 
 
 def forecast_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     replies = _replies(spark, sf_dir, "forecast")
-    return parse_entries(repeat_entries(explode_responses(replies)), FORECAST).drop(CORRUPT)
+    return _repeated(replies, FORECAST)
+
+
+def observation_fetch_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared places give identical readings, which the sort has to divide."""
+    return rank_by_aqi(filter_parameter(observation_fetch(spark, sf_dir)))
+
+
+def decoded_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies as bytes, decoded by the transport that calls real services."""
+    path = fresh_path(spark, "responses")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    requests = events.select(F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("url"))
+    transport = HttpTransport("https://api.example", opener=adapters.CannedBytes())
+    write_table(fetch_responses(requests, transport, _parallelism(spark), concurrency=4), path)
+    return scan_table(spark, path).select("url", "status", "body", "error")
 
 
 def fetch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,12 +258,9 @@ def fetch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "responses")
     write_table(adapters.responses(spark, sf_dir), path)
+    rows = parse_entries(explode_responses(scan_table(spark, path)), READING, ("n_requests",))
     # Low limits, so that both ways of repeating an entry are taken.
-    entries = repeat_entries(
-        explode_responses(scan_table(spark, path)), in_place=1, per_share=2
-    )
-    rows = parse_entries(entries, READING)
-    return rows.select(
+    return repeat_entries(rows, in_place=1, per_share=2).select(
         "event_id",
         "ParameterName",
         "AQI",
@@ -243,15 +291,77 @@ def observations_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
 
 
+def _terminated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
+    rows = scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
+    return rows, path
+
+
 def observations_with_terminator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array files, with the all-null row of each one's closing object."""
-    entries = adapters.observation_entries(spark, sf_dir)
-    path = _array_file(spark, entries, files=entries.count() // READINGS_PER_FILE + 1)
-    return scan_json_array(spark, path, OBSERVATION, keep_terminator=True).drop(CORRUPT)
+    """Array files; and whether there is one all-null row per file, for its closing object."""
+    rows, path = _terminated(spark, sf_dir)
+    closing = rows.filter(F.coalesce(*[F.col(c).cast("string") for c in rows.columns]).isNull())
+    one_each = closing.count() == list_source_files(spark, path).count()
+    return drop_terminator(rows).withColumn("one_per_file", F.lit(one_each))
 
 
 def terminator_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_terminator(observations_with_terminator(spark, sf_dir))
+    return drop_terminator(_terminated(spark, sf_dir)[0])
+
+
+def _text_file(spark: SparkSession, texts: DataFrame, texts_per_file: int = 0) -> str:
+    path = fresh_path(spark, "arrays")
+    texts.write.option("maxRecordsPerFile", texts_per_file).text(path)
+    return path
+
+
+def _array_lines(spark: SparkSession, sf_dir: str, separator: str) -> str:
+    entries = adapters.observation_entries(spark, sf_dir, numbered=True)
+    return _text_file(spark, adapters.arrays(entries, ENTRIES_PER_LINE, separator))
+
+
+def observations_one_line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole arrays, each on a line of its own, as the API sends them."""
+    path = _array_lines(spark, sf_dir, ",")
+    return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
+
+
+def observations_brackets_on_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brackets on the lines of the first and last entries."""
+    path = _array_lines(spark, sf_dir, ",\n")
+    return split_rejects(scan_json_array(spark, path, OBSERVATION))[0]
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {"CategoryNumber": F.col("Category.Number"), "CategoryName": F.col("Category.Name")}
+    ).drop("Category")
+
+
+def observations_inferred_one_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(split_rejects(scan_json_array(spark, _array_lines(spark, sf_dir, ",")))[0])
+
+
+def observations_inferred_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(split_rejects(scan_json_array(spark, _array_lines(spark, sf_dir, ",\n")))[0])
+
+
+def observations_pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schema inferred once from earlier files, kept for later ones."""
+    pinned = infer_entry_schema(spark, _array_lines(spark, sf_dir, ","))
+    path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
+    return _flat(split_rejects(scan_json_array(spark, path, pinned))[0])
+
+
+def forecasts_pretty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pretty-printed arrays, a file each, through the job."""
+    entries = adapters.forecast_entries(spark, sf_dir, pretty=True, numbered=True)
+    source = _text_file(spark, adapters.arrays(entries, ENTRIES_PER_DOCUMENT, ",\n"), 1)
+    target = fresh_path(spark, "forecasts")
+    plans.transform_forecasts(
+        spark, source, target, fresh_path(spark, "rejects"), "array", layout="document"
+    )
+    return scan_table(spark, target)
 
 
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,10 +373,7 @@ def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _array_file(spark, adapters.observation_entries(spark, sf_dir))
-    rows = split_rejects(scan_json_array(spark, path))[0]
-    return rows.withColumns(
-        {"CategoryNumber": F.col("Category.Number"), "CategoryName": F.col("Category.Name")}
-    ).drop("Category")
+    return _flat(split_rejects(scan_json_array(spark, path))[0])
 
 
 def observations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,17 +446,22 @@ def pm25_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_aqi(adapters.observations(spark, sf_dir), tie_break=("event_id",))
 
 
+def _spread(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    path, files = fresh_path(spark, "spread"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_table(adapters.observations(spark, sf_dir), path, files=files)
+    return scan_table(spark, path), files
+
+
 def repartitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four files, or more where these would become too large."""
-    path = fresh_path(spark, "spread")
-    readings = adapters.observations(spark, sf_dir)
-    write_table(readings, path, files=max(4, readings.count() // READINGS_PER_FILE))
-    return scan_table(spark, path)
+    return _spread(spark, sf_dir)[0]
 
 
 def repartitioned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repartitioned_write(spark, sf_dir).agg(
-        F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("readings")
+    """The number of readings, and whether there are as many files as asked for."""
+    rows, files = _spread(spark, sf_dir)
+    return rows.agg(
+        F.count(F.lit(1)).alias("readings"),
+        (F.count_distinct("_metadata.file_path") == files).alias("as_asked"),
     )
 
 
@@ -363,7 +475,8 @@ def gz_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fused_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations, target = fresh_path(spark, "stations"), fresh_path(spark, "forecasts")
-    plans.load_stations(spark, _station_file(spark, sf_dir, shared=True), stations)
+    source = _station_file(spark, sf_dir, shared=True)
+    plans.load_stations(spark, source, stations, fresh_path(spark, "rejects"))
     plans.fetch_and_transform(
         spark,
         stations,
@@ -415,6 +528,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         station_filter_one_state,
         station_locations,
         station_two_step,
+        station_two_step_damaged,
+        station_two_step_rejects,
+        stations_listed,
         station_shape,
         landed_stations,
         landed_bytes,
@@ -423,6 +539,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rounded_values,
         observation_fetch,
         forecast_fetch,
+        observation_fetch_ranked,
+        decoded_bodies,
         fetch_counts,
         response_entries,
         response_failures,
@@ -431,6 +549,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         terminator_dropped,
         observations_document,
         observations_inferred,
+        observations_one_line_arrays,
+        observations_brackets_on_lines,
+        observations_inferred_one_line,
+        observations_inferred_brackets,
+        observations_pinned,
+        forecasts_pretty_table,
         observations_table,
         forecast_entries,
         forecasts_table,

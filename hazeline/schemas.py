@@ -2,59 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import FloatType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
 
 def _layout(fields: list[tuple[str, str]]) -> StructType:
-    types = {"text": StringType(), "float": FloatType()}
-    return StructType([StructField(name, types[kind], True) for name, kind in fields])
+    schema = StructType()
+    for name, kind in fields:
+        schema = schema.add(name, kind)
+    return schema
 
 
 # Field names, order and types of the three record layouts.
 STATION = _layout(
     [
-        ("Reporting area", "text"),
-        ("State code", "text"),
-        ("Country code", "text"),
-        ("Forecasts", "text"),
-        ("Action Day name", "text"),
+        ("Reporting area", "string"),
+        ("State code", "string"),
+        ("Country code", "string"),
+        ("Forecasts", "string"),
+        ("Action Day name", "string"),
         ("Latitude", "float"),
         ("Longitude", "float"),
         ("GMT offset", "float"),
-        ("Daylight savings", "text"),
-        ("Standard time zone label", "text"),
-        ("Daylight savings time zone label", "text"),
-        ("TWC code", "text"),
-        ("USA Today", "text"),
-        ("Forecast Source", "text"),
+        ("Daylight savings", "string"),
+        ("Standard time zone label", "string"),
+        ("Daylight savings time zone label", "string"),
+        ("TWC code", "string"),
+        ("USA Today", "string"),
+        ("Forecast Source", "string"),
     ]
 )
 
 OBSERVATION = _layout(
     [
-        ("DateObserved", "text"),
-        ("HourObserved", "text"),
-        ("LocalTimeZone", "text"),
-        ("ReportingArea", "text"),
-        ("StateCode", "text"),
+        ("DateObserved", "string"),
+        ("HourObserved", "string"),
+        ("LocalTimeZone", "string"),
+        ("ReportingArea", "string"),
+        ("StateCode", "string"),
         ("Latitude", "float"),
         ("Longitude", "float"),
-        ("ParameterName", "text"),
+        ("ParameterName", "string"),
         ("AQI", "float"),
     ]
 )
 
 FORECAST = _layout(
     [
-        ("DateIssue", "text"),
-        ("DateForecast", "text"),
-        ("ReportingArea", "text"),
-        ("StateCode", "text"),
+        ("DateIssue", "string"),
+        ("DateForecast", "string"),
+        ("ReportingArea", "string"),
+        ("StateCode", "string"),
         ("Latitude", "float"),
         ("Longitude", "float"),
-        ("ParameterName", "text"),
+        ("ParameterName", "string"),
         ("AQI", "float"),
     ]
 )

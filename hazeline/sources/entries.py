@@ -1,7 +1,8 @@
 """Files of JSON entries, in two layouts.
 
 *JSON Lines* has one entry per line. An *array file* starts with ``[``, has one entry and a
-comma per line, then an empty object that closes the list, then ``]``.
+comma per line, then an empty object that closes the list, then ``]``. The brackets may also
+stand on the lines of entries, several entries on a line, or a whole array on one.
 
 Both scans add ``_corrupt_record``, the text of entries that did not fit the schema; see
 ``split_rejects`` in ``hazeline.operators``.
@@ -9,6 +10,8 @@ Both scans add ``_corrupt_record``, the text of entries that did not fit the sch
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,48 +44,70 @@ def scan_json_array(
     ``layout="entries"`` relies on entries not being broken over lines and therefore splits
     large files over many tasks. It recognises the closing empty object by its missing comma,
     so an entry that happens to be empty is kept; a file cut off in the middle still yields
-    its complete entries. A line of any other form ends up in ``_corrupt_record``.
+    its complete entries. A line that is a complete array, without a comma behind it, is taken
+    apart, and there an empty object in last place is the closing one; an array followed by a
+    comma is an entry, and no object. A line of any other form ends up in ``_corrupt_record``,
+    so does each line of a pretty-printed array.
 
     ``layout="document"`` reads arrays formatted in any way. Each file is parsed whole by one
     task, which needs memory for it; there, the closing object is an empty one in last place.
     A file that is no array ends up in ``_corrupt_record``.
 
+    Without a schema, one distributed pass infers it first.
     ``keep_terminator=True`` returns the closing object as an all-null row.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     if schema is None:
-        if layout == "entries":
-            _check_single_entries(spark, path)
         schema = infer_entry_schema(spark, path, layout)
     if layout == "document":
         files = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
         arrays = files.select("value", F.from_json("value", "array<string>").alias("texts"))
         if not keep_terminator:
-            before_last = F.size("texts") - 1
-            closed = F.get("texts", before_last) == "{}"
-            shortened = F.slice("texts", F.lit(1), before_last)
-            arrays = arrays.withColumn("texts", F.when(closed, shortened).otherwise(F.col("texts")))
+            arrays = arrays.withColumn("texts", _without_terminator(F.col("texts")))
     else:
-        frame = ["", "[", "]"] if keep_terminator else ["", "[", "]", "{}"]
-        lines = spark.read.text(path).filter(~F.trim("value").isin(frame))
-        arrays = lines.select("value", _entries_of_line(F.col("value")).alias("texts"))
+        arrays = _arrays_of_lines(spark, path, keep_terminator)
     return _parse_arrays(arrays, schema)
 
 
-def _check_single_entries(spark: SparkSession, path: str) -> None:
-    """Inference sees the first entry of a line only, so the others' fields would be missing."""
-    found = F.max(F.size(_entries_of_line(F.col("value"))))
-    most = spark.read.text(path).agg(found.alias("entries")).first()["entries"]
-    if most is not None and most > 1:
-        raise ValueError(f"lines with several entries in {path}; declare a schema for them")
-
-
-def _entries_of_line(line: Column) -> Column:
+def _without_terminator(texts: Column) -> Column:
+    before_last = F.size(texts) - 1
+    closed = F.get(texts, before_last) == "{}"
+    return F.when(closed, F.slice(texts, F.lit(1), before_last)).otherwise(texts)
+
+
+def _arrays_of_lines(spark: SparkSession, path: str, keep_terminator: bool) -> DataFrame:
+    """``value`` and ``texts``, the entries it holds, of each line that is not just a bracket."""
+    frame = ["", "[", "]"] if keep_terminator else ["", "[", "]", "{}"]
+    line = F.trim("value")
+    whole = line.startswith("[") & line.endswith("]")
+    # A bracket that opens or closes the array on the line of its first or last entry.
+    opens = line.startswith("[") & ~line.rlike(r"\]\s*,?$")
+    closes = ~line.startswith("[") & line.rlike(r"\}\s*\]$")
+    bare = (
+        F.when(opens, F.ltrim(F.substring(line, F.lit(2), F.length(line))))
+        .when(closes, F.rtrim(F.substring(line, F.lit(1), F.length(line) - 1)))
+        .otherwise(F.col("value"))
+    )
+    lines = spark.read.text(path).filter(~line.isin(frame))
+    lines = lines.withColumn("_bare", bare).withColumn("_whole", whole)
+    if not keep_terminator:
+        lines = lines.filter(F.col("_whole") | (F.trim("_bare") != "{}"))
+    texts = _entries_of_line(F.col("_bare"), F.col("_whole"))
+    # Out of a generator, so that what follows doesn't parse the line again.
+    opened = lines.select("value", "_whole", F.inline(F.array(F.struct(texts.alias("texts")))))
+    if not keep_terminator:
+        closed = F.when(F.col("_whole"), _without_terminator(F.col("texts")))
+        opened = opened.withColumn("texts", closed.otherwise(F.col("texts")))
+    return opened.drop("_whole")
+
+
+def _entries_of_line(line: Column, whole: Column) -> Column:
     """The entries a line holds: nearly always one, which then needs no parsing to be found."""
     array = F.concat(F.lit("["), F.rtrim(line, F.lit(", ")), F.lit("]"))
-    one = F.ltrim(line).startswith("{") & ~line.rlike(AFTER_AN_ENTRY)
-    return F.when(one, F.array(line)).otherwise(F.from_json(array, "array<string>"))
+    one = ~whole & F.ltrim(line).startswith("{") & ~line.rlike(AFTER_AN_ENTRY)
+    parsed = F.from_json(F.when(whole, line).otherwise(array), "array<string>")
+    return F.when(one, F.array(line)).otherwise(parsed)
 
 
 def _parse_arrays(arrays: DataFrame, schema: StructType) -> DataFrame:
@@ -107,13 +132,17 @@ def infer_entry_schema(
 ) -> StructType:
     """Infer the fields of all entries, in alphabetical order.
 
-    This reads the whole input. Keep the result and pass it to later scans, both to save that
-    pass and because the inferred types may differ from one run to the next. Of a line with
-    several entries the ``entries`` layout sees the first only; ``scan_json_array`` checks for
-    such lines before it infers.
+    This reads the whole input, once. Keep the result and pass it to later scans, both to save
+    that pass and because the inferred types may differ from one run to the next.
     """
-    reader = spark.read.option("multiLine", layout == "document")
-    schema = reader.json(path).schema
+    if layout == "document":
+        schema = spark.read.option("multiLine", True).json(path).schema
+    else:
+        entries = _arrays_of_lines(spark, path, keep_terminator=False).select(F.explode("texts"))
+        # Only the JVM's reader infers from strings that a query made.
+        strings = getattr(entries._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        inferred = spark._jsparkSession.read().json(strings).schema().json()
+        schema = StructType.fromJson(json.loads(inferred))
     fields = [field for field in schema.fields if field.name != CORRUPT]
     if not fields:
         raise ValueError(f"no entries to infer a schema from in {path}; declare one")

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 def land_raw(spark: SparkSession, source: str, target: str) -> None:
     """Copy text files from any Hadoop file system URI to another, overwriting the target.
 
-    Large files are split over the executors. Lines are copied byte for byte, without
-    decoding, so any single-byte or UTF-8 encoding survives. The last line gets a line break
-    if it had none, and a UTF-8 byte-order mark at the start of a file is left out.
+    Large files are split over the executors. The bytes of each line are copied as they are,
+    without decoding, so any single-byte or UTF-8 encoding survives. The files are not: the last
+    line gets a line break if it had none, a UTF-8 byte-order mark at the start of a file is left
+    out, and compressed input is stored decompressed.
     """
     lines = spark.read.option("lineSep", "\n").text(source)
     lines.write.mode("overwrite").option("lineSep", "\n").text(target)

@@ -7,11 +7,16 @@ calls a real service; tests pass canned ones.
 from __future__ import annotations
 
 import sys
+import threading
 import time
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
+from copy import copy
+from http.client import HTTPConnection, HTTPException, HTTPSConnection
 from typing import NamedTuple
 from urllib.error import HTTPError
-from urllib.parse import quote
+from urllib.parse import quote, urlsplit
 from urllib.request import urlopen
 
 import pyarrow as pa
@@ -38,11 +43,69 @@ class Reply(NamedTuple):
 Transport = Callable[[str], Reply]
 
 
+class KeepAlive:
+    """Opens URLs like ``urlopen``, over one connection per thread and server, kept open.
+
+    A connection that the server has closed meanwhile is replaced.
+    """
+
+    def __init__(self) -> None:
+        self._local = threading.local()
+        self._all: list[HTTPConnection] = []
+
+    def __call__(self, url: str, timeout: float) -> Response:
+        parts = urlsplit(url)
+        if parts.scheme not in ("http", "https"):
+            raise ValueError(f"unknown URL type: {parts.scheme}")
+        known = self._local.__dict__.setdefault("connections", {})
+        server = parts.scheme, parts.netloc
+        path = parts._replace(scheme="", netloc="", fragment="").geturl() or "/"
+        for fresh in (server not in known, True):
+            if fresh:
+                kind = HTTPSConnection if parts.scheme == "https" else HTTPConnection
+                known[server] = kind(parts.netloc, timeout=timeout)
+                self._all.append(known[server])
+            try:
+                known[server].request("GET", path)
+                reply = known[server].getresponse()
+                body = reply.read()
+                break
+            except (HTTPException, ConnectionError):
+                known.pop(server).close()
+                if fresh:
+                    raise
+        if reply.status >= 300:
+            raise HTTPError(url, reply.status, reply.reason, reply.headers, None)
+        return Response(reply.status, body)
+
+    def close(self) -> None:
+        for connection in self._all:
+            connection.close()
+
+
+class Response:
+    """A reply that has been read."""
+
+    def __init__(self, status: int, body: bytes) -> None:
+        self.status, self._body = status, body
+
+    def read(self) -> bytes:
+        return self._body
+
+    def __enter__(self) -> Response:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        pass
+
+
 class HttpTransport:
     """GET ``base_url + url`` with a timeout and bounded retries.
 
     The API key is added here, on the executor, so that it appears neither in the request and
-    response tables nor in error texts.
+    response tables nor in error texts. ``client`` gives a task a transport with connections of
+    its own, kept open from call to call. A server that asks to wait (``Retry-After``, in seconds)
+    is given that time, up to ``longest_wait``; errors that another try can't change are final.
     """
 
     def __init__(
@@ -53,6 +116,7 @@ class HttpTransport:
         attempts: int = 4,
         backoff: float = 1.0,
         opener: Callable = urlopen,
+        longest_wait: float = 120.0,
     ) -> None:
         if attempts < 1:
             raise ValueError("attempts must be at least 1")
@@ -62,36 +126,56 @@ class HttpTransport:
         self.attempts = attempts
         self.backoff = backoff
         self.opener = opener
+        self.longest_wait = longest_wait
 
     def __repr__(self) -> str:
         return f"HttpTransport({self.base_url!r})"
 
+    @contextmanager
+    def client(self) -> Iterator[HttpTransport]:
+        """The same transport over kept connections; a custom opener stays as it is."""
+        if self.opener is not urlopen:
+            yield self
+            return
+        own = copy(self)
+        own.opener = KeepAlive()
+        try:
+            yield own
+        finally:
+            own.opener.close()
+
     def __call__(self, url: str) -> Reply:
+        wait = 0.0
         for attempt in range(self.attempts):
             if attempt:
-                time.sleep(self.backoff * 2 ** (attempt - 1))
-            reply, final = self._try(url)
+                time.sleep(max(wait, self.backoff * 2 ** (attempt - 1)))
+            reply, final, wait = self._try(url)
             if final:
                 break
         return reply
 
-    def _try(self, url: str) -> tuple[Reply, bool]:
-        """One call, and whether its outcome would stay the same on another one."""
+    def _try(self, url: str) -> tuple[Reply, bool, float]:
+        """One call, whether its outcome would stay the same on another one, and when to try."""
         target = self.base_url + url
         if self._api_key:
             target += f"&{KEY_PARAMETER}={quote(self._api_key, safe='')}"
         try:
             with self.opener(target, timeout=self.timeout) as response:
                 body = response.read().decode("utf-8")
-                return Reply(response.status, body, None), True
+                return Reply(response.status, body, None), True, 0.0
         except HTTPError as error:
+            asked = (error.headers or {}).get("Retry-After") or ""
             error.close()
             retry = error.code == 429 or error.code >= 500
-            return Reply(error.code, None, f"HTTP {error.code}"), not retry
+            wait = min(float(asked), self.longest_wait) if asked.isdigit() else 0.0
+            return Reply(error.code, None, f"HTTP {error.code}"), not retry, wait
         except UnicodeDecodeError:
-            return Reply(OK, None, "body is not UTF-8"), True
+            return Reply(OK, None, "body is not UTF-8"), True, 0.0
         except Exception as error:  # connection failures, timeouts, broken bodies
-            return Reply(None, None, self._redact(f"{type(error).__name__}: {error}")), False
+            text = f"{type(error).__name__}: {error}"
+            # A URL that can't be called, such as one of an unknown type.
+            final = isinstance(error, ValueError) or "unknown url type" in text.lower()
+            return Reply(None, None, self._redact(text)), final, 0.0
 
     def _redact(self, text: str) -> str:
         if not self._api_key:
@@ -101,7 +185,9 @@ class HttpTransport:
         return text
 
 
-def fetch_responses(requests: DataFrame, transport: Transport, parallelism: int) -> DataFrame:
+def fetch_responses(
+    requests: DataFrame, transport: Transport, parallelism: int, concurrency: int = 1
+) -> DataFrame:
     """Call every distinct ``url`` of ``requests`` once, in ``parallelism`` tasks.
 
     Returns ``url, n_requests, status, body, error``, where ``n_requests`` counts the requests
@@ -109,12 +195,16 @@ def fetch_responses(requests: DataFrame, transport: Transport, parallelism: int)
     others. Counting before the calls combines within the input partitions, so a URL shared
     by a large part of all requests costs no more than any other.
 
+    Each task has up to ``concurrency`` calls under way, so the load on the API is at most
+    ``parallelism * concurrency`` calls at a time. A transport with a ``client`` method, a context
+    manager, gives each task one client that all its calls share.
+
     Write the result to a table before using it: evaluating the frame again repeats the
     calls. A lost task repeats its own share only; more tasks than cores make that share
     smaller.
     """
-    if parallelism < 1:
-        raise ValueError("parallelism must be at least 1")
+    if parallelism < 1 or concurrency < 1:
+        raise ValueError("parallelism and concurrency must be at least 1")
     schema = pa.schema(
         [
             ("url", pa.string()),
@@ -125,22 +215,26 @@ def fetch_responses(requests: DataFrame, transport: Transport, parallelism: int)
         ]
     )
 
-    def call(url: str) -> Reply:
-        try:
-            return Reply(*transport(url))
-        except Exception as error:
-            return Reply(None, None, f"{type(error).__name__}: {error}")
-
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, REPLIES_PER_BATCH):
-                share = batch.slice(start, REPLIES_PER_BATCH)
-                urls = share.column("url").to_pylist()
-                statuses, bodies, errors = zip(*map(call, urls))
-                columns = [urls, share.column("n_requests").to_pylist(), statuses, bodies, errors]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-                )
+        opened = transport.client() if hasattr(transport, "client") else nullcontext(transport)
+        with opened as client, ThreadPoolExecutor(concurrency) as threads:
+
+            def call(url: str) -> Reply:
+                try:
+                    return Reply(*client(url))
+                except Exception as error:
+                    return Reply(None, None, f"{type(error).__name__}: {error}")
+
+            for batch in batches:
+                for start in range(0, batch.num_rows, REPLIES_PER_BATCH):
+                    share = batch.slice(start, REPLIES_PER_BATCH)
+                    urls = share.column("url").to_pylist()
+                    statuses, bodies, errors = zip(*threads.map(call, urls))
+                    counts = share.column("n_requests").to_pylist()
+                    columns = [urls, counts, statuses, bodies, errors]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
+                    )
 
     distinct = requests.groupBy("url").agg(F.count(F.lit(1)).alias("n_requests"))
     return distinct.repartition(parallelism).mapInArrow(

@@ -109,15 +109,22 @@ def test_lines_that_hold_more_than_an_entry(spark, file):
     assert len(rejects.collect()) == 4
 
 
-def test_inference_wants_one_entry_per_line(spark, file):
+def test_inference_sees_all_entries_of_a_line(spark, file):
     path = file('[\n{"a": 1}, {"b": 2},\n{}\n]')
-    with pytest.raises(ValueError, match="several entries"):
-        scan_json_array(spark, path)
-    assert scan_json_array(spark, path, layout="document").columns == ["a", "b", CORRUPT]
+    for layout in ("entries", "document"):
+        rows = scan_json_array(spark, path, layout=layout)
+        assert rows.columns == ["a", "b", CORRUPT] and rows.count() == 2
     strings = file('[\n{"a": "}, {"},\n{}\n]')
     assert scan_json_array(spark, strings).first()["a"] == "}, {"
 
 
+def test_a_pinned_schema_needs_no_pass_of_its_own(spark, file, plan):
+    path = file(array_text(ENTRY))
+    pinned = infer_entry_schema(spark, path)
+    assert scan_json_array(spark, path, pinned).drop(CORRUPT).columns == pinned.names
+    assert plan(scan_json_array(spark, path, pinned)).count("Scan text") <= 2  # tree and details
+
+
 def test_inferred_scan(spark, file):
     rows, rejects = split_rejects(scan_json_array(spark, file(array_text(ENTRY))))
     assert rows.columns == sorted(ENTRY)
@@ -152,13 +159,51 @@ def test_truncated_document_is_a_reject(spark, file):
     assert [r[CORRUPT] for r in rejects.collect()] == [text]
 
 
-def test_other_array_forms(spark, file):
-    """Pretty-printed and one-line arrays: whole as documents, never silently lost as entries."""
-    for indent in (None, 2):
-        path = file(json.dumps([ENTRY, ENTRY], indent=indent))
-        assert scan_json_array(spark, path, OBSERVATION, layout="document").count() == 2
-        rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION))
-        assert rows.count() == 0 and rejects.count() > 0
+ARRAYS = {
+    "one line": json.dumps([{"AQI": 1}, {"AQI": 2, "Category": [{}]}]),
+    "one line, closed": json.dumps([{"AQI": 1}, {"AQI": 2}, {}]),
+    "several arrays": '[{"AQI": 1}]\n [ {"AQI": 2} ] \n',
+    "opening bracket": '[{"AQI": 1},\n{"AQI": 2},\n{}\n]',
+    "closing bracket": '[\n{"AQI": 1},\n{"AQI": 2}]',
+    "both brackets": ' [ {"AQI": 1},\n{"AQI": 2} ] ',
+    "closing object with bracket": '[{"AQI": 1},\n{"AQI": 2},\n{}]',
+    "bracket and several": '[{"AQI": 1}, {"AQI": 2},\n{}]',
+}
+
+
+@pytest.mark.parametrize("name", ARRAYS)
+def test_arrays_on_fewer_lines(spark, file, name):
+    path = file(ARRAYS[name])
+    for schema in (OBSERVATION, None):
+        rows, rejects = split_rejects(scan_json_array(spark, path, schema))
+        assert sorted(r.AQI for r in rows.collect()) == [1.0, 2.0]
+        assert rejects.count() == 0
+    kept = scan_json_array(spark, path, OBSERVATION, keep_terminator=True)
+    assert kept.count() == 2 + ("{}" in ARRAYS[name].replace("[{}]", ""))
+
+
+def test_an_array_among_the_entries_is_no_object(spark, file):
+    path = file('[\n{"AQI": 1},\n[{"AQI": 2}],\n{}\n]')
+    rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION))
+    assert [r.AQI for r in rows.collect()] == [1.0]
+    assert rejects.count() == 1
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_other_formatting_through_the_job(spark, tmp_path, file, indent):
+    """Documents are read in any formatting; where lines can't be, nothing is replaced."""
+    source = file(json.dumps([ENTRY, {**ENTRY, "AQI": 7}], indent=indent))
+    target, rejects = str(tmp_path / "t"), str(tmp_path / "r")
+    found = plans.transform_observations(
+        spark, source, target, rejects, form="array", layout="document"
+    )
+    assert found == 0 and scan_table(spark, target).count() == 2
+    if indent:
+        with pytest.raises(plans.AllRejected):
+            plans.transform_observations(spark, source, target, rejects, form="array")
+    else:
+        assert plans.transform_observations(spark, source, target, rejects, form="array") == 0
+    assert sorted(r.AQI for r in scan_table(spark, target).collect()) == [7.0, 42.0]
 
 
 def test_unknown_layout(spark, file):
@@ -326,6 +371,18 @@ def test_transform_jobs(spark, tmp_path, file, form):
     assert scan_table(spark, rejects).count() == 0
 
 
+def test_rejects_cost_no_second_parse(spark, tmp_path, file, monkeypatch):
+    """Rows and rejects come from one intermediate table."""
+    from hazeline.plans import rejects as module
+
+    read = []
+    monkeypatch.setattr(module, "scan_table", lambda s, p: read.append(p) or scan_table(s, p))
+    source = file(json.dumps(ENTRY) + "\nbroken\n")
+    plans.transform_observations(spark, source, str(tmp_path / "t"), str(tmp_path / "r"))
+    assert len(read) == 1 and source not in read[0]
+    assert scan_table(spark, str(tmp_path / "r")).count() == 1
+
+
 def test_transform_modes(spark, tmp_path, file):
     source, target, rejects = file(array_text(ENTRY)), str(tmp_path / "t"), str(tmp_path / "r")
     plans.transform_observations(spark, source, target, rejects, None, "array")

@@ -4,7 +4,10 @@ import io
 import json
 import os
 import sys
+import time
 import uuid
+from contextlib import contextmanager
+from http.client import RemoteDisconnected
 from pathlib import Path
 from urllib.error import HTTPError, URLError
 
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hazeline import plans
 from hazeline.operators import (
+    entries_or_reasons,
     explode_responses,
     parse_entries,
     repeat_entries,
@@ -160,7 +164,7 @@ def fetched(spark, tmp_path, canned, stations):
     def run(*latitudes):
         return fetch(
             spark, stations(*latitudes), str(tmp_path / "responses"), str(tmp_path / "rejects"),
-            canned, "forecast", "2024-01-01", parallelism=3,
+            canned, "forecast", "2024-01-01", 3,
         )
 
     return run
@@ -189,7 +193,7 @@ def test_failures_do_not_stop_the_others(spark, tmp_path, fetched):
     assert sorted(str(r.ReportingArea) for r in rows) == ["None", "a", "b", "line\nbreak"]
     reasons = {
         r.url.split("latitude=")[1].split("&")[0]: r.reason
-        for r in scan_table(spark, str(tmp_path / "rejects/responses")).collect()
+        for r in response_rejects(replies).collect()
     }
     assert reasons == {
         "3.0": "body is not a JSON array",
@@ -208,6 +212,9 @@ def test_every_reply_is_entries_or_reject(fetched):
     replies = fetched(*map(float, range(1, 12)))
     used = {r.url for r in explode_responses(replies).collect()}
     rejected = {r.url for r in response_rejects(replies).collect()}
+    both = entries_or_reasons(replies).collect()
+    assert {r.url for r in both if r.reason is None} == used
+    assert {r.url for r in both if r.reason is not None} == rejected
     silent = {r.url for r in replies.collect()} - used - rejected
     assert not used & rejected
     assert [u.split("latitude=")[1][:3] for u in silent] == ["2.0"]  # the empty array
@@ -217,7 +224,7 @@ def test_no_usable_station(spark, tmp_path, canned, stations):
     path = {n: str(tmp_path / n) for n in ("responses", "table", "rejects")}
     plans.fetch_and_transform(
         spark, stations(None, None), path["responses"], path["table"], path["rejects"], canned,
-        "forecast", "2024-01-01", FORECAST,
+        "forecast", "2024-01-01", FORECAST, 2,
     )
     assert scan_table(spark, path["table"]).schema.names == FORECAST.names
     assert scan_table(spark, path["table"]).count() == 0
@@ -276,7 +283,7 @@ def test_repeated_entries_are_complete_at_any_limit(spark, in_place, per_share):
         [(f"u{t}", n, t) for t, n in counts.items()], "url string, n_requests bigint, entry string"
     )
     repeated = repeat_entries(entries, in_place, per_share)
-    assert repeated.columns == ["url", "entry"]
+    assert repeated.columns == ["url", "entry"]  # all but the number
     assert {r.entry: r["count"] for r in repeated.groupBy("entry").count().collect()} == counts
 
 
@@ -292,6 +299,113 @@ def test_shared_places_that_lie_together_are_spread(spark, places, stations):
     assert max(s["count"] for s in sizes) < 200_000
 
 
+def test_one_reply_for_a_million_stations_is_parsed_once(spark, plan):
+    replies = spark.createDataFrame(
+        [("u", 1_000_000, 200, json.dumps([entry(), entry(AQI=7)]), None)],
+        "url string, n_requests bigint, status int, body string, error string",
+    )
+    parsed = parse_entries(explode_responses(replies), FORECAST, ("n_requests",))
+    repeated = repeat_entries(parsed.drop(CORRUPT))
+    assert repeated.groupBy("AQI").count().collect() == [(5.0, 1_000_000), (7.0, 1_000_000)]
+    tree = repeated._jdf.queryExecution().optimizedPlan().toString()
+    for line, parent in zip(tree.split("\n")[1:], tree.split("\n"), strict=False):
+        # Nothing above the repetition parses; it is the generator over a sequence.
+        assert not ("from_json" in parent and "explode(sequence(1, n_requests" in line)
+    assert tree.index("explode(sequence(1, n_requests") < tree.index("from_json")
+
+
+def test_rejects_parse_bodies_once(spark, fetched, plan):
+    text = plan(response_rejects(fetched(1.0)))
+    assert text.count("from_json(ArrayType") == 1
+
+
+class Slow:
+    """A transport that waits, and tells which client of which process was asked."""
+
+    def __init__(self, folder, wait=0.05):
+        self.folder, self.wait = str(folder), wait
+
+    @contextmanager
+    def client(self):
+        client = Slow(self.folder, self.wait)
+        client.name = uuid.uuid4().hex
+        yield client
+        Path(self.folder, f"closed-{client.name}").touch()
+
+    def __call__(self, url):
+        Path(self.folder, f"{self.name}-{uuid.uuid4().hex}").write_text(url)
+        time.sleep(self.wait)
+        return Reply(503, None, "HTTP 503") if url.endswith("7") else Reply(200, f"[{url[2:]}]", None)
+
+
+def test_concurrent_calls_and_one_client_per_task(spark, tmp_path):
+    requests = spark.range(200).select(F.concat(F.lit("i="), F.col("id").cast("string")).alias("url"))
+    seconds = {}
+    for concurrency in (1, 10):
+        folder = tmp_path / f"calls-{concurrency}"
+        folder.mkdir()
+        start = time.perf_counter()
+        replies = fetch_responses(requests, Slow(folder), 2, concurrency).collect()
+        seconds[concurrency] = time.perf_counter() - start
+        files = [p for p in folder.iterdir() if not p.name.startswith("closed")]
+        assert sorted(p.read_text() for p in files) == sorted(f"i={i}" for i in range(200))
+        clients = {p.name.split("-")[0] for p in files}
+        assert len(clients) == 2
+        assert {p.name for p in folder.iterdir()} >= {f"closed-{name}" for name in clients}
+        assert all(r.body == f"[{r.url[2:]}]" for r in replies if r.status == 200)
+        assert sum(r.error == "HTTP 503" for r in replies) == 20
+    assert seconds[10] < seconds[1] / 2
+
+
+def test_retry_after_is_honoured(monkeypatch):
+    waits = []
+    monkeypatch.setattr("hazeline.sources.web.time.sleep", waits.append)
+    asked = HTTPError("https://x", 429, "message", {"Retry-After": "7"}, None)
+    long = HTTPError("https://x", 503, "message", {"Retry-After": "9999"}, None)
+    reply, _ = call(asked, long, http_error(503), b"[]")
+    assert reply.status == 200 and waits == [7.0, 120.0, 0]
+
+
+def test_what_cannot_change_is_not_tried_again(monkeypatch):
+    monkeypatch.setattr("hazeline.sources.web.time.sleep", lambda _: pytest.fail("waited"))
+    with HttpTransport("ftp2://api.example").client() as client:
+        assert "unknown" in client("x").error.lower()
+    assert "unknown url type" in HttpTransport("ftp2://api.example")("x").error
+
+
+def test_connections_are_kept_and_replaced(monkeypatch):
+    """Without a network: a connection that answers twice, then has been closed by the server."""
+    made = []
+
+    class Connection:
+        def __init__(self, netloc, timeout):
+            made.append(self)
+            self.left, self.open = 2, True
+
+        def request(self, method, path):
+            if not self.left:
+                raise RemoteDisconnected("closed")
+            self.left -= 1
+            self.path = path
+
+        def getresponse(self):
+            reply = Response(b"gone" if "missing" in self.path else self.path.encode())
+            reply.status, reply.reason = (404 if "missing" in self.path else 200), ""
+            reply.headers = {}
+            return reply
+
+        def close(self):
+            self.open = False
+
+    monkeypatch.setattr("hazeline.sources.web.HTTPSConnection", Connection)
+    transport = HttpTransport("https://api.example/v1", KEY, backoff=0)
+    with transport.client() as client:
+        replies = [client(url) for url in ("aq?a=1", "aq?a=2", "aq?a=3", "missing?a=4")]
+        assert [r.status for r in replies] == [200, 200, 200, 404] and len(made) == 2
+        assert replies[0].body == "/v1/aq?a=1&API_KEY=s3cret%2Fkey"
+    assert not any(connection.open for connection in made)
+
+
 def test_bodies_are_parsed_once(spark, tmp_path, fetched, plan):
     entries = parse_entries(explode_responses(fetched(1.0)), FORECAST)
     text = plan(entries.filter("AQI > 1").select("ReportingArea"))
@@ -306,14 +420,14 @@ def test_extract_and_fused_jobs_agree(spark, tmp_path, canned, stations, endpoin
     for _ in range(2):
         plans.extract(
             spark, at, path["responses"], path["entries"], path["rejects"], canned, endpoint,
-            "2024-01-01",
+            "2024-01-01", 3,
         )
     lines = spark.read.text(path["entries"])
     assert lines.count() == 5
     assert lines.filter("value like '%Extra%'").count() == 4  # undeclared fields are kept
     plans.fetch_and_transform(
         spark, at, path["responses"], path["table"], path["rejects"], canned, endpoint,
-        "2024-01-01", schema,
+        "2024-01-01", schema, 3,
     )
     table = scan_table(spark, path["table"])
     assert table.columns == schema.names

@@ -1,8 +1,10 @@
 """Whole runs, recurring loads, the command line and the shared folder."""
 
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from hazeline import plans, workspace
 from hazeline.__main__ import parse, run
@@ -44,8 +46,9 @@ def test_whole_run_can_be_repeated(spark, station_file, tmp_path):
     paths = Paths(str(tmp_path / "root"))
     results = []
     for _ in range(2):
-        plans.run_all(spark, station_file, paths, CannedApi(), "2024-01-01")
+        outcome = plans.run_all(spark, station_file, paths, CannedApi(), "2024-01-01", 4)
         results.append(tables(spark, paths))
+    assert outcome == dict.fromkeys(("observation", "forecast"), plans.Calls(2, 1, 0))
     assert results[0] == results[1]
     assert [len(rows) for rows in results[0].values()] == [4, 4]
     assert scan_table(spark, paths.stations).count() == 4
@@ -59,21 +62,55 @@ def test_whole_run_can_be_repeated(spark, station_file, tmp_path):
     assert scan_table(spark, f"{rejects}/entries").count() == 0
 
 
-def test_run_without_any_reply_gives_empty_tables(spark, station_file, tmp_path):
-    from pyspark import cloudpickle
-    import sys
+class Malformed:
+    def __call__(self, url):
+        return Reply(200, "<html>", None)
+
 
+@pytest.mark.parametrize("transport", [Down(), Malformed()])
+def test_a_run_without_any_usable_reply_leaves_the_tables(spark, station_file, tmp_path, transport):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    paths = Paths(str(tmp_path / "root"))
+    plans.run_all(spark, station_file, paths, CannedApi(), "2024-01-01", 4)
+    before = tables(spark, paths)
+    entries = sorted(spark.read.text(paths.entries("observation")).collect())
+    with pytest.raises(plans.CallsFailed, match="2 of 2"):
+        plans.run_all(spark, station_file, paths, transport, "2024-01-01", 4)
+    assert tables(spark, paths) == before
+    assert sorted(spark.read.text(paths.entries("observation")).collect()) == entries
+    # ... and tells why.
+    assert scan_table(spark, f"{paths.rejects('observation')}/responses").count() == 2
+
+
+def test_some_failures_can_be_too_many(spark, station_file, tmp_path):
+    paths = Paths(str(tmp_path / "root"))
+    with pytest.raises(plans.CallsFailed, match="1 of 2"):
+        plans.run_all(spark, station_file, paths, CannedApi(), "2024-01-01", 4, most_failed=0.4)
+    plans.run_all(spark, station_file, paths, CannedApi(), "2024-01-01", 4, most_failed=0.5)
+    target = str(tmp_path / "fused")
+    arguments = (spark, paths.stations, str(tmp_path / "replies"), target, str(tmp_path / "rejects"))
+    calls = ("observation", "2024-01-01", OBSERVATION, 4)
+    found = plans.fetch_and_transform(*arguments, CannedApi(), *calls)
+    assert found == plans.Calls(2, 1, 0)
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    with pytest.raises(plans.CallsFailed):
+        plans.fetch_and_transform(*arguments, Down(), *calls)
+    assert scan_table(spark, target).count() == 4
+
+
+def test_a_run_without_any_call_gives_empty_tables(spark, tmp_path):
+    path = tmp_path / "stations.dat"
+    path.write_text("Nowhere|WA|US|Yes|||-123.2|-8.0|Yes|PST|PDT|DDD|No|Src\n")
     paths = Paths(str(tmp_path / "root"))
-    plans.run_all(spark, station_file, paths, Down(), "2024-01-01")
+    outcome = plans.run_all(spark, str(path), paths, CannedApi(), "2024-01-01", 4)
+    assert outcome["forecast"] == plans.Calls(0, 0, 0)
     assert tables(spark, paths) == {"observation": [], "forecast": []}
-    assert scan_table(spark, f"{paths.rejects('forecast')}/responses").count() == 2
 
 
 def test_a_failing_step_ends_the_run(spark, tmp_path):
     paths = Paths(str(tmp_path / "root"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        plans.run_all(spark, str(tmp_path / "missing"), paths, CannedApi(), "2024-01-01")
+        plans.run_all(spark, str(tmp_path / "missing"), paths, CannedApi(), "2024-01-01", 4)
     assert not (tmp_path / "root").exists()
 
 
@@ -105,10 +142,11 @@ def test_command_line_jobs(spark, station_file, tmp_path, capsys):
     def go(*arguments):
         run(spark, parse(list(map(str, arguments))), CannedApi())
 
-    api = ("--base-url", "https://api.example", "--date", "2024-01-01")
+    api = ("--base-url", "https://api.example", "--date", "2024-01-01", "--parallelism", "4")
     stations, other = tmp_path / "stations", tmp_path / "other"
     go("stations", station_file, stations)
     go("stations-two-step", station_file, other, "--all-stations", tmp_path / "all")
+    assert scan_table(spark, f"{other}_rejects").count() == 0
     assert scan_table(spark, str(stations)).count() == scan_table(spark, str(other)).count() == 4
     for kind, schema in (("observations", OBSERVATION), ("forecasts", FORECAST)):
         entries, typed, fused = (tmp_path / f"{kind}-{n}" for n in ("entries", "typed", "fused"))
@@ -129,6 +167,12 @@ def test_command_line_jobs(spark, station_file, tmp_path, capsys):
     assert "33.0" in capsys.readouterr().out
     go("run", station_file, tmp_path / "root", *api)
     assert len(tables(spark, Paths(str(tmp_path / "root")))["forecast"]) == 4
+    assert "forecast: 2 calls, 1 failed, 0 entries rejected" in capsys.readouterr().out
+    pretty = tmp_path / "pretty.json"
+    pretty.write_text(json.dumps([{"AQI": 1}, {"AQI": 2}], indent=2))
+    form = ("--form", "array", "--layout", "document")
+    go("transform-forecasts", pretty, tmp_path / "from-pretty", *form)
+    assert scan_table(spark, str(tmp_path / "from-pretty")).count() == 2
 
 
 def test_command_line_reads_the_key_from_the_environment(monkeypatch):
@@ -137,7 +181,7 @@ def test_command_line_reads_the_key_from_the_environment(monkeypatch):
     monkeypatch.setenv("SOME_KEY", "k")
     options = parse(
         ["run", "a", "b", "--base-url", "https://api.example", "--date", "2024-01-01",
-         "--api-key-variable", "SOME_KEY"]
+         "--parallelism", "4", "--api-key-variable", "SOME_KEY"]
     )
     assert _transport(options)._api_key == "k"
     with pytest.raises(SystemExit):

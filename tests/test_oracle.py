@@ -32,7 +32,8 @@ def canonical(rows):
 
 
 DUCK_TYPES = {
-    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "double": "DOUBLE"
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "double": "DOUBLE",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -84,10 +84,8 @@ def test_one_value_in_most_rows_is_divided(spark, tmp_path, identical):
     )
     path = str(tmp_path / "t")
     write_table(df, path)
-    forms = [plans.rank_table(spark, path)]
-    if not identical:
-        df.createOrReplaceTempView("hot_readings")
-        forms += [rank_by_aqi(df), plans.rank_sql(spark, "hot_readings")]
+    df.createOrReplaceTempView("hot_readings")
+    forms = [plans.rank_table(spark, path), rank_by_aqi(df), plans.rank_sql(spark, "hot_readings")]
     coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(coalesce, "false")
     try:

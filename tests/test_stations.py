@@ -125,8 +125,11 @@ def test_shape(spark, station_file):
 def test_station_jobs(spark, station_file, tmp_path):
     one, everything, two = (str(tmp_path / n) for n in ("one", "all", "two"))
     for _ in range(2):  # a second run replaces the first
-        plans.load_stations(spark, station_file(), one)
-        plans.load_stations_two_step(spark, station_file(), everything, two)
+        rejects = [str(tmp_path / f"rejects-{name}") for name in ("one", "two")]
+        assert plans.load_stations(spark, station_file(), one, rejects[0]) == 3
+        assert plans.load_stations_two_step(spark, station_file(), everything, two, rejects[1]) == 3
+    listed = [sorted(scan_table(spark, path).collect(), key=str) for path in rejects]
+    assert listed[0] == listed[1] and len(listed[0]) == 3
     assert sorted(scan_table(spark, one).collect()) == sorted(scan_table(spark, two).collect())
     assert scan_table(spark, one).count() == 6
     assert scan_table(spark, everything).count() == 10
@@ -134,15 +137,15 @@ def test_station_jobs(spark, station_file, tmp_path):
 
 def test_station_job_lists_malformed_lines(spark, station_file, tmp_path):
     plain, table, rejects = (str(tmp_path / n) for n in ("plain", "table", "rejects"))
-    plans.load_stations(spark, station_file(), plain)
+    plans.load_stations(spark, station_file(), plain, f"{rejects}-plain")
     other_state = "Short|NV|US"
     lines = station_file(lines=LINES + [other_state])
-    plans.load_stations(spark, lines, table, rejects=rejects)
+    plans.load_stations(spark, lines, table, rejects)
     assert scan_table(spark, table).schema == scan_table(spark, plain).schema
     assert sorted(scan_table(spark, table).collect()) == sorted(scan_table(spark, plain).collect())
     listed = {r[CORRUPT] for r in scan_table(spark, rejects).collect()}
     assert listed == {LINES[2], LINES[3], LINES[4], other_state}
-    plans.load_stations(spark, station_file(lines=LINES[:2]), table, rejects=rejects)
+    plans.load_stations(spark, station_file(lines=LINES[:2]), table, rejects)
     assert scan_table(spark, table).count() == 2
     assert scan_table(spark, rejects).count() == 0
 
