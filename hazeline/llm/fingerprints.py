@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,9 +144,13 @@ def _below(cuts: list[int], value: Column) -> Column:
     )
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+def with_next(
+    docs: DataFrame, id_col: str, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
     """Add ``next_<column>`` of the next row in descending order of id; after the last, the first.
 
+    ``prepare`` adds columns, which can be among ``columns``, to the rows and to those copied.
+
     Null ids come last; rows with equal ids follow a hash of their columns. The ids are cut at
     quantiles into ranges, several per task. Each range is ordered by itself, together with a
     copy of the first row of the range that follows, so nothing passes through one task.
@@ -158,7 +164,7 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
         F.col(id_col).isNotNull(), F.lit(number) - _below(sorted(set(cuts)), F.col(id_col).cast("long"))
     ).otherwise(F.lit(number + 1))
     placed = docs.withColumn("_range", at)
-    tie = F.xxhash64(*[F.col(c) for c in columns])
+    tie = F.xxhash64(*[F.col(c) for c in docs.columns])
     order = [F.col(id_col).desc_nulls_last(), F.col("_tie")]
     used = (
         placed.groupBy("_range")
@@ -178,12 +184,14 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
         .withColumn("_copy", F.lit(1))
         .drop("_r", "_first", "_before", "_n")
     )
-    rows = placed.withColumn("_tie", tie).withColumn("_copy", F.lit(0)).unionByName(heads)
+    rows = prepare(placed.withColumn("_tie", tie).withColumn("_copy", F.lit(0)).unionByName(heads))
     in_range = Window.partitionBy("_range").orderBy("_copy", *order)
     return (
         rows.withColumn("_next", F.lead(F.struct(*columns)).over(in_range))
         .filter("_copy = 0")
-        .select(*docs.columns, *[F.col("_next")[c].alias(f"next_{c}") for c in columns])
+        .drop("_range", "_tie", "_copy")
+        .select("*", *[F.col("_next")[c].alias(f"next_{c}") for c in columns])
+        .drop("_next")
     )
 
 
@@ -197,7 +205,6 @@ def edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **
     """
     texts = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bits = stored(lexicon(texts, **band), "lexicon")
-    hashed = with_signatures(texts, "text", bits, "hashes")
     length = F.char_length("text")
     third = F.floor(length / 3).cast("int")
     edited = F.concat(
@@ -205,7 +212,9 @@ def edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **
         F.substring(F.col("next_text"), F.lit(1), third),
     )
     paired = with_signatures(
-        with_next(hashed, id_col, ["text", "hashes"]).withColumn("edited", edited),
+        with_next(
+            texts, id_col, ["text", "hashes"], lambda df: with_signatures(df, "text", bits, "hashes")
+        ).withColumn("edited", edited),
         "edited", bits, "edited_hashes",
     )
     return paired.select(
