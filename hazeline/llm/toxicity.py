@@ -30,6 +30,10 @@ WINDOW = 6
 STRONGEST = 6.0
 #: Least that a term must say over all its words in the sample.
 LEAST_SAID = 15.0
+#: What a term must say to count where others explain the documents, too, per toxic document.
+SURE = 0.1
+#: Share of the rarer words that makes two documents copies of each other.
+COPY = 0.3
 
 # Characters often written for letters, quotation marks, verbs and nouns of reporting.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -274,7 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", fitted: int
 
     toxic = sample.filter("y = 1").select("text", "_id")
     lists = toxic.orderBy("_id").select("text").mapInArrow(distinct, "words array<string>").collect()
-    bad = [set(row.words) for row in lists]
+    bad = _unlike([set(row.words) for row in lists])
     if not bad:
         return Lexicon([])
     least = max(6, len(bad) // 100)
@@ -311,7 +315,8 @@ def _chosen(bad: list[set[str]], harmless: Counter, candidates: frozenset, least
 
     A beginning tells the number of words with it times the logarithm of how much more frequent
     it is than elsewhere; of beginnings that tell the same, the longest is the term. What tells
-    less than ``LEAST_SAID`` may be chance, as so many beginnings are tried.
+    less than ``LEAST_SAID`` may be chance, as so many beginnings are tried. A term that tells less
+    than ``SURE`` counts only for documents that no term found before explains.
     """
     more = max(1, harmless[""]) / max(1, sum(map(len, bad)))
     with_stem: dict[str, set[tuple[int, str]]] = defaultdict(set)
@@ -328,17 +333,29 @@ def _chosen(bad: list[set[str]], harmless: Counter, candidates: frozenset, least
         return said if said >= LEAST_SAID else 0.0
 
     value = {stem: tells(stem) for stem in with_stem}
-    chosen = []
+    chosen, explained = [], set()
     while value:
         best = max(value, key=lambda stem: (round(value[stem], 6), len(stem), stem))
         if value[best] <= 0:
             break
+        if not explained and value[best] < SURE * len(bad):
+            # From here on only documents without a sure term count.
+            explained = {number for number, own in enumerate(bad) if any(_has(own, term) for term in chosen)}
+            for stem, pairs in with_stem.items():
+                with_stem[stem] = {pair for pair in pairs if pair[0] not in explained}
+            explained.add(-1)
+            value = {stem: tells(stem) for stem in with_stem}
+            continue
         pairs = set(with_stem[best])
         if len({number for number, _ in pairs}) >= least:
             exact = sum(word == best for _, word in pairs)
             chosen.append((best, exact < 0.9 * len(pairs)))
+        gone = pairs
+        if explained:
+            numbers = {number for number, _ in pairs}
+            gone = {(number, word) for number in numbers for word in bad[number]}
         touched = {best}
-        for pair in pairs:
+        for pair in gone:
             for stem in _beginnings(pair[1]):
                 if stem in candidates:
                     with_stem[stem].discard(pair)
@@ -347,6 +364,29 @@ def _chosen(bad: list[set[str]], harmless: Counter, candidates: frozenset, least
     return sorted(chosen)
 
 
+def _has(words: set[str], term: tuple[str, bool]) -> bool:
+    return any(word.startswith(term[0]) for word in words) if term[1] else term[0] in words
+
+
+def _unlike(documents: list[set[str]]) -> list[set[str]]:
+    """Documents of which no earlier one is a near copy, by the words that few of them have.
+
+    The words of a document with many copies would otherwise look as if they told something.
+    """
+    often = Counter(word for own in documents for word in own)
+    rare = max(3, len(documents) // 20)
+    kept, having = [], defaultdict(list)
+    for own in documents:
+        few = [word for word in own if often[word] <= rare]
+        shared = Counter(number for word in few for number in having[word])
+        if few and shared and max(shared.values()) >= COPY * len(few):
+            continue
+        for word in few:
+            having[word].append(len(kept))
+        kept.append(own)
+    return kept
+
+
 def _weigh(lexicon: Lexicon, sample: DataFrame) -> None:
     """Learn from the sample what matches say, by term, errors and context, and how to add it up.
 
@@ -381,7 +421,9 @@ def _weigh(lexicon: Lexicon, sample: DataFrame) -> None:
             )
             usual = (5.0, 4.5, 4.0)[errors]
             said = np.log((own + np.exp(usual) * doubt) / (others + doubt))
-            lexicon.evidence[number, errors] = float(np.clip(said, 0, STRONGEST)) if said >= 1 else 0.0
+            # A misspelling that other documents have, too, is a word of its own.
+            enough = said >= (3 if errors else 1)
+            lexicon.evidence[number, errors] = float(min(said, STRONGEST)) if enough else 0.0
 
     def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
