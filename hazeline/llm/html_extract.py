@@ -41,6 +41,10 @@ NAMES = re.compile(
     r"overlay|widget|toolbar|pagination|pager|search\w*|skip\w*|tags|copyright|legal|disclaimer)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+LAYOUT = re.compile(r"\b(?:has|with|without|no|show|hide)[_-][\w-]+", re.IGNORECASE)
+NO_ARTICLE = re.compile(
+    r"comment|reply|ads?|advert\w*|sponsor\w*|promo\w*|related|recommended|teaser|notice", re.IGNORECASE
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -102,7 +106,13 @@ class Lines(HTMLParser):
             return True
         if tag in ("html", "body", "main") or (tag == "header" and root):
             return False
-        return any(NAMES.search(attrs.get(name) or "") for name in ("class", "id"))
+        names = [attrs.get(name) or "" for name in ("class", "id")]
+        if tag == "article":  # such names often list topics, too
+            return any(NO_ARTICLE.fullmatch(name) for name in " ".join(names).split())
+        found = [match for name in names for match in NAMES.finditer(LAYOUT.sub("", name))]
+        if root:  # an article's own head is part of it
+            found = [match for match in found if not match[0].lower().endswith("header")]
+        return bool(found)
 
     def _close_implied(self, tag: str) -> None:
         if tag in ROOTS:  # a menu that nobody closed doesn't hold the article

@@ -29,6 +29,12 @@ PAGES = {
     "empty": ("", ""),
     "null": (None, ""),
     "plain text": ("just   text\nhere", "just text here"),
+    "names of layouts and topics": (
+        "<div class='page has-sidebar'><article class='post category-social tag-ad-blockers'><div class='post-header'>"
+        "<h2>Head</h2></div><p>" + LONG + "</p><div class='share-buttons'>share</div></article>"
+        "<article class='teaser'><p>" + LONG + "</p></article></div>",
+        "Head\n" + LONG.strip(),
+    ),
     "hidden": ("<article><p hidden>no</p><p style='display: none'>no</p><p>yes</p></article>", "yes"),
     "broken": ("<article><p>a < b && c > d</b></i></p><!-- no --><![CDATA[x]]><p>e", None),
 }
