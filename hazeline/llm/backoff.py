@@ -8,66 +8,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, pack, unpack
+from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
 
 #: Words of the longest n-grams, and what each step to a shorter one costs.
 ORDER = 3
 ALPHA = 0.4
 #: Bits of an n-gram's hash.
 KEY_BITS = 56
+#: Bytes of text per block and bucket; a word makes several n-grams, so buckets take less text.
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 U = np.uint64
+EMPTY = (arrays.mixed(np.zeros(1, U)) >> U(64 - KEY_BITS)) << U(64 - KEY_BITS)
 
 
 class Block:
     """The n-grams of a block's documents, in a fixed order.
 
-    ``keys`` has a row per word and a column per order: the hash of the n-gram that ends there.
-    Column 0 is the empty n-gram, whose count is the number of words. ``fits`` says which n-grams
-    lie within their text.
+    ``grams[n]`` has the hash of the n-gram that ends at each word, for those that lie within
+    their text, ``fits[n]`` tells which do. The empty n-gram counts words.
     """
 
     def __init__(self, table: pa.Table, order: int):
-        rows = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True))
+        _, rows = ordered(table)
         self.ids = [number for number, _ in rows]
         texts = [text.encode() for _, text in rows]
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
-        hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int32)]
         for first, last in arrays.steps(offsets):
             part = arrays.lower(data[offsets[first] : offsets[last]])
             starts, ends, of = arrays.words(part, offsets[first : last + 1] - offsets[first])
             hashes.append(arrays.Hasher(part)(starts, ends))
-            owners.append(of + first)
+            owners.append((of + first).astype(np.int32))
         word, self.of = np.concatenate(hashes), np.concatenate(owners)
         self.counts = np.bincount(self.of, minlength=len(rows))
         place = np.arange(len(word)) - (np.cumsum(self.counts) - self.counts)[self.of]
-        self.fits = [place >= max(0, n - 1) for n in range(order + 1)]
-        self.keys = [np.full(len(word), arrays.mixed(np.zeros(1, U))[0])]
+        self.fits = [place >= n - 1 for n in range(order + 1)]
+        self.grams = [EMPTY]
         total = np.zeros(len(word), U)
         for n in range(1, order + 1):
             # The n-gram with one word more in front.
-            total = total * U(0x100000001B3) + np.concatenate([np.zeros(min(n - 1, len(word)), U), word[: len(word) - n + 1]])
-            self.keys.append(arrays.mixed(total + U(n)))
-        self.keys = [(keys >> U(64 - KEY_BITS)) << U(64 - KEY_BITS) for keys in self.keys]
+            total *= U(0x100000001B3)
+            total[n - 1 :] += word[: len(word) - n + 1]
+            keys = arrays.mixed(total[self.fits[n]] + U(n))
+            self.grams.append((keys >> U(64 - KEY_BITS)) << U(64 - KEY_BITS))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """All n-grams of the block, in order, and how often it has them."""
-        return np.unique(
-            np.concatenate([keys[fits] for keys, fits in zip(self.keys, self.fits, strict=True)]), return_counts=True
-        )
+        found = [np.unique(keys, return_counts=True) for keys in self.grams[1:]]
+        keys = np.concatenate([EMPTY, *(keys for keys, _ in found)])
+        counts = np.concatenate([[len(self.of)], *(counts for _, counts in found)])
+        by = np.argsort(keys, kind="stable")
+        return keys[by], counts[by]
 
     def elsewhere(self, keys: np.ndarray, totals: np.ndarray, order: int) -> np.ndarray:
-        """How often each n-gram occurs in other documents; 0 where it doesn't fit in its own."""
-        known, own = keys, self.keys[order]
-        count = totals[np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))]
-        by = np.lexsort((self.of, own))
+        """How often each word's n-gram occurs in other documents; 0 where it doesn't fit."""
+        if order == 0:
+            return totals[np.searchsorted(keys, EMPTY[0])] - self.counts[self.of]
+        own, of = self.grams[order], self.of[self.fits[order]]
+        by = np.lexsort((of, own))
         new = np.ones(len(by), bool)
-        new[1:] = (own[by][1:] != own[by][:-1]) | (self.of[by][1:] != self.of[by][:-1])
-        group = np.empty(len(by), np.int64)
-        group[by] = np.cumsum(new) - 1
-        fits = self.fits[order]
-        mine = np.bincount(group, fits, minlength=int(new.sum()))[group].astype(np.int64)
-        return np.where(fits, count - mine, 0)
+        new[1:] = (own[by[1:]] != own[by[:-1]]) | (of[by[1:]] != of[by[:-1]])
+        group = np.cumsum(new) - 1
+        mine = np.bincount(group)[group] if len(by) else group
+        out = np.zeros(len(self.of), np.int64)
+        found = np.empty(len(by), np.int64)
+        found[by] = totals[np.searchsorted(keys, own[by])] - mine
+        out[self.fits[order]] = found
+        return out
 
 
 def _packed(bits: int, order: int):
@@ -89,18 +98,30 @@ def _packed(bits: int, order: int):
 
 
 def _counted(key: tuple, table: pa.Table) -> pa.Table:
-    """The count table of a bucket, joined to the n-grams of each block."""
+    """The count table of a bucket, joined to the n-grams of each block.
+
+    A block is told which of its n-grams other blocks have, one bit each, and how often those do.
+    """
     blocks = table.column("block").to_pylist()
     parts = [unpack(packed, ("u8", "u4")) for packed in table.column("packed").to_pylist()]
-    keys = np.concatenate([np.cumsum(part[0], dtype=U) for part in parts])
-    _, entry = np.unique(keys, return_inverse=True)
-    totals = np.bincount(entry, np.concatenate([part[1] for part in parts])).astype(np.int64)[entry]
     begins = np.cumsum([0, *(len(part[0]) for part in parts)])
+    keys = np.concatenate([np.cumsum(part[0], dtype=U) for part in parts])
+    counts = np.concatenate([part[1] for part in parts]).astype(np.int64)
+    by = np.argsort(keys, kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = keys[by[1:]] != keys[by[:-1]]
+    others = np.empty(len(by), np.int64)
+    others[by] = np.add.reduceat(counts[by], np.flatnonzero(new))[np.cumsum(new) - 1]
+    others -= counts
+    packed = []
+    for a, b in zip(begins, begins[1:], strict=False):
+        known = others[a:b] > 0
+        packed.append(np.packbits(known).tobytes() + pack(others[a:b][known]))
     return pa.table(
         {
             "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
             "block": pa.array(blocks, pa.int32()),
-            "packed": pa.array([pack(totals[a:b]) for a, b in zip(begins, begins[1:], strict=False)], pa.binary()),
+            "packed": pa.array(packed, pa.binary()),
         }
     )
 
@@ -144,7 +165,7 @@ def score(
     divided in by hash; these join them to the totals. A frequent n-gram is thus one row per
     block. N-grams are known by ``KEY_BITS`` bits of a hash.
     """
-    plan: Layout = layout(docs, text_col)
+    plan: Layout = layout(docs, text_col, BLOCK_BYTES, BUCKET_BYTES)
     rows, bits = blocked(docs, plan, id_col, text_col), plan.bits
     counted = (
         rows.groupBy("block").applyInArrow(_packed(bits, order), PACKED).groupBy("bucket").applyInArrow(_counted, PACKED)
@@ -157,7 +178,9 @@ def score(
         starts = {bucket: (a, b) for bucket, a, b in cuts(keys, bits)}
         for bucket, packed in zip(replies.column("bucket").to_pylist(), replies.column("packed").to_pylist(), strict=True):
             a, b = starts[bucket]
-            totals[a:b] = unpack(packed, ("i8",))[0]
+            bits_of = -(-(b - a) // 8)
+            known = np.unpackbits(np.frombuffer(packed, np.uint8, bits_of), count=b - a).astype(bool)
+            totals[a:b][known] += unpack(packed[bits_of:], ("i8",))[0]
         said = _scores(block, keys, totals, order, alpha) if len(block.of) else np.zeros(0, np.int64)
         sums = np.zeros(len(block.ids), np.int64)
         np.add.at(sums, block.of, said)

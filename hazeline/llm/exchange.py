@@ -38,13 +38,15 @@ class Layout:
     bits: int
 
 
-def layout(docs: DataFrame, text_col: str) -> Layout:
+def layout(
+    docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES
+) -> Layout:
     """Enough blocks and buckets for the texts and for the cluster."""
     size = docs.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first().n or 0
     tasks = partitions(docs.sparkSession)
     return Layout(
-        max(2 * tasks, math.ceil(size / BLOCK_BYTES)),
-        power_of_two(max(tasks, math.ceil(size / BUCKET_BYTES))),
+        max(2 * tasks, math.ceil(size / block_bytes)),
+        power_of_two(max(tasks, math.ceil(size / bucket_bytes))),
     )
 
 
