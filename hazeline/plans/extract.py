@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,22 +55,42 @@ def fetch(
     The replies are written before anything else uses them, so that no retry or second use
     calls the API again. Stations without usable coordinates go to ``rejects/coordinates``.
     """
+    _fetch(
+        spark, stations, responses, rejects, transport, endpoint, date, parallelism, distance, concurrency
+    )
+    return scan_table(spark, responses)
+
+
+def _fetch(
+    spark: SparkSession,
+    stations: str,
+    responses: str,
+    rejects: str,
+    transport: Transport,
+    endpoint: str,
+    date: str | datetime.date,
+    parallelism: int,
+    distance: int,
+    concurrency: int,
+) -> int:
+    """``fetch``; returns the number of calls, counted while their replies are written."""
     locations, unusable = split_locations(project_locations(scan_table(spark, stations)))
     requests = build_requests(locations, endpoint, date, distance)
-    write_table(fetch_responses(requests, transport, parallelism, concurrency), responses)
+    seen = Observation()
+    replies = fetch_responses(requests, transport, parallelism, concurrency)
+    write_table(replies.observe(seen, F.count(F.lit(1)).alias("made")), responses)
     write_table(unusable, f"{rejects}/coordinates")
-    return scan_table(spark, responses)
+    return seen.get["made"]
 
 
 def _opened(
-    replies: DataFrame, rejects: str, schema: StructType | None, most_failed: float
+    replies: DataFrame, made: int, rejects: str, schema: StructType | None, most_failed: float
 ) -> tuple[DataFrame, Calls]:
     """Entries of the replies, read and parsed once into an intermediate table, and the counts.
 
     Replies without entries go to ``rejects/responses``.
     """
     spark, seen = replies.sparkSession, Observation()
-    made = replies.count()
     rows = entries_or_reasons(replies).observe(seen, F.count("reason").alias("failed"))
     if schema is not None:
         rows = parse_entries(rows, schema, ("url", "n_requests", "status", "reason"))
@@ -105,10 +125,10 @@ def extract(
     array of entries, this raises ``CallsFailed`` and leaves earlier entries as they are. Without
     any call the entries are empty.
     """
-    replies = fetch(
+    made = _fetch(
         spark, stations, responses, rejects, transport, endpoint, date, parallelism, distance, concurrency
     )
-    opened, calls = _opened(replies, rejects, None, most_failed)
+    opened, calls = _opened(scan_table(spark, responses), made, rejects, None, most_failed)
     write_entries(repeat_entries(opened), entries)
     return calls
 
@@ -133,11 +153,12 @@ def fetch_and_transform(
     Failed calls as in ``extract``. An entry is parsed once, however many stations share it, and
     a rejected one is listed once, with the number of its requests.
     """
-    replies = fetch(
+    made = _fetch(
         spark, stations, responses, rejects, transport, endpoint, date, parallelism, distance, concurrency
     )
-    opened, calls = _opened(replies, rejects, schema, most_failed)
-    rows, damaged = opened.drop("url"), split_rejects(opened, schema.names)[1]
-    write_table(repeat_entries(split_rejects(rows, schema.names)[0]), target)
-    write_table(damaged, f"{rejects}/entries")
-    return Calls(calls.made, calls.failed, scan_table(spark, f"{rejects}/entries").count())
+    opened, calls = _opened(scan_table(spark, responses), made, rejects, schema, most_failed)
+    usable, damaged = split_rejects(opened, schema.names)
+    write_table(repeat_entries(usable.drop("url")), target)
+    seen = Observation()
+    write_table(damaged.observe(seen, F.count(F.lit(1)).alias("rejected")), f"{rejects}/entries")
+    return replace(calls, entries_rejected=seen.get["rejected"])
