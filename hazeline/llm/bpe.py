@@ -18,10 +18,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-#: Characters that one round of encoding holds as Python strings.
-ROUND_CHARS = 2_000_000
+from hazeline.llm import arrays
+
+#: Bytes of text, and ids, that one round holds as Python objects; one longer text is a round.
+ROUND_BYTES = 1_000_000
+ROUND_IDS = 250_000
+#: Pieces that one call of the library encodes, and the character that stands between them.
+CALL = 5000
+BETWEEN = "\ue000"
 #: Distinct pieces whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -76,19 +82,29 @@ def vocabulary(ranks: dict[bytes, int], pattern: str) -> str:
     return json.dumps({"tokenizer": tokenizer.to_str(), "pattern": _explicit(pattern)})
 
 
+@lru_cache(maxsize=None)
+def _ranges(name: str) -> str:
+    """The characters of a class, as ranges of a pattern; looked at in parts to save memory."""
+    from tokenizers import Regex, pre_tokenizers
+
+    left = pre_tokenizers.Split(Regex(name), behavior="removed")
+    ranges: list[list[int]] = []
+    for start in range(0, 0x110000, 0x1000):
+        part = "".join([chr(c) for c in range(start, start + 0x1000) if not 0xD800 <= c < 0xE000])
+        outside = {character for run, _ in left.pre_tokenize_str(part) for character in run}
+        for code in map(ord, part):
+            if chr(code) not in outside:
+                if ranges and ranges[-1][1] == code - 1:
+                    ranges[-1][1] = code
+                else:
+                    ranges.append([code, code])
+    return "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in ranges)
+
+
 def _explicit(pattern: str) -> str:
     """The pattern with its character classes spelled out as the tokenizers library knows them,
     so that no other library's Unicode version decides where a piece ends."""
-    from tokenizers import Regex, pre_tokenizers
-
-    everything = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-    spelled = {}
-    for name in (r"\p{L}", r"\p{N}", r"\s"):
-        only = pre_tokenizers.Split(Regex(name), behavior="removed")
-        runs = pre_tokenizers.Split(Regex(name + "+"), behavior="isolated").pre_tokenize_str(everything)
-        inside = [run for run, _ in runs if not only.pre_tokenize_str(run[0])]
-        # A run may step over the surrogates, which are no characters of a text.
-        spelled[name] = "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run in inside)
+    spelled = {name: _ranges(name) for name in (r"\p{L}", r"\p{N}", r"\s")}
     outside = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{''.join(spelled[c] for c in (r'\s', r'\p{L}', r'\p{N}'))}]")
     outside = outside.replace(r"\S", f"[^{spelled[r'\s']}]")
     for name, ranges in spelled.items():
@@ -103,13 +119,19 @@ class Codec:
         from tokenizers import Tokenizer, pre_tokenizers
 
         parts = json.loads(vocabulary)
-        self.whole = Tokenizer.from_str(parts["tokenizer"])
+        self.written = vocabulary
         self.pieces = Tokenizer.from_str(parts["tokenizer"])
-        self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.Split(BETWEEN, behavior="isolated"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        self.between = self.pieces.encode(BETWEEN, add_special_tokens=False).ids
         self.split = re.compile(parts["pattern"]).findall
         self.known: dict[str, bytes] = {}
         value = {character: byte for byte, character in enumerate(byte_characters())}
-        names = self.whole.get_vocab()
+        names = self.pieces.get_vocab()
         self.token_bytes = [b""] * (max(names.values()) + 1)
         for name, number in names.items():
             self.token_bytes[number] = bytes([value[character] for character in name])
@@ -120,29 +142,56 @@ class Codec:
         The library encodes each distinct piece once; texts join the pieces' ids.
         """
         split = [self.split(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = list(set(chain.from_iterable(split)).difference(self.known))
-        for start in range(0, len(fresh), 10_000):
-            some = fresh[start : start + 10_000]
-            for piece, encoding in zip(
-                some, self.pieces.encode_batch_fast(some, add_special_tokens=False), strict=True
-            ):
-                self.known[piece] = np.array(encoding.ids, "<u4").tobytes()
+        pieces = set(chain.from_iterable(split))
+        fresh = list(pieces.difference(self.known))
+        if len(self.known) > REMEMBERED:  # what is frequent is in this round, too
+            self.known = {piece: self.known[piece] for piece in pieces.intersection(self.known)}
+        for start in range(0, len(fresh), CALL):
+            some = fresh[start : start + CALL]
+            self.known.update(zip(some, self._ids(some), strict=True))
         ids = self.known.__getitem__
         return [b"".join(map(ids, pieces)) for pieces in split]
 
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, encoded by itself.
+
+        The pieces make one text, with a character in between that is cut off on its own; its ids
+        say where they end. A piece that has that character can't be among them.
+        """
+        if any(BETWEEN in piece for piece in pieces):
+            if len(pieces) > 1:
+                return [ids for piece in pieces for ids in self._ids([piece])]
+            whole = _whole(self.written, split=False)
+            return [np.array(whole.encode(pieces[0], add_special_tokens=False).ids, "<u4").tobytes()]
+        ids = np.array(self.pieces.encode_batch_fast([BETWEEN.join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        n = len(self.between)
+        found = np.ones(max(0, len(ids) - n + 1), bool)
+        for at, number in enumerate(self.between):
+            found &= ids[at : at + len(found)] == number
+        ends = np.flatnonzero(found)
+        packed = ids.tobytes()
+        starts, stops = np.append(0, ends + n) * 4, np.append(ends, len(ids)) * 4
+        return [packed[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
     def spans(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and, for each, the characters of the text it covers.
 
         Tokens that share a character all span the whole of it.
         """
-        encoding = self.whole.encode(text, add_special_tokens=False)
+        encoding = _whole(self.written).encode(text, add_special_tokens=False)
         return encoding.ids, encoding.offsets
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
+    def decoded_sha256(self, packed: bytes) -> str:
+        """The hash of what little-endian 32-bit ids decode to."""
+        found = hashlib.sha256()
+        ids = np.frombuffer(packed, "<u4")
+        for start in range(0, len(ids), ROUND_IDS):
+            found.update(self.decode(ids[start : start + ROUND_IDS].tolist()))
+        return found.hexdigest()
+
     def strings(self, ids: list[int]) -> list[str]:
         """What each id adds to the text read so far. A character split over several ids comes
         with the one that completes it; bytes that never form one come as U+FFFD."""
@@ -154,6 +203,17 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
+def _whole(vocabulary: str, split: bool = True):
+    """The tokenizer for whole texts, or for whole pieces, which are not split again."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer.from_str(json.loads(vocabulary)["tokenizer"])
+    if not split:
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer
+
+
+@lru_cache(maxsize=1)
 def codec(vocabulary: str) -> Codec:
     return Codec(vocabulary)
 
@@ -171,18 +231,6 @@ def _lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(parts), "<i4")))
 
 
-def _rounds(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``ROUND_CHARS`` characters, or of one longer text."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text)
-        if size >= ROUND_CHARS:
-            yield start, at + 1
-            start, size = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode(
     df: DataFrame,
     vocabulary: str,
@@ -190,11 +238,13 @@ def encode(
     text_col: str = "text",
     keep: Iterable[str] | None = None,
     spans: bool = False,
+    round_trip: bool = False,
 ) -> DataFrame:
     """Add ``ids`` (array of int), ``n_tokens`` and ``ids_sha256`` (of the ids as little-endian
     unsigned 32-bit integers) to the rows of ``df``, or to its columns in ``keep``.
 
-    ``spans`` adds ``starts`` and ``ends``, the characters each id covers. Null texts count as
+    ``spans`` adds ``starts`` and ``ends``, the characters each id covers; ``round_trip`` decodes the
+    ids again, in the same task, and adds ``decoded_sha256`` of the bytes. Null texts count as
     empty and have no ids. Texts are encoded whole, whatever their length; every row is a task's
     own, so repeated rows and ties need no rule. Columns of ``df`` named like those added are
     replaced.
@@ -206,15 +256,17 @@ def encode(
     ]
     if spans:
         added += [StructField(name, ArrayType(IntegerType(), False)) for name in ("starts", "ends")]
+    if round_trip:
+        added.append(StructField("decoded_sha256", StringType()))
     fields = _kept(df.schema, keep, {f.name for f in added})
     names = [f.name for f in fields]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary)
         for batch in batches:
-            texts = ["" if text is None else text for text in batch.column(text_col).to_pylist()]
-            for start, end in _rounds(texts):
-                some = texts[start:end]
+            _, offsets = arrays.texts(batch.column(text_col))
+            for start, end in arrays.steps(offsets, ROUND_BYTES):
+                some = [text or "" for text in batch.column(text_col).slice(start, end - start).to_pylist()]
                 more = {}
                 if spans:
                     found = [coder.spans(text) for text in some]
@@ -225,6 +277,8 @@ def encode(
                         )
                 else:
                     parts = coder.encode(some)
+                if round_trip:
+                    more["decoded_sha256"] = pa.array([coder.decoded_sha256(part) for part in parts])
                 yield _joined(
                     batch.slice(start, end - start),
                     names,
@@ -262,8 +316,9 @@ def decode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary)
         for batch in batches:
-            lengths = np.cumsum([0, *pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_pylist()])
-            for start, end in _slices(lengths):
+            lengths = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0)
+            ends = np.append(0, np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64))
+            for start, end in arrays.steps(ends, ROUND_IDS):
                 lists = batch.column(ids_col).slice(start, end - start).to_pylist()
                 more = {"decoded": pa.array([coder.decode(ids or ()) for ids in lists], pa.binary())}
                 if strings:
@@ -272,12 +327,3 @@ def decode(
 
     wanted = df.select(*{ids_col: None, **dict.fromkeys(names)})
     return wanted.mapInArrow(run, StructType([*fields, *added]))
-
-
-def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about a million ids, or of one longer row."""
-    start, last = 0, len(ends) - 1
-    while start < last:
-        end = max(start + 1, int(np.searchsorted(ends, ends[start] + 1_000_000, "right")) - 1)
-        yield start, end
-        start = end

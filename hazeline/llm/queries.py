@@ -9,20 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import backoff, bpe, fingerprints, hamming, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity
+from hazeline.llm.tables import read as table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = bpe.vocabulary(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs, vocabulary, keep=["doc_id"])
-    decoded = bpe.decode(encoded, vocabulary, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs, vocabulary, keep=["doc_id"], round_trip=True)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

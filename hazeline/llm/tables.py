@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,21 @@ from hazeline.workspace import fresh_path
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder.
+
+    Tasks import this package. On a cluster it comes with the job (``--py-files``) or is installed;
+    the tasks of a local session are told where the driver has it.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        root = str(Path(__file__).resolve().parents[2])
+        paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read back.
 

@@ -30,7 +30,7 @@ def test_ids_are_those_of_the_rank_library(vocabulary, encoding, ranks):
     coder = bpe.Codec(vocabulary)
     tokens = [token.decode("utf-8", "ignore") for token in ranks]
     alphabet = "aab'sreé  \n\t\r\x0b\x1c\x85  　1٣⅔!?—漢字\U0001f600\U00010ee7́"
-    texts = ["", " ", "\n\n", "a" * 3000, "=" * 999, "'s 're 'll don't", "<|endoftext|>"]
+    texts = ["", " ", "\n\n", "a" * 3000, "=" * 999, "'s 're 'll don't", "<|endoftext|>", "a\ue000b \ue000", "\ue000", " \ue000\ue000x"]
     texts += ["".join(rng.choices(alphabet, k=rng.randint(1, 80))) for _ in range(1500)]
     texts += ["".join(rng.choices(tokens, k=8)) for _ in range(1500)]
     texts += ["".join(rng.choices("ab", k=40)) + "".join(rng.choices("-=", k=30)) for _ in range(500)]
@@ -42,15 +42,17 @@ def test_ids_are_those_of_the_rank_library(vocabulary, encoding, ranks):
 
 
 def test_odd_documents(spark, odd, odd_rows, vocabulary, encoding):
-    encoded = bpe.encode(odd, vocabulary)
-    assert sorted(encoded.columns) == sorted({*odd.columns, "ids", "n_tokens", "ids_sha256"})
-    rows = bpe.decode(encoded, vocabulary).select("doc_id", "text", "ids", "n_tokens", "ids_sha256", "decoded").collect()
+    encoded = bpe.encode(odd, vocabulary, round_trip=True)
+    added = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(encoded.columns) == sorted({*odd.columns, *added})
+    rows = bpe.decode(encoded, vocabulary).select("doc_id", "text", *added, "decoded").collect()
     assert len(rows) == len(odd_rows)
     for row in rows:
         ids = encoding.encode_ordinary(row.text or "")
         assert row.ids == ids and row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert bytes(row.decoded) == (row.text or "").encode()
+        assert row.decoded_sha256 == hashlib.sha256(row.decoded).hexdigest()
 
 
 def test_spans_and_split_characters(spark, vocabulary):

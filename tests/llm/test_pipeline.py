@@ -6,7 +6,8 @@ import tiktoken
 
 import corpus_pipeline
 from hazeline.llm import bpe, mixing
-from hazeline.llm.queries import RANKS, table
+from hazeline.llm.queries import RANKS
+from hazeline.llm.tables import read as table
 from hazeline.llm.tables import stored
 from tests.llm import test_ngram_join, test_suffix_dedup
 
