@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import bpe, mixing, ngram_join, quality, suffix_dedup
-from hazeline.llm.queries import RANKS, table
-from hazeline.llm.tables import stored
+from hazeline.llm.queries import RANKS
+from hazeline.llm.tables import read, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted to the labels, scores at least 0.5."""
-    machine = quality.fit(docs, table(spark, sf_dir, "labels"))
+    machine = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.score(docs, machine, score_col="_score").filter("_score >= 0.5").select(*docs.columns)
 
 
@@ -48,9 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, with hashes of the ids and of the text they decode to."""
     vocabulary = bpe.vocabulary(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs, vocabulary, keep=["doc_id", "source"])
-    decoded = bpe.decode(encoded, vocabulary)
-    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    return bpe.encode(docs, vocabulary, keep=["doc_id", "source"], round_trip=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -67,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from ``documents`` to tokens; empty if no document is left on the way."""
-    docs = table(spark, sf_dir, "documents")
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
