@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
+from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, layout, ordered, pack, pack_sorted, unpack, unpack_sorted
 
 #: Words of the longest n-grams, and what each step to a shorter one costs.
 ORDER = 3
@@ -35,6 +35,7 @@ class Block:
         texts = [text.encode() for _, text in rows]
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
+        del rows, texts
         hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int32)]
         for first, last in arrays.steps(offsets):
             part = arrays.lower(data[offsets[first] : offsets[last]])
@@ -42,8 +43,9 @@ class Block:
             hashes.append(arrays.Hasher(part)(starts, ends))
             owners.append((of + first).astype(np.int32))
         word, self.of = np.concatenate(hashes), np.concatenate(owners)
-        self.counts = np.bincount(self.of, minlength=len(rows))
-        place = np.arange(len(word)) - (np.cumsum(self.counts) - self.counts)[self.of]
+        self.counts = np.bincount(self.of, minlength=len(self.ids))
+        del data, hashes, owners
+        place = (np.arange(len(word)) - (np.cumsum(self.counts) - self.counts)[self.of]).astype(np.int32)
         self.fits = [place >= n - 1 for n in range(order + 1)]
         self.grams = [EMPTY]
         total = np.zeros(len(word), U)
@@ -57,8 +59,9 @@ class Block:
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """All n-grams of the block, in order, and how often it has them."""
         found = [np.unique(keys, return_counts=True) for keys in self.grams[1:]]
-        keys = np.concatenate([EMPTY, *(keys for keys, _ in found)])
-        counts = np.concatenate([[len(self.of)], *(counts for _, counts in found)])
+        words = len(self.of)
+        keys = np.concatenate([EMPTY[: words > 0], *(keys for keys, _ in found)])
+        counts = np.concatenate([[words][: words > 0], *(counts for _, counts in found)]).astype(np.int64)
         by = np.argsort(keys, kind="stable")
         return keys[by], counts[by]
 
@@ -79,13 +82,28 @@ class Block:
         return out
 
 
+def _sparse(counts: np.ndarray, usual: int) -> bytes:
+    """Which counts are above the usual one, a bit each, and those."""
+    above = counts > usual
+    return np.packbits(above).tobytes() + pack(counts[above].astype(np.int64))
+
+
+def _dense(packed: bytes, n: int, usual: int) -> np.ndarray:
+    """The counts of ``_sparse``."""
+    size = -(-n // 8)
+    out = np.full(n, usual, np.int64)
+    above = np.unpackbits(np.frombuffer(packed, np.uint8, size), count=n).astype(bool)
+    out[above] = unpack(packed[size:], ("i8",))[0]
+    return out
+
+
 def _packed(bits: int, order: int):
     low = U((1 << (KEY_BITS - bits)) - 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         keys, counts = Block(table, order).distinct()
         rest = (keys >> U(64 - KEY_BITS)) & low
-        rows = [(bucket, pack(delta(rest[a:b]), counts[a:b].astype(np.uint32))) for bucket, a, b in cuts(keys, bits)]
+        rows = [(bucket, pack_sorted(rest[a:b]) + _sparse(counts[a:b], 1)) for bucket, a, b in cuts(keys, bits)]
         return pa.table(
             {
                 "bucket": pa.array([bucket for bucket, _ in rows], pa.int32()),
@@ -103,20 +121,21 @@ def _counted(key: tuple, table: pa.Table) -> pa.Table:
     A block is told which of its n-grams other blocks have, one bit each, and how often those do.
     """
     blocks = table.column("block").to_pylist()
-    parts = [unpack(packed, ("u8", "u4")) for packed in table.column("packed").to_pylist()]
-    begins = np.cumsum([0, *(len(part[0]) for part in parts)])
-    keys = np.concatenate([np.cumsum(part[0], dtype=U) for part in parts])
-    counts = np.concatenate([part[1] for part in parts]).astype(np.int64)
+    parts, counts, begins = [], [], [0]
+    for packed in table.column("packed").to_pylist():
+        own, rest = unpack_sorted(packed)
+        parts.append(own)
+        counts.append(_dense(rest, len(own), 1))
+        begins.append(begins[-1] + len(own))
+    keys, counts = np.concatenate(parts), np.concatenate(counts)
+    del parts
     by = np.argsort(keys, kind="stable")
     new = np.ones(len(by), bool)
     new[1:] = keys[by[1:]] != keys[by[:-1]]
     others = np.empty(len(by), np.int64)
     others[by] = np.add.reduceat(counts[by], np.flatnonzero(new))[np.cumsum(new) - 1]
     others -= counts
-    packed = []
-    for a, b in zip(begins, begins[1:], strict=False):
-        known = others[a:b] > 0
-        packed.append(np.packbits(known).tobytes() + pack(others[a:b][known]))
+    packed = [_sparse(others[a:b], 0) for a, b in zip(begins, begins[1:], strict=False)]
     return pa.table(
         {
             "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
@@ -178,9 +197,7 @@ def score(
         starts = {bucket: (a, b) for bucket, a, b in cuts(keys, bits)}
         for bucket, packed in zip(replies.column("bucket").to_pylist(), replies.column("packed").to_pylist(), strict=True):
             a, b = starts[bucket]
-            bits_of = -(-(b - a) // 8)
-            known = np.unpackbits(np.frombuffer(packed, np.uint8, bits_of), count=b - a).astype(bool)
-            totals[a:b][known] += unpack(packed[bits_of:], ("i8",))[0]
+            totals[a:b] += _dense(packed, b - a, 0)
         said = _scores(block, keys, totals, order, alpha) if len(block.of) else np.zeros(0, np.int64)
         sums = np.zeros(len(block.ids), np.int64)
         np.add.at(sums, block.of, said)

@@ -117,3 +117,34 @@ def unpack(packed: bytes, kinds: Sequence[str]) -> list[np.ndarray]:
 def delta(ordered: np.ndarray) -> np.ndarray:
     """Differences of sorted unsigned integers, the first from zero; ``np.cumsum`` undoes it."""
     return np.diff(ordered, prepend=ordered.dtype.type(0))
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys in little more than the bits they need.
+
+    Of each difference to the key before, the low bits are stored as they are, as many as an
+    average difference has, and the rest as that many zeros and a one (Rice's code).
+    """
+    gaps = delta(keys)
+    bits = int(gaps.mean()).bit_length() - 1 if len(gaps) else 0
+    bits = max(0, bits)
+    low = np.unpackbits(gaps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :bits]
+    ends = np.cumsum((gaps >> np.uint64(bits)).astype(np.int64) + 1)
+    rest = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    rest[ends - 1] = 1
+    parts = [np.packbits(low.ravel(), bitorder="little").tobytes(), np.packbits(rest, bitorder="little").tobytes()]
+    head = len(keys).to_bytes(4, "little") + bits.to_bytes(1, "little") + len(parts[1]).to_bytes(4, "little")
+    return b"".join([head, *parts])
+
+
+def unpack_sorted(packed: bytes) -> tuple[np.ndarray, bytes]:
+    """The keys of ``pack_sorted``, and what follows them."""
+    n, bits, size = int.from_bytes(packed[:4], "little"), packed[4], int.from_bytes(packed[5:9], "little")
+    at = 9 + -(-n * bits // 8)
+    low = np.zeros((n, 64), np.uint8)
+    read = np.unpackbits(np.frombuffer(packed, np.uint8, at - 9, 9), count=n * bits, bitorder="little")
+    low[:, :bits] = read.reshape(n, bits)
+    gaps = np.packbits(low, axis=1, bitorder="little").reshape(-1).view("<u8").astype(np.uint64)
+    ends = np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, size, at), bitorder="little"))
+    gaps += (np.diff(ends, prepend=-1).astype(np.uint64) - np.uint64(1)) << np.uint64(bits)
+    return np.cumsum(gaps, dtype=np.uint64), packed[at + size :]
