@@ -394,8 +394,9 @@ def similar(
     """
     plan: Layout = layout(docs, text_col)
     grouped = _grouped(docs, blocked(docs, plan, id_col, text_col), plan, words, percent)
-    labels = (
-        grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label"))
+    # Stored, so that both sides of the join are dealt anew and a large group can be split.
+    labels = stored(
+        grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label")), "labels"
     )
     label = F.coalesce("label", "id")
     return grouped.join(labels, "component", "left").select(
