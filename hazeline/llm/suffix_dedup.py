@@ -9,6 +9,12 @@ trigger and phrase, and the suffixes of those phrases that share a trigger with
 their first L bytes. The parse says which documents have which phrase. Text that is copied as a
 whole makes the same phrases and is settled in the dictionary; only phrases at the edges of copies
 have their suffixes ordered.
+
+A passage that many documents share has other neighbours in each, and so, at its edges, as many
+phrases with one trigger as there are documents. Such a common trigger is not settled by phrase: a
+block lists one of its phrases only, with how many there are, and the suffixes go, each with the
+smallest id that the block has of it, to parts of the bucket by their own hash. The number of parts
+grows with that of the phrases, so no group grows with the number of neighbours.
 """
 
 from __future__ import annotations
@@ -24,7 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
+from hazeline.llm.exchange import (
+    NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, ordered, pack, pack_sorted, unpack, unpack_sorted,
+)
 
 #: Bytes of a match.
 LENGTH = 50
@@ -32,6 +40,17 @@ LENGTH = 50
 TRIGGER = 24
 #: Positions of which the triggers are found at once; one fewer bit of the hashes per bit of this.
 PIECE_BITS = 20
+#: Phrases with one trigger that a block lists; with more, the trigger is a common one. So it is, too, with
+#: this many times as many in all blocks that list theirs.
+LISTED = 32
+LISTED_BY_ALL = 128
+#: Phrases of a common trigger for which its bucket has one more part, about.
+PART = 4096
+#: Phrases of which the suffixes are hashed at once.
+HASHED = 1 << 15
+#: What is known of a phrase: others have it, too; it is one of those of a common trigger; and from this
+#: bit on how many bits the number of these phrases, or in a reply the number of parts, has.
+SEVERAL, COMMON, BITS = 1, 2, 2
 U = np.uint64
 
 
@@ -118,37 +137,78 @@ def dictionary(found: Parse, ids: np.ndarray, bits: int) -> Dictionary:
     return Dictionary(t[starts], p[starts], entry, order[starts], least, most != least)
 
 
+@dataclass
+class Suffixes:
+    """Distinct suffixes of a block: part of a bucket, hash and smallest id of each, and which one
+    each suffix is."""
+
+    cells: np.ndarray
+    hashes: np.ndarray
+    least: np.ndarray
+    entry: np.ndarray
+
+    def cuts(self) -> list[tuple[int, int, int]]:
+        starts = np.flatnonzero(np.diff(self.cells, prepend=-1))
+        ends = np.append(starts[1:], len(self.cells))
+        return list(zip(self.cells[starts].tolist(), starts.tolist(), ends.tolist(), strict=False))
+
+
 class Block:
     """The documents of a block, in a fixed order, with their phrases."""
 
-    def __init__(self, table: pa.Table, length: int, trigger: int, bits: int):
+    def __init__(self, table: pa.Table, length: int, trigger: int, bits: int, listed: int = LISTED):
         self.order, rows = ordered(table)
         self.texts = [text.encode() for _, text in rows]
         self.ids = np.array([number for number, _ in rows], np.int64)
         self.parse = parse(self.texts, length, trigger)
         self.words = dictionary(self.parse, self.ids, bits)
         self.length, self.bits = length, bits
-        self.cuts = cuts(self.words.triggers << U(32 - bits), bits)
+        self._list(listed)
+        self.cuts = cuts(self.words.triggers[self.listed] << U(32 - bits), bits)
+
+    def _list(self, listed: int) -> None:
+        """The phrases that are listed, what is known of each, and which one speaks for each phrase.
+
+        Of a trigger with more than ``listed`` phrases only the first is.
+        """
+        words = self.words
+        n = len(words.triggers)
+        new = np.ones(n, bool)
+        new[1:] = words.triggers[1:] != words.triggers[:-1]
+        starts = np.flatnonzero(new)
+        of = np.cumsum(new) - 1
+        common = np.diff(np.append(starts, n)) > listed
+        self.head = np.where(common[of], starts[of], np.arange(n))
+        self.listed = np.flatnonzero(self.head == np.arange(n))
+        known = np.where(words.several, SEVERAL, 0)
+        if n:
+            own = np.minimum.reduceat(words.least, starts) != np.maximum.reduceat(words.least, starts)
+            own |= np.maximum.reduceat(known, starts) > 0
+            many = np.ceil(np.log2(np.diff(np.append(starts, n))[common] + 1)).astype(np.int64)
+            known[starts[common]] = COMMON + np.where(own, SEVERAL, 0)[common] + (many << BITS)
+        self.known = known.astype(np.uint8)
 
     def packed_phrases(self, block: int) -> pa.Table:
         words = self.words
         rows = []
         for bucket, start, end in self.cuts:
-            some = slice(start, end)
+            some = self.listed[start:end]
             rest = (words.triggers[some] & U(0xFFFFFFFF)).astype(np.uint32)
-            rows.append((bucket, pack(delta(rest), words.phrases[some], words.least[some], words.several[some].astype(np.uint8))))
+            rows.append((bucket, pack(delta(rest), words.phrases[some], words.least[some], self.known[some])))
         return _rows(block, rows)
 
-    def answered(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """Per phrase, the smallest id of any document with it, and whether its suffixes count."""
-        least, open_ = self.words.least.copy(), np.zeros(len(self.words.least), bool)
+    def answered(self, replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per phrase, the smallest id of any document known to have it, whether its suffixes count,
+        whether these are common ones, and into how many parts, as bits, these divide."""
+        least, flags = self.words.least.copy(), np.zeros(len(self.words.least), np.uint8)
         starts = {bucket: start for bucket, start, _ in self.cuts}
         for bucket, packed in zip(replies.column("bucket").to_pylist(), replies.column("packed").to_pylist(), strict=True):
             at, other, flag = unpack(packed, ("u4", "i8", "u1"))
-            at = at.astype(np.int64) + starts[bucket]
+            at = self.listed[at.astype(np.int64) + starts[bucket]]
             least[at] = np.minimum(least[at], other)
-            open_[at] = flag.astype(bool)
-        return least, open_
+            flags[at] = flag
+        flags = flags[self.head]
+        return least, (flags & SEVERAL).astype(bool), (flags & COMMON).astype(bool), (flags >> BITS).astype(U)
 
     def suffixes(self, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The open phrases, and where the suffixes of each start among those of all."""
@@ -156,20 +216,52 @@ class Block:
         where = self.words.where[chosen]
         return chosen, np.cumsum(np.append(0, self.parse.lasts[where] - self.parse.firsts[where] + 1))
 
-    def packed_suffixes(self, block: int, replies: pa.Table) -> pa.Table:
-        """The text of open phrases, with the smallest id and the number of suffixes of each."""
-        chosen, begins = self.suffixes(self.answered(replies)[1])
-        counts, where = np.diff(begins), self.words.where[chosen]
-        texts = [
-            self.texts[text][first : first + count + self.length - 1]
-            for text, first, count in zip(
-                self.parse.texts[where].tolist(), self.parse.firsts[where].tolist(), counts.tolist(), strict=True
+    def text_of(self, chosen: np.ndarray) -> list[bytes]:
+        """The text of each of these phrases."""
+        where = self.words.where[chosen]
+        return [
+            self.texts[text][first : last + self.length]
+            for text, first, last in zip(
+                self.parse.texts[where].tolist(), self.parse.firsts[where].tolist(), self.parse.lasts[where].tolist(),
+                strict=True,
             )
         ]
+
+    def common_suffixes(self, common: np.ndarray, parts: np.ndarray) -> Suffixes:
+        """The distinct suffixes of phrases of common triggers, by part of a bucket and by hash."""
+        chosen, begins = self.suffixes(common)
+        counts = np.diff(begins)
+        hashes, cells = np.zeros(int(begins[-1]), U), np.zeros(int(begins[-1]), np.int64)
+        for start in range(0, len(chosen), HASHED):
+            some = slice(start, start + HASHED)
+            n, at = counts[some], slice(begins[start], begins[min(start + HASHED, len(chosen))])
+            hashes[at] = _hashes(b"".join(self.text_of(chosen[some])), n, self.length)
+            bits = np.repeat(parts[chosen[some]], n)
+            part = np.where(bits > 0, hashes[at] >> (U(64) - np.maximum(bits, U(1))), U(0)).astype(np.int64)
+            bucket = bucket_of(self.words.triggers[chosen[some]] << U(32 - self.bits), self.bits)
+            cells[at] = np.repeat(bucket, n) + ((part + 1) << self.bits)
+        order = np.lexsort((hashes, cells))
+        h, c = hashes[order], cells[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (c[1:] != c[:-1]) | (h[1:] != h[:-1])
+        starts = np.flatnonzero(new)
+        entry = np.empty(len(order), np.int64)
+        entry[order] = np.cumsum(new) - 1
+        own = np.repeat(self.words.least[chosen], counts)[order]
+        return Suffixes(c[starts], h[starts], np.minimum.reduceat(own, starts) if len(starts) else own, entry)
+
+    def packed_suffixes(self, block: int, replies: pa.Table) -> pa.Table:
+        """The text of open phrases, with the smallest id and the number of suffixes of each; of common
+        suffixes, the hash and the smallest id."""
+        _, open_, common, parts = self.answered(replies)
+        chosen, begins = self.suffixes(open_ & ~common)
+        counts, texts = np.diff(begins), self.text_of(chosen)
         rows = [
             (bucket, pack(self.words.least[chosen[a:b]], counts[a:b].astype(np.uint32)) + b"".join(texts[a:b]))
             for bucket, a, b in self._cut(chosen)
         ]
+        found = self.common_suffixes(common, parts)
+        rows += [(cell, pack_sorted(found.hashes[a:b]) + pack(found.least[a:b])) for cell, a, b in found.cuts()]
         return _rows(block, rows)
 
     def _cut(self, chosen: np.ndarray) -> list[tuple[int, int, int]]:
@@ -179,17 +271,23 @@ class Block:
     def removed(self, replies: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
         """Id, bytes, and starts and ends of what goes, for each document."""
         second = np.array(replies.column("suffixes").to_pylist(), bool)
-        least, open_ = self.answered(replies.filter(pa.array(~second)))
-        chosen, firsts = self.suffixes(open_)
+        least, open_, common, parts = self.answered(replies.filter(pa.array(~second)))
+        chosen, firsts = self.suffixes(open_ & ~common)
         owners = np.repeat(least[chosen], np.diff(firsts))
+        shared = self.common_suffixes(common, parts)
         starts = {bucket: firsts[start] for bucket, start, _ in self._cut(chosen)}
+        cells = {cell: start for cell, start, _ in shared.cuts()}
         late = replies.filter(pa.array(second))
         for bucket, packed in zip(late.column("bucket").to_pylist(), late.column("packed").to_pylist(), strict=True):
             at, other = unpack(packed, ("u4", "i8"))
-            at = at.astype(np.int64) + starts[bucket]
-            owners[at] = np.minimum(owners[at], other)
+            told, begin = (shared.least, cells[bucket]) if bucket in cells else (owners, starts[bucket])
+            at = at.astype(np.int64) + begin
+            told[at] = np.minimum(told[at], other)
         own_first = np.zeros(len(open_), np.int64)
         own_first[chosen] = firsts[:-1]
+        chosen, firsts = self.suffixes(common)
+        own_first[chosen] = firsts[:-1] + len(owners)
+        owners = np.concatenate([owners, shared.least[shared.entry]])
         found = self.parse
         begins = np.searchsorted(found.texts, np.arange(len(self.texts) + 1))
         for number, text in enumerate(self.texts):
@@ -249,12 +347,39 @@ def _answers(bucket: int, blocks: list[int], begins: np.ndarray, worth: np.ndarr
     )
 
 
-def _merge_phrases(key: tuple, table: pa.Table) -> pa.Table:
+def _hashes(text: bytes, counts: np.ndarray, length: int) -> np.ndarray:
+    """The hash of each suffix of phrases that stand one after the other, by their numbers of suffixes."""
+    sizes = counts + length - 1
+    at = arrays.ranges(np.cumsum(sizes) - sizes, counts)
+    return arrays.Hasher(np.frombuffer(text, np.uint8))(at, at + length)
+
+
+def _earliest(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """For each hash the smallest id that comes with it."""
+    order = np.argsort(hashes, kind="stable")
+    h = hashes[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    earliest = np.empty(len(h), np.int64)
+    earliest[order] = np.minimum.reduceat(own[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return earliest
+
+
+def _merge_phrases(most: int):
     """Merge the dictionaries of all blocks, in order of trigger and phrase.
 
-    A block learns of an earlier document with its phrase, and of phrases that share a trigger
-    with another phrase of another document.
+    A block learns of an earlier document with its phrase, of phrases that share a trigger with
+    another phrase of another document, and whether that trigger is common, to a block or with
+    more than ``most`` phrases that blocks list, and how many parts its suffixes have.
     """
+
+    def merge_phrases(key: tuple, table: pa.Table) -> pa.Table:
+        return _merged(key, table, most)
+
+    return merge_phrases
+
+
+def _merged(key: tuple, table: pa.Table, most: int) -> pa.Table:
     blocks, begins, (triggers, phrases, least, several) = _gathered(table, ("u4", "u8", "i8", "u1"))
     order = np.lexsort((phrases, triggers))
     t, p, own, more = triggers[order], phrases[order], least[order], several[order]
@@ -267,22 +392,40 @@ def _merge_phrases(key: tuple, table: pa.Table) -> pa.Table:
     earliest = np.minimum.reduceat(own, p_starts)[p_of]
     first, last = np.minimum.reduceat(own, t_starts), np.maximum.reduceat(own, t_starts)
     variants = np.bincount(t_of[p_starts], minlength=len(t_starts))
-    open_ = ((variants > 1) & ((first != last) | np.maximum.reduceat(more, t_starts).astype(bool)))[t_of]
+    known = np.bitwise_or.reduceat(more, t_starts)
+    common = (np.bincount(t_of) > most) | (known & COMMON).astype(bool)
+    open_ = ((variants > 1) | common) & ((first != last) | (known & SEVERAL).astype(bool))
+    phrases_of = np.bincount(t_of, np.exp2(more >> BITS)).astype(np.int64)
+    parts = np.ceil(np.log2(np.maximum(1, phrases_of / PART))).astype(np.int64)
+    flags = np.where(open_, SEVERAL, 0) + np.where(common & open_, COMMON + (parts << BITS), 0)
+    open_, flags = open_[t_of], flags[t_of]
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
-    earliest, open_ = earliest[back], open_[back]
+    earliest, open_, flags = earliest[back], open_[back], flags[back]
     worth = (earliest < least) | open_
-    return _answers(key[0].as_py(), blocks, begins, worth, earliest, open_.astype(np.uint8))
+    return _answers(key[0].as_py(), blocks, begins, worth, earliest, flags.astype(np.uint8))
 
 
-def _merge_suffixes(length: int):
+def _merge_suffixes(length: int, bits: int):
     """Order the suffixes of all blocks' open phrases by their first bytes.
 
-    Phrases that share these share their trigger, so they are in one bucket. A block learns, by
-    number of the suffix, of earlier documents with it.
+    Phrases that share these share their trigger, so they are in one bucket, those of a common trigger
+    by hash in a part of it. A block learns, by number of the suffix, of earlier documents with it.
     """
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    def common(key: tuple, table: pa.Table) -> pa.Table:
+        hashes, least = [], []
+        for packed in table.column("packed").to_pylist():
+            keys, rest = unpack_sorted(packed)
+            hashes.append(keys)
+            least += unpack(rest, ("i8",))
+        own, begins = np.concatenate(least), np.cumsum([0, *map(len, hashes)])
+        earliest = _earliest(np.concatenate(hashes), own)
+        return _answers(key[0].as_py(), table.column("block").to_pylist(), begins, earliest < own, earliest)
+
+    def merge_suffixes(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 1 << bits:
+            return common(key, table)
         least, counts, texts, begins = [], [], [], [0]
         for packed in table.column("packed").to_pylist():
             own, n = unpack(packed, ("i8", "u4"))
@@ -292,18 +435,10 @@ def _merge_suffixes(length: int):
             counts.append(n)
             begins.append(begins[-1] + int(n.sum()))
         count, own = np.concatenate(counts), np.concatenate(least)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        at = arrays.ranges(np.cumsum(count + length - 1) - (count + length - 1), count)
-        hashes = arrays.Hasher(data)(at, at + length)
-        order = np.argsort(hashes, kind="stable")
-        h = hashes[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        earliest = np.empty(len(h), np.int64)
-        earliest[order] = np.minimum.reduceat(own[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        earliest = _earliest(_hashes(b"".join(texts), count, length), own)
         return _answers(key[0].as_py(), table.column("block").to_pylist(), np.array(begins), earliest < own, earliest)
 
-    return run
+    return merge_suffixes
 
 
 COLUMNS = {
@@ -319,6 +454,7 @@ SQL_TYPES = {
 def repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     trigger: int = TRIGGER, columns: tuple[str, ...] = tuple(COLUMNS), carry: tuple[str, ...] | None = None,
+    listed: int = LISTED,
 ) -> DataFrame:
     """What each document repeats of documents with smaller ids, as ``id`` and ``columns``.
 
@@ -332,20 +468,21 @@ def repeats(
     ``id`` is null where it was.
 
     Hashes have 64 bits, phrases 96 with that of their trigger; equal hashes are taken for equal
-    text.
+    text. A trigger with more than ``listed`` phrases in a block is a common one; results are the
+    same with any number.
     """
     plan: Layout = layout(docs, text_col)
     rows = blocked(docs, plan, id_col, text_col, carry)
     bits = plan.bits
 
     def phrases(key: tuple, table: pa.Table) -> pa.Table:
-        return Block(table, length, trigger, bits).packed_phrases(key[0].as_py())
+        return Block(table, length, trigger, bits, listed).packed_phrases(key[0].as_py())
 
     def suffixes(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        return Block(table, length, trigger, bits).packed_suffixes(key[0].as_py(), replies)
+        return Block(table, length, trigger, bits, listed).packed_suffixes(key[0].as_py(), replies)
 
     def result(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(table, length, trigger, bits)
+        block = Block(table, length, trigger, bits, listed)
         out: dict[str, list] = {name: [] for name in ("id", *columns)}
         for own, text, starts, ends in block.removed(replies):
             kept = _kept(text, starts, ends)
@@ -368,11 +505,11 @@ def repeats(
         schema = schema.add(rows.schema["row"])
     first = (
         rows.groupBy("block").applyInArrow(phrases, PACKED)
-        .groupBy("bucket").applyInArrow(_merge_phrases, PACKED)
+        .groupBy("bucket").applyInArrow(_merge_phrases(listed * LISTED_BY_ALL), PACKED)
     )
     second = (
         rows.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(suffixes, PACKED)
-        .groupBy("bucket").applyInArrow(_merge_suffixes(length), PACKED)
+        .groupBy("bucket").applyInArrow(_merge_suffixes(length, bits), PACKED)
     )
     replies = first.withColumn("suffixes", F.lit(False)).unionByName(second.withColumn("suffixes", F.lit(True)))
     found = rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(result, schema)

@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from hazeline.llm import suffix_dedup
@@ -81,6 +84,62 @@ def test_equal_text_makes_equal_phrases():
     assert len(inside[0]) > 5 and inside[0] == inside[1]
 
 
+def one_line_in_many_documents(n, seed=8):
+    rng = random.Random(seed)
+    line = "".join(rng.choices("abcdefgh ", k=120))
+    return [
+        (number, "".join(rng.choices("ijklmnop ", k=90)) + line + "".join(rng.choices("qrstuvwx ", k=90)))
+        for number in range(n)
+    ]
+
+
+@pytest.mark.parametrize("listed", [1, 4, 1000])
+def test_common_triggers_change_no_result(spark, odd, odd_rows, listed):
+    rng = random.Random(listed)
+    rows = one_line_in_many_documents(150)
+    rows += [(n, "".join(rng.choices("ab", [3, 1], k=rng.randint(0, 200)))) for n in range(300, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(run(df, listed=listed), key=order) == sorted(brute(rows), key=order)
+    expected = brute([row[:2] for row in odd_rows])
+    assert sorted(run(odd, listed=listed), key=order) == sorted(expected, key=order)
+
+
+def test_groups_do_not_grow_with_the_neighbours_of_a_line(monkeypatch):
+    """A block lists few phrases of a trigger; the bucket of their suffixes has parts; results are whole."""
+    monkeypatch.setattr(suffix_dedup, "PART", 50)
+    bits, rows = 4, one_line_in_many_documents(1200)
+    blocks = [
+        suffix_dedup.Block(pa.table({"id": [r[0] for r in some], "text": [r[1] for r in some]}), 50, 24, bits)
+        for some in (rows[::2], rows[1::2])
+    ]
+
+    def merged(merge, tables):
+        sent = pa.concat_tables(tables)
+        return pa.concat_tables(
+            merge((key,), sent.filter(pa.compute.equal(sent["bucket"], key))) for key in pa.compute.unique(sent["bucket"])
+        )
+
+    def of(replies, number):
+        return replies.filter(pa.compute.equal(replies["block"], number))
+
+    phrases = [block.packed_phrases(number) for number, block in enumerate(blocks)]
+    for packed in phrases[0].column("packed").to_pylist():
+        triggers = np.cumsum(suffix_dedup.unpack(packed, ("u4", "u8", "i8", "u1"))[0], dtype=np.uint32)
+        assert np.unique(triggers, return_counts=True)[1].max() <= suffix_dedup.LISTED
+    first = merged(suffix_dedup._merge_phrases(4096), phrases)
+    suffixes = [block.packed_suffixes(number, of(first, number)) for number, block in enumerate(blocks)]
+    sizes = [len(packed) for packed in suffixes[0].column("packed").to_pylist()]
+    assert sum(sizes) > 100_000 and max(sizes) < sum(sizes) / 16
+    second = merged(suffix_dedup._merge_suffixes(50, bits), suffixes)
+    found = []
+    for number, block in enumerate(blocks):
+        parts = [of(table, number) for table in (first, second)]
+        flags = pa.array([at == 1 for at, part in enumerate(parts) for _ in range(part.num_rows)])
+        for own, text, starts, ends in block.removed(pa.concat_tables(parts).append_column("suffixes", flags)):
+            found.append((own, len(text), int((ends - starts).sum()), len(starts), suffix_dedup._kept(text, starts, ends)))
+    assert sorted(found) == sorted(brute(rows))
+
+
 def test_documents_without_repeats(odd, odd_rows):
     left = suffix_dedup.without_repeats(odd)
     assert left.columns == odd.columns
