@@ -21,6 +21,10 @@ WORDS = 5
 PERCENT = 80
 #: Shingles that one cell of the join holds per side, and that a task gets at a time.
 CELL = 1 << 20
+#: Numbers of common shingles, one per pair of sets, that are held at once.
+PAIRS = 1 << 22
+#: A shingle that one in so many sets of a cell has is counted by a product of matrices, others by lists of their sets.
+DENSE = 8
 U = np.uint64
 
 
@@ -308,30 +312,95 @@ def forest(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple
     return links
 
 
-def _cells(percent: int):
+def numbers(sets: list[np.ndarray], groups: np.ndarray, inner: tuple[int, ...], percent: int) -> np.ndarray:
+    """Of all links between sets, the number that each set has with larger ones, or later equal ones.
+
+    Links within one of the ``groups`` count only if that is in ``inner``. Every pair of sizes that
+    fit is counted: common shingles are summed up, without a step per pair, in steps of a bounded
+    number of pairs.
+    """
+    sizes = np.array([len(own) for own in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes, groups, m = sizes[order], groups[order], len(sets)
+    _, which, often = np.unique(np.concatenate([sets[at] for at in order]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), sizes)
+    dense, light = often * DENSE >= m, (often > 1) & (often * DENSE < m)
+    table = np.zeros((m, int(dense.sum())), np.float32)
+    some = dense[which]
+    table[owner[some], (np.cumsum(dense) - 1)[which[some]]] = 1
+    some = np.flatnonzero(light[which])
+    by_key = some[np.argsort(which[some], kind="stable")]
+    begins = np.searchsorted(which[by_key], np.arange(len(often) + 1))
+    lists, keys, key_of = owner[by_key], which[some], np.searchsorted(owner[some], np.arange(m + 1))
+    ends = np.searchsorted(sizes, 100 * sizes // percent, "right")
+    counted = np.isin(groups, inner)
+    cost = np.cumsum(ends - np.arange(m) + np.bincount(owner[some], often[keys], m).astype(np.int64))
+    found, start = np.zeros(m, np.int64), 0
+    while start < m:
+        done = int(cost[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(cost, done + PAIRS, "right")))
+        end = min(end, start + max(1, PAIRS // (int(ends[end - 1]) - start)))
+        last = int(ends[end - 1])
+        common = table[start:end] @ table[start:last].T
+        own = keys[key_of[start] : key_of[end]]
+        if len(own):
+            n = begins[own + 1] - begins[own]
+            rows = np.repeat(np.repeat(np.arange(end - start), np.diff(key_of[start : end + 1])), n)
+            others = lists[arrays.ranges(begins[own], n)] - start
+            fits = (others >= 0) & (others < last - start)
+            at = rows[fits] * (last - start) + others[fits]
+            common += np.bincount(at, minlength=common.size).reshape(common.shape)
+        one, other = np.arange(start, end)[:, None], np.arange(start, last)[None, :]
+        alike = common.astype(np.int64) * (100 + percent) >= percent * (sizes[one] + sizes[other])
+        alike &= (other > one) & ((groups[one] != groups[other]) | counted[one])
+        found[start:end] = alike.sum(axis=1)
+        start = end
+    result = np.empty(m, np.int64)
+    result[order] = found
+    return result
+
+
+def _cells(percent: int, counting: bool):
+    """Links of each cell; when ``counting``, also rows that link a set with itself and say of how many
+    links of the cell it is the first end. Links within a part are counted in the part's first cell."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        cells: dict[tuple, tuple[list, list]] = {}
-        for cell, low, high, node, keys in zip(
-            *(table.column(name).to_pylist() for name in ("cell", "low", "high", "node", "keys")), strict=True
+        cells: dict[tuple, tuple[list, list, list]] = {}
+        for cell, low, high, part, node, keys in zip(
+            *(table.column(name).to_pylist() for name in ("cell", "low", "high", "part", "node", "keys")), strict=True
         ):
-            nodes, sets = cells.setdefault((cell, low, high), ([], []))
+            nodes, sets, parts = cells.setdefault((cell, low, high), ([], [], []))
             nodes.append(node)
             sets.append(np.frombuffer(keys, U))
-        links = [link for cell in sorted(cells) for link in forest(*cells[cell], percent) if len(cells[cell][0]) > 1]
-        return pa.table(
-            {"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())}
-        )
+            parts.append(part)
+        rows: list[tuple[int, int, int]] = []
+        for cell in sorted(cells):
+            nodes, sets, parts = cells[cell]
+            if len(nodes) < 2:
+                continue
+            links = forest(nodes, sets, percent)
+            rows += [(a, b, 0) for a, b in links]
+            if counting and links:
+                _, low, high = cell
+                inner = (low, high) if high <= 1 else (high,) if low == 0 else ()
+                found = numbers(sets, np.array(parts), inner, percent)
+                rows += [(nodes[at], nodes[at], int(found[at])) for at in np.flatnonzero(found)]
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.table({name: pa.array(column, pa.int64()) for name, column in zip("abn", columns, strict=True)})
 
     return run
 
 
-def _grouped(docs: DataFrame, rows: DataFrame, plan: Layout, words: int, percent: int) -> DataFrame:
-    """``block, at, id, n, component`` of each row: its place, shingles and group, null without any.
+def _grouped(
+    docs: DataFrame, rows: DataFrame, plan: Layout, words: int, percent: int, counting: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``block, at, id, n, component`` of each row: its place, shingles and group, null without any;
+    and when ``counting``, ``component, n_links`` of each group with links.
 
     Steps: blocks count in how many classes each shingle is; classes whose rarest shingles are
     shared become candidates; candidates that share one of these come together, each in one
     group, or if that is too large for a task in cells of two parts of it; a prefix tree per
-    cell finds links, as many as connect what is alike. Sets and shingles are known by 64-bit
+    cell finds links, as many as connect what is alike; when counting, all are counted. Sets and shingles are known by 64-bit
     hashes, which are taken for them.
     """
     bits = plan.bits
@@ -375,34 +444,44 @@ def _grouped(docs: DataFrame, rows: DataFrame, plan: Layout, words: int, percent
         ),
         "candidates",
     )
-    links = stored(_linked(candidates, percent), "links")
-    return sized.join(components(links), "node", "left").select(
-        "block", "at", "id", "n", F.coalesce("component", "node").alias("component")
+    links = stored(_linked(candidates, percent, counting), "links")
+    linked = components(links)
+    of = stored(linked, "components") if counting else linked
+    counts = (
+        links.filter("n > 0").select(F.col("a").alias("node"), F.col("n").alias("links"))
+        .join(of, "node").groupBy("component").agg(F.sum("links").alias("n_links"))
     )
+    return sized.join(of, "node", "left").select(
+        "block", "at", "id", "n", F.coalesce("component", "node").alias("component")
+    ), counts
 
 
 def similar(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+    links: bool = False,
 ) -> DataFrame:
-    """``id, n_shingles, component_id`` of each row of ``docs``.
+    """``id, n_shingles, component_id`` of each row of ``docs``, and with ``links`` also ``n_links``.
 
     Rows are linked if the common shingles of their sets are at least ``percent`` hundredths of
     all; ``component_id`` is the smallest id that links reach. Equal sets are one class and
-    compared once. Null and empty texts, and those without words, have no shingles and no links.
+    compared once; ``n_links`` is the number of links between different sets of the row's group, all of
+    them, 0 in a group of one set. Null and empty texts, and those without words, have no shingles and no links.
     A row without an id takes part; its id and, if all it reaches have none, its component are
     null. Rows with equal ids are compared as others are.
     """
     plan: Layout = layout(docs, text_col)
-    grouped = _grouped(docs, blocked(docs, plan, id_col, text_col), plan, words, percent)
+    grouped, counts = _grouped(docs, blocked(docs, plan, id_col, text_col), plan, words, percent, links)
+    labels = grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label"))
+    if links:
+        labels = labels.join(counts, "component", "left")
     # Stored, so that both sides of the join are dealt anew and a large group can be split.
-    labels = stored(
-        grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label")), "labels"
-    )
+    labels = stored(labels, "labels")
     label = F.coalesce("label", "id")
     return grouped.join(labels, "component", "left").select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(label != NO_ID, label).alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if links else []),
     )
 
 
@@ -417,7 +496,7 @@ def representatives(
     others = [c for c in docs.columns if c != text_col]
     marked = docs.withColumn("_none", F.col(text_col).isNull())
     rows = blocked(marked, plan, id_col, text_col, [*others, "_none"])
-    grouped = stored(_grouped(docs, rows, plan, words, percent), "groups")
+    grouped = stored(_grouped(docs, rows, plan, words, percent)[0], "groups")
     place = F.struct("id", "block", "at")
     best = grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("best"))
     stay = best.select("best.block", "best.at").unionByName(grouped.filter("component IS NULL").select("block", "at"))
@@ -433,8 +512,8 @@ def representatives(
     return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def _linked(candidates: DataFrame, percent: int) -> DataFrame:
-    """Links between candidates that share a shingle among their rarest."""
+def _linked(candidates: DataFrame, percent: int, counting: bool) -> DataFrame:
+    """Links ``a, b`` between candidates that share a shingle among their rarest, and numbers ``n`` of links."""
     tokens = candidates.select("node", "n", F.explode("prefix").alias("token"))
     least = tokens.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     near = tokens.join(least.filter("a <> z").drop("z"), "token").select("a", F.col("node").alias("b")).distinct()
@@ -459,8 +538,8 @@ def _linked(candidates: DataFrame, percent: int) -> DataFrame:
             ),
         )
         .select(
-            "cell", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "node", "keys"
+            "cell", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"), "part", "node", "keys"
         )
         .withColumn("task", F.pmod(F.xxhash64("cell", "low", "high"), F.lit(tasks)).cast("int"))
     )
-    return spread.groupBy("task").applyInArrow(_cells(percent), "a long, b long")
+    return spread.groupBy("task").applyInArrow(_cells(percent, counting), "a long, b long, n long")

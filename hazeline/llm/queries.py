@@ -28,7 +28,7 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar(table(spark, sf_dir, "documents"))
+    return ngram_join.similar(table(spark, sf_dir, "documents"), links=True)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

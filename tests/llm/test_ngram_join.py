@@ -109,6 +109,57 @@ def test_a_large_group_of_near_copies(spark):
     assert {row[2] for row in found(df)} == {0}
 
 
+def with_links(rows, percent=80):
+    """Per row what ``brute`` says, and the links between different sets of its group."""
+    sets = [shingle_set(text) for _, text in rows]
+    group = {own: row[2] for own, row in zip(sets, brute(rows, percent), strict=True)}
+    different, links = sorted(filter(None, group), key=sorted), defaultdict(int)
+    for at, one in enumerate(different):
+        for other in different[:at]:
+            common = len(one & other)
+            links[group[one]] += 100 * common >= percent * (len(one) + len(other) - common)
+    return [(*row, links[row[2]] if own else 0) for own, row in zip(sets, brute(rows, percent), strict=True)]
+
+
+@pytest.mark.parametrize("cell", [1 << 20, 150, 60])
+def test_all_links_are_counted_once(spark, monkeypatch, cell):
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rows, rng = families(), random.Random(7)
+    base = words(rng, 80)
+    for number in range(1000, 1030):
+        near = list(base)
+        for at in rng.sample(range(80), rng.randint(0, 2)):
+            near[at] = f"x{number}"
+        rows.append((number, " ".join(near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(with_links(rows), key=order)
+    assert found(df, links=True) == expected
+    assert max(row[3] for row in expected) > 10
+
+
+def test_links_of_odd_documents(odd, odd_rows):
+    rows = [row[:2] for row in odd_rows if row[0] is not None]
+    assert found(odd.filter("doc_id IS NOT NULL"), links=True) == sorted(with_links(rows), key=order)
+
+
+@pytest.mark.parametrize("pairs", [1 << 22, 500])
+@pytest.mark.parametrize("dense", [0, 2, 1000])
+def test_numbers_of_links(monkeypatch, pairs, dense):
+    """Frequent shingles, rare ones, and steps of few pairs make no difference."""
+    monkeypatch.setattr(ngram_join, "PAIRS", pairs)
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(40, rng.integers(18, 60), replace=True) + 100 * (at % 3)).astype(np.uint64) for at in range(90)]
+    groups, expected = np.arange(90) % 2, {(): 0, (1,): 0, (0, 1): 0}
+    for one in range(90):
+        for other in range(one):
+            if len(np.intersect1d(sets[one], sets[other])) >= ngram_join.needed(len(sets[one]), len(sets[other]), 60):
+                for inner in expected:
+                    expected[inner] += groups[one] != groups[other] or groups[one] in inner
+    for inner, number in expected.items():
+        assert ngram_join.numbers(sets, groups, inner, 60).sum() == number > 20
+
+
 def test_representatives(odd, odd_rows):
     left = ngram_join.representatives(odd)
     assert left.columns == odd.columns
