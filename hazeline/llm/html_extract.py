@@ -202,11 +202,11 @@ def main_text(html: str) -> str:
     """The main text of a page: its content blocks, one per line; empty if there are none.
 
     Each block's characters outside of links, per tag, are smoothed over the neighbouring blocks
-    and divided in two clusters, on a logarithmic scale. Content are the articles of the blocks
-    in the upper cluster, where the page marks articles, or else the containers of those blocks:
-    with all their blocks, so that a short paragraph stays with its article. A block that is
-    mostly links speaks for none. If no article has a block in the upper cluster, all have the
-    content.
+    and divided in two clusters, on a logarithmic scale. Content are the regions of the blocks in
+    the upper cluster, wherever on the page they are, with all their blocks, so that a short
+    paragraph stays with its article. The region of a block is the article that it is in, or else
+    its container. A block that is mostly links speaks for none. Only if no block speaks for any
+    region, all articles have the content.
     """
     lines = lines_of(html)
     if not lines:
@@ -215,11 +215,10 @@ def main_text(html: str) -> str:
     heights = np.log1p(smoothed(ratios))
     own_words = np.array([2 * line.linked < len(line.text) for line in lines])
     upper = (heights > threshold(heights)) & own_words
-    if any(line.root for line in lines):
-        content = {line.root for line, high in zip(lines, upper, strict=True) if high and line.root}
-        return "\n".join(line.text for line in lines if line.root and (not content or line.root in content))
-    content = {line.container for line, high in zip(lines, upper, strict=True) if high}
-    return "\n".join(line.text for line in lines if line.container in content)
+    content = {line.root or line.container for line, high in zip(lines, upper, strict=True) if high}
+    if not content:
+        content = {line.root for line in lines if line.root}
+    return "\n".join(line.text for line in lines if (line.root or line.container) in content)
 
 
 def extract(

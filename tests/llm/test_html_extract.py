@@ -50,6 +50,30 @@ def test_page(name):
         assert text == expected
 
 
+CARDS = "".join(f"<article class='card'><h3><b>Card</b> {n}</h3><p><i>By</i> <b>us</b></p></article>" for n in range(4))
+
+
+def test_main_text_outside_of_articles():
+    """Articles that are only cards don't displace the text beside them; one next to it may be smoothed in."""
+    text = f"<div class='story'><h2>Head</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p><p>{LONG}</p></div>"
+    for page in (f"<body>{text}<div>{CARDS}</div></body>", f"<body><div>{CARDS}</div>{text}</body>"):
+        found = main_text(page)
+        assert "\n".join(["Head", LONG.strip(), "Short.", LONG.strip(), LONG.strip()]) in found
+        assert "Card 1" not in found and "Card 2" not in found
+
+
+def test_main_text_in_an_article_and_beside_it():
+    page = f"<body><article><p>{LONG}</p><p>{LONG}</p></article><div>{CARDS}</div><section><p>{LONG}</p><p>{LONG}</p></section></body>"
+    found = main_text(page)
+    assert found.split("\n").count(LONG.strip()) == 4
+    assert "Card 1" not in found and "Card 2" not in found
+
+
+def test_articles_of_links_only():
+    """Where no block speaks for a region, articles are all there is."""
+    assert main_text("<body><div><a href=x>Menu</a></div><article><a href=y>Text</a></article></body>") == "Text"
+
+
 def test_a_very_long_page():
     html = "<article>" + f"<p>{LONG}</p>" * 3000 + "</article>"
     assert main_text(html) == "\n".join([LONG.strip()] * 3000)
