@@ -1,14 +1,14 @@
-"""Removal of passages that an earlier document has: suffix arrays by prefix-free parsing.
+"""Removal of passages that an earlier document has, by prefix-free parsing.
 
 A rolling hash over K bytes picks triggers: the first least hash of each stretch of L bytes, so that
 every L bytes hold one. A phrase is all text whose L-byte stretches share a trigger. Phrases
 overlap by L - 1 bytes, so each L bytes of the corpus lie whole in just one phrase, and the first
-L bytes of any suffix are those of a suffix of a phrase. The corpus order, as far as matches of L
-bytes need it, thus follows from two smaller ones: the dictionary of distinct phrases, ordered by
-trigger and phrase, and the suffixes of those phrases that share a trigger with another, ordered by
-their first L bytes. The parse says which documents have which phrase. Text that is copied as a
+L bytes of any suffix are those of a suffix of a phrase. Matches of L bytes thus follow from the
+dictionary of distinct phrases, grouped by the hashes of trigger and phrase, and from the suffixes
+of those phrases that share a trigger with another, grouped by the hash of their first L bytes.
+There are no suffix arrays: equal strings need no order by bytes. The parse says which documents have which phrase. Text that is copied as a
 whole makes the same phrases and is settled in the dictionary; only phrases at the edges of copies
-have their suffixes ordered.
+have their suffixes compared.
 
 A passage that many documents share has other neighbours in each, and so, at its edges, as many
 phrases with one trigger as there are documents. Such a common trigger is not settled by phrase: a
@@ -407,7 +407,7 @@ def _merged(key: tuple, table: pa.Table, most: int) -> pa.Table:
 
 
 def _merge_suffixes(length: int, bits: int):
-    """Order the suffixes of all blocks' open phrases by their first bytes.
+    """Group the suffixes of all blocks' open phrases by the hash of their first bytes.
 
     Phrases that share these share their trigger, so they are in one bucket, those of a common trigger
     by hash in a part of it. A block learns, by number of the suffix, of earlier documents with it.
