@@ -94,8 +94,56 @@ SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(s.micro_nats, 0)::BIGINT
 FROM texts t LEFT JOIN summed s ON s.doc_id = t.doc_id
 """
 
+SEARCH = r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), sums AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(ws))::BIGINT AS words FROM raw WHERE len(ws) > 0
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), times AS (
+  SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(ws) AS term FROM raw)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc, term
+), weights AS (
+  SELECT term, floor(1000::DOUBLE * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM times, sums GROUP BY term, docs
+), norms AS (
+  SELECT doc, doc_id, (50 + (50 * len(ws) * docs) // words)::BIGINT AS m FROM raw, sums WHERE len(ws) > 0
+), scores AS (
+  SELECT item_id, doc, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN times USING (term) JOIN weights USING (term) JOIN norms USING (doc)
+  GROUP BY item_id, doc, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+         doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+DUPLICATES = r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS size,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS bytes
+  FROM documents
+), placed AS (
+  SELECT doc_id, bytes, row_number() OVER best AS place, first_value(doc_id) OVER best AS keep_id,
+         count(*) OVER (PARTITION BY bytes) AS group_size
+  FROM rows WINDOW best AS (PARTITION BY bytes ORDER BY size DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept, sha256(bytes) AS text_sha256 FROM placed
+"""
+
 ORACLE: dict[str, str] = {
     "op6_nearest_codes": NEAREST,
     "op9_backoff_scores": BACKOFF,
     "op10_mix_sources": MIX,
+    "op12_ranked_search": SEARCH,
+    "op13_exact_duplicates": DUPLICATES,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import backoff, bpe, fingerprints, hamming, html_extract, mixing, ngram_join, quality, suffix_dedup, toxicity
+from hazeline.llm import (
+    backoff,
+    bpe,
+    conversations,
+    exact_dedup,
+    fingerprints,
+    hamming,
+    html_extract,
+    mixing,
+    ngram_join,
+    quality,
+    signatures,
+    suffix_dedup,
+    toxicity,
+)
 from hazeline.llm.tables import read as table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +93,22 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    found = conversations.reports(damaged, id_col="id", gone_col="gone")
+    counts = [F.col(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("id").alias("conv_id"), *counts, "audit", "repaired_sha256")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return signatures.search(signatures.build(docs), docs, table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.members(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_repeated_passages": op2_repeated_passages,
@@ -90,4 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_backoff_scores": op9_backoff_scores,
     "op10_mix_sources": op10_mix_sources,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_exact_duplicates": op13_exact_duplicates,
 }

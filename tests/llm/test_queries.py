@@ -8,13 +8,13 @@ from hazeline.llm.oracle import ORACLE
 from hazeline.llm.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
     frame = QUERIES[name](spark, SF_DIR)
     result = duck.sql(ORACLE[name])
@@ -25,7 +25,7 @@ def test_matches_sql(spark, name):
 
 def test_registered():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert QUERIES.items() <= entry_point.queries().items()
     assert "pipeline" in entry_point.queries()
     assert ORACLE.items() <= entry_point.oracle_sql().items()
