@@ -1,0 +1,122 @@
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hazeline.llm import exact_dedup, quotient
+from hazeline.llm.oracle import DUPLICATES
+
+
+def expected(rows):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    return duck.sql(DUPLICATES).fetchall()
+
+
+def key(row):
+    return tuple((value is None, value) for value in row)
+
+
+def members(docs):
+    return sorted(map(tuple, exact_dedup.members(docs).collect()), key=key)
+
+
+MORE = [(400, "a b"), (401, "ab\r\n"), (402, "a b"), (403, "A b"), (404, " "), (405, "é"), (404, " "), (None, "ab")]
+
+
+@pytest.fixture(scope="module")
+def spaced(spark, odd, odd_rows):
+    names = ["fingerprint", "copies", "bytes", "length", "whole", "best", "first"]
+    rows = [(number, text, "en", "s", 1, *range(len(names))) for number, text in MORE]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", {n} int" for n in names)
+    return odd.unionByName(spark.createDataFrame(rows, schema), allowMissingColumns=True).repartition(6)
+
+
+def texts(odd_rows):
+    return [(row[0], row[1]) for row in odd_rows] + MORE
+
+
+@pytest.mark.parametrize("common", [1000, 2])
+def test_odd_documents(spaced, odd_rows, common, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COMMON", common)
+    assert members(spaced) == sorted(expected(texts(odd_rows)), key=key)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_rows_that_stay(spark, spaced, odd_rows, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        kept = exact_dedup.distinct(spaced)
+        assert kept.columns == spaced.columns
+        found = sorted(((row.doc_id, row.text) for row in kept.collect()), key=key)
+        rows = texts(odd_rows)
+        by_id = {}
+        for row in expected(rows):
+            if row[3]:
+                by_id.setdefault(row[0], []).append(row[4])
+        assert sorted(((i, h) for i, hashes in by_id.items() for h in hashes), key=key) == sorted(
+            ((i, sha(text)) for i, text in found), key=key
+        )
+        changed = kept.join(spaced, [kept[c].eqNullSafe(spaced[c]) for c in spaced.columns], "left_anti")
+        assert changed.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def sha(text):
+    return exact_dedup_sha(text or "")
+
+
+def exact_dedup_sha(text):
+    import hashlib
+
+    return hashlib.sha256("".join(c for c in text if c not in " \t\n\x0b\x0c\r").encode()).hexdigest()
+
+
+def test_a_group_of_a_third_of_all_rows(spark):
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same").otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"),
+    )
+    found = exact_dedup.members(docs)
+    assert found.groupBy("group_size", "kept").count().orderBy("group_size", "kept").collect() == [
+        (1, True, 20_000), (10_000, False, 9_999), (10_000, True, 1),
+    ]
+    assert found.filter("group_size > 1 AND keep_id <> 0").count() == 0
+    assert exact_dedup.distinct(docs).count() == 20_001
+
+
+def test_fingerprints_that_clash_are_told_apart_by_bytes(spark, spaced, odd_rows, monkeypatch):
+    # Every text gets one of 16 fingerprints, so that most share theirs with other texts.
+    plain = F.xxhash64
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *columns: F.pmod(plain(*columns), F.lit(16)))
+    assert members(spaced) == sorted(expected(texts(odd_rows)), key=key)
+
+
+def test_no_rows_and_other_ids(spark, no_docs):
+    assert exact_dedup.members(no_docs).count() == 0 == exact_dedup.distinct(no_docs).count()
+    docs = spark.createDataFrame([("b", "x"), ("a", "x "), (None, "x ")], "doc_id string, text string")
+    assert {row.keep_id for row in exact_dedup.members(docs).collect()} == {"a"}
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4, 12])
+def test_filters_give_back_what_was_put_in(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 2, 7, 1000):
+        number = int(rng.integers(0, 1 << bits))
+        base = np.uint64(number) << np.uint64(64 - bits) if bits else np.uint64(0)
+        wide = rng.integers(0, 1 << (64 - bits), n, dtype=np.uint64) if bits else rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        close = rng.integers(0, 50, n, dtype=np.uint64)  # one long run
+        for values in (wide, close):
+            found, counts = quotient.counted(base | values)
+            again = quotient.unpack(quotient.pack(found, counts, bits), bits, number)
+            assert (again[0] == found).all() and (again[1] == counts).all() and counts.sum() == n
+
+
+def test_merging_adds_counts_and_loses_nothing():
+    rng = np.random.default_rng(1)
+    parts = [rng.integers(0, 300, 200, dtype=np.uint64) << np.uint64(50) for _ in range(5)]
+    merged = quotient.merge([quotient.unpack(quotient.pack(*quotient.counted(part), 0), 0, 0) for part in parts])
+    whole = quotient.counted(np.concatenate(parts))
+    assert (merged[0] == whole[0]).all() and (merged[1] == whole[1]).all()
