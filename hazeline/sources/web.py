@@ -10,17 +10,18 @@ import sys
 import threading
 import time
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from base64 import b64encode
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from contextlib import contextmanager, nullcontext
 from copy import copy
-from http.client import HTTPConnection, HTTPException, HTTPSConnection
+from http.client import HTTPConnection, HTTPException, HTTPResponse, HTTPSConnection
 from typing import NamedTuple
 from urllib.error import HTTPError
-from urllib.parse import quote, urlsplit
-from urllib.request import urlopen
+from urllib.parse import quote, unquote, urljoin, urlsplit
+from urllib.request import getproxies, proxy_bypass, urlopen
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: the URL parameter that carries the API key.
 KEY_PARAMETER = "API_KEY"
-OK = 200
-# A task hands on its replies in small groups: bodies may be large, URLs are not.
+OK, TOO_MANY = 200, 429
+# Statuses that name another place to get the same from, and how often to go on to one.
+REDIRECTS = (301, 302, 303, 307, 308)
+MOST_REDIRECTS = 10
+# A task hands on its replies in groups of so many, or of so many characters.
 REPLIES_PER_BATCH = 64
+CHARS_PER_BATCH = 1 << 22
+# A pace that was widened narrows again by this factor with each good reply, and never widens beyond this.
+NARROWING, WIDEST = 0.9, 64.0
 
 
 class Reply(NamedTuple):
@@ -46,43 +53,81 @@ Transport = Callable[[str], Reply]
 class KeepAlive:
     """Opens URLs like ``urlopen``, over one connection per thread and server, kept open.
 
-    A connection that the server has closed meanwhile is replaced.
+    A connection that the server has closed meanwhile is replaced. Redirects are followed, and
+    the proxies that ``urllib.request.getproxies`` finds are used: of plain HTTP by asking them for the
+    whole URL, of HTTPS by a tunnel.
     """
 
     def __init__(self) -> None:
         self._local = threading.local()
         self._all: list[HTTPConnection] = []
+        self._proxies = getproxies()
 
     def __call__(self, url: str, timeout: float) -> Response:
+        for _ in range(MOST_REDIRECTS + 1):
+            reply, body = self._get(url, timeout)
+            place = reply.headers.get("Location") if reply.status in REDIRECTS else None
+            if place is None:
+                break
+            url = urljoin(url, place)
+        if reply.status >= 300:
+            reason = "too many redirects" if place else reply.reason
+            raise HTTPError(url, reply.status, reason, reply.headers, None)
+        return Response(reply.status, body)
+
+    def _get(self, url: str, timeout: float) -> tuple[HTTPResponse, bytes]:
         parts = urlsplit(url)
         if parts.scheme not in ("http", "https"):
             raise ValueError(f"unknown URL type: {parts.scheme}")
         known = self._local.__dict__.setdefault("connections", {})
         server = parts.scheme, parts.netloc
-        path = parts._replace(scheme="", netloc="", fragment="").geturl() or "/"
+        proxy = self._proxy(parts.scheme, parts.hostname or "")
+        path, headers = parts._replace(scheme="", netloc="", fragment="").geturl() or "/", {}
+        if proxy and parts.scheme == "http":
+            path, headers = parts._replace(fragment="").geturl(), proxy.headers
         for fresh in (server not in known, True):
             if fresh:
-                kind = HTTPSConnection if parts.scheme == "https" else HTTPConnection
-                known[server] = kind(parts.netloc, timeout=timeout)
+                known[server] = self._connect(parts.scheme, parts.netloc, proxy, timeout)
                 self._all.append(known[server])
             try:
-                known[server].request("GET", path)
+                known[server].request("GET", path, headers=headers)
                 reply = known[server].getresponse()
-                body = reply.read()
-                break
+                return reply, reply.read()
             except (HTTPException, ConnectionError):
                 known.pop(server).close()
                 if fresh:
                     raise
-        if reply.status >= 300:
-            raise HTTPError(url, reply.status, reply.reason, reply.headers, None)
-        return Response(reply.status, body)
+        raise AssertionError("unreachable")
+
+    def _proxy(self, scheme: str, host: str) -> Proxy | None:
+        address = self._proxies.get(scheme) or self._proxies.get("all")
+        if not address or proxy_bypass(host):
+            return None
+        parts = urlsplit(address if "://" in address else f"http://{address}")
+        headers = {}
+        if parts.username:
+            user = f"{unquote(parts.username)}:{unquote(parts.password or '')}"
+            headers["Proxy-Authorization"] = f"Basic {b64encode(user.encode()).decode()}"
+        return Proxy(parts.netloc.rpartition("@")[2], headers)
+
+    @staticmethod
+    def _connect(scheme: str, netloc: str, proxy: Proxy | None, timeout: float) -> HTTPConnection:
+        kind = HTTPSConnection if scheme == "https" else HTTPConnection
+        connection = kind(proxy.netloc if proxy else netloc, timeout=timeout)
+        if proxy and scheme == "https":
+            connection.set_tunnel(netloc, headers=proxy.headers)
+        return connection
 
     def close(self) -> None:
         for connection in self._all:
             connection.close()
 
 
+class Proxy(NamedTuple):
+    netloc: str
+    headers: dict[str, str]
+
+
 class Response:
     """A reply that has been read."""
 
@@ -99,6 +144,32 @@ class Response:
         pass
 
 
+class Pace:
+    """Lets the calls of one task begin no closer together than ``interval`` seconds.
+
+    ``offset`` delays the first. A server that says it gets too many calls doubles the interval, and
+    each good reply brings it back a little.
+    """
+
+    def __init__(self, interval: float, offset: float = 0.0) -> None:
+        self.interval, self._factor = interval, 1.0
+        self._next = time.monotonic() + offset
+        self._lock = threading.Lock()
+
+    def wait(self) -> None:
+        with self._lock:
+            start = max(self._next, time.monotonic())
+            self._next = start + self.interval * self._factor
+        time.sleep(max(0.0, start - time.monotonic()))
+
+    def heard(self, status: int | None) -> None:
+        with self._lock:
+            if status == TOO_MANY:
+                self._factor = min(WIDEST, self._factor * 2)
+            elif status == OK:
+                self._factor = max(1.0, self._factor * NARROWING)
+
+
 class HttpTransport:
     """GET ``base_url + url`` with a timeout and bounded retries.
 
@@ -127,6 +198,7 @@ class HttpTransport:
         self.backoff = backoff
         self.opener = opener
         self.longest_wait = longest_wait
+        self.pace: Pace | None = None
 
     def __repr__(self) -> str:
         return f"HttpTransport({self.base_url!r})"
@@ -144,12 +216,22 @@ class HttpTransport:
         finally:
             own.opener.close()
 
+    def paced(self, pace: Pace) -> HttpTransport:
+        """The same transport, each of whose attempts keeps to the pace."""
+        own = copy(self)
+        own.pace = pace
+        return own
+
     def __call__(self, url: str) -> Reply:
-        wait = 0.0
+        asked = 0.0
         for attempt in range(self.attempts):
             if attempt:
-                time.sleep(max(wait, self.backoff * 2 ** (attempt - 1)))
-            reply, final, wait = self._try(url)
+                time.sleep(max(asked, self.backoff * 2 ** (attempt - 1)))
+            if self.pace:
+                self.pace.wait()
+            reply, final, asked = self._try(url)
+            if self.pace:
+                self.pace.heard(reply.status)
             if final:
                 break
         return reply
@@ -185,19 +267,48 @@ class HttpTransport:
         return text
 
 
+class Paced:
+    """A transport that keeps to a pace."""
+
+    def __init__(self, transport: Transport, pace: Pace) -> None:
+        self._transport, self._pace = transport, pace
+
+    def __call__(self, url: str) -> Reply:
+        self._pace.wait()
+        reply = Reply(*self._transport(url))
+        self._pace.heard(reply.status)
+        return reply
+
+
+@contextmanager
+def _client(transport: Transport, pace: Pace | None) -> Iterator[Transport]:
+    """What a task calls: a client of the transport, at the pace."""
+    if pace and hasattr(transport, "paced"):
+        transport, pace = transport.paced(pace), None
+    with transport.client() if hasattr(transport, "client") else nullcontext(transport) as client:
+        yield Paced(client, pace) if pace else client
+
+
 def fetch_responses(
-    requests: DataFrame, transport: Transport, parallelism: int, concurrency: int = 1
+    requests: DataFrame,
+    transport: Transport,
+    parallelism: int,
+    concurrency: int = 1,
+    rate: float | None = None,
 ) -> DataFrame:
     """Call every distinct ``url`` of ``requests`` once, in ``parallelism`` tasks.
 
     Returns ``url, n_requests, status, body, error``, where ``n_requests`` counts the requests
-    that share the URL. A failed call gives a row with an ``error``; it does not stop the
-    others. Counting before the calls combines within the input partitions, so a URL shared
-    by a large part of all requests costs no more than any other.
+    that share the URL, or adds up their ``n_requests`` if they have any. A failed call gives a row with
+    an ``error``; it does not stop the others. Counting before the calls combines within the input
+    partitions, so a URL shared by a large part of all requests costs no more than any other.
 
-    Each task has up to ``concurrency`` calls under way, so the load on the API is at most
-    ``parallelism * concurrency`` calls at a time. A transport with a ``client`` method, a context
-    manager, gives each task one client that all its calls share.
+    Each task has ``concurrency`` calls under way as long as it has URLs: as one ends, the next begins, so
+    that a slow call delays no other. The load on the API is at most ``parallelism * concurrency``
+    calls at a time, and no more than ``rate`` calls begin per second, if given: each task has an equal
+    part of it, slows down when told that there are too many calls, and starts at an offset of its own.
+    A transport with a ``client`` method, a context manager, gives each task one client that all its
+    calls share; one with a ``paced`` method keeps to the pace in all its attempts, for others each call counts.
 
     Write the result to a table before using it: evaluating the frame again repeats the
     calls. A lost task repeats its own share only; more tasks than cores make that share
@@ -205,6 +316,8 @@ def fetch_responses(
     """
     if parallelism < 1 or concurrency < 1:
         raise ValueError("parallelism and concurrency must be at least 1")
+    if rate is not None and rate <= 0:
+        raise ValueError("rate must be above 0")
     schema = pa.schema(
         [
             ("url", pa.string()),
@@ -216,27 +329,45 @@ def fetch_responses(
     )
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = transport.client() if hasattr(transport, "client") else nullcontext(transport)
-        with opened as client, ThreadPoolExecutor(concurrency) as threads:
-
-            def call(url: str) -> Reply:
+        pace = None
+        if rate is not None:
+            task = TaskContext.get()
+            place = task.partitionId() % parallelism if task else 0
+            pace = Pace(parallelism / rate, place / rate)
+        with _client(transport, pace) as client, ThreadPoolExecutor(concurrency) as threads:
+
+            def call(url: str, n: int) -> tuple:
                 try:
-                    return Reply(*client(url))
+                    return url, n, *Reply(*client(url))
                 except Exception as error:
-                    return Reply(None, None, f"{type(error).__name__}: {error}")
-
-            for batch in batches:
-                for start in range(0, batch.num_rows, REPLIES_PER_BATCH):
-                    share = batch.slice(start, REPLIES_PER_BATCH)
-                    urls = share.column("url").to_pylist()
-                    statuses, bodies, errors = zip(*threads.map(call, urls))
-                    counts = share.column("n_requests").to_pylist()
-                    columns = [urls, counts, statuses, bodies, errors]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-                    )
-
-    distinct = requests.groupBy("url").agg(F.count(F.lit(1)).alias("n_requests"))
+                    return url, n, None, None, f"{type(error).__name__}: {error}"
+
+            def table(rows: list[tuple]) -> pa.RecordBatch:
+                arrays = [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)]
+                return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+            requested = (
+                pair for batch in batches
+                for pair in zip(batch.column("url").to_pylist(), batch.column("n_requests").to_pylist())
+            )
+            under_way, rows, chars = set(), [], 0
+            while True:
+                while len(under_way) < concurrency and (pair := next(requested, None)):
+                    under_way.add(threads.submit(call, *pair))
+                if not under_way:
+                    break
+                ended, under_way = wait(under_way, return_when=FIRST_COMPLETED)
+                for future in ended:
+                    rows.append(future.result())
+                    chars += len(rows[-1][3] or "")
+                if len(rows) >= REPLIES_PER_BATCH or chars >= CHARS_PER_BATCH:
+                    yield table(rows)
+                    rows, chars = [], 0
+            if rows:
+                yield table(rows)
+
+    number = F.sum("n_requests") if "n_requests" in requests.columns else F.count(F.lit(1))
+    distinct = requests.groupBy("url").agg(number.alias("n_requests"))
     return distinct.repartition(parallelism).mapInArrow(
         fetch, "url string, n_requests bigint, status int, body string, error string"
     )

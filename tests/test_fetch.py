@@ -4,6 +4,7 @@ import io
 import json
 import os
 import sys
+import threading
 import time
 import uuid
 from contextlib import contextmanager
@@ -33,6 +34,7 @@ from hazeline.sources import (
     scan_json_lines,
     scan_table,
 )
+from hazeline.sources.web import Pace
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -382,7 +384,7 @@ def test_connections_are_kept_and_replaced(monkeypatch):
             made.append(self)
             self.left, self.open = 2, True
 
-        def request(self, method, path):
+        def request(self, method, path, headers):
             if not self.left:
                 raise RemoteDisconnected("closed")
             self.left -= 1
@@ -433,3 +435,174 @@ def test_extract_and_fused_jobs_agree(spark, tmp_path, canned, stations, endpoin
     assert table.columns == schema.names
     scanned = scan_json_lines(spark, path["entries"], schema).drop(CORRUPT)
     assert sorted(table.collect(), key=str) == sorted(scanned.collect(), key=str)
+
+
+class Scripted:
+    """Connections that play a service: what each path answers, and which were opened for what."""
+
+    def __init__(self, answers):
+        self.answers, self.asked, self.tunnels = answers, [], []
+
+    def __call__(self, netloc, timeout):
+        service = self
+
+        class Connection:
+            def request(self, method, path, headers):
+                service.asked.append((netloc, path, headers))
+                self.path = path
+
+            def set_tunnel(self, host, headers):
+                service.tunnels.append((netloc, host, headers))
+
+            def getresponse(self):
+                status, headers, body = service.answers[self.path]
+                reply = Response(body)
+                reply.status, reply.reason, reply.headers = status, "", headers
+                return reply
+
+            def close(self):
+                pass
+
+        return Connection()
+
+
+@pytest.fixture
+def service(monkeypatch):
+    def play(answers, proxies=()):
+        scripted = Scripted(answers)
+        for kind in ("HTTPConnection", "HTTPSConnection"):
+            monkeypatch.setattr(f"hazeline.sources.web.{kind}", scripted)
+        monkeypatch.setattr("hazeline.sources.web.getproxies", lambda: dict(proxies))
+        return scripted
+
+    return play
+
+
+def ask(url, base="https://api.example", **options):
+    with HttpTransport(base, backoff=0, **options).client() as client:
+        return client(url)
+
+
+def test_redirects_are_followed(service):
+    scripted = service({
+        "/a": (302, {"Location": "/b?x=1"}, b""),
+        "/b?x=1": (308, {"Location": "http://other.example/c"}, b"moved"),
+        "/c": (200, {}, b"[1]"),
+        "/loop": (301, {"Location": "loop"}, b""),
+        "/nowhere": (303, {}, b""),
+        "/file": (302, {"Location": "file:///etc/passwd"}, b""),
+    })
+    assert ask("a") == Reply(200, "[1]", None)
+    assert [netloc for netloc, _, _ in scripted.asked] == ["api.example", "api.example", "other.example"]
+    scripted.asked.clear()
+    assert ask("loop") == Reply(301, None, "HTTP 301") and len(scripted.asked) == 11
+    assert ask("nowhere") == Reply(303, None, "HTTP 303")
+    assert "unknown URL type" in ask("file").error
+
+
+def test_proxies_are_used(service, monkeypatch):
+    monkeypatch.setattr("hazeline.sources.web.proxy_bypass", lambda host: host == "inside.example")
+    answers = {"/a": (200, {}, b"[1]"), "http://api.example/a": (200, {}, b"[2]")}
+    proxies = {"http": "http://me:p%40ss@proxy:3128", "https": "proxy:3128"}
+    scripted = service(answers, proxies)
+    assert ask("a", "http://api.example").body == "[2]"
+    assert ask("a").body == "[1]"
+    assert ask("a", "http://inside.example").body == "[1]"
+    word = "Basic bWU6cEBzcw=="
+    assert scripted.asked == [
+        ("proxy:3128", "http://api.example/a", {"Proxy-Authorization": word}),
+        ("proxy:3128", "/a", {}),
+        ("inside.example", "/a", {}),
+    ]
+    assert scripted.tunnels == [("proxy:3128", "api.example", {})]
+
+
+class Uneven:
+    """Notes how many calls are under way; some calls are slow."""
+
+    def __init__(self, folder, slow=()):
+        self.folder, self.slow = str(folder), slow
+
+    @contextmanager
+    def client(self):
+        client = Uneven(self.folder, self.slow)
+        client.now, client.most, client.lock = 0, 0, threading.Lock()
+        yield client
+        Path(self.folder, "most").write_text(str(client.most))
+
+    def __call__(self, url):
+        with self.lock:
+            self.now += 1
+            self.most = max(self.most, self.now)
+        time.sleep(3 if url in self.slow else 0.05)
+        with self.lock:
+            self.now -= 1
+        return Reply(200, "[]", None)
+
+
+def urls(spark, n):
+    return spark.range(n).select(F.concat(F.lit("i="), F.col("id").cast("string")).alias("url"))
+
+
+def test_as_many_calls_are_under_way_as_allowed(spark, tmp_path):
+    assert fetch_responses(urls(spark, 600), Uneven(tmp_path), 1, 200).count() == 600
+    assert int((tmp_path / "most").read_text()) == 200
+
+
+def test_a_slow_call_delays_no_other(spark, tmp_path):
+    start = time.perf_counter()
+    slow = [f"i={number}" for number in range(0, 400, 50)]
+    assert fetch_responses(urls(spark, 400), Uneven(tmp_path, slow), 1, 20).count() == 400
+    # Eight slow calls of three seconds one after the other would take 24.
+    assert time.perf_counter() - start < 12
+
+
+class Stamped:
+    def __init__(self, folder, status=200):
+        self.folder, self.status = str(folder), status
+
+    def __call__(self, url):
+        Path(self.folder, uuid.uuid4().hex).write_text(repr(time.time()))
+        return Reply(self.status, "[]", None)
+
+
+@pytest.mark.parametrize("parallelism, concurrency", [(1, 1), (4, 8), (8, 2), (40, 1)])
+def test_no_more_calls_begin_than_the_rate_allows(spark, tmp_path, parallelism, concurrency):
+    fetch_responses(urls(spark, 80), Stamped(tmp_path), parallelism, concurrency, rate=40).count()
+    times = sorted(float(path.read_text()) for path in tmp_path.iterdir())
+    assert len(times) == 80
+    rate = (len(times) - 1) / (times[-1] - times[0])
+    assert rate <= 42, rate
+
+
+def test_too_many_calls_widen_the_pace(monkeypatch):
+    waits = []
+    monkeypatch.setattr("hazeline.sources.web.time.sleep", waits.append)
+    monkeypatch.setattr("hazeline.sources.web.time.monotonic", lambda: 0.0)
+    pace = Pace(1.0)
+    for status in (200, 429, 429, 200):
+        pace.wait()
+        pace.heard(status)
+    pace.wait()
+    assert waits == [0, 1, 2, 4, 8] or waits == [0, 1, 2, 4, pytest.approx(7.6)]
+    for _ in range(100):
+        pace.heard(429)
+    assert pace._factor == 64
+    for _ in range(100):
+        pace.heard(200)
+    assert pace._factor == 1
+
+
+def test_every_attempt_keeps_to_the_pace(monkeypatch):
+    waits = []
+    monkeypatch.setattr("hazeline.sources.web.time.sleep", lambda _: None)
+    pace = Pace(0.0)
+    monkeypatch.setattr(pace, "wait", lambda: waits.append(1))
+    opener = Opener(http_error(503), http_error(429), b"[]")
+    transport = HttpTransport("https://api.example/", backoff=0, opener=opener).paced(pace)
+    assert transport("a").status == 200 and len(waits) == 3 and pace._factor > 1
+
+
+def test_a_rate_must_be_above_zero(spark, canned):
+    with pytest.raises(ValueError, match="rate"):
+        fetch_responses(urls(spark, 1), canned, 1, rate=0)
