@@ -8,14 +8,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from hazeline import plans
+from hazeline import files, plans
 from hazeline.operators.requests import ENDPOINTS
 from hazeline.plans import Paths
 from hazeline.schemas import FORECAST, OBSERVATION
 from hazeline.sources import HttpTransport
 from hazeline.sources.entries import LAYOUTS
 from hazeline.sources.web import Transport
-from hazeline.streaming import load_increment
+from hazeline.streaming import load_increment, load_latest
 
 SCHEMAS = {"observation": OBSERVATION, "forecast": FORECAST}
 
@@ -37,8 +37,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--distance", type=int, default=1)
         sub.add_argument("--parallelism", type=int, required=True, help="number of calling tasks")
         sub.add_argument("--concurrency", type=int, default=1, help="calls under way per task")
+        sub.add_argument("--rate", type=float, help="calls per second of all tasks together")
         sub.add_argument(
-            "--most-failed", type=float, default=1.0, help="share of failed calls that is no error"
+            "--most-failed", type=float, required=True, help="share of failed calls that is no error"
         )
         sub.add_argument("--api-key-variable", help="environment variable that holds the API key")
 
@@ -50,8 +51,12 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     two_step.add_argument("--all-stations", required=True, metavar="TABLE")
     has_encoding(two_step)
     for kind in ENDPOINTS:
-        calls_api(job(f"extract-{kind}s", "STATIONS", "ENTRIES", f"fetch {kind}s"))
-        calls_api(job(f"load-{kind}s", "STATIONS", "TABLE", f"fetch {kind}s straight into a table"))
+        for sub in (
+            job(f"extract-{kind}s", "STATIONS", "ENTRIES", f"fetch {kind}s"),
+            job(f"load-{kind}s", "STATIONS", "TABLE", f"fetch {kind}s straight into a table"),
+        ):
+            calls_api(sub)
+            sub.add_argument("--resume", action="store_true", help="keep replies of a try that ended early")
         transform = job(f"transform-{kind}s", "ENTRIES", "TABLE", f"type {kind} entries")
         transform.add_argument("--form", choices=("lines", "array"), default="lines")
         transform.add_argument("--layout", choices=LAYOUTS, default="entries", help="of arrays")
@@ -59,9 +64,12 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         increment = job(f"append-{kind}s", "LANDING", "TABLE", f"append newly landed {kind}s")
         increment.add_argument("--checkpoint", required=True, metavar="FOLDER")
         increment.add_argument("--max-files", type=int, help="files per batch")
+        latest = job(f"latest-{kind}s", "LANDING", "TABLE", f"replace by the latest delivery of {kind}s")
+        latest.add_argument("--checkpoint", required=True, metavar="FOLDER")
+        latest.add_argument("--folders", default="*", help="pattern of the deliveries' names")
         if kind == "observation":
             transform.add_argument("--infer", action="store_true", help="infer all fields")
-    top = job("top", "TABLE", None, "show the readings with the highest index")
+    top = job("top", "TABLE", None, "show the readings with the highest index, of a table or the last run")
     top.add_argument("--parameter", default="PM2.5")
     top.add_argument("-k", type=int, default=20)
     everything = job("run", "FILE", "FOLDER", "all jobs in order")
@@ -90,6 +98,8 @@ def run(
             spark, source, options.all_stations, target, rejects, encoding=options.encoding
         )
     elif options.job == "top":
+        if files.exists(spark, Paths(source).manifest):
+            source = plans.committed(spark, Paths(source))["observation"]
         plans.top_table(spark, source, options.parameter, options.k).show(
             options.k, truncate=False
         )
@@ -107,12 +117,16 @@ def run(
         load_increment(
             spark, source, target, options.checkpoint, SCHEMAS[kind], options.max_files
         )
+    elif verb == "latest":
+        load_latest(spark, source, target, options.checkpoint, SCHEMAS[kind], options.folders)
     else:
         transport = transport or _transport(options)
         pace = {
             name: getattr(options, name)
-            for name in ("distance", "parallelism", "concurrency", "most_failed")
+            for name in ("distance", "parallelism", "concurrency", "rate", "most_failed")
         }
+        if verb != "run":
+            pace["resume"] = options.resume
         calls = (f"{target}_responses", target, rejects, transport, kind, options.date)
         if verb == "run":
             paths = Paths(target)

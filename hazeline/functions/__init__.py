@@ -1,5 +1,5 @@
 from hazeline.functions.coordinates import coordinate_text, is_coordinate, round_coordinate
-from hazeline.functions.entries import any_value, parse_json, whole_rows
+from hazeline.functions.entries import any_value, opened_array, parse_json, whole_rows
 from hazeline.functions.text import decode_line, split_fields
 
 __all__ = [
@@ -7,6 +7,7 @@ __all__ = [
     "coordinate_text",
     "decode_line",
     "is_coordinate",
+    "opened_array",
     "parse_json",
     "round_coordinate",
     "split_fields",

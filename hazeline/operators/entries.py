@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazeline.functions import any_value, parse_json
+from hazeline.functions import any_value, opened_array, parse_json
 from hazeline.schemas import CORRUPT
 from hazeline.sources.web import OK
 
+# Characters of an array's remainder that its reject quotes.
+REST = 200
 COPIES_IN_PLACE = 100
 COPIES_PER_SHARE = 10_000
 
@@ -21,45 +23,51 @@ def _succeeded() -> Column:
 
 
 def open_responses(responses: DataFrame) -> DataFrame:
-    """The entries of each response as ``texts``, or the ``reason`` why there are none.
+    """The entries of each response as ``texts``, and the ``reason`` why there are none, or not all.
 
     Keeps ``url, n_requests, status``. Each body is parsed once, whatever is selected from the
-    result: ``texts`` comes out of a generator, which nothing is pushed through.
+    result: ``texts`` comes out of a generator, which nothing is pushed through. A body that was cut off has
+    the entries before the break, and a reason.
     """
-    texts = F.from_json("body", "array<string>").alias("texts")
     failure = F.coalesce("error", F.concat(F.lit("HTTP "), "status"), F.lit("no reply"))
     reason = (
         F.when(~_succeeded(), failure)
         .when(F.col("body").isNull(), "no body")
         .when(F.col("texts").isNull(), "body is not a JSON array")
+        .when(F.col("rest").isNotNull(), F.concat(F.lit("array is cut off at: "), F.left("rest", F.lit(REST))))
     )
-    opened = responses.select("*", F.inline(F.array(F.struct(texts))))
-    return opened.select("url", "n_requests", "status", "texts", reason.alias("reason"))
+    opened = responses.select("*", opened_array("body"))
+    texts = F.when(_succeeded(), F.col("texts"))
+    return opened.select("url", "n_requests", "status", texts.alias("texts"), reason.alias("reason"))
 
 
 def explode_responses(responses: DataFrame) -> DataFrame:
     """One row per entry of each response array, as JSON text with all its fields.
 
     Returns ``url, n_requests, entry``. An empty array gives no row; failed calls and bodies
-    that are no array give none either and are listed by ``response_rejects``.
+    that are no array give none either and are listed by ``response_rejects``, as are arrays that were
+    cut off.
     """
-    opened = open_responses(responses.filter(_succeeded())).filter("reason IS NULL")
+    opened = open_responses(responses.filter(_succeeded()))
     return opened.select("url", "n_requests", F.explode("texts").alias("entry"))
 
 
 def response_rejects(responses: DataFrame) -> DataFrame:
-    """Responses without usable entries, each with a ``reason``."""
+    """Responses without usable entries, or with an array that was cut off, each with a ``reason``."""
     return open_responses(responses).filter("reason IS NOT NULL").drop("texts")
 
 
 def entries_or_reasons(responses: DataFrame) -> DataFrame:
-    """``url, n_requests, status, reason, entry``: a row per entry, or one with a reason.
+    """``url, n_requests, status, reason, entry``: a row per entry, and one with each reason.
 
     Both halves of the responses in one pass; an empty array gives neither.
     """
-    opened = open_responses(responses)
-    rows = opened.select("url", "n_requests", "status", "reason", F.posexplode_outer("texts").alias("at", "entry"))
-    return rows.filter("reason IS NOT NULL OR at IS NOT NULL").drop("at")
+    no_reason = F.lit(None).cast("string").alias("reason")
+    texts = F.coalesce("texts", F.array().cast("array<string>"))
+    rows = F.transform(texts, lambda text: F.struct(no_reason, text.alias("entry")))
+    failure = F.struct(F.col("reason").alias("reason"), F.lit(None).cast("string").alias("entry"))
+    both = F.when(F.col("reason").isNull(), rows).otherwise(F.concat(rows, F.array(failure)))
+    return open_responses(responses).select("url", "n_requests", "status", F.inline(both))
 
 
 def repeat_entries(

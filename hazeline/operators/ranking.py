@@ -12,6 +12,14 @@ def filter_parameter(readings: DataFrame, parameter: str = "PM2.5") -> DataFrame
     return readings.filter(F.col("ParameterName") == parameter)
 
 
+def unused(name: str, rows: DataFrame) -> str:
+    """A column name like ``name`` that ``rows`` has not."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _order(readings: DataFrame, tie_break: Sequence[Column | str]) -> list[Column | str]:
     ties = list(tie_break) or [F.xxhash64(*[F.col(f"`{name}`") for name in readings.columns])]
     return [F.col("AQI").desc_nulls_last(), *ties]
@@ -24,8 +32,9 @@ def rank_by_aqi(readings: DataFrame, tie_break: Sequence[Column | str] = ()) ->
     alike in that, too, are told apart by their place, so that the range-partitioned sort divides
     any number of equal or identical rows between tasks.
     """
-    placed = readings.withColumn("_place", F.monotonically_increasing_id())
-    return placed.orderBy(*_order(readings, tie_break), "_place").drop("_place")
+    place = unused("_place", readings)
+    placed = readings.withColumn(place, F.monotonically_increasing_id())
+    return placed.orderBy(*_order(readings, tie_break), place).drop(place)
 
 
 def top_aqi(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.operators import filter_parameter, rank_by_aqi, top_aqi
+from hazeline.operators.ranking import unused
 from hazeline.sources import scan_table
 
 
@@ -17,8 +18,8 @@ def rank_table(spark: SparkSession, path: str, parameter: str = "PM2.5") -> Data
     """
     readings = scan_table(spark, path)
     position = {
-        "_file": F.xxhash64("_metadata.file_path"),
-        "_row": F.col("_metadata.row_index"),
+        unused("_file", readings): F.xxhash64("_metadata.file_path"),
+        unused("_row", readings): F.col("_metadata.row_index"),
     }
     placed = filter_parameter(readings, parameter).select(
         "*", *[column.alias(name) for name, column in position.items()]
@@ -37,13 +38,13 @@ def rank_sql(spark: SparkSession, view: str, parameter: str = "PM2.5") -> DataFr
     """The same ranking as SQL over a registered view; ties as in ``rank_by_aqi``."""
     return spark.sql(
         """
-        SELECT * EXCEPT (_tie, _place)
+        SELECT reading.*
         FROM (
-            SELECT *, xxhash64(*) AS _tie, monotonically_increasing_id() AS _place
+            SELECT struct(*) AS reading, xxhash64(*) AS tie, monotonically_increasing_id() AS place
             FROM IDENTIFIER(:view)
             WHERE ParameterName = :parameter
         )
-        ORDER BY AQI DESC NULLS LAST, _tie, _place
+        ORDER BY reading.AQI DESC NULLS LAST, tie, place
         """,
         args={"view": view, "parameter": parameter},
     )

@@ -12,7 +12,7 @@ from hazeline.operators import split_rejects
 from hazeline.schemas import CORRUPT
 from hazeline.sinks import write_table
 from hazeline.sources import scan_table
-from hazeline.workspace import fresh_path
+from hazeline.workspace import scratch
 
 
 class AllRejected(RuntimeError):
@@ -27,8 +27,8 @@ def write_with_rejects(
 ) -> int:
     """Store the usable rows that ``choose`` keeps, and all rejects; returns their number.
 
-    The input is read and parsed once, into an intermediate table in the shared folder; rows and
-    rejects are both taken from that. If all of it was rejected, this raises ``AllRejected`` and
+    The input is read and parsed once, into an intermediate table in the shared folder, which is deleted
+    in the end; rows and rejects are both taken from that. If all of it was rejected, this raises ``AllRejected`` and
     replaces nothing.
     """
     declared = [name for name in rows.columns if name != CORRUPT]
@@ -39,12 +39,13 @@ def write_with_rejects(
         F.count(CORRUPT).alias("rejects"),
         F.count(F.when(~damaged | any_value(declared), 1)).alias("usable"),
     )
-    parsed = fresh_path(rows.sparkSession, "parsed")
-    write_table(counted, parsed)
-    found = seen.get
-    if found["rejects"] and not found["usable"]:
-        raise AllRejected(f"all {found['rejects']} rows were rejected, so {target} stays as it is")
-    usable, damaged_rows = split_rejects(scan_table(rows.sparkSession, parsed))
-    write_table(choose(usable), target)
-    write_table(damaged_rows, rejects)
+    with scratch(rows.sparkSession) as fresh:
+        parsed = fresh("parsed")
+        write_table(counted, parsed)
+        found = seen.get
+        if found["rejects"] and not found["usable"]:
+            raise AllRejected(f"all {found['rejects']} rows were rejected, so {target} stays as it is")
+        usable, damaged_rows = split_rejects(scan_table(rows.sparkSession, parsed))
+        write_table(choose(usable), target)
+        write_table(damaged_rows, rejects)
     return found["rejects"]

@@ -488,6 +488,7 @@ def fused_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
         DATE,
         FORECAST,
         parallelism=_parallelism(spark),
+        most_failed=0.5,
     )
     return scan_table(spark, target)
 
@@ -502,8 +503,9 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         adapters.CannedApi(),
         DATE,
         parallelism=_parallelism(spark),
+        most_failed=0.5,
     )
-    return plans.rank_table(spark, paths.table("observation"))
+    return plans.rank_table(spark, plans.committed(spark, paths)["observation"])
 
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:

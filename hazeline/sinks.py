@@ -1,19 +1,45 @@
-"""Writers. Each replaces what the target path held before, unless told to append."""
+"""Writers. Each replaces what the target path held before, unless told to append.
+
+To replace, the new files are written beside the target and take its place when all of them are there: a
+write that fails leaves the old ones, and a frame may be written over the table it is read from.
+On file systems that rename folders in one step, readers meet no half-written table, and none at all for a
+moment at most.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline import files as fs
+
+
+def replacing(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a fresh folder, then put that in the place of ``path``."""
+    staged = fs.beside(path, "new")
+    try:
+        write(staged)
+        fs.replace(spark, staged, path)
+    except BaseException:
+        fs.delete(spark, staged)
+        raise
+
+
+def _save(df: DataFrame, path: str, mode: str, write: Callable[[DataFrame, str, str], None]) -> None:
+    if mode == "overwrite":
+        replacing(df.sparkSession, path, lambda staged: write(df, staged, "error"))
+    else:
+        write(df, path, mode)
+
 
-def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_table(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
     """Write Parquet; ``files`` spreads the rows evenly over that many files first."""
     if files is not None:
         df = df.repartition(files)
-    df.write.mode("overwrite").parquet(path)
+    _save(df, path, mode, lambda rows, place, how: rows.write.mode(how).parquet(place))
 
 
 def write_entries(entries: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -22,12 +48,12 @@ def write_entries(entries: DataFrame, path: str, mode: str = "overwrite") -> Non
     The result splits by line and needs no closing entry.
     """
     lines = entries.select(F.coalesce("entry", F.lit("null")).alias("value"))
-    lines.write.mode(mode).text(path)
+    _save(lines, path, mode, lambda rows, place, how: rows.write.mode(how).text(place))
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write typed rows as JSON Lines; null fields are left out."""
-    df.write.mode(mode).json(path)
+    _save(df, path, mode, lambda rows, place, how: rows.write.mode(how).json(place))
 
 
 def write_json_array(
@@ -65,8 +91,8 @@ def write_json_array(
     values = entries.select(F.concat(text, F.lit(",")).alias("value"))
     if files is not None:
         values = values.repartition(files)
-    writer = values.mapInArrow(frame, "value string").write.mode("overwrite")
+    writer = values.mapInArrow(frame, "value string").write
     if entries_per_file is not None:
         # Spark starts the next file after this many lines: a full array with its three others.
         writer = writer.option("maxRecordsPerFile", entries_per_file + 3)
-    writer.text(path)
+    replacing(entries.sparkSession, path, writer.text)

@@ -10,14 +10,14 @@ Both scans add ``_corrupt_record``, the text of entries that did not fit the sch
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazeline.functions import whole_rows
+from hazeline.functions import opened_array, whole_rows
 from hazeline.schemas import CORRUPT, with_corrupt
+from hazeline.sources.documents import scan_documents
+from hazeline.workspace import scratch
 
 LAYOUTS = ("entries", "document")
 # A closing brace with something behind it that cannot belong to the same entry.
@@ -49,9 +49,9 @@ def scan_json_array(
     comma is an entry, and no object. A line of any other form ends up in ``_corrupt_record``,
     so does each line of a pretty-printed array.
 
-    ``layout="document"`` reads arrays formatted in any way. Each file is parsed whole by one
-    task, which needs memory for it; there, the closing object is an empty one in last place.
-    A file that is no array ends up in ``_corrupt_record``.
+    ``layout="document"`` reads arrays formatted in any way, with strings in double quotes; a large file
+    feeds many tasks, too. There, the closing object is an empty one in last place. The remainder of an array that
+    is cut off ends up in ``_corrupt_record``, and so does what stands outside of arrays.
 
     Without a schema, one distributed pass infers it first.
     ``keep_terminator=True`` returns the closing object as an all-null row.
@@ -60,14 +60,17 @@ def scan_json_array(
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     if schema is None:
         schema = infer_entry_schema(spark, path, layout)
-    if layout == "document":
-        files = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
-        arrays = files.select("value", F.from_json("value", "array<string>").alias("texts"))
-        if not keep_terminator:
-            arrays = arrays.withColumn("texts", _without_terminator(F.col("texts")))
-    else:
-        arrays = _arrays_of_lines(spark, path, keep_terminator)
-    return _parse_arrays(arrays, schema)
+    return _parse_texts(_texts(spark, path, layout, keep_terminator), schema)
+
+
+def _texts(spark: SparkSession, path: str, layout: str, keep_terminator: bool) -> DataFrame:
+    """``entry, broken``: the text of each entry, and whether it is something else that stood there."""
+    if layout == "entries":
+        return _entries_of_arrays(_arrays_of_lines(spark, path, keep_terminator))
+    found = scan_documents(spark, path)
+    if not keep_terminator:
+        found = found.filter(~(F.col("last") & F.col("text").rlike(r"^\{\s*\}$")))
+    return found.select(F.col("text").alias("entry"), "broken")
 
 
 def _without_terminator(texts: Column) -> Column:
@@ -77,7 +80,7 @@ def _without_terminator(texts: Column) -> Column:
 
 
 def _arrays_of_lines(spark: SparkSession, path: str, keep_terminator: bool) -> DataFrame:
-    """``value`` and ``texts``, the entries it holds, of each line that is not just a bracket."""
+    """``value``, ``texts``, the entries it holds, and ``rest`` of each line that is not just a bracket."""
     frame = ["", "[", "]"] if keep_terminator else ["", "[", "]", "{}"]
     line = F.trim("value")
     whole = line.startswith("[") & line.endswith("]")
@@ -90,16 +93,19 @@ def _arrays_of_lines(spark: SparkSession, path: str, keep_terminator: bool) -> D
         .otherwise(F.col("value"))
     )
     lines = spark.read.text(path).filter(~line.isin(frame))
-    lines = lines.withColumn("_bare", bare).withColumn("_whole", whole)
+    lines = lines.withColumns({"_bare": bare, "_whole": whole})
     if not keep_terminator:
         lines = lines.filter(F.col("_whole") | (F.trim("_bare") != "{}"))
     texts = _entries_of_line(F.col("_bare"), F.col("_whole"))
     # Out of a generator, so that what follows doesn't parse the line again.
-    opened = lines.select("value", "_whole", F.inline(F.array(F.struct(texts.alias("texts")))))
+    opened = lines.select("value", "_whole", F.inline(F.array(F.struct(texts.alias("_texts")))))
+    # An array that is cut off in the line that opens it.
+    cut = F.when(F.trim("value").startswith("[") & F.col("_texts").isNull(), F.trim("value"))
+    opened = opened.withColumn("_cut", cut).select("*", opened_array("_cut"))
+    found = F.coalesce("_texts", "texts")
     if not keep_terminator:
-        closed = F.when(F.col("_whole"), _without_terminator(F.col("texts")))
-        opened = opened.withColumn("texts", closed.otherwise(F.col("texts")))
-    return opened.drop("_whole")
+        found = F.when(F.col("_whole"), _without_terminator(found)).otherwise(found)
+    return opened.select("value", found.alias("texts"), "rest")
 
 
 def _entries_of_line(line: Column, whole: Column) -> Column:
@@ -110,21 +116,27 @@ def _entries_of_line(line: Column, whole: Column) -> Column:
     return F.when(one, F.array(line)).otherwise(parsed)
 
 
-def _parse_arrays(arrays: DataFrame, schema: StructType) -> DataFrame:
-    """Rows from ``texts``, the entries of each array; a ``value`` without them is corrupt.
+def _entries_of_arrays(arrays: DataFrame) -> DataFrame:
+    """``entry, broken`` from ``texts``, the entries of each array; a ``value`` without them is broken.
 
     Taking the array apart first keeps what follows a broken or badly typed entry. Spark's
     multi-line reader would also copy the text of the whole file to each row of such a file.
     """
-    broken = F.col("texts").isNull()
-    entries = F.coalesce("texts", F.array("value"))
+    def entry(text: Column, broken: bool) -> Column:
+        return F.struct(text.alias("entry"), F.lit(broken).alias("broken"))
+
+    entries = F.transform("texts", lambda text: entry(text, False))
+    more = F.when(F.col("rest") != "", F.array(entry(F.col("rest"), True))).otherwise(F.array())
+    broken = F.array(entry(F.col("value"), True))
+    return arrays.select(F.inline(F.when(F.col("texts").isNull(), broken).otherwise(F.concat(entries, more))))
+
+
+def _parse_texts(texts: DataFrame, schema: StructType) -> DataFrame:
     nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
     text = F.coalesce("entry", F.lit("null"))
     parsed = F.from_json(text, with_corrupt(schema))
     row = F.when(F.col("broken"), F.struct(*nothing, text.alias(CORRUPT))).otherwise(parsed)
-    return arrays.select(F.explode(entries).alias("entry"), broken.alias("broken")).select(
-        F.inline(F.array(row))
-    )
+    return texts.select(F.inline(F.array(row)))
 
 
 def infer_entry_schema(
@@ -132,18 +144,21 @@ def infer_entry_schema(
 ) -> StructType:
     """Infer the fields of all entries, in alphabetical order.
 
-    This reads the whole input, once. Keep the result and pass it to later scans, both to save
-    that pass and because the inferred types may differ from one run to the next.
+    This reads the whole input once, and writes its entries as lines, which Spark's reader then infers from.
+    Keep the result and pass it to later scans, both to save that pass and because the inferred
+    types may differ from one run to the next.
     """
-    if layout == "document":
-        schema = spark.read.option("multiLine", True).json(path).schema
-    else:
-        entries = _arrays_of_lines(spark, path, keep_terminator=False).select(F.explode("texts"))
-        # Only the JVM's reader infers from strings that a query made.
-        strings = getattr(entries._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
-        inferred = spark._jsparkSession.read().json(strings).schema().json()
-        schema = StructType.fromJson(json.loads(inferred))
-    fields = [field for field in schema.fields if field.name != CORRUPT]
+    seen = Observation()
+    entries = _texts(spark, path, layout, keep_terminator=False).filter("NOT broken").select(
+        # Line breaks stand between the parts of an entry, never inside a string.
+        F.translate(F.coalesce("entry", F.lit("null")), "\r\n", "  ").alias("value")
+    )
+    fields = []
+    with scratch(spark) as fresh:
+        lines = fresh("lines")
+        entries.observe(seen, F.count(F.lit(1)).alias("entries")).write.text(lines)
+        if seen.get["entries"]:
+            fields = [field for field in spark.read.json(lines).schema.fields if field.name != CORRUPT]
     if not fields:
         raise ValueError(f"no entries to infer a schema from in {path}; declare one")
     return StructType(fields)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from hazeline.sinks import replacing
+
 
 def land_raw(spark: SparkSession, source: str, target: str) -> None:
     """Copy text files from any Hadoop file system URI to another, overwriting the target.
@@ -15,7 +17,7 @@ def land_raw(spark: SparkSession, source: str, target: str) -> None:
     out, and compressed input is stored decompressed.
     """
     lines = spark.read.option("lineSep", "\n").text(source)
-    lines.write.mode("overwrite").option("lineSep", "\n").text(target)
+    replacing(spark, target, lines.write.option("lineSep", "\n").text)
 
 
 def list_source_files(spark: SparkSession, source: str) -> DataFrame:

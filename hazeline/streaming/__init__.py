@@ -1,3 +1,3 @@
-from hazeline.streaming.incremental import load_increment
+from hazeline.streaming.incremental import load_increment, load_latest
 
-__all__ = ["load_increment"]
+__all__ = ["load_increment", "load_latest"]

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+from hazeline import files
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
@@ -31,3 +35,16 @@ def _local_folder(application: str) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[str], str]]:
+    """Gives paths for the intermediate tables of one job, and deletes them all at its end, also if it fails.
+
+    What the job returns must not read them any more.
+    """
+    folder = fresh_path(spark, "job")
+    try:
+        yield lambda name: f"{folder}/{name}-{uuid.uuid4().hex}"
+    finally:
+        files.delete(spark, folder)

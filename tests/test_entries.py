@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, LongType, StringType
 
 from hazeline import plans
-from hazeline.operators import parse_entries, split_rejects
+from hazeline.functions import opened_array
+from hazeline.operators import entries_or_reasons, explode_responses, parse_entries, response_rejects, split_rejects
 from hazeline.schemas import CORRUPT, FORECAST, OBSERVATION
 from hazeline.sinks import write_entries, write_json_array, write_json_lines, write_table
 from hazeline.sources import infer_entry_schema, scan_json_array, scan_json_lines, scan_table
@@ -150,13 +151,13 @@ def test_truncated_file_yields_its_complete_entries(spark, file):
     assert [r[CORRUPT] for r in rejects.collect()] == ['{"AQI": 7, "Para']
 
 
-def test_truncated_document_is_a_reject(spark, file):
+def test_truncated_document_yields_its_complete_entries(spark, file):
     text = array_text(ENTRY, end="")
     rows, rejects = split_rejects(
-        scan_json_array(spark, file(text), OBSERVATION, layout="document")
+        scan_json_array(spark, file(text + '{"AQI": 7, "Para'), OBSERVATION, layout="document")
     )
-    assert rows.count() == 0
-    assert [r[CORRUPT] for r in rejects.collect()] == [text]
+    assert [r.AQI for r in rows.collect()] == [42.0]
+    assert [r[CORRUPT] for r in rejects.collect()] == ['{"AQI": 7, "Para']
 
 
 ARRAYS = {
@@ -261,7 +262,9 @@ def test_entries_are_parsed_once(spark, file, plan, layout):
     path = file(array_text(ENTRY))
     rows = split_rejects(scan_json_array(spark, path, OBSERVATION, layout))[0]
     text = plan(rows.filter("ParameterName = 'PM2.5'").select("AQI"))
-    assert text.count("from_json(StructField") == text.count("from_json(ArrayType") == 1
+    assert text.count("from_json(StructField") == 1
+    # ... and an array only to take it apart, or to see what is left of one that was cut off.
+    assert text.count("from_json(ArrayType") <= (3 if layout == "entries" else 0)
 
 
 def test_array_file_splits(spark, file):
@@ -397,3 +400,121 @@ def test_transform_modes(spark, tmp_path, file):
     assert types["AQI"] == FloatType() and types["HourObserved"] == StringType()
     with pytest.raises(ValueError, match="form"):
         plans.transform_forecasts(spark, source, target, rejects, form="xml")
+
+
+def documents(rng, count):
+    """Entries and array texts of them in different formatting."""
+    entries = []
+    for number in range(count):
+        entry = {"Before": random_value(rng), "AQI": number, "Discussion": random_value(rng)}
+        entry["ReportingArea"] = "".join(rng.choice(PIECES) for _ in range(rng.randrange(40)))
+        entries.append(entry)
+    yield entries, json.dumps(entries, indent=2)
+    yield entries, json.dumps([*entries, {}], indent="\t", ensure_ascii=False)
+    yield entries, "\n\n[" + ",".join(json.dumps(entry, indent=1) for entry in entries) + "\n,{ \n}]\n"
+    yield entries, "[\n" + "\n , ".join(json.dumps(entry) for entry in entries) + "]"
+
+
+@pytest.mark.parametrize("size", [64, 700, 5000])
+def test_pretty_files_are_read_by_many_tasks(spark, file, size):
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rng = random.Random(size)
+    for number, (entries, text) in enumerate(documents(rng, 60)):
+        path = file(text, f"pretty-{size}-{number}.json")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION, layout="document"))
+            found = sorted((r.AQI, r.ReportingArea) for r in rows.collect())
+            assert found == [(float(e["AQI"]), e["ReportingArea"]) for e in entries]
+            assert rejects.count() == 0
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+def test_a_large_pretty_file(spark, tmp_path):
+    path = tmp_path / "large.json"
+    entries = [{**ENTRY, "AQI": number, "Category": {"Number": number, "Name": "]}, {["}} for number in range(100_000)]
+    path.write_text(json.dumps(entries, indent=2))
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 7))
+    try:
+        rows = scan_json_array(spark, str(path), OBSERVATION, layout="document")
+        assert sorted(r.AQI for r in rows.select("AQI").collect()) == list(range(100_000))
+        tasks = rows.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len([task for task in tasks if task["count"] > 5_000]) > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+@pytest.mark.parametrize("size", [100, 1 << 20])
+def test_cut_off_and_stray_text_in_documents(spark, tmp_path, size):
+    good = json.dumps([ENTRY, {**ENTRY, "AQI": 7}], indent=2)
+    (tmp_path / "cut").write_text(good[: good.index(": 7") + 1])
+    (tmp_path / "tail").write_text(good + "\nmore\n")
+    (tmp_path / "two").write_text(f"{good}\n{good}")
+    (tmp_path / "nested").write_text('[[{"AQI": 1}], "x", 3, null, {"AQI": 2}, ,]')
+    (tmp_path / "empty").write_text("[\n]")
+    (tmp_path / "log").write_text("no array\n" * 40)
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        rows, rejects = split_rejects(scan_json_array(spark, str(tmp_path), OBSERVATION, layout="document"))
+        assert sorted(r.AQI for r in rows.collect()) == [2.0, 7.0, 7.0, 7.0] + [42.0] * 4
+        texts = [r[CORRUPT] for r in rejects.collect()]
+        logs = [text for text in texts if "no array" in text]
+        assert "\n".join(logs).count("no array") == 40
+        assert sorted(text for text in texts if text not in logs and not text.startswith("{")) == [
+            '"x"', "3", '[{"AQI": 1}]', "more", "null",
+        ]
+        (cut,) = [text for text in texts if text.startswith("{")]
+        assert cut.endswith('"AQI":')
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+
+
+def test_arrays_that_are_cut_off_in_one_line(spark, file):
+    text = json.dumps([{"AQI": 1}, {"AQI": 2, "Discussion": "a, {b"}, {"AQI": 3, "Discussion": "c]}"}])
+    path = file(text[:-4])
+    rows, rejects = split_rejects(scan_json_array(spark, path, OBSERVATION))
+    assert [r.AQI for r in rows.collect()] == [1.0, 2.0]
+    assert [r[CORRUPT] for r in rejects.collect()] == ['{"AQI": 3, "Discussion": "c]']
+
+
+CUT = [
+    ('[{"a":1},{"a":2},{"a":"x,]}', ['{"a":1}', '{"a":2}'], '{"a":"x,]}'),
+    (' [ {"a":1},{"a":[1,{"b":2}]} , {"a":"q\\"u]}', ['{"a":1}', '{"a":[1,{"b":2}]}'], '{"a":"q\\"u]}'),
+    ("[1, 2, 3", ["1", "2"], "3"),
+    ('["x,y", "z', ["x,y"], '"z'),
+    ('[{"a":1},', ['{"a":1}'], ""),
+    ('[{"a":1}]', ['{"a":1}'], None),
+    ("[]", [], None),
+    ("[", None, None),
+    ("oops", None, None),
+    (None, None, None),
+    ('{"a":1}', None, None),
+    ('[{"a" 1},{"a":2},{', None, None),
+    ('[{"a":"' + "\\n" * 50_000 + '"},{"b', ['{"a":"' + "\\n" * 50_000 + '"}'], '{"b'),
+]
+
+
+def test_the_entries_before_a_break(spark):
+    texts = spark.createDataFrame([(text,) for text, _, _ in CUT], "body string").coalesce(1)
+    found = texts.select("body", opened_array("body")).collect()
+    assert [(row.body, row.texts, row.rest) for row in found] == CUT
+
+
+def test_cut_off_replies_are_entries_and_a_reject(spark):
+    bodies = [('[{"AQI": 1}, {"AQI": 2}, {"AQI": 3', 200), ('[{"AQI": 9}, {"AQI"', 500), ('[{"AQI": 4}]', 200), ("[]", 200)]
+    replies = spark.createDataFrame(
+        [(str(at), 2, status, body, None) for at, (body, status) in enumerate(bodies)],
+        "url string, n_requests bigint, status int, body string, error string",
+    )
+    assert sorted(r.entry for r in explode_responses(replies).collect()) == ['{"AQI":1}', '{"AQI":2}', '{"AQI":4}']
+    assert sorted((r.url, r.reason) for r in response_rejects(replies).collect()) == [
+        ("0", 'array is cut off at: {"AQI": 3'), ("1", "HTTP 500"),
+    ]
+    both = sorted((r.url, r.reason or "", r.entry or "") for r in entries_or_reasons(replies).collect())
+    assert both == [
+        ("0", "", '{"AQI":1}'), ("0", "", '{"AQI":2}'), ("0", 'array is cut off at: {"AQI": 3', ""),
+        ("1", "HTTP 500", ""), ("2", "", '{"AQI":4}'),
+    ]

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from hazeline import plans
 from hazeline.operators import (
+    build_requests,
     entries_or_reasons,
     explode_responses,
     parse_entries,
     repeat_entries,
     response_rejects,
 )
-from hazeline.plans.extract import fetch
+from hazeline.plans.extract import fetch, settled
 from hazeline.schemas import CORRUPT, FORECAST, OBSERVATION
 from hazeline.sinks import write_table
 from hazeline.sources import (
@@ -226,7 +227,7 @@ def test_no_usable_station(spark, tmp_path, canned, stations):
     path = {n: str(tmp_path / n) for n in ("responses", "table", "rejects")}
     plans.fetch_and_transform(
         spark, stations(None, None), path["responses"], path["table"], path["rejects"], canned,
-        "forecast", "2024-01-01", FORECAST, 2,
+        "forecast", "2024-01-01", FORECAST, 2, most_failed=1.0,
     )
     assert scan_table(spark, path["table"]).schema.names == FORECAST.names
     assert scan_table(spark, path["table"]).count() == 0
@@ -318,7 +319,7 @@ def test_one_reply_for_a_million_stations_is_parsed_once(spark, plan):
 
 def test_rejects_parse_bodies_once(spark, fetched, plan):
     text = plan(response_rejects(fetched(1.0)))
-    assert text.count("from_json(ArrayType") == 1
+    assert text.count("from_json(ArrayType(StringType,true), body#") == 1
 
 
 class Slow:
@@ -411,7 +412,7 @@ def test_connections_are_kept_and_replaced(monkeypatch):
 def test_bodies_are_parsed_once(spark, tmp_path, fetched, plan):
     entries = parse_entries(explode_responses(fetched(1.0)), FORECAST)
     text = plan(entries.filter("AQI > 1").select("ReportingArea"))
-    assert text.count("from_json(ArrayType") == 1
+    assert text.count("from_json(ArrayType(StringType,true), body#") == 1
     assert "EqualNullSafe(status,200)" in text
 
 
@@ -422,14 +423,14 @@ def test_extract_and_fused_jobs_agree(spark, tmp_path, canned, stations, endpoin
     for _ in range(2):
         plans.extract(
             spark, at, path["responses"], path["entries"], path["rejects"], canned, endpoint,
-            "2024-01-01", 3,
+            "2024-01-01", 3, most_failed=0.5,
         )
     lines = spark.read.text(path["entries"])
     assert lines.count() == 5
     assert lines.filter("value like '%Extra%'").count() == 4  # undeclared fields are kept
     plans.fetch_and_transform(
         spark, at, path["responses"], path["table"], path["rejects"], canned, endpoint,
-        "2024-01-01", schema, 3,
+        "2024-01-01", schema, 3, most_failed=0.5,
     )
     table = scan_table(spark, path["table"])
     assert table.columns == schema.names
@@ -606,3 +607,68 @@ def test_every_attempt_keeps_to_the_pace(monkeypatch):
 def test_a_rate_must_be_above_zero(spark, canned):
     with pytest.raises(ValueError, match="rate"):
         fetch_responses(urls(spark, 1), canned, 1, rate=0)
+
+
+class Interrupted:
+    """Ends its Python process whenever it gets to a certain call, as long as a marker is there."""
+
+    def __init__(self, folder, marker, at):
+        self.folder, self.marker, self.at = str(folder), str(marker), at
+
+    def __call__(self, url):
+        latitude = url.split("latitude=")[1].split("&")[0]
+        if float(latitude) in self.at and Path(self.marker).exists():
+            os._exit(1)
+        Path(self.folder, uuid.uuid4().hex).write_text(latitude)
+        return Reply(503, None, "HTTP 503") if latitude == "9.0" else two(latitude)
+
+    def calls(self):
+        return sorted(float(p.read_text()) for p in Path(self.folder).iterdir())
+
+
+def test_a_job_that_failed_halfway_goes_on_where_it_was(spark, tmp_path, stations):
+    folder, marker = tmp_path / "calls", tmp_path / "marker"
+    folder.mkdir()
+    marker.touch()
+    places = [float(n) for n in range(1, 31)]
+    at = stations(*places, 5.0)
+    shares = {n: {r.n: r.p for r in _shares(spark, places)}[n] for n in places}
+    # The call that ends the job is in the last share, and no other is.
+    last = max(shares.values())
+    broken = [n for n in places if shares[n] == last]
+    canned = Interrupted(folder, marker, broken)
+    arguments = (spark, at, str(tmp_path / "responses"), str(tmp_path / "rejects"), canned, "forecast", "2024-01-01", 2)
+    with pytest.raises(Exception, match="[Ww]orker"):
+        fetch(*arguments, share=SHARE, resume=True)
+    stored = scan_table(spark, str(tmp_path / "responses")).count()
+    assert stored == 30 - len(broken) == len(canned.calls()) and broken
+    marker.unlink()
+    replies = fetch(*arguments, share=SHARE, resume=True)
+    assert replies.count() == replies.select("url").distinct().count() == 30
+    expected = sorted(places + [9.0] if 9.0 not in broken else places)  # the failed call is made again
+    assert canned.calls() == expected
+    # A third try calls only what failed, and takes the stations as they are then.
+    at = stations(*places[:10], 5.0, 5.0)
+    replies = fetch(*arguments, share=SHARE, resume=True)
+    assert canned.calls() == sorted(expected + [9.0])
+    counts = {r.url.split("latitude=")[1].split("&")[0]: r.n_requests for r in replies.collect()}
+    assert counts == {str(n): 3 if n == 5 else 1 for n in places[:10]}
+    # Without resuming, all calls are made.
+    before = len(canned.calls())
+    fetch(*arguments, share=SHARE)
+    assert len(canned.calls()) == before + 10
+
+
+SHARE = 10
+
+
+def _shares(spark, places):
+    locations = spark.createDataFrame([(f"T{n}", n, 0.5) for n in places], LOCATION)
+    requests = build_requests(locations, "forecast", "2024-01-01")
+    share = F.pmod(F.xxhash64("url"), F.lit(-(-len(places) // SHARE)))
+    return requests.select(F.col("Latitude").alias("n"), share.alias("p")).collect()
+
+
+@pytest.mark.parametrize("status, final", [(200, True), (404, True), (429, False), (408, False), (500, False), (None, False), (302, False)])
+def test_what_another_call_can_change(spark, status, final):
+    assert spark.createDataFrame([(status,)], "status int").select(settled()).first()[0] is final

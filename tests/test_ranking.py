@@ -96,3 +96,18 @@ def test_one_value_in_most_rows_is_divided(spark, tmp_path, identical):
             assert max(sizes) < 20_000
     finally:
         spark.conf.unset(coalesce)
+
+
+def test_working_names_take_no_column_away(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("PM2.5", 3.0, 1, 2, 3, 4, 5), ("PM2.5", 4.0, 6, 7, 8, 9, 10)],
+        "ParameterName string, AQI float, _place int, _FILE int, _row int, tie int, place int",
+    )
+    path = str(tmp_path / "t")
+    rows.write.parquet(path)
+    rows.createOrReplaceTempView("clashing")
+    expected = sorted(map(tuple, rows.collect()), reverse=True, key=lambda row: row[1])
+    ranked = (rank_by_aqi(rows), plans.rank_table(spark, path), plans.rank_sql(spark, "clashing"))
+    for frame in ranked:
+        assert frame.columns == rows.columns
+        assert list(map(tuple, frame.collect())) == expected
