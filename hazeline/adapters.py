@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.schemas import STATION
-from hazeline.sources.web import Reply
+from hazeline.sources.web import Reply, Transport
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -180,6 +180,33 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cut_off(replies: DataFrame) -> DataFrame:
+    """Replies whose arrays of entries end in the middle of the last entry."""
+    short = F.substring(F.col("body"), F.lit(1), F.length("body") - 5)
+    return replies.withColumn("body", F.when(F.col("body").startswith("[{"), short).otherwise(F.col("body")))
+
+
+class Overloaded:
+    """A transport that gets too many calls for latitudes ending in an even digit, and otherwise another."""
+
+    def __init__(self, transport: Transport) -> None:
+        self.transport = transport
+
+    def __call__(self, url: str) -> Reply:
+        latitude = parse_qs(urlsplit(url).query)["latitude"][0]
+        return Reply(429, None, "HTTP 429") if latitude[-1] in "02468" else self.transport(url)
+
+
+class NoForecasts:
+    """A transport that answers for observations only."""
+
+    def __init__(self, transport: Transport) -> None:
+        self.transport = transport
+
+    def __call__(self, url: str) -> Reply:
+        return Reply(503, None, "HTTP 503") if "forecast" in url else self.transport(url)
+
+
 class CannedBytes:
     """An opener whose replies follow from the number in the URL; every third is no UTF-8."""
 

@@ -116,6 +116,12 @@ _INFERRED = f"""
                'Area ' || event_id AS "ReportingArea", 'CA' AS "StateCode"
         FROM events"""
 
+_FETCH_COUNTS = f"""{_SHARED_CTE}{_REQUESTS}
+        SELECT {_FORECAST_URL} AS url, count(*) AS n_requests,
+               CAST(CASE WHEN right(lat, 1) = '9' THEN 503 ELSE 200 END AS INTEGER) AS status,
+               CASE WHEN right(lat, 1) = '9' THEN 'HTTP 503' END AS error
+        FROM requests GROUP BY lat, lon"""
+
 ORACLE: dict[str, str] = {
     "station_scan": _ALL_STATIONS,
     "station_scan_latin1": _ALL_STATIONS,
@@ -170,11 +176,19 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "fused_forecasts": _FETCHED_FORECASTS,
     "whole_run": f"SELECT * FROM ({_FETCHED_OBSERVATIONS}) WHERE \"ParameterName\" = 'PM2.5'",
-    "fetch_counts": f"""{_SHARED_CTE}{_REQUESTS}
-        SELECT {_FORECAST_URL} AS url, count(*) AS n_requests,
-               CAST(CASE WHEN right(lat, 1) = '9' THEN 503 ELSE 200 END AS INTEGER) AS status,
-               CASE WHEN right(lat, 1) = '9' THEN 'HTTP 503' END AS error
-        FROM requests GROUP BY lat, lon""",
+    "fetch_counts": _FETCH_COUNTS,
+    "replies_resumed": _FETCH_COUNTS,
+    "committed_run": _FETCHED_OBSERVATIONS,
+    "cut_off_entries": f"""
+        SELECT event_id, {_PARAMETER} AS "ParameterName", CAST(value AS FLOAT) AS "AQI", {_K} AS k
+        FROM (SELECT *, unnest(range(event_id % 3 + 1)) AS copy FROM events)
+        WHERE event_type NOT IN ('error', 'signup', 'purchase')""",
+    "cut_off_rejects": """
+        SELECT 'event/' || event_id AS url,
+               CAST(CASE event_type WHEN 'error' THEN 503 ELSE 200 END AS INTEGER) AS status,
+               CASE event_type WHEN 'error' THEN 'HTTP 503' WHEN 'purchase' THEN 'body is not a JSON array'
+                    ELSE 'array is cut off at' END AS reason
+        FROM events WHERE event_type <> 'signup'""",
     "response_entries": f"""
         WITH replies AS (
             SELECT *, {_K} AS k, unnest(range(event_id % 3 + 1)) AS copy
@@ -203,6 +217,7 @@ ORACLE: dict[str, str] = {
     "observations_inferred_brackets": _INFERRED,
     "observations_pinned": _INFERRED,
     "forecasts_pretty_table": _DECLARED_FORECASTS,
+    "forecasts_split_documents": _DECLARED_FORECASTS,
     "forecast_entries": _DECLARED_FORECASTS,
     "forecasts_table": _DECLARED_FORECASTS,
     "forecasts_ranked_sql": f"""
@@ -222,6 +237,7 @@ ORACLE: dict[str, str] = {
                    || CASE WHEN event_type = 'signup' THEN '"high"}' ELSE '' END AS line
         FROM events WHERE event_type IN ('error', 'signup')""",
     "json_lines_roundtrip": _OBSERVATIONS,
+    "table_kept": _OBSERVATIONS,
     "pm25_ranked": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_ranked_table": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
     "pm25_ranked_sql": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST",
@@ -229,6 +245,8 @@ ORACLE: dict[str, str] = {
     "repartitioned_write": _OBSERVATIONS,
     "repartitioned_files": "SELECT count(*) AS readings, TRUE AS as_asked FROM events",
     "gz_lines": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
+    "latest_delivery": f"SELECT NULL::VARCHAR AS \"DateObserved\", NULL::VARCHAR AS \"HourObserved\", "
+        f"NULL::VARCHAR AS \"LocalTimeZone\", {_PLACE} FROM events",
     "incremental_load": f"""{_DECLARED_OBSERVATIONS}
         UNION ALL
         SELECT NULL, NULL, NULL, {_PLACE} FROM events""",

@@ -1,4 +1,4 @@
-from hazeline.plans.extract import Calls, CallsFailed, extract, fetch_and_transform
+from hazeline.plans.extract import Calls, CallsFailed, extract, fetch, fetch_and_transform
 from hazeline.plans.ranking import rank_sql, rank_table, top_table
 from hazeline.plans.rejects import AllRejected
 from hazeline.plans.run import NoRun, Paths, committed, run_all
@@ -13,6 +13,7 @@ __all__ = [
     "Paths",
     "committed",
     "extract",
+    "fetch",
     "fetch_and_transform",
     "load_stations",
     "load_stations_two_step",

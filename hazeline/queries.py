@@ -43,7 +43,7 @@ from hazeline.sources import (
     scan_table,
     stations_from_rows,
 )
-from hazeline.streaming import load_increment
+from hazeline.streaming import load_increment, load_latest
 from hazeline.workspace import fresh_path
 
 DATE = "2024-01-01"
@@ -275,6 +275,40 @@ def response_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return response_rejects(scan_table(spark, path)).select("url", "status", "reason")
 
 
+def _cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "responses")
+    write_table(adapters.cut_off(adapters.responses(spark, sf_dir)), path)
+    return scan_table(spark, path)
+
+
+def cut_off_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries before the break of replies that end too early."""
+    rows = parse_entries(explode_responses(_cut_off(spark, sf_dir)), READING, ("n_requests",))
+    return repeat_entries(rows).select("event_id", "ParameterName", "AQI", F.col("Category.Number").alias("k"))
+
+
+def cut_off_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """... and the replies themselves, next to others without entries."""
+    rejects = response_rejects(_cut_off(spark, sf_dir))
+    return rejects.select("url", "status", F.substring_index("reason", ":", 1).alias("reason"))
+
+
+def replies_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of a first try, in which some calls were too many and some stations missing, and of a second."""
+    stations, replies, rejects = (fresh_path(spark, name) for name in ("stations", "replies", "rejects"))
+    chosen = filter_states(adapters.stations(spark, sf_dir, shared=True))
+    first = filter_states(chosen, ("CA", "OR"))
+    tries = ((first, adapters.Overloaded(adapters.CannedApi())), (chosen, adapters.CannedApi()))
+    for wanted, transport in tries:
+        write_table(wanted, stations)
+        parallelism = _parallelism(spark)
+        plans.fetch(
+            spark, stations, replies, rejects, transport, "forecast", DATE, parallelism,
+            rate=1e6, share=100_000, resume=True,
+        )
+    return scan_table(spark, replies).select("url", "n_requests", "status", "error")
+
+
 def _array_file(
     spark: SparkSession,
     entries: DataFrame,
@@ -364,6 +398,21 @@ def forecasts_pretty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, target)
 
 
+def forecasts_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few pretty-printed arrays, each read by several tasks."""
+    entries = adapters.forecast_entries(spark, sf_dir, pretty=True)
+    source = _array_file(spark, entries, files=2)
+    target, size = fresh_path(spark, "forecasts"), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    bytes_each = list_source_files(spark, source).agg(F.max("length").alias("bytes")).first().bytes
+    spark.conf.set(size, str(bytes_each // 4 + 1))
+    try:
+        plans.transform_forecasts(spark, source, target, fresh_path(spark, "rejects"), "array", layout="document")
+    finally:
+        spark.conf.set(size, before)
+    return scan_table(spark, target)
+
+
 def observations_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = adapters.observation_entries(spark, sf_dir)
     # One task reads one document whole, so each holds a bounded number of entries.
@@ -508,6 +557,43 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.rank_table(spark, plans.committed(spark, paths)["observation"])
 
 
+def committed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of a run, after another one that failed before it was complete."""
+    paths = Paths(fresh_path(spark, "runs"))
+    source = _station_file(spark, sf_dir, shared=True)
+    runs = ((DATE, adapters.CannedApi()), ("2024-01-02", adapters.NoForecasts(adapters.CannedApi())))
+    for date, transport in runs:
+        try:
+            plans.run_all(spark, source, paths, transport, date, _parallelism(spark), most_failed=0.5)
+        except plans.CallsFailed:
+            pass
+    return scan_table(spark, plans.committed(spark, paths)["observation"])
+
+
+def table_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table over which another was to be written that can't be computed."""
+    path, readings = fresh_path(spark, "observations"), adapters.observations(spark, sf_dir)
+    write_table(readings, path)
+    last = readings.agg(F.max("event_id")).first()[0]
+    broken = F.when(F.col("event_id") == last, F.raise_error(F.lit("broken row"))).otherwise(F.col("k"))
+    try:
+        write_table(readings.withColumn("k", broken.cast("bigint")), path)
+    except Exception as error:
+        if "broken row" not in str(error):
+            raise
+    return scan_table(spark, path)
+
+
+def latest_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each loaded when it has arrived: the table holds the second."""
+    landing, table = fresh_path(spark, "landing"), fresh_path(spark, "latest")
+    checkpoint = fresh_path(spark, "stream")
+    for hour, entries in enumerate((adapters.observation_entries, adapters.forecast_entries)):
+        write_entries(entries(spark, sf_dir), f"{landing}/2024-01-01T{hour:02d}")
+        load_latest(spark, landing, table, checkpoint, OBSERVATION)
+    return split_rejects(scan_table(spark, table))[0]
+
+
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, each loaded when it has arrived."""
     landing, table = fresh_path(spark, "landing"), fresh_path(spark, "loaded")
@@ -546,6 +632,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fetch_counts,
         response_entries,
         response_failures,
+        cut_off_entries,
+        cut_off_rejects,
+        replies_resumed,
         observations_declared,
         observations_with_terminator,
         terminator_dropped,
@@ -557,6 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         observations_inferred_brackets,
         observations_pinned,
         forecasts_pretty_table,
+        forecasts_split_documents,
         observations_table,
         forecast_entries,
         forecasts_table,
@@ -574,6 +664,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gz_lines,
         fused_forecasts,
         whole_run,
+        committed_run,
+        table_kept,
         incremental_load,
+        latest_delivery,
     )
 }
