@@ -98,6 +98,63 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``STEP_BYTES``, cut between texts or behind white space; a longer word is one range."""
+    start, total = 0, len(data)
+    while start < total:
+        end = min(start + STEP_BYTES, total)
+        if end < total:
+            border = int(offsets[np.searchsorted(offsets, end, "right") - 1])
+            blanks = np.flatnonzero(~_WORD[data[start:end]])
+            end = max(border, start + int(blanks[-1]) + 1 if len(blanks) else 0)
+            if end <= start:
+                end = _word_end(data, start + STEP_BYTES, int(offsets[np.searchsorted(offsets, start, "right")]))
+        yield start, end
+        start = end
+
+
+def _word_end(data: np.ndarray, at: int, last: int) -> int:
+    """Where the word that goes on at ``at`` ends."""
+    while at < last:
+        blanks = np.flatnonzero(~_WORD[data[at : min(at + STEP_BYTES, last)]])
+        if len(blanks):
+            return at + int(blanks[0])
+        at += STEP_BYTES
+    return last
+
+
+def _hash_whole(data: np.ndarray) -> np.ndarray:
+    """What ``Hasher`` gives for all of a long array, from parts of it."""
+    up = _powers(STEP_BYTES.bit_length())[0]
+    total, factor = U(0), U(1)
+    with np.errstate(over="ignore"):
+        for start in range(0, len(data), STEP_BYTES):
+            part = data[start : start + STEP_BYTES]
+            total += (LETTERS[part] * up[: len(part)]).sum(dtype=U) * factor
+            factor *= up[STEP_BYTES]
+        return mixed(np.array([total + U(len(data))], U))
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash in lower case, start and end of each word of several texts, and the text it is of.
+
+    Works on a piece at a time, so that what it holds besides the result is bounded, whatever the
+    length of a text or of a word.
+    """
+    found = [(np.zeros(0, U), *(np.zeros(0, np.int64) for _ in range(2)))]
+    for start, end in pieces(data, offsets):
+        part = lower(data[start:end])
+        inner = offsets[np.searchsorted(offsets, start, "right") : np.searchsorted(offsets, end, "left")]
+        starts, ends, _ = words(part, np.concatenate([[0], inner - start, [end - start]]))
+        if len(starts) == 1 and len(part) > 2 * STEP_BYTES:
+            hashes = _hash_whole(part[starts[0] : ends[0]])
+        else:
+            hashes = Hasher(part)(starts, ends)
+        found.append((hashes, starts + start, ends + start))
+    hashes, starts, ends = (np.concatenate(column) for column in zip(*found))
+    return hashes, starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """The bytes with A-Z in lower case."""
     return _LOWER[data]

@@ -14,7 +14,7 @@ from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, layout,
 ORDER = 3
 ALPHA = 0.4
 #: Bits of an n-gram's hash.
-KEY_BITS = 56
+KEY_BITS = 64
 #: Bytes of text per block and bucket; a word makes several n-grams, so buckets take less text.
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
@@ -36,15 +36,10 @@ class Block:
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
         del rows, texts
-        hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int32)]
-        for first, last in arrays.steps(offsets):
-            part = arrays.lower(data[offsets[first] : offsets[last]])
-            starts, ends, of = arrays.words(part, offsets[first : last + 1] - offsets[first])
-            hashes.append(arrays.Hasher(part)(starts, ends))
-            owners.append((of + first).astype(np.int32))
-        word, self.of = np.concatenate(hashes), np.concatenate(owners)
+        word, _, _, of = arrays.hashed_words(data, offsets)
+        self.of = of.astype(np.int32)
         self.counts = np.bincount(self.of, minlength=len(self.ids))
-        del data, hashes, owners
+        del data, of
         place = (np.arange(len(word)) - (np.cumsum(self.counts) - self.counts)[self.of]).astype(np.int32)
         self.fits = [place >= n - 1 for n in range(order + 1)]
         self.grams = [EMPTY]
@@ -65,21 +60,24 @@ class Block:
         by = np.argsort(keys, kind="stable")
         return keys[by], counts[by]
 
-    def elsewhere(self, keys: np.ndarray, totals: np.ndarray, order: int) -> np.ndarray:
-        """How often each word's n-gram occurs in other documents; 0 where it doesn't fit."""
+    def counted(self, keys: np.ndarray, totals: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word's n-gram occurs in other documents, and in all; 0 where it doesn't fit."""
         if order == 0:
-            return totals[np.searchsorted(keys, EMPTY[0])] - self.counts[self.of]
+            total = totals[np.searchsorted(keys, EMPTY[0])]
+            return total - self.counts[self.of], np.full(len(self.of), total)
         own, of = self.grams[order], self.of[self.fits[order]]
         by = np.lexsort((of, own))
         new = np.ones(len(by), bool)
         new[1:] = (own[by[1:]] != own[by[:-1]]) | (of[by[1:]] != of[by[:-1]])
         group = np.cumsum(new) - 1
         mine = np.bincount(group)[group] if len(by) else group
-        out = np.zeros(len(self.of), np.int64)
+        elsewhere, everywhere = (np.zeros(len(self.of), np.int64) for _ in range(2))
         found = np.empty(len(by), np.int64)
-        found[by] = totals[np.searchsorted(keys, own[by])] - mine
-        out[self.fits[order]] = found
-        return out
+        found[by] = totals[np.searchsorted(keys, own[by])]
+        everywhere[self.fits[order]] = found
+        found[by] -= mine
+        elsewhere[self.fits[order]] = found
+        return elsewhere, everywhere
 
 
 def _sparse(counts: np.ndarray, usual: int) -> bytes:
@@ -106,7 +104,7 @@ def _packed(bits: int, order: int):
         rows = [(bucket, pack_sorted(rest[a:b]) + _sparse(counts[a:b], 1)) for bucket, a, b in cuts(keys, bits)]
         return pa.table(
             {
-                "bucket": pa.array([bucket for bucket, _ in rows], pa.int32()),
+                "bucket": pa.array([bucket for bucket, _ in rows], pa.int64()),
                 "block": pa.array([key[0].as_py()] * len(rows), pa.int32()),
                 "packed": pa.array([packed for _, packed in rows], pa.binary()),
             }
@@ -138,15 +136,15 @@ def _counted(key: tuple, table: pa.Table) -> pa.Table:
     packed = [_sparse(others[a:b], 0) for a, b in zip(begins, begins[1:], strict=False)]
     return pa.table(
         {
-            "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
+            "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int64()),
             "block": pa.array(blocks, pa.int32()),
             "packed": pa.array(packed, pa.binary()),
         }
     )
 
 
-def _scores(block: Block, keys: np.ndarray, totals: np.ndarray, order: int, alpha: float) -> np.ndarray:
-    """The logarithm of each word's score, in millionths, as integers.
+def _scores(block: Block, counts: list[np.ndarray], order: int, alpha: float) -> np.ndarray:
+    """The logarithm of each word's score, in millionths, as integers, from the counts of its n-grams by order.
 
     The longest n-gram that other documents have decides: its count by that of its words but the
     last, times ``alpha`` for each order below the longest that fits. A word that no other document
@@ -154,9 +152,9 @@ def _scores(block: Block, keys: np.ndarray, totals: np.ndarray, order: int, alph
     """
     n = len(block.of)
     ratio, penalty, open_ = np.ones(n), np.zeros(n, np.int64), np.ones(n, bool)
-    count = block.elsewhere(keys, totals, order)
+    count = counts[order]
     for at in range(order, 0, -1):
-        shorter = block.elsewhere(keys, totals, at - 1)
+        shorter = counts[at - 1]
         # What stands before the word: the n-gram one shorter that ends at the word before.
         before = np.concatenate([[0], shorter[:-1]]) if at > 1 else shorter
         if at == 1:
@@ -172,19 +170,20 @@ def _scores(block: Block, keys: np.ndarray, totals: np.ndarray, order: int, alph
 
 
 def score(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA,
+    block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
-    """``id, n_words, micro_nats`` of each row of ``docs``: the log-score of its words, summed.
+    """``id, n_words, micro_nats, corpus_micro_nats`` of each row of ``docs``: the log-score of its words, summed.
 
-    Counts are of all other rows: a text's own words don't vouch for it, but a copy's do. Words
-    are in ASCII lower case. Null and empty texts have no words and score 0. Rows with equal
+    Counts for ``micro_nats`` are of all other rows: a text's own words don't vouch for it, but a copy's do.
+    Those for ``corpus_micro_nats`` are of all rows, so that no word backs off. Words are in ASCII lower case. Null and empty texts have no words and score 0. Rows with equal
     ids are texts of their own, null ids stay null.
 
     Each block sends its distinct n-grams, with counts, to the buckets that the count table is
     divided in by hash; these join them to the totals. A frequent n-gram is thus one row per
     block. N-grams are known by ``KEY_BITS`` bits of a hash.
     """
-    plan: Layout = layout(docs, text_col, BLOCK_BYTES, BUCKET_BYTES)
+    plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)
     rows, bits = blocked(docs, plan, id_col, text_col), plan.bits
     counted = (
         rows.groupBy("block").applyInArrow(_packed(bits, order), PACKED).groupBy("bucket").applyInArrow(_counted, PACKED)
@@ -198,18 +197,22 @@ def score(
         for bucket, packed in zip(replies.column("bucket").to_pylist(), replies.column("packed").to_pylist(), strict=True):
             a, b = starts[bucket]
             totals[a:b] += _dense(packed, b - a, 0)
-        said = _scores(block, keys, totals, order, alpha) if len(block.of) else np.zeros(0, np.int64)
-        sums = np.zeros(len(block.ids), np.int64)
-        np.add.at(sums, block.of, said)
+        sums = []
+        found = [block.counted(keys, totals, at) for at in range(order + 1)] if len(block.of) else []
+        for own in zip(*found) if found else [()] * 2:
+            said = _scores(block, list(own), order, alpha) if found else np.zeros(0, np.int64)
+            sums.append(np.zeros(len(block.ids), np.int64))
+            np.add.at(sums[-1], block.of, said)
         return pa.table(
             {
                 "id": pa.array([None if number == NO_ID else number for number in block.ids], pa.int64()),
                 "n_words": pa.array(block.counts.astype(np.int64)),
-                "micro_nats": pa.array(sums),
+                "micro_nats": pa.array(sums[0]),
+                "corpus_micro_nats": pa.array(sums[1]),
             }
         )
 
     found = rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
-        scored, "id long, n_words long, micro_nats long"
+        scored, "id long, n_words long, micro_nats long, corpus_micro_nats long"
     )
-    return found.select(F.col("id").alias(id_col), "n_words", "micro_nats")
+    return found.select(F.col("id").alias(id_col), "n_words", "micro_nats", "corpus_micro_nats")

@@ -22,7 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         edges = stored(_small(_large(edges)), "links")
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("h")).first()
+        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
         if now == before:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
                 edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()

@@ -149,7 +149,9 @@ def distinct(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     _, repeated, n_rows = _repeated(keyed)
     told = _told(keyed, repeated, ["fingerprint"], "copies", n_rows)
     alone = told.filter("copies IS NULL").select("whole")
+    # Of rows alike in text, length and id the one with the least hash of what else they have stays.
+    hashed = [F.col("whole")[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
     best = told.filter("copies IS NOT NULL").groupBy("fingerprint", "bytes").agg(
-        F.min_by("whole", _order("id")).alias("whole")
+        F.min_by("whole", F.struct(_order("id").alias("order"), F.xxhash64(*hashed).alias("tie"))).alias("whole")
     )
     return alone.unionByName(best.select("whole")).select("whole.*")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.tables import partitions, power_of_two
+from hazeline.llm.tables import partitions, power_of_two, unused
 
 #: Bytes of text in a block, about, and of the texts whose keys a bucket gets.
 BLOCK_BYTES = 4 << 20
@@ -27,7 +27,7 @@ BUCKET_BYTES = 16 << 20
 #: Where documents without an id stand: after all others.
 NO_ID = np.iinfo(np.int64).max
 
-PACKED = "bucket int, block int, packed binary"
+PACKED = "bucket long, block int, packed binary"
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,10 @@ def blocked(
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     block = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))), F.lit(plan.blocks))
-    row = [] if carry is None else [F.struct(F.lit(True).alias("_"), *[F.col(c) for c in carry]).alias("row")]
+    row = [] if carry is None else [
+        # Never without a field, which Arrow could not carry.
+        F.struct(F.lit(True).alias(unused("_", carry)), *[F.col(f"`{c}`") for c in carry]).alias("row")
+    ]
     return docs.select(block.cast("int").alias("block"), number.alias("id"), text.alias("text"), *row)
 
 

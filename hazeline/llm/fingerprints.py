@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.llm.tables import partitions, stored
+from hazeline.llm.tables import partitions, power_of_two, stored, unused
 
 #: Terms are split at ASCII characters that are neither letters nor digits.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -15,8 +15,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RAREST, COMMONEST = 0.002, 0.2
 #: Randomised lexicons, a power of two: each term is in one.
 LEXICONS = 32
-#: Terms of the lexicon are marked in a table of ``64 * WORDS`` bits by their hash.
-WORDS = 8192
+#: Terms of the lexicon are marked in a table of bits by their hash: 64 for each, and as many as this at least.
+LEAST_BITS = 1 << 19
 
 
 def all_terms(text: Column) -> Column:
@@ -25,8 +25,9 @@ def all_terms(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda t: F.xxhash64(t)))
 
 
-def _word(term: Column) -> Column:
-    return F.shiftrightunsigned(term, 6).bitwiseAND(WORDS - 1)
+def _word(term: Column, words: Column) -> Column:
+    """The place of a term's bit in a table of so many words of 64 bits, a power of two."""
+    return F.shiftrightunsigned(term, 6).bitwiseAND(words - 1)
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", rarest: float = RAREST, commonest: float = COMMONEST) -> DataFrame:
@@ -34,18 +35,20 @@ def lexicon(docs: DataFrame, text_col: str = "text", rarest: float = RAREST, com
 
     Terms are counted with partial sums, one row per term and task at most. Terms in at least a
     share ``rarest`` of the documents are never more than the mean number of terms per document
-    divided by that share, however many documents there are, and the bits are of a fixed size.
-    Another term is taken for one in the lexicon if it shares its bit, in all documents alike.
+    divided by that share, however many documents there are, and so are the words of 64 bits, or about. Another
+    term is taken for one in the lexicon if it shares its bit, one in 64 or fewer, in all documents alike.
     """
     frequencies = docs.select(F.explode(all_terms(F.col(text_col))).alias("term")).groupBy("term").count()
     total = docs.select(F.count(F.lit(1)).alias("n"))
     n = total.scalar()
     inside = frequencies.filter((F.col("count") >= F.lit(rarest) * n) & (F.col("count") <= F.lit(commonest) * n))
+    inside = stored(inside.select("term"), "lexicon-terms")
+    size = max(LEAST_BITS // 64, 1 << power_of_two(inside.count()))
     marked = inside.select(
-        _word(F.col("term")).alias("word"),
+        _word(F.col("term"), F.lit(size).cast("long")).alias("word"),
         F.expr("shiftleft(1L, CAST(term & 63 AS INT))").alias("bit"),
     ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    words = docs.sparkSession.range(WORDS).withColumnRenamed("id", "word")
+    words = docs.sparkSession.range(size).withColumnRenamed("id", "word")
     return (
         words.join(marked, "word", "left")
         .select(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("entry"))
@@ -65,15 +68,19 @@ def with_signatures(df: DataFrame, text_col: str, bits: DataFrame, name: str) ->
     ``bits`` is the one row of ``lexicon``, of a fixed size, and goes to every task. Steps are
     columns of their own, so that each is computed once.
     """
-    # Bits 0 to 18 of a hash say whether it is in the lexicon, the next in which randomised one,
+    # The low bits of a hash say whether it is in the lexicon, those from 19 on in which randomised one,
     # those from bit 24 on how small a part of that still holds it.
+    _bits, _found, _marked, _terms = (unused(own, df.columns) for own in ("_bits", "_found", "_marked", "_terms"))
+    table = F.col(_bits)
     marked = F.filter(
-        "_found",
-        lambda t: F.getbit(F.element_at(F.col("_bits"), (_word(t) + 1).cast("int")), t.bitwiseAND(63).cast("int")) == 1,
+        _found,
+        lambda t: F.getbit(
+            F.element_at(table, (_word(t, F.size(table).cast("long")) + 1).cast("int")), t.bitwiseAND(63).cast("int")
+        ) == 1,
     )
     terms = (
-        F.when(F.size("_marked") > 0, F.col("_marked"))
-        .when(F.size("_found") > 0, F.col("_found"))
+        F.when(F.size(_marked) > 0, F.col(_marked))
+        .when(F.size(_found) > 0, F.col(_found))
         .otherwise(F.array(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))))
     )
 
@@ -82,7 +89,7 @@ def with_signatures(df: DataFrame, text_col: str, bits: DataFrame, name: str) ->
 
     own = F.transform(
         F.sequence(F.lit(0), F.lit(LEXICONS - 1)),
-        lambda n: F.filter("_terms", lambda t: F.shiftrightunsigned(t, 19).bitwiseAND(LEXICONS - 1) == n),
+        lambda n: F.filter(_terms, lambda t: F.shiftrightunsigned(t, 19).bitwiseAND(LEXICONS - 1) == n),
     )
     nested = F.transform(
         own,
@@ -99,13 +106,13 @@ def with_signatures(df: DataFrame, text_col: str, bits: DataFrame, name: str) ->
         ),
     )
     return (
-        df.withColumn("_found", all_terms(F.col(text_col)))
-        .join(F.broadcast(bits.withColumnRenamed("bits", "_bits")))
-        .withColumn("_marked", marked)
-        .drop("_bits")
-        .withColumn("_terms", terms)
+        df.withColumn(_found, all_terms(F.col(text_col)))
+        .join(F.broadcast(bits.withColumnRenamed("bits", _bits)))
+        .withColumn(_marked, marked)
+        .drop(_bits)
+        .withColumn(_terms, terms)
         .withColumn(name, hashes)
-        .drop("_found", "_marked", "_terms")
+        .drop(_found, _marked, _terms)
     )
 
 

@@ -172,8 +172,11 @@ def take(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
             F.coalesce(F.concat(F.lit("="), source), F.lit("-")),
         )
 
-    columns = docs.columns
-    mine = docs.withColumn("_key", key(F.col(source_col).cast("string"), word_count(F.col(text_col))))
+    mine = docs.select(
+        F.struct("*").alias("whole"),
+        key(F.col(source_col).cast("string"), word_count(F.col(text_col))).alias("_key"),
+        F.xxhash64(F.col(text_col)).alias("tie"),
+    )
     counts = (
         mix_documents(docs, id_col=id_col, **options)
         .select(key(F.col("source"), F.col("size")).alias("_key"), "copies")
@@ -181,7 +184,7 @@ def take(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
         .agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_rows"))
         .filter("_all > 0")
     )
-    alike = Window.partitionBy("_key").orderBy(F.xxhash64(F.col(text_col)))
+    alike = Window.partitionBy("_key").orderBy("tie")
     row = F.row_number().over(alike)
     upto = [F.floor(n * F.col("_all") / F.col("_rows")) for n in (row, row - 1)]
     return (
@@ -189,5 +192,5 @@ def take(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
         .withColumn("_copies", (upto[0] - upto[1]).cast("int"))
         .filter("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*columns)
+        .select("whole.*")
     )

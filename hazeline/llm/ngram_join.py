@@ -13,8 +13,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from hazeline.llm import arrays
 from hazeline.llm.components import components
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack
-from hazeline.llm.tables import stored
+from hazeline.llm.exchange import (
+    BLOCK_BYTES, BUCKET_BYTES, NO_ID, PACKED, Layout, blocked, cuts, delta, layout, ordered, pack, unpack,
+)
+from hazeline.llm.tables import stored, unused
 
 #: Words of a shingle, and the share of the union, in hundredths, that makes two documents alike.
 WORDS = 5
@@ -33,44 +35,23 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
 
     Words are in ASCII lower case. A text with fewer words has one shingle, of them all.
     """
-    starts, hashes, begins = [np.zeros(0, np.int64)], [np.zeros(0, U)], 0
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.cumsum([0, *map(len, texts)])
-    for first, last in arrays.steps(offsets):
-        own = offsets[first : last + 1] - offsets[first]
-        part = arrays.lower(data[offsets[first] : offsets[last]])
-        w_starts, w_ends, of = arrays.words(part, own)
-        word = arrays.Hasher(part)(w_starts, w_ends)
-        n = len(word)
-        found, texts_of = [], []
-        if n >= words:
-            total = np.zeros(n - words + 1, U)
-            for at in range(words):
-                total = total * U(0x100000001B3) + word[at : n - words + 1 + at]
-            whole = of[words - 1 :] == of[: n - words + 1]
-            found.append(arrays.mixed(total[whole]))
-            texts_of.append(of[: n - words + 1][whole])
-        counts = np.bincount(of, minlength=len(own) - 1)
-        for text in np.flatnonzero((counts > 0) & (counts < words)):
-            first = int(np.searchsorted(of, text))
-            total = np.full(1, counts[text], U)
-            for number in range(first, first + int(counts[text])):
-                total = total * U(0x100000001B3) + word[number]
-            found.append(arrays.mixed(total))
-            texts_of.append(np.array([text]))
-        if found:
-            keys, owners = np.concatenate(found), np.concatenate(texts_of)
-            order = np.lexsort((keys, owners))
-            keys, owners = keys[order], owners[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
-            keys, owners = keys[new], owners[new]
-        else:
-            keys, owners = np.zeros(0, U), np.zeros(0, np.int64)
-        hashes.append(keys)
-        starts.append(begins + np.searchsorted(owners, np.arange(len(own) - 1)))
-        begins += len(keys)
-    return np.concatenate(hashes), np.append(np.concatenate(starts), begins).astype(np.int64)
+    word, _, _, of = arrays.hashed_words(data, offsets)
+    del data
+    begins = np.searchsorted(of, np.arange(len(texts) + 1))
+    found = []
+    for first, last in zip(begins.tolist(), begins[1:].tolist()):
+        n, own = last - first, word[first:last]
+        total = np.zeros(max(min(n, 1), n - words + 1), U)
+        if 0 < n < words:
+            total += U(n)
+        for at in range(min(n, words)):
+            total *= U(0x100000001B3)
+            total += own[at : at + len(total)]
+        found.append(np.unique(arrays.mixed(total)))
+    sizes = np.cumsum([0, *map(len, found)])
+    return np.concatenate([np.zeros(0, U), *found]), sizes.astype(np.int64)
 
 
 def needed(one: int, other: int, percent: int) -> int:
@@ -121,7 +102,7 @@ def _packed(block: int, sets: list[tuple[int, np.ndarray]], bits: int) -> pa.Tab
     ]
     return pa.table(
         {
-            "bucket": pa.array([bucket for bucket, _ in rows], pa.int32()),
+            "bucket": pa.array([bucket for bucket, _ in rows], pa.int64()),
             "block": pa.array([block] * len(rows), pa.int32()),
             "packed": pa.array([packed for _, packed in rows], pa.binary()),
         }
@@ -138,7 +119,7 @@ def _count(key: tuple, table: pa.Table) -> pa.Table:
     begins = np.cumsum([0, *(len(part[0]) for part in parts)])
     return pa.table(
         {
-            "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
+            "bucket": pa.array([key[0].as_py()] * len(blocks), pa.int64()),
             "block": pa.array(blocks, pa.int32()),
             "packed": pa.array([pack(totals[a:b]) for a, b in zip(begins, begins[1:], strict=False)], pa.binary()),
         }
@@ -434,7 +415,7 @@ def _grouped(
         rows.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(keys, PACKED)
         .groupBy("bucket").applyInArrow(_count, PACKED)
     )
-    empty = [F.lit(None).cast(kind).alias(name) for kind, name in (("int", "bucket"), ("binary", "packed"))]
+    empty = [F.lit(None).cast(kind).alias(name) for kind, name in (("long", "bucket"), ("binary", "packed"))]
     told = own.select("block", "node", *empty).unionByName(
         counted.select("block", F.lit(None).cast("long").alias("node"), "bucket", "packed")
     )
@@ -458,7 +439,7 @@ def _grouped(
 
 def similar(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
-    links: bool = False,
+    links: bool = False, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``id, n_shingles, component_id`` of each row of ``docs``, and with ``links`` also ``n_links``.
 
@@ -469,7 +450,7 @@ def similar(
     A row without an id takes part; its id and, if all it reaches have none, its component are
     null. Rows with equal ids are compared as others are.
     """
-    plan: Layout = layout(docs, text_col)
+    plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)
     grouped, counts = _grouped(docs, blocked(docs, plan, id_col, text_col), plan, words, percent, links)
     labels = grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("label"))
     if links:
@@ -486,16 +467,18 @@ def similar(
 
 
 def representatives(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+    block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """One row of ``docs`` per group of ``similar``, with the smallest id, as it was.
 
     Rows without shingles are alike to none and all stay. Of equal rows one stays.
     """
-    plan: Layout = layout(docs, text_col)
+    plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)
     others = [c for c in docs.columns if c != text_col]
-    marked = docs.withColumn("_none", F.col(text_col).isNull())
-    rows = blocked(marked, plan, id_col, text_col, [*others, "_none"])
+    none = unused("_none", docs.columns)
+    marked = docs.withColumn(none, F.col(text_col).isNull())
+    rows = blocked(marked, plan, id_col, text_col, [*others, none])
     grouped = stored(_grouped(docs, rows, plan, words, percent)[0], "groups")
     place = F.struct("id", "block", "at")
     best = grouped.filter("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("best"))
@@ -508,7 +491,7 @@ def representatives(
 
     schema = StructType([StructField("text", StringType()), rows.schema["row"]])
     found = rows.groupBy("block").cogroup(stay.groupBy("block")).applyInArrow(kept, schema)
-    text = F.when(~F.col("row")["_none"], F.col("text"))
+    text = F.when(~F.col("row")[none], F.col("text"))
     return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 

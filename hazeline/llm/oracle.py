@@ -73,7 +73,10 @@ WITH texts AS (
   SELECT g.doc_id, g.i,
          three.total - three.own AS n3, before3.total - before3.own AS d3,
          two.total - two.own AS n2, before2.total - before2.own AS d2,
-         one.total - one.own AS n1, (SELECT count(*) FROM words) - len(t.ws) AS d1
+         one.total - one.own AS n1, (SELECT count(*) FROM words) - len(t.ws) AS d1,
+         CASE WHEN g.i > 2 THEN three.total::DOUBLE / before3.total::DOUBLE
+              WHEN g.i > 1 THEN two.total::DOUBLE / before2.total::DOUBLE
+              ELSE one.total::DOUBLE / (SELECT count(*) FROM words)::DOUBLE END AS whole
   FROM grams g JOIN texts t ON t.doc_id = g.doc_id
   JOIN one ON one.doc_id = g.doc_id AND one.c = g.c
   LEFT JOIN one before2 ON before2.doc_id = g.doc_id AND before2.c = g.b
@@ -81,16 +84,19 @@ WITH texts AS (
   LEFT JOIN two before3 ON before3.doc_id = g.doc_id AND before3.b = g.a AND before3.c = g.b
   LEFT JOIN three ON three.doc_id = g.doc_id AND three.a = g.a AND three.b = g.b AND three.c = g.c
 ), said AS (
-  SELECT doc_id,
+  SELECT doc_id, ln(whole) AS whole,
          CASE WHEN i > 2 AND n3 > 0 THEN n3::DOUBLE / greatest(d3, 1)::DOUBLE
               WHEN i > 1 AND n2 > 0 THEN n2::DOUBLE / greatest(d2, 1)::DOUBLE * pow(0.4::DOUBLE, (i > 2)::INT)
               ELSE greatest(n1, 1)::DOUBLE / greatest(d1, 1)::DOUBLE * pow(0.4::DOUBLE, least(i - 1, 2))
          END AS score
   FROM counts
 ), summed AS (
-  SELECT doc_id, sum(round_even(ln(score) * 1000000, 0)::BIGINT)::BIGINT AS micro_nats FROM said GROUP BY doc_id
+  SELECT doc_id, sum(round_even(ln(score) * 1000000, 0)::BIGINT)::BIGINT AS micro_nats,
+         sum(round_even(whole * 1000000, 0)::BIGINT)::BIGINT AS corpus_micro_nats
+  FROM said GROUP BY doc_id
 )
-SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(s.micro_nats, 0)::BIGINT AS micro_nats
+SELECT t.doc_id, len(t.ws)::BIGINT AS n_words, coalesce(s.micro_nats, 0)::BIGINT AS micro_nats,
+       coalesce(s.corpus_micro_nats, 0)::BIGINT AS corpus_micro_nats
 FROM texts t LEFT JOIN summed s ON s.doc_id = t.doc_id
 """
 

@@ -47,10 +47,16 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """
     n = len(offsets) - 1
     lengths = np.diff(offsets)
-    of_byte = np.repeat(np.arange(n), lengths)
-    kinds = np.bincount(of_byte * 9 + _KINDS[data], minlength=9 * n).reshape(n, 9).astype(float)
-    starts, ends, of_word = arrays.words(data, offsets)
-    hashes = arrays.Hasher(arrays.lower(data))(starts, ends)
+    kinds = np.zeros(9 * n, np.int64)
+    for start in range(0, len(data), arrays.STEP_BYTES):
+        end = min(start + arrays.STEP_BYTES, len(data))
+        first = int(np.searchsorted(offsets, start, "right")) - 1
+        last = int(np.searchsorted(offsets, end, "left"))
+        inside = np.diff(np.clip(offsets[first : last + 1], start, end))
+        of_byte = np.repeat(np.arange(last - first), inside)
+        kinds[9 * first : 9 * last] += np.bincount(of_byte * 9 + _KINDS[data[start:end]], minlength=9 * (last - first))
+    kinds = kinds.reshape(n, 9).astype(float)
+    hashes, starts, ends, of_word = arrays.hashed_words(data, offsets)
     counts = np.bincount(of_word, minlength=n).astype(float)
     key, times = np.unique(of_word * BUCKETS + (hashes % BUCKETS).astype(np.int64), return_counts=True)
     row, bucket = key // BUCKETS, key % BUCKETS
@@ -181,7 +187,9 @@ def labelled(
         .limit(fitted)
     )
     found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return found.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select("_id", "text", "y")
+    # Of several texts with one id the same counts in any order of rows.
+    least = F.min_by(F.struct("text", "y"), F.struct(F.xxhash64("text"), F.col("text"))).alias("row")
+    return found.join(F.broadcast(chosen), "_id").groupBy("_id").agg(least).select("_id", "row.text", "row.y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fitted: int = FITTED, **options) -> Machine:

@@ -31,7 +31,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 
 from hazeline.llm import arrays
 from hazeline.llm.exchange import (
-    NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, ordered, pack, pack_sorted, unpack, unpack_sorted,
+    BLOCK_BYTES, BUCKET_BYTES, NO_ID, PACKED, Layout, blocked, bucket_of, cuts, delta, layout, ordered, pack, pack_sorted, unpack, unpack_sorted,
 )
 
 #: Bytes of a match.
@@ -314,7 +314,7 @@ class Block:
 def _rows(block: int, rows: list[tuple[int, bytes]]) -> pa.Table:
     return pa.table(
         {
-            "bucket": pa.array([bucket for bucket, _ in rows], pa.int32()),
+            "bucket": pa.array([bucket for bucket, _ in rows], pa.int64()),
             "block": pa.array([block] * len(rows), pa.int32()),
             "packed": pa.array([packed for _, packed in rows], pa.binary()),
         }
@@ -340,7 +340,7 @@ def _answers(bucket: int, blocks: list[int], begins: np.ndarray, worth: np.ndarr
             rows.append((block, pack(some.astype(np.uint32), *(column[at] for column in columns))))
     return pa.table(
         {
-            "bucket": pa.array([bucket] * len(rows), pa.int32()),
+            "bucket": pa.array([bucket] * len(rows), pa.int64()),
             "block": pa.array([block for block, _ in rows], pa.int32()),
             "packed": pa.array([packed for _, packed in rows], pa.binary()),
         }
@@ -454,7 +454,7 @@ SQL_TYPES = {
 def repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     trigger: int = TRIGGER, columns: tuple[str, ...] = tuple(COLUMNS), carry: tuple[str, ...] | None = None,
-    listed: int = LISTED,
+    listed: int = LISTED, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """What each document repeats of documents with smaller ids, as ``id`` and ``columns``.
 
@@ -471,7 +471,7 @@ def repeats(
     text. A trigger with more than ``listed`` phrases in a block is a common one; results are the
     same with any number.
     """
-    plan: Layout = layout(docs, text_col)
+    plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)
     rows = blocked(docs, plan, id_col, text_col, carry)
     bits = plan.bits
 

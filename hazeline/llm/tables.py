@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A column name like ``name`` that none of those taken is, in any case."""
+    known = {column.lower() for column in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

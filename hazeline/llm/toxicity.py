@@ -269,7 +269,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", fitted: int
     Texts that are alike count once. The driver gets the distinct words of the sample's toxic
     documents and counts for beginnings of those words, never texts.
     """
-    sample = stored(labelled(docs, labels, label, fitted, **options).dropDuplicates(["text"]), "toxic-sample")
+    found = labelled(docs, labels, label, fitted, **options)
+    # A text that several documents have is toxic if one of them is.
+    alike = found.groupBy("text").agg(F.min("_id").alias("_id"), F.max("y").alias("y"))
+    sample = stored(alike.select("_id", "text", "y"), "toxic-sample")
 
     def distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
