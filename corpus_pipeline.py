@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from hazeline.llm import bpe, mixing, ngram_join, quality, suffix_dedup
 from hazeline.llm.queries import RANKS
-from hazeline.llm.tables import read, stored
+from hazeline.llm.tables import read, stored, unused
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted to the labels, scores at least 0.5."""
     machine = quality.fit(docs, read(spark, sf_dir, "labels"))
-    return quality.score(docs, machine, score_col="_score").filter("_score >= 0.5").select(*docs.columns)
+    score = unused("_score", docs.columns)
+    return quality.score(docs, machine, score_col=score).filter(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
