@@ -16,7 +16,7 @@ ALPHA = 0.4
 #: Bits of an n-gram's hash.
 KEY_BITS = 64
 #: Bytes of text per block and bucket; a word makes several n-grams, so buckets take less text.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 BUCKET_BYTES = 4 << 20
 U = np.uint64
 EMPTY = (arrays.mixed(np.zeros(1, U)) >> U(64 - KEY_BITS)) << U(64 - KEY_BITS)
