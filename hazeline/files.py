@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,43 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder that Spark's scans would read; none if there is no such folder."""
+    system, place = _open(spark, folder)
+    if not system.exists(place):
+        return []
+    found = [status.getPath().getName() for status in system.listStatus(place)]
+    return sorted(name for name in found if not name.startswith(("_", ".")))
+
+
+def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int, str]]:
+    """Path, length and URI of the files that a pattern names, and of those in folders that it names."""
+    system, place = _open(spark, pattern)
+    found = []
+    for status in system.globStatus(place) or ():
+        inside = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [
+            # Spark's file_path writes local URIs with one slash.
+            (file.getPath().toString(), file.getLen(), re.sub("^file:/+", "file:/", file.getPath().toUri().toString()))
+            for file in inside if not file.isDirectory()
+        ]
+    return sorted(file for file in found if not file[0].rpartition("/")[2].startswith(("_", ".")))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    system, place = _open(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
+def create(spark: SparkSession, path: str, few: bytes = b"") -> None:
+    """Make an empty file, or one of a few bytes."""
+    system, place = _open(spark, path)
+    stream = system.create(place)
+    stream.write(bytearray(few))
+    stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; nothing happens if there is none."""
     system, place = _open(spark, path)

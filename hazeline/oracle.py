@@ -122,6 +122,15 @@ _FETCH_COUNTS = f"""{_SHARED_CTE}{_REQUESTS}
                CASE WHEN right(lat, 1) = '9' THEN 'HTTP 503' END AS error
         FROM requests GROUP BY lat, lon"""
 
+_LANDED_BYTES = f"""{_STATION_CTE}
+        SELECT CAST(sum(1 + length(concat_ws('|', "Reporting area", "State code", "Country code",
+               "Forecasts", '', CAST("Latitude" AS VARCHAR), CAST("Longitude" AS VARCHAR),
+               CAST("GMT offset" AS VARCHAR), "Daylight savings", "Standard time zone label",
+               "Daylight savings time zone label", "TWC code", '', "Forecast Source"))) AS BIGINT)
+               AS bytes
+        FROM stations"""
+_EVENT_LINES = "SELECT event_id || '|' || event_type || '|' || props AS value FROM events"
+
 ORACLE: dict[str, str] = {
     "station_scan": _ALL_STATIONS,
     "station_scan_latin1": _ALL_STATIONS,
@@ -149,13 +158,9 @@ ORACLE: dict[str, str] = {
         SELECT "TWC code", "Latitude", "Longitude" FROM stations{_WEST}""",
     "station_shape": f"""{_STATION_CTE}
         SELECT count(*) AS "rows", CAST(14 AS INTEGER) AS "columns" FROM stations{_WEST}""",
-    "landed_bytes": f"""{_STATION_CTE}
-        SELECT CAST(sum(1 + length(concat_ws('|', "Reporting area", "State code", "Country code",
-               "Forecasts", '', CAST("Latitude" AS VARCHAR), CAST("Longitude" AS VARCHAR),
-               CAST("GMT offset" AS VARCHAR), "Daylight savings", "Standard time zone label",
-               "Daylight savings time zone label", "TWC code", '', "Forecast Source"))) AS BIGINT)
-               AS bytes
-        FROM stations""",
+    "landed_bytes": _LANDED_BYTES,
+    "landed_files": f"SELECT bytes, TRUE AS same FROM ({_LANDED_BYTES})",
+    "landed_gz_lines": _EVENT_LINES,
     "request_urls": f"""{_STATION_CTE}{_REQUESTS}
         SELECT "TWC code", {_FORECAST_URL} AS url FROM requests""",
     "request_rejects": f"""{_STATION_CTE}
@@ -244,7 +249,7 @@ ORACLE: dict[str, str] = {
     "pm25_top20": f"{_PM25} ORDER BY \"AQI\" DESC NULLS LAST, event_id LIMIT 20",
     "repartitioned_write": _OBSERVATIONS,
     "repartitioned_files": "SELECT count(*) AS readings, TRUE AS as_asked FROM events",
-    "gz_lines": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
+    "gz_lines": _EVENT_LINES,
     "latest_delivery": f"SELECT NULL::VARCHAR AS \"DateObserved\", NULL::VARCHAR AS \"HourObserved\", "
         f"NULL::VARCHAR AS \"LocalTimeZone\", {_PLACE} FROM events",
     "incremental_load": f"""{_DECLARED_OBSERVATIONS}

@@ -33,6 +33,7 @@ from hazeline.sources import (
     HttpTransport,
     fetch_responses,
     infer_entry_schema,
+    land_files,
     land_raw,
     list_source_files,
     scan_gz_text,
@@ -183,6 +184,31 @@ def landed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_source_files(spark, path).agg(F.sum("length").alias("bytes"))
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many bytes of station files arrive, and whether all are where they were."""
+    source, target = _station_file(spark, sf_dir, "ISO-8859-1"), fresh_path(spark, "landed")
+    land_files(spark, source, target)
+    sums = []
+    for folder in (source, target):
+        contents = spark.read.format("binaryFile").load(f"{folder}/part-*")
+        sums.append(
+            contents.select(F.substring_index("path", "/", -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+        )
+    before, after = sums
+    same = before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+    return after.agg(F.sum("length").alias("bytes"), F.lit(same).alias("same"))
+
+
+def landed_gz_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of gzip files that were landed as they are."""
+    source, target = fresh_path(spark, "gz"), fresh_path(spark, "landed")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lines = events.select(F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props"))
+    lines.write.option("compression", "gzip").text(source)
+    land_files(spark, f"{source}/*.gz", target)
+    return scan_gz_text(spark, f"{target}/*.gz")
+
+
 def request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     locations = project_locations(filter_states(adapters.stations(spark, sf_dir)))
     return build_requests(locations, "forecast", DATE).select("TWC code", "url")
@@ -622,6 +648,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         station_shape,
         landed_stations,
         landed_bytes,
+        landed_files,
+        landed_gz_lines,
         request_urls,
         request_rejects,
         rounded_values,

@@ -1,5 +1,5 @@
 from hazeline.sources.entries import infer_entry_schema, scan_json_array, scan_json_lines
-from hazeline.sources.landing import land_raw, list_source_files, scan_gz_text
+from hazeline.sources.landing import land_files, land_raw, list_source_files, scan_gz_text
 from hazeline.sources.stations import scan_stations, scan_stations_raw, stations_from_rows
 from hazeline.sources.tables import scan_table
 from hazeline.sources.web import HttpTransport, Reply, fetch_responses
@@ -9,6 +9,7 @@ __all__ = [
     "Reply",
     "fetch_responses",
     "infer_entry_schema",
+    "land_files",
     "land_raw",
     "list_source_files",
     "scan_gz_text",
