@@ -14,6 +14,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 #: Width of the smoothing, in lines.
 SIGMA = 1.0
+#: What an element whose name leaves it open has to hold to be prose: characters outside of links, and their
+#: share; characters per block.
+PROSE, OWN, PER_BLOCK = 140, 0.7, 60
 
 # Elements by what they mean for the text in them.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
@@ -41,6 +44,13 @@ NAMES = re.compile(
     r"overlay|widget|toolbar|pagination|pager|search\w*|skip\w*|tags|copyright|legal|disclaimer)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+# Words that say nothing about what a name of several words is for.
+NEUTRAL = frozenset(
+    "and area articles bar block body bottom box btn button buttons card cards col column container content for form "
+    "group icon icons inner item items label large left link links list logo main more of our outer page panel post "
+    "posts read right row section site slot small stories text the title to top unit us user users wide wrap "
+    "wrapper you your".split()
+)
 LAYOUT = re.compile(r"\b(?:has|with|without|no|show|hide)[_-][\w-]+", re.IGNORECASE)
 NO_ARTICLE = re.compile(
     r"comment|reply|ads?|advert\w*|sponsor\w*|promo\w*|related|recommended|teaser|notice", re.IGNORECASE
@@ -57,21 +67,22 @@ class Line:
     linked: int
     container: int
     root: int
+    doubt: int = 0
 
 
 class Lines(HTMLParser):
     """Takes parser events as they come and keeps the blocks of text that may be content.
 
     Text of elements that are never content is dropped at once, tags count towards the block
-    that follows. The stack holds open elements: tag, whether it is left out, its container and
-    its article.
+    that follows. The stack holds open elements: tag, whether it is left out, its container, its
+    article, and the element in doubt that it is in, if any.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, int, int]] = [("html", False, 0, 0)]
-        self.containers = 0
+        self.stack: list[tuple[str, bool, int, int, int]] = [("html", False, 0, 0, 0)]
+        self.containers = self.doubts = 0
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
 
@@ -86,18 +97,22 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush()
             self._close_implied(tag)
-        _, out, container, root = self.stack[-1]
+        _, out, container, root, doubt = self.stack[-1]
         if not out:
             out = self._left_out(tag, dict(attrs), root)
+            if out is None:
+                self.doubts += 1
+                out, doubt = False, doubt or self.doubts
         if tag in CONTAINERS:
             self.containers += 1
             container = self.containers
         if tag in ROOTS and not out and not root:
             root = self.containers
         self.links += tag == "a"
-        self.stack.append((tag, out, container, root))
+        self.stack.append((tag, out, container, root, doubt))
 
-    def _left_out(self, tag: str, attrs: dict[str, str | None], root: int) -> bool:
+    def _left_out(self, tag: str, attrs: dict[str, str | None], root: int) -> bool | None:
+        """Whether an element is never content; None if its name speaks for that, but not for sure."""
         if tag in NEVER or (tag == "header" and not root):
             return True
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style") or ""):
@@ -109,10 +124,21 @@ class Lines(HTMLParser):
         names = [attrs.get(name) or "" for name in ("class", "id")]
         if tag == "article":  # such names often list topics, too
             return any(NO_ARTICLE.fullmatch(name) for name in " ".join(names).split())
-        found = [match for name in names for match in NAMES.finditer(LAYOUT.sub("", name))]
-        if root:  # an article's own head is part of it
-            found = [match for match in found if not match[0].lower().endswith("header")]
-        return bool(found)
+        sure, unsure = False, False
+        for at, name in enumerate(names):
+            for word in LAYOUT.sub("", name).split():
+                found = [match[0].lower() for match in NAMES.finditer(word)]
+                if root:  # an article's own head is part of it
+                    found = [match for match in found if not match.endswith("header")]
+                if not found:
+                    continue
+                # A word that is no such name and not neutral either may be the topic, an id within an article a mark.
+                known = all(
+                    NAMES.fullmatch(part) or part.lower() in NEUTRAL or part.isdigit() for part in re.split("[_-]+", word) if part
+                )
+                mark = root and at == 1 and not names[0]
+                sure, unsure = sure or (known and not mark), True
+        return True if sure else None if unsure else False
 
     def _close_implied(self, tag: str) -> None:
         if tag in ROOTS:  # a menu that nobody closed doesn't hold the article
@@ -159,8 +185,8 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, _, container, root = self.stack[-1]
-            self.lines.append(Line(text, self.tags, self.linked, container, root))
+            _, _, container, root, doubt = self.stack[-1]
+            self.lines.append(Line(text, self.tags, self.linked, container, root, doubt))
             self.tags = 0
         self.parts.clear()
         self.linked = self.links = 0
@@ -175,7 +201,19 @@ def lines_of(html: str) -> list[Line]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.lines
+    prose = _prose(parser.lines)
+    return [line for line in parser.lines if line.doubt in prose]
+
+
+def _prose(lines: list[Line]) -> set[int]:
+    """The elements in doubt that hold prose, and 0 for what is in none."""
+    found = {0}
+    for doubt in {line.doubt for line in lines} - {0}:
+        own = [line for line in lines if line.doubt == doubt]
+        chars, linked = sum(len(line.text) for line in own), sum(line.linked for line in own)
+        if chars - linked >= max(PROSE, OWN * chars) and chars >= PER_BLOCK * len(own):
+            found.add(doubt)
+    return found
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
