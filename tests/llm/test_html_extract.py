@@ -101,28 +101,28 @@ def test_table(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
-LONG = "<p>{} is a long paragraph of the article that tells the reader a good deal about its subject, in whole sentences, without links.</p>"
+PARAGRAPH = "<p>{} is a long paragraph of the article that tells the reader a good deal about its subject, in whole sentences, without links.</p>"
 
 
 @pytest.mark.parametrize("name", ["class='related-work'", "class='legal-history'", "id=search", "class='banner-making guide'"])
 def test_names_that_may_be_topics_do_not_cost_a_section(name):
-    page = f"<body><article><h1>Title</h1>{LONG.format('One') * 3}<section {name}><h2>More on it</h2>{LONG.format('Two') * 2}</section></article></body>"
+    page = f"<body><article><h1>Title</h1>{PARAGRAPH.format('One') * 3}<section {name}><h2>More on it</h2>{PARAGRAPH.format('Two') * 2}</section></article></body>"
     lines = html_extract.main_text(page).split("\n")
     assert len(lines) == 7 and lines[4] == "More on it" and lines[5].startswith("Two is")
 
 
 def test_a_container_named_like_its_topic():
-    page = f"<body><main><div class='search-story'>{LONG.format('One') * 3}</div></main></body>"
+    page = f"<body><main><div class='search-story'>{PARAGRAPH.format('One') * 3}</div></main></body>"
     assert html_extract.main_text(page).count("One is") == 3
 
 
 @pytest.mark.parametrize("part", [
-    f"<div class='comments'>{LONG.format('Reply') * 4}</div>",
-    f"<div class='comment-list user-posts'>{LONG.format('Reply') * 4}</div>",
-    f"<section class='discussion' id=talk>{LONG.format('Reply') * 4}</section>",
+    f"<div class='comments'>{PARAGRAPH.format('Reply') * 4}</div>",
+    f"<div class='comment-list user-posts'>{PARAGRAPH.format('Reply') * 4}</div>",
+    f"<section class='discussion' id=talk>{PARAGRAPH.format('Reply') * 4}</section>",
     "<div class='newsletter-weekly'>Reply: get it every week</div>",
     "<div class='related-reading'>" + "<p><a href=x>Reply to a long story that somebody else wrote about quite another subject</a></p>" * 5 + "</div>",
 ])
 def test_what_the_name_and_the_text_speak_against_goes(part):
-    page = f"<body><article>{LONG.format('One') * 3}{part}</article></body>"
+    page = f"<body><article>{PARAGRAPH.format('One') * 3}{part}</article></body>"
     assert "Reply" not in html_extract.main_text(page)
