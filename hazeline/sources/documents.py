@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,23 +25,37 @@ MARKS = re.compile(r'\\.|"(?:[^"\\]|\\.)*"|[\[\]{},]')
 #: Pieces in the order in which a block has them.
 HEAD, MIDDLE, TAIL, ENTRY, STRAY = range(5)
 SPACE = " \t\r\n"
+#: ... and a byte-order mark, in front of a file.
+BLANK = SPACE + "\ufeff"
 PIECES = "kind int, file string, block bigint, text string, last boolean"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Each line with its file and block, and the brackets it opens and closes outside of strings."""
-    bare = F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '"[^"]*"', "")
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    """Each line with its file and block, and whether this is all of the file."""
+    place = F.col("_metadata")
+    return spark.read.text(path).select(
+        "value", place.file_path.alias("file"), place.file_block_start.alias("block"),
+        (place.file_block_length >= place.file_size).alias("alone"),
     )
-    opened, closed = (F.regexp_count(bare, F.lit(marks)) for marks in (r"[\[{]", r"[\]}]"))
-    return lines.withColumns({"opened": opened, "closed": closed})
+
+
+def _with_brackets(lines: DataFrame) -> DataFrame:
+    """Add how many brackets each line opens and closes outside of strings."""
+    value = F.col("value")
+    plain = F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
+    bare = F.regexp_replace(plain, '"[^"]*"', "")
+
+    def number(marks: str) -> Column:
+        return F.when(value.rlike(marks), F.regexp_count(bare, F.lit(marks))).otherwise(0)
+
+    return lines.withColumns({"opened": number(r"[\[{]"), "closed": number(r"[\]}]")})
 
 
 def _starts(lines: DataFrame) -> DataFrame:
-    """Per block: the depth at its start, whether the file begins like an array, and its number of blocks."""
-    first = F.left(F.ltrim(F.col("value"), F.lit(" \t\r\ufeff")), F.lit(1))
-    placed = lines.withColumns({"first": first, "at": F.monotonically_increasing_id()})
+    """Per block of files of several: the depth at its start, and whether the file begins like an array."""
+    first = F.left(F.ltrim(F.col("value"), F.lit(BLANK)), F.lit(1))
+    parts = _with_brackets(lines.filter("NOT alone"))
+    placed = parts.withColumns({"first": first, "at": F.monotonically_increasing_id()})
     at = F.when(F.col("first") != "", F.col("at"))
     blocks = placed.groupBy("file", "block").agg(
         F.sum(F.col("opened") - F.col("closed")).alias("change"), F.min_by("first", at).alias("first")
@@ -53,24 +67,27 @@ def _starts(lines: DataFrame) -> DataFrame:
         F.col("file").alias("of_file"),
         F.col("block").alias("of_block"),
         F.coalesce(before, F.lit(0)).alias("depth"),
-        F.coalesce(F.first("first", ignorenulls=True).over(whole) == "[", F.lit(True)).alias("is_array"),
-        F.count(F.lit(1)).over(whole).alias("blocks"),
+        (F.first("first", ignorenulls=True).over(whole) == "[").alias("is_array"),
     )
 
 
 class _Block:
     """Cuts the lines of one block into pieces: either those within it or those at its edges."""
 
-    def __init__(self, file: str, block: int, depth: int, is_array: bool, blocks: int, edges: bool) -> None:
-        self.place, self.depth, self.is_array = (file, block), depth, is_array
-        self.alone, self.edges = blocks == 1, edges
-        self.begun_before = is_array and depth > 0
+    def __init__(self, file: str, block: int, depth: int | None, is_array: bool | None, alone: bool, edges: bool) -> None:
+        self.place, self.depth, self.is_array = (file, block), depth or 0, is_array
+        self.alone, self.edges = alone, edges
+        self.begun_before = bool(is_array and depth)
         self.parts: list[str] = []
 
     def piece(self, kind: int, text: str, last: bool | None) -> tuple:
         return kind, *self.place, text, last
 
     def lines(self, values: list[str], opened: np.ndarray, closed: np.ndarray) -> Iterator[tuple]:
+        if self.is_array is None:
+            # The first block of a file tells by its first character; blank lines tell nothing.
+            first = next((text for value in values if (text := value.strip(BLANK))), None)
+            self.is_array = first.startswith("[") if first else None
         after = self.depth + np.cumsum(opened - closed)
         before = after - (opened - closed)
         # Only a line on which the depth can get to that of the array has an end of an entry.
@@ -150,7 +167,7 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
                 if current is None or current.place != key:
                     if current is not None:
                         rows += current.end()
-                    told = (batch.column(name)[a].as_py() for name in ("depth", "is_array", "blocks"))
+                    told = (batch.column(name)[a].as_py() for name in ("depth", "is_array", "alone"))
                     current = _Block(*key, *told, edges)
                 opened, closed = (column[name][a:b].astype(np.int64) for name in ("opened", "closed"))
                 rows += current.lines(values[a:b], opened, closed)
@@ -159,7 +176,7 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
             yield result(list(current.end()))
 
     run = F.xxhash64("file", "block").alias("run")
-    picked = lines.select("value", "file", "block", "opened", "closed", "depth", "is_array", "blocks", run)
+    picked = lines.select("value", "file", "block", "opened", "closed", "depth", "is_array", "alone", run)
     return picked.mapInArrow(cut, PIECES)
 
 
@@ -167,19 +184,20 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """``text, last, broken``: each entry of the arrays, whether it is its array's last, or else what is no entry.
 
     ``broken`` are the remainder of an array that is cut off, what stands outside of arrays, and the text of files
-    that don't begin like an array, per block. The entries before a break are entries. Every line is read to
-    count brackets, then again; a third time in files of several blocks, for what crosses the edges of these.
-    The table of blocks is broadcast: a row per block, so per ``spark.sql.files.maxPartitionBytes`` of input.
+    that don't begin like an array, per block. The entries before a break are entries. Brackets are counted in
+    a pass of their own in files of several blocks, which a third pass reads for what crosses their edges.
+    The table of blocks is broadcast: a row per ``spark.sql.files.maxPartitionBytes`` of such files.
     """
     lines = _lines(spark, path)
     starts = F.broadcast(_starts(lines))
     at = (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block"))
-    placed = lines.join(starts, at)
+    placed = _with_brackets(lines.join(starts, at, "left"))
+    parts = _with_brackets(lines.filter("NOT alone").join(starts, at).filter("is_array"))
     whole = _pieces(placed, False).select(
         F.trim("text", F.lit(SPACE)).alias("text"), F.coalesce("last", F.lit(False)).alias("last"),
         (F.col("kind") == STRAY).alias("broken"),
     )
-    return whole.unionByName(_joined(_pieces(placed.filter("is_array AND blocks > 1"), True)))
+    return whole.unionByName(_joined(_pieces(parts, True)))
 
 
 def _joined(edges: DataFrame) -> DataFrame:

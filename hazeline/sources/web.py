@@ -11,10 +11,11 @@ import threading
 import time
 from base64 import b64encode
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager, nullcontext
 from copy import copy
 from http.client import HTTPConnection, HTTPException, HTTPResponse, HTTPSConnection
+from queue import SimpleQueue
 from typing import NamedTuple
 from urllib.error import HTTPError
 from urllib.parse import quote, unquote, urljoin, urlsplit
@@ -350,16 +351,27 @@ def fetch_responses(
                 pair for batch in batches
                 for pair in zip(batch.column("url").to_pylist(), batch.column("n_requests").to_pylist())
             )
-            under_way, rows, chars = set(), [], 0
-            while True:
-                while len(under_way) < concurrency and (pair := next(requested, None)):
-                    under_way.add(threads.submit(call, *pair))
-                if not under_way:
-                    break
-                ended, under_way = wait(under_way, return_when=FIRST_COMPLETED)
-                for future in ended:
-                    rows.append(future.result())
-                    chars += len(rows[-1][3] or "")
+
+            def replies() -> Iterator[tuple]:
+                """The replies as they come, with as many calls under way as may be."""
+                if concurrency == 1:
+                    yield from (call(*pair) for pair in requested)
+                    return
+                ended: SimpleQueue = SimpleQueue()
+                under_way = 0
+                while True:
+                    while under_way < concurrency and (pair := next(requested, None)):
+                        threads.submit(call, *pair).add_done_callback(ended.put)
+                        under_way += 1
+                    if not under_way:
+                        return
+                    yield ended.get().result()
+                    under_way -= 1
+
+            rows, chars = [], 0
+            for row in replies():
+                rows.append(row)
+                chars += len(row[3] or "")
                 if len(rows) >= REPLIES_PER_BATCH or chars >= CHARS_PER_BATCH:
                     yield table(rows)
                     rows, chars = [], 0
