@@ -27,16 +27,17 @@ HEAD, MIDDLE, TAIL, ENTRY, STRAY = range(5)
 SPACE = " \t\r\n"
 #: ... and a byte-order mark, in front of a file.
 BLANK = SPACE + "\ufeff"
-PIECES = "kind int, file string, block bigint, text string, last boolean"
+PIECES = "kind int, run bigint, text string, last boolean"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Each line with its file and block, and whether this is all of the file."""
+    """Each line with its file and block, a number for both, and whether this is all of the file."""
     place = F.col("_metadata")
-    return spark.read.text(path).select(
+    lines = spark.read.text(path).select(
         "value", place.file_path.alias("file"), place.file_block_start.alias("block"),
         (place.file_block_length >= place.file_size).alias("alone"),
     )
+    return lines.withColumn("run", F.xxhash64("file", "block"))
 
 
 def _with_brackets(lines: DataFrame) -> DataFrame:
@@ -64,6 +65,7 @@ def _starts(lines: DataFrame) -> DataFrame:
     whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = F.sum("change").over(by_block.rowsBetween(Window.unboundedPreceding, -1))
     return blocks.select(
+        F.xxhash64("file", "block").alias("of_run"),
         F.col("file").alias("of_file"),
         F.col("block").alias("of_block"),
         F.coalesce(before, F.lit(0)).alias("depth"),
@@ -74,14 +76,14 @@ def _starts(lines: DataFrame) -> DataFrame:
 class _Block:
     """Cuts the lines of one block into pieces: either those within it or those at its edges."""
 
-    def __init__(self, file: str, block: int, depth: int | None, is_array: bool | None, alone: bool, edges: bool) -> None:
-        self.place, self.depth, self.is_array = (file, block), depth or 0, is_array
+    def __init__(self, run: int, depth: int | None, is_array: bool | None, alone: bool, edges: bool) -> None:
+        self.run, self.depth, self.is_array = run, depth or 0, is_array
         self.alone, self.edges = alone, edges
         self.begun_before = bool(is_array and depth)
         self.parts: list[str] = []
 
     def piece(self, kind: int, text: str, last: bool | None) -> tuple:
-        return kind, *self.place, text, last
+        return kind, self.run, text, last
 
     def lines(self, values: list[str], opened: np.ndarray, closed: np.ndarray) -> Iterator[tuple]:
         if self.is_array is None:
@@ -147,8 +149,8 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
     """Entries that lie in one block and what is none; or, with ``edges``, the pieces at the edges of blocks."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int32(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
-        names = ["kind", "file", "block", "text", "last"]
+        types = [pa.int32(), pa.int64(), pa.string(), pa.bool_()]
+        names = ["kind", "run", "text", "last"]
 
         def result(rows: list[tuple]) -> pa.RecordBatch:
             columns = zip(*rows) if rows else [[]] * len(types)
@@ -163,20 +165,19 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
             for a, b in zip(bounds, bounds[1:]):
                 if a == b:
                     continue
-                key = batch.column("file")[a].as_py(), batch.column("block")[a].as_py()
-                if current is None or current.place != key:
+                run = int(column["run"][a])
+                if current is None or current.run != run:
                     if current is not None:
                         rows += current.end()
                     told = (batch.column(name)[a].as_py() for name in ("depth", "is_array", "alone"))
-                    current = _Block(*key, *told, edges)
+                    current = _Block(run, *told, edges)
                 opened, closed = (column[name][a:b].astype(np.int64) for name in ("opened", "closed"))
                 rows += current.lines(values[a:b], opened, closed)
             yield result(rows)
         if current is not None:
             yield result(list(current.end()))
 
-    run = F.xxhash64("file", "block").alias("run")
-    picked = lines.select("value", "file", "block", "opened", "closed", "depth", "is_array", "alone", run)
+    picked = lines.select("value", "run", "opened", "closed", "depth", "is_array", "alone")
     return picked.mapInArrow(cut, PIECES)
 
 
@@ -190,24 +191,25 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = _lines(spark, path)
     starts = F.broadcast(_starts(lines))
-    at = (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block"))
+    at = (F.col("run") == F.col("of_run")) & (F.col("block") == F.col("of_block"))
     placed = _with_brackets(lines.join(starts, at, "left"))
     parts = _with_brackets(lines.filter("NOT alone").join(starts, at).filter("is_array"))
+    edges = _pieces(parts, True).join(starts, F.col("run") == F.col("of_run"))
     whole = _pieces(placed, False).select(
         F.trim("text", F.lit(SPACE)).alias("text"), F.coalesce("last", F.lit(False)).alias("last"),
         (F.col("kind") == STRAY).alias("broken"),
     )
-    return whole.unionByName(_joined(_pieces(parts, True)))
+    return whole.unionByName(_joined(edges))
 
 
 def _joined(edges: DataFrame) -> DataFrame:
     """Entries that cross the edges of blocks: each begins with a tail and ends with a head."""
-    in_file = Window.partitionBy("file").orderBy("block", "kind")
-    begun = F.last(F.when(F.col("kind") == TAIL, F.col("block")), ignorenulls=True).over(
+    in_file = Window.partitionBy("of_file").orderBy("of_block", "kind")
+    begun = F.last(F.when(F.col("kind") == TAIL, F.col("of_block")), ignorenulls=True).over(
         in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    parts = F.sort_array(F.collect_list(F.struct("block", "kind", "text")))
-    entries = edges.withColumn("begun", begun).groupBy("file", "begun").agg(
+    parts = F.sort_array(F.collect_list(F.struct("of_block", "kind", "text")))
+    entries = edges.withColumn("begun", begun).groupBy("of_file", "begun").agg(
         F.trim(F.concat_ws("\n", F.transform(parts, lambda part: part.text)), F.lit(SPACE)).alias("text"),
         F.max(F.coalesce("last", F.lit(False))).alias("last"),
         (F.max(F.when(F.col("kind") == HEAD, 1)).isNull()).alias("broken"),
