@@ -10,6 +10,7 @@ import uuid
 from contextlib import contextmanager
 from http.client import RemoteDisconnected
 from pathlib import Path
+from types import SimpleNamespace
 from urllib.error import HTTPError, URLError
 
 import pytest
@@ -62,6 +63,11 @@ class Opener:
         return Response(outcome)
 
 
+def clock(monkeypatch, sleep, monotonic=time.monotonic):
+    """Another clock for the calls alone; other threads go on by the real one."""
+    monkeypatch.setattr("hazeline.sources.web.time", SimpleNamespace(sleep=sleep, monotonic=monotonic))
+
+
 def http_error(code):
     return HTTPError("https://x/?API_KEY=" + KEY, code, "message", {}, None)
 
@@ -362,7 +368,7 @@ def test_concurrent_calls_and_one_client_per_task(spark, tmp_path):
 
 def test_retry_after_is_honoured(monkeypatch):
     waits = []
-    monkeypatch.setattr("hazeline.sources.web.time.sleep", waits.append)
+    clock(monkeypatch, waits.append)
     asked = HTTPError("https://x", 429, "message", {"Retry-After": "7"}, None)
     long = HTTPError("https://x", 503, "message", {"Retry-After": "9999"}, None)
     reply, _ = call(asked, long, http_error(503), b"[]")
@@ -370,7 +376,7 @@ def test_retry_after_is_honoured(monkeypatch):
 
 
 def test_what_cannot_change_is_not_tried_again(monkeypatch):
-    monkeypatch.setattr("hazeline.sources.web.time.sleep", lambda _: pytest.fail("waited"))
+    clock(monkeypatch, lambda _: pytest.fail("waited"))
     with HttpTransport("ftp2://api.example").client() as client:
         assert "unknown" in client("x").error.lower()
     assert "unknown url type" in HttpTransport("ftp2://api.example")("x").error
@@ -578,8 +584,7 @@ def test_no_more_calls_begin_than_the_rate_allows(spark, tmp_path, parallelism,
 
 def test_too_many_calls_widen_the_pace(monkeypatch):
     waits = []
-    monkeypatch.setattr("hazeline.sources.web.time.sleep", waits.append)
-    monkeypatch.setattr("hazeline.sources.web.time.monotonic", lambda: 0.0)
+    clock(monkeypatch, waits.append, lambda: 0.0)
     pace = Pace(1.0)
     for status in (200, 429, 429, 200):
         pace.wait()
@@ -596,7 +601,7 @@ def test_too_many_calls_widen_the_pace(monkeypatch):
 
 def test_every_attempt_keeps_to_the_pace(monkeypatch):
     waits = []
-    monkeypatch.setattr("hazeline.sources.web.time.sleep", lambda _: None)
+    clock(monkeypatch, lambda _: None)
     pace = Pace(0.0)
     monkeypatch.setattr(pace, "wait", lambda: waits.append(1))
     opener = Opener(http_error(503), http_error(429), b"[]")
