@@ -4,16 +4,18 @@ A rolling hash over K bytes picks triggers: the first least hash of each stretch
 every L bytes hold one. A phrase is all text whose L-byte stretches share a trigger. Phrases
 overlap by L - 1 bytes, so each L bytes of the corpus lie whole in just one phrase, and the first
 L bytes of any suffix are those of a suffix of a phrase. Matches of L bytes thus follow from the
-dictionary of distinct phrases, grouped by the hashes of trigger and phrase, and from the suffixes
-of those phrases that share a trigger with another, grouped by the hash of their first L bytes.
-There are no suffix arrays: equal strings need no order by bytes. The parse says which documents have which phrase. Text that is copied as a
-whole makes the same phrases and is settled in the dictionary; only phrases at the edges of copies
-have their suffixes compared.
+dictionary of distinct phrases, ordered by the hashes of trigger and phrase, and from the suffix array
+of those of its phrases that share a trigger with another: their suffixes in the order of their first L
+bytes, where equal ones are neighbours. The parse says which documents have which phrase and so carries
+what the dictionary and the array tell to the corpus; as no match goes beyond a phrase, the parse needs no
+suffix array of its own. Text that is copied as a whole makes the same phrases and is settled in the
+dictionary; only phrases at the edges of copies have their suffixes ordered.
 
 A passage that many documents share has other neighbours in each, and so, at its edges, as many
 phrases with one trigger as there are documents. Such a common trigger is not settled by phrase: a
 block lists one of its phrases only, with how many there are, and the suffixes go, each with the
-smallest id that the block has of it, to parts of the bucket by their own hash. The number of parts
+smallest id that the block has of it, to parts of the bucket by their own hash, by which they are
+ordered there, as their text would be sent once per document. The number of parts
 grows with that of the phrases, so no group grows with the number of neighbours.
 """
 
@@ -46,7 +48,7 @@ LISTED = 32
 LISTED_BY_ALL = 128
 #: Phrases of a common trigger for which its bucket has one more part, about.
 PART = 4096
-#: Phrases of which the suffixes are hashed at once.
+#: Phrases of which the suffixes are hashed at once, and neighbours of a suffix array compared at once.
 HASHED = 1 << 15
 #: What is known of a phrase: others have it, too; it is one of those of a common trigger; and from this
 #: bit on how many bits the number of these phrases, or in a reply the number of parts, has.
@@ -354,13 +356,27 @@ def _hashes(text: bytes, counts: np.ndarray, length: int) -> np.ndarray:
     return arrays.Hasher(np.frombuffer(text, np.uint8))(at, at + length)
 
 
-def _earliest(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """For each hash the smallest id that comes with it."""
-    order = np.argsort(hashes, kind="stable")
-    h = hashes[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    earliest = np.empty(len(h), np.int64)
+def suffix_array(text: bytes, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of phrases that stand one after the other, by their numbers of suffixes, in the order
+    of their first ``length`` bytes; and which of them differ from the one before in these.
+    """
+    sizes = counts + length - 1
+    at = arrays.ranges(np.cumsum(sizes) - sizes, counts)
+    if not len(at):
+        return at, np.zeros(0, bool)
+    windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), length)
+    first = windows[at].view(f"S{length}").ravel()
+    order = np.argsort(first)
+    new = np.ones(len(order), bool)
+    for start in range(1, len(order), HASHED):
+        some = order[start - 1 : start + HASHED]
+        new[start : start + HASHED] = first[some[1:]] != first[some[:-1]]
+    return order, new
+
+
+def _earliest(order: np.ndarray, new: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The smallest id that comes with each of some things, which are equal in an order until a new one."""
+    earliest = np.empty(len(order), np.int64)
     earliest[order] = np.minimum.reduceat(own[order], np.flatnonzero(new))[np.cumsum(new) - 1]
     return earliest
 
@@ -407,7 +423,7 @@ def _merged(key: tuple, table: pa.Table, most: int) -> pa.Table:
 
 
 def _merge_suffixes(length: int, bits: int):
-    """Group the suffixes of all blocks' open phrases by the hash of their first bytes.
+    """The suffix array of all blocks' open phrases of a bucket, by the first bytes of the suffixes.
 
     Phrases that share these share their trigger, so they are in one bucket, those of a common trigger
     by hash in a part of it. A block learns, by number of the suffix, of earlier documents with it.
@@ -420,7 +436,11 @@ def _merge_suffixes(length: int, bits: int):
             hashes.append(keys)
             least += unpack(rest, ("i8",))
         own, begins = np.concatenate(least), np.cumsum([0, *map(len, hashes)])
-        earliest = _earliest(np.concatenate(hashes), own)
+        keys = np.concatenate(hashes)
+        order = np.argsort(keys, kind="stable")
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[order[1:]] != keys[order[:-1]]
+        earliest = _earliest(order, new, own)
         return _answers(key[0].as_py(), table.column("block").to_pylist(), begins, earliest < own, earliest)
 
     def merge_suffixes(key: tuple, table: pa.Table) -> pa.Table:
@@ -435,7 +455,7 @@ def _merge_suffixes(length: int, bits: int):
             counts.append(n)
             begins.append(begins[-1] + int(n.sum()))
         count, own = np.concatenate(counts), np.concatenate(least)
-        earliest = _earliest(_hashes(b"".join(texts), count, length), own)
+        earliest = _earliest(*suffix_array(b"".join(texts), count, length), own)
         return _answers(key[0].as_py(), table.column("block").to_pylist(), np.array(begins), earliest < own, earliest)
 
     return merge_suffixes
@@ -467,8 +487,8 @@ def repeats(
     with equal ids: these don't remove each other's text. There is one row per row of ``docs``.
     ``id`` is null where it was.
 
-    Hashes have 64 bits, phrases 96 with that of their trigger; equal hashes are taken for equal
-    text. A trigger with more than ``listed`` phrases in a block is a common one; results are the
+    Phrases are known by 96 bits of hashes, with that of their trigger, and suffixes of common triggers
+    by 64; equal hashes are taken for equal text. Other suffixes are compared by their bytes. A trigger with more than ``listed`` phrases in a block is a common one; results are the
     same with any number.
     """
     plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)

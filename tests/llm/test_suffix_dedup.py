@@ -84,6 +84,31 @@ def test_equal_text_makes_equal_phrases():
     assert len(inside[0]) > 5 and inside[0] == inside[1]
 
 
+@pytest.mark.parametrize("length", [1, 3, 9, 50])
+def test_suffix_array(length):
+    """The order is that of the bytes, zeros and high ones, too; equal suffixes are neighbours."""
+    rng = random.Random(length)
+    phrases = [bytes(rng.choices([0, 1, 97, 98, 255], k=length + rng.randint(0, 30))) for _ in range(300)]
+    phrases += rng.choices(phrases, k=50) + [b"\0" * (length + 40)] * 2
+    counts = np.array([len(phrase) - length + 1 for phrase in phrases])
+    suffixes = [phrase[at : at + length] for phrase, n in zip(phrases, counts, strict=True) for at in range(n)]
+    found, new = suffix_dedup.suffix_array(b"".join(phrases), counts, length)
+    ordered = [suffixes[at] for at in found]
+    assert sorted(found) == list(range(len(suffixes))) and ordered == sorted(suffixes)
+    assert new.tolist() == [at == 0 or ordered[at] != ordered[at - 1] for at in range(len(ordered))]
+
+
+def test_suffix_array_of_nothing():
+    found, new = suffix_dedup.suffix_array(b"", np.zeros(0, np.int64), 50)
+    assert len(found) == len(new) == 0
+
+
+def test_neighbours_are_compared_across_shares(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HASHED", 3)
+    _, new = suffix_dedup.suffix_array(b"abab" * 5, np.array([19]), 2)
+    assert np.flatnonzero(new).tolist() == [0, 10]
+
+
 def one_line_in_many_documents(n, seed=8):
     rng = random.Random(seed)
     line = "".join(rng.choices("abcdefgh ", k=120))
