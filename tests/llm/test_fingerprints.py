@@ -1,6 +1,10 @@
 import hashlib
+import re
+import struct
+from collections import Counter
 
 import pytest
+import xxhash
 
 from hazeline.llm import fingerprints
 
@@ -16,6 +20,76 @@ def edited(rows):
     return out
 
 
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def spark_hash(value):
+    """What Spark's xxhash64 gives for a text or for an array of longs."""
+    if isinstance(value, str):
+        return signed(xxhash.xxh64_intdigest(value.encode(), seed=42))
+    seed = 42
+    for number in value:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", number), seed=seed)
+    return signed(seed)
+
+
+def distinct_terms(text):
+    return {spark_hash(term) for term in re.split(fingerprints.BETWEEN, text.lower()) if term}
+
+
+def brute_prints(texts, corpus, rarest, commonest):
+    """Fingerprints of texts: per lexicon, the hash of the sorted terms below the least one's power of two."""
+    counts = Counter(term for text in corpus for term in distinct_terms(text))
+    inside = {t for t, n in counts.items() if rarest * len(corpus) <= n <= commonest * len(corpus)}
+    size = max(fingerprints.LEAST_BITS // 64, 1 << (len(inside) - 1).bit_length() if inside else 1)
+
+    def bit(term):
+        return (term % (1 << 64) >> 6) % size, term % 64
+
+    marked = {bit(term) for term in inside}
+    out = []
+    for text in texts:
+        found = distinct_terms(text)
+        terms = {term for term in found if bit(term) in marked} or found or {spark_hash(text)}
+        digits = []
+        for lexicon in range(fingerprints.LEXICONS):
+            own = {t % (1 << 64) >> 24: t for t in terms if (t % (1 << 64) >> 19) % fingerprints.LEXICONS == lexicon}
+            part = 1 << (min(own) + 1).bit_length() if own else 0
+            kept = sorted(t for t in terms if t in own.values() and (t % (1 << 64) >> 24) + 1 < part)
+            digits.append(f"{spark_hash(kept) & 0xFFFFFFFF:08x}" if own else "-" * 8)
+        out.append("".join(digits))
+    return out
+
+
+def brute_likeness(one, other):
+    pairs = [(one[at : at + 8], other[at : at + 8]) for at in range(0, len(one), 8)]
+    pairs = [pair for pair in pairs if pair != ("-" * 8, "-" * 8)]
+    return sum(a == b for a, b in pairs) / len(pairs) if pairs else 1.0
+
+
+@pytest.mark.parametrize("band", [(0.002, 0.2), (0.03, 0.5), (0.9, 1.0)])
+def test_whole_result(spark, odd_rows, band):
+    """All columns equal those of a loop over the texts, also with few terms or none in the band."""
+    rows = [(at * 3 % 101, row[1]) for at, row in enumerate(odd_rows)]
+    texts = {number: text or "" for number, text in rows}
+    changed = edited(list(texts.items()))
+    numbers = sorted(texts, reverse=True)
+    of_text = dict(zip(numbers, brute_prints([texts[n] for n in numbers], list(texts.values()), *band), strict=True))
+    of_edit = dict(zip(numbers, brute_prints([changed[n] for n in numbers], list(texts.values()), *band), strict=True))
+    following = dict(zip(numbers, numbers[1:] + numbers[:1], strict=True))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = fingerprints.edits(df, rarest=band[0], commonest=band[1]).collect()
+    assert sorted(row.doc_id for row in found) == sorted(texts)
+    for row in found:
+        n = row.doc_id
+        assert row.n_chars == len(texts[n])
+        assert row.edited_sha256 == hashlib.sha256(changed[n].encode()).hexdigest()
+        assert (row.fingerprint, row.edited_fingerprint) == (of_text[n], of_edit[n])
+        assert row.near_edited == pytest.approx(brute_likeness(of_text[n], of_edit[n]))
+        assert row.near_next == pytest.approx(brute_likeness(of_text[n], of_text[following[n]]))
+
+
 def test_odd_documents(spark, odd_rows):
     rows = [(at * 3 % 101, row[1]) for at, row in enumerate(odd_rows)]
     assert len({number for number, _ in rows}) == len(rows)
