@@ -32,6 +32,8 @@ STRONGEST = 6.0
 LEAST_SAID = 15.0
 #: What a term must say to count where others explain the documents, too, per toxic document.
 SURE = 0.1
+#: Matches in a context that its usual share weighs as much as.
+USUAL = 20
 #: Share of the rarer words that makes two documents copies of each other.
 COPY = 0.3
 
@@ -428,6 +430,8 @@ def _weigh(lexicon: Lexicon, sample: DataFrame) -> None:
             enough = said >= (3 if errors else 1)
             lexicon.evidence[number, errors] = float(min(said, STRONGEST)) if enough else 0.0
 
+    lexicon.shares = _shares(lexicon, seen, words)
+
     def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             matches, counts = hits([text or "" for text in batch.column("text").to_pylist()], terms)
@@ -443,6 +447,32 @@ def _weigh(lexicon: Lexicon, sample: DataFrame) -> None:
     lexicon.weights = tuple(map(float, _regressed(x, y, np.array(Lexicon([]).weights), np.array([1.0, 4.0, 4.0]))))
 
 
+def _shares(lexicon: Lexicon, seen: dict[tuple, int], words: list[int]) -> dict[str, float]:
+    """What each context leaves of a match: the logarithm of odds that matches in it have, by that of plain ones.
+
+    Counted are matches of terms that say something. The usual share weighs as much as ``USUAL`` matches
+    in the context, so that a sample with few of them hardly changes it, and one with none not at all.
+    """
+    count = {context: [0, 0] for context in lexicon.shares}
+    for (y, context, term, errors), n in seen.items():
+        if context in count and lexicon.evidence.get((term, errors), 0.0) > 0:
+            count[context][y] += n
+
+    def said(context: str) -> float:
+        others, own = ((n + 0.5) / of for n, of in zip(count[context], words, strict=True))
+        return float(np.log(own / others))
+
+    plain = said("plain")
+    learned = dict(lexicon.shares)
+    if plain > 0:
+        for context, usual in lexicon.shares.items():
+            n = sum(count[context])
+            if context != "plain" and n:
+                found = min(1.0, max(0.0, said(context) / plain))
+                learned[context] = (usual * USUAL + found * n) / (USUAL + n)
+    return learned
+
+
 def _regressed(x: np.ndarray, y: np.ndarray, prior: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton's method, each step halved until it helps.
 

@@ -116,6 +116,42 @@ def test_misspelled_and_quoted(spark, lexicon):
     assert rows["quoted"].text[match.start : match.end] == "nitwit"
 
 
+def calm(rng, n):
+    """Words none of which is one of reporting."""
+    return [word for word in words(rng, n) if word not in toxicity.REPORTING]
+
+
+def weighed(spark, quoting):
+    """A lexicon of one term, which 60 toxic texts say plainly and others, by ``quoting``, quote."""
+    rng = random.Random(2)
+
+    def around(said):
+        return " ".join([*calm(rng, 20), said, *calm(rng, 20)])
+
+    rows = [(1, number, around("you nitwit")) for number in range(60)]
+    rows += [(y, len(rows) + at, around('the "nitwit" there')) for at, y in enumerate(quoting)]
+    rows += [(0, len(rows) + at, around("you there")) for at in range(1000)]
+    lexicon = toxicity.Lexicon([("nitwit", False)])
+    toxicity._weigh(lexicon, spark.createDataFrame(rows, "y int, _id long, text string").repartition(3))
+    return lexicon
+
+
+def test_what_contexts_say_is_learned(spark):
+    usual = toxicity.Lexicon([]).shares
+    assert weighed(spark, []).shares == usual
+    harmless, abusive, both = (weighed(spark, quoting) for quoting in ([0] * 40, [1] * 40, [1] * 3))
+    assert harmless.shares["quoted"] < usual["quoted"] / 2 < usual["quoted"] < both.shares["quoted"] < abusive.shares["quoted"] <= 1
+    for lexicon in (harmless, abusive, both):
+        assert lexicon.shares["plain"] == 1 and lexicon.shares["reported"] == usual["reported"]
+    texts = ["ka le " * 20 + 'the "nitwit" ' + "mu " * 20, "ka le " * 20 + "the nitwit " + "mu " * 20]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    for lexicon in (harmless, both):
+        quoted, plain = (row.score for row in toxicity.score(df, lexicon).orderBy("n").collect())
+        assert quoted < plain
+    quoted, plain = (row.score for row in toxicity.score(df, harmless).orderBy("n").collect())
+    assert quoted < 0.2 and plain > 0.5
+
+
 def test_odd_documents(odd, odd_rows, no_docs, lexicon, spark):
     rows = toxicity.score(odd, lexicon)
     assert sorted(rows.columns) == sorted(odd.columns)
