@@ -1,13 +1,20 @@
+import hashlib
 import os
+import struct
 
 import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
 
 import __spark_entry__ as entry_point
+from hazeline.llm import bpe, fingerprints
 from hazeline.llm.oracle import ORACLE
-from hazeline.llm.queries import QUERIES
+from hazeline.llm.queries import QUERIES, RANKS
+from tests.llm import test_fingerprints, test_ngram_join, test_suffix_dedup
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SMALL_DIR = "/root/testdata/sf0.001"
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -35,3 +42,59 @@ def test_registered():
 def test_native_plans(spark, plan, name):
     text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "Python" not in text and "Arrow" not in text
+
+
+@pytest.fixture(scope="module")
+def documents():
+    """All ids and texts of the small table."""
+    return duckdb.sql(f"SELECT doc_id, text FROM '{SMALL_DIR}/documents.parquet' ORDER BY doc_id").fetchall()
+
+
+def results(spark, name):
+    return {row.doc_id: row for row in QUERIES[name](spark, SMALL_DIR).collect()}
+
+
+def sha256(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def test_byte_bpe_of_a_whole_table(spark, documents):
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = results(spark, "op1_byte_bpe")
+    assert sorted(found) == [number for number, _ in documents]
+    for number, text in documents:
+        ids = encoding.encode_ordinary(text or "")
+        expected = (len(ids), sha256(struct.pack(f"<{len(ids)}I", *ids)), sha256((text or "").encode()))
+        assert (found[number].n_tokens, found[number].ids_sha256, found[number].decoded_sha256) == expected
+
+
+def test_repeated_passages_of_a_whole_table(spark, documents):
+    found = results(spark, "op2_repeated_passages")
+    expected = test_suffix_dedup.brute(documents)
+    assert len(found) == len(expected) and any(row.n_removed for row in found.values())
+    for number, n_bytes, n_removed, n_spans, kept in expected:
+        row = found[number]
+        assert (row.n_bytes, row.n_removed, row.n_spans, row.kept_sha256) == (n_bytes, n_removed, n_spans, sha256(kept))
+
+
+def test_fingerprints_of_a_whole_table(spark, documents):
+    texts = {number: text or "" for number, text in documents}
+    changed = test_fingerprints.edited(list(texts.items()))
+    band = fingerprints.RAREST, fingerprints.COMMONEST
+    own, other = (
+        dict(zip(texts, test_fingerprints.brute_prints([some[n] for n in texts], list(texts.values()), *band), strict=True))
+        for some in (texts, changed)
+    )
+    found = results(spark, "op7_fingerprints")
+    assert sorted(found) == sorted(texts)
+    for number, row in found.items():
+        expected = (len(texts[number]), sha256(changed[number].encode()), own[number], other[number])
+        assert (row.n_chars, row.edited_sha256, row.fingerprint, row.edited_fingerprint) == expected
+        assert row.near_edited == pytest.approx(test_fingerprints.brute_likeness(own[number], other[number]))
+
+
+def test_similar_documents_of_a_whole_table(spark, documents):
+    found = results(spark, "op3_similar_documents")
+    expected = sorted((number, size, low) for number, size, low, *_ in test_ngram_join.brute(documents))
+    assert sorted((n, row.n_shingles, row.component_id) for n, row in found.items()) == expected
