@@ -44,20 +44,24 @@ def _with_brackets(lines: DataFrame) -> DataFrame:
     """Add how many brackets each line opens and closes outside of strings."""
     value = F.col("value")
     plain = F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
-    bare = F.regexp_replace(plain, '"[^"]*"', "")
+    bare = F.when(plain.contains('"'), F.regexp_replace(plain, '"[^"]*"', "")).otherwise(plain)
 
-    def number(marks: str) -> Column:
-        return F.when(value.rlike(marks), F.regexp_count(bare, F.lit(marks))).otherwise(0)
+    def number(one: str, other: str) -> Column:
+        # Most lines have none, which needs no regular expression to be seen.
+        counted = F.regexp_count(bare, F.lit(rf"[\{one}\{other}]"))
+        return F.when(value.contains(one) | value.contains(other), counted).otherwise(0)
 
-    return lines.withColumns({"opened": number(r"[\[{]"), "closed": number(r"[\]}]")})
+    return lines.withColumns({"opened": number("[", "{"), "closed": number("]", "}")})
 
 
 def _starts(lines: DataFrame) -> DataFrame:
     """Per block of files of several: the depth at its start, and whether the file begins like an array."""
-    first = F.left(F.ltrim(F.col("value"), F.lit(BLANK)), F.lit(1))
+    # As a number, so that the lines are hashed by block and not sorted.
+    code, bare = F.ascii(F.ltrim("value")), F.ltrim(F.col("value"), F.lit(BLANK))
+    first = F.when(code.isin(0, *map(ord, BLANK)), F.when(bare != "", F.ascii(bare))).otherwise(code)
     parts = _with_brackets(lines.filter("NOT alone"))
     placed = parts.withColumns({"first": first, "at": F.monotonically_increasing_id()})
-    at = F.when(F.col("first") != "", F.col("at"))
+    at = F.when(F.col("first").isNotNull(), F.col("at"))
     blocks = placed.groupBy("file", "block").agg(
         F.sum(F.col("opened") - F.col("closed")).alias("change"), F.min_by("first", at).alias("first")
     )
@@ -69,7 +73,7 @@ def _starts(lines: DataFrame) -> DataFrame:
         F.col("file").alias("of_file"),
         F.col("block").alias("of_block"),
         F.coalesce(before, F.lit(0)).alias("depth"),
-        (F.first("first", ignorenulls=True).over(whole) == "[").alias("is_array"),
+        (F.first("first", ignorenulls=True).over(whole) == ord("[")).alias("is_array"),
     )
 
 
@@ -81,26 +85,46 @@ class _Block:
         self.alone, self.edges = alone, edges
         self.begun_before = bool(is_array and depth)
         self.parts: list[str] = []
+        self.cut = False
 
     def piece(self, kind: int, text: str, last: bool | None) -> tuple:
         return kind, self.run, text, last
 
-    def lines(self, values: list[str], opened: np.ndarray, closed: np.ndarray) -> Iterator[tuple]:
+    def lines(self, column: pa.Array, opened: np.ndarray, closed: np.ndarray) -> Iterator[tuple]:
         if self.is_array is None:
             # The first block of a file tells by its first character; blank lines tell nothing.
-            first = next((text for value in values if (text := value.strip(BLANK))), None)
+            first = next((text for value in column if (text := value.as_py().strip(BLANK))), None)
             self.is_array = first.startswith("[") if first else None
         after = self.depth + np.cumsum(opened - closed)
         before = after - (opened - closed)
         # Only a line on which the depth can get to that of the array has an end of an entry.
-        seen = 0
-        for at in np.flatnonzero(before - closed <= 1) if self.is_array else ():
-            self.parts.extend(values[seen:at])
-            yield from self.line(values[at], int(before[at]))
+        ends = np.flatnonzero(before - closed <= 1) if self.is_array else np.zeros(0, np.int64)
+        seen, skipped = 0, 0
+        if self.edges and not self.begun_before:
+            # Only what follows the last end matters any more.
+            skipped = seen = self.last_end(column, ends, before)
+            ends = ends[ends >= seen]
+        values = column.slice(skipped).to_pylist()
+        for at in ends.tolist():
+            self.parts.extend(values[seen - skipped : at - skipped])
+            yield from self.line(values[at - skipped], int(before[at]))
             seen = at + 1
-        self.parts.extend(values[seen:])
+        self.parts.extend(values[seen - skipped :])
         self.depth = int(after[-1])
 
+    def last_end(self, column: pa.Array, ends: np.ndarray, before: np.ndarray) -> int:
+        """The last line on which an entry, or what is none, ends; 0 if there is no such line."""
+        kept, self.parts = self.parts, []
+        for at in ends[::-1].tolist():
+            self.cut = False
+            for _ in self.line(column[at].as_py(), int(before[at])):
+                pass
+            self.parts = []
+            if self.cut:
+                return at
+        self.parts = kept
+        return 0
+
     def line(self, value: str, depth: int) -> Iterator[tuple]:
         start = 0
         for mark in MARKS.finditer(value):
@@ -121,6 +145,7 @@ class _Block:
         self.parts.append(value[start:])
 
     def taken(self, text: str) -> str:
+        self.cut = True
         found = "\n".join([*self.parts, text])
         self.parts = []
         return found
@@ -131,7 +156,7 @@ class _Block:
             found = self.taken(text)
             if kind == HEAD or found.strip():
                 yield self.piece(kind, found, last)
-        self.parts = []
+        self.parts, self.cut = [], True
 
     def stray(self, text: str) -> Iterator[tuple]:
         found = self.taken(text)
@@ -160,7 +185,7 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
         for batch in batches:
             rows: list[tuple] = []
             column = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("opened", "closed", "run")}
-            values = batch.column("value").to_pylist()
+            values = batch.column("value")
             bounds = [0, *(np.flatnonzero(np.diff(column["run"])) + 1).tolist(), len(values)]
             for a, b in zip(bounds, bounds[1:]):
                 if a == b:
@@ -172,7 +197,7 @@ def _pieces(lines: DataFrame, edges: bool) -> DataFrame:
                     told = (batch.column(name)[a].as_py() for name in ("depth", "is_array", "alone"))
                     current = _Block(run, *told, edges)
                 opened, closed = (column[name][a:b].astype(np.int64) for name in ("opened", "closed"))
-                rows += current.lines(values[a:b], opened, closed)
+                rows += current.lines(values.slice(a, b - a), opened, closed)
             yield result(rows)
         if current is not None:
             yield result(list(current.end()))
