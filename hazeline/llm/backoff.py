@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm import arrays
-from hazeline.llm.exchange import NO_ID, PACKED, Layout, blocked, cuts, layout, ordered, pack, pack_sorted, unpack, unpack_sorted
+from hazeline.llm.exchange import (
+    NO_ID, PACKED, Layout, compressed, cuts, layout, opened, ordered, pack, pack_sorted, unpack, unpack_sorted,
+)
 
 #: Words of the longest n-grams, and what each step to a shorter one costs.
 ORDER = 3
@@ -99,7 +101,7 @@ def _packed(bits: int, order: int):
     low = U((1 << (KEY_BITS - bits)) - 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        keys, counts = Block(table, order).distinct()
+        keys, counts = Block(opened(table), order).distinct()
         rest = (keys >> U(64 - KEY_BITS)) & low
         rows = [(bucket, pack_sorted(rest[a:b]) + _sparse(counts[a:b], 1)) for bucket, a, b in cuts(keys, bits)]
         return pa.table(
@@ -181,16 +183,17 @@ def score(
 
     Each block sends its distinct n-grams, with counts, to the buckets that the count table is
     divided in by hash; these join them to the totals. A frequent n-gram is thus one row per
-    block. N-grams are known by ``KEY_BITS`` bits of a hash.
+    block. N-grams are known by ``KEY_BITS`` bits of a hash. Texts are dealt to the blocks compressed,
+    as they would else be a quarter of what is shuffled.
     """
     plan: Layout = layout(docs, text_col, block_bytes, bucket_bytes)
-    rows, bits = blocked(docs, plan, id_col, text_col), plan.bits
+    rows, bits = compressed(docs, plan, id_col, text_col), plan.bits
     counted = (
         rows.groupBy("block").applyInArrow(_packed(bits, order), PACKED).groupBy("bucket").applyInArrow(_counted, PACKED)
     )
 
     def scored(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(table, order)
+        block = Block(opened(table), order)
         keys, counts = block.distinct()
         totals = counts.astype(np.int64)
         starts = {bucket: (a, b) for bucket, a, b in cuts(keys, bits)}

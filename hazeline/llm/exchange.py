@@ -11,11 +11,12 @@ the input.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,11 @@ NO_ID = np.iinfo(np.int64).max
 
 PACKED = "bucket long, block int, packed binary"
 
+#: Bytes of rows that a task gathers before it packs those of each block, and how hard it tries.
+GATHERED_BYTES = 32 << 20
+LEVEL = 3
+_TEXTS = pa.schema([("id", pa.int64()), ("text", pa.large_string())])
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -68,6 +74,61 @@ def blocked(
     return docs.select(block.cast("int").alias("block"), number.alias("id"), text.alias("text"), *row)
 
 
+def compressed(
+    docs: DataFrame, plan: Layout, id_col: str, text_col: str, gathered_bytes: int = GATHERED_BYTES
+) -> DataFrame:
+    """``block, size, packed``: the rows of ``blocked``, several of a block in one compressed row.
+
+    For operators whose shuffle of texts counts: Zstandard takes some 0.6 of the bytes that the usual
+    codec of a shuffle leaves. ``opened`` has the rows again. A piece of a block is what a task has of
+    it among ``gathered_bytes``, so texts are packed alike whatever their length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if held and size + batch.nbytes > gathered_bytes:
+                yield _pieces(held)
+                held, size = [], 0
+            held.append(batch)
+            size += batch.nbytes
+        if held:
+            yield _pieces(held)
+
+    return blocked(docs, plan, id_col, text_col).mapInArrow(run, "block int, size long, packed binary")
+
+
+def _pieces(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """A row for each block that the batches have rows of."""
+    table = pa.Table.from_batches(batches)
+    by = pc.sort_indices(table.column("block"))
+    block = table.column("block").take(by).to_numpy()
+    rows = table.select(_TEXTS.names).cast(_TEXTS).take(by).combine_chunks()
+    codec = pa.Codec("zstd", compression_level=LEVEL)
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    sizes, packed = [], []
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)], strict=True):
+        piece = rows.slice(start, end - start).to_batches()[0].serialize()
+        sizes.append(piece.size)
+        packed.append(codec.compress(piece, asbytes=True))
+    return pa.record_batch(
+        {"block": pa.array(block[starts], pa.int32()), "size": pa.array(sizes, pa.int64()), "packed": pa.array(packed, pa.binary())}
+    )
+
+
+def opened(table: pa.Table) -> pa.Table:
+    """``id, text`` of the rows that ``compressed`` has packed."""
+    codec = pa.Codec("zstd")
+    sizes, packed = table.column("size").to_pylist(), table.column("packed")
+    return pa.Table.from_batches(
+        [
+            pa.ipc.read_record_batch(codec.decompress(piece.as_buffer(), decompressed_size=size), _TEXTS)
+            for size, piece in zip(sizes, packed, strict=True)
+        ],
+        _TEXTS,
+    )
+
+
 def ordered(table: pa.Table) -> tuple[list[int], list[tuple[int, str]]]:
     """The rows of a block by id and text, and where in the table each is.
 

@@ -56,3 +56,12 @@ def test_other_orders(spark):
 
 def test_no_rows(no_docs):
     assert backoff.score(no_docs).count() == 0
+
+
+def test_texts_are_dealt_once_and_compressed(spark, plan):
+    found = backoff.score(spark.createDataFrame([(1, "a b c"), (2, "b c")], "doc_id long, text string"))
+    found.collect()
+    text = plan(found)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", text)
+    assert moved and not any("text#" in columns for columns in moved)
+    assert "ReusedExchange" in text
